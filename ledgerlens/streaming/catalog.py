@@ -1,4 +1,111 @@
-"""Streaming catalogue entries (filled in by the streaming pipeline)."""
+"""Streaming catalogue entries.
 
-STREAM_QUERIES = {}
-STREAM_ORACLE_SQL = {}
+Each builder runs the pipeline stages it needs with ``availableNow`` triggers
+(fresh sinks and checkpoints under the shared checkpoint folder) and returns a
+batch DataFrame over the resulting sink, which the oracle SQL checks against
+the same computation over the ``events`` table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerlens import schema as S
+from ledgerlens.operators.ranking import top_n
+from ledgerlens.streaming import pipeline as SP
+
+
+def _bronze(spark: SparkSession, sf_dir: str, run: SP.StreamPaths) -> str:
+    return SP.write_bronze(SP.events_source(spark, sf_dir), run)
+
+
+def _silver(spark: SparkSession, sf_dir: str, run: SP.StreamPaths) -> str:
+    return SP.write_silver(spark, _bronze(spark, sf_dir, run), run)
+
+
+def q_stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = SP.new_run(spark, "bronze")
+    bronze = _bronze(spark, sf_dir, run)
+    return spark.read.schema(SP.BRONZE_SCHEMA).parquet(bronze).drop("event_date")
+
+
+def q_stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = SP.new_run(spark, "silver")
+    return spark.read.schema(SP.SILVER_SCHEMA).parquet(_silver(spark, sf_dir, run))
+
+
+QUARANTINE_SCHEMA = T.StructType(S.EVENTS_SCHEMA.fields + [T.StructField("reason", T.StringType(), True)])
+
+
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = SP.new_run(spark, "quarantine")
+    out = SP.write_quarantine(spark, _bronze(spark, sf_dir, run), run)
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(out)
+
+
+def q_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = SP.new_run(spark, "hourly")
+    hourly = SP.write_hourly(spark, _silver(spark, sf_dir, run), run)
+    return SP.read_hourly(spark, hourly)
+
+
+def q_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = SP.new_run(spark, "serving")
+    serving = SP.write_serving(spark, _silver(spark, sf_dir, run), sf_dir, run)
+    latest = SP.read_serving(spark, serving)
+    return top_n(latest, 20, [F.desc("total_value"), F.asc("region"), F.asc("event_type")])
+
+
+STREAM_QUERIES = {
+    "stream_bronze": q_stream_bronze,
+    "stream_silver": q_stream_silver,
+    "stream_quarantine": q_stream_quarantine,
+    "stream_hourly": q_stream_hourly,
+    "stream_serving": q_stream_serving,
+}
+
+_VALID = """event_id IS NOT NULL AND ts IS NOT NULL
+  AND lower(trim(event_type)) IN ('view', 'click', 'signup', 'purchase', 'error')
+  AND value IS NOT NULL AND NOT isnan(value) AND value >= 0
+  AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NOT NULL"""
+
+_SILVER = f"""silver AS (
+  SELECT event_id, ts, user_id, lower(trim(event_type)) AS event_type, value, props,
+         TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+  FROM events WHERE {_VALID}
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1)"""
+
+STREAM_ORACLE_SQL = {
+    "stream_bronze": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "stream_silver": f"WITH {_SILVER} SELECT * FROM silver",
+    "stream_quarantine": """SELECT * FROM (
+  SELECT event_id, ts, user_id, event_type, value, props,
+         CASE WHEN event_id IS NULL THEN 'missing event_id'
+              WHEN ts IS NULL THEN 'missing ts'
+              WHEN lower(trim(event_type)) IS NULL
+                OR lower(trim(event_type)) NOT IN ('view', 'click', 'signup', 'purchase', 'error')
+                THEN 'unknown event_type'
+              WHEN value IS NULL OR isnan(value) THEN 'missing value'
+              WHEN value < 0 THEN 'negative value'
+              WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NULL
+                THEN 'malformed props'
+         END AS reason
+  FROM events) t
+WHERE reason IS NOT NULL""",
+    "stream_hourly": f"""WITH {_SILVER}
+SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS window_start,
+       time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' AS window_end,
+       count(*) AS events,
+       CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total_value
+FROM silver GROUP BY 1, 2""",
+    "stream_serving": f"""WITH {_SILVER}
+SELECT r.r_name AS region, s.event_type, count(*) AS events,
+       CAST(sum(CAST(s.value AS DECIMAL(12,2))) AS DOUBLE) AS total_value
+FROM silver s
+LEFT JOIN customer c ON s.user_id = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY 1, 2 ORDER BY total_value DESC, region, event_type LIMIT 20""",
+}
