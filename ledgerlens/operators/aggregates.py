@@ -23,8 +23,7 @@ from ledgerlens.functions.money import (
     units_sum,
 )
 from ledgerlens.operators.filters import weekend_in_region
-from ledgerlens.operators.joins import restrict_to
-from ledgerlens.operators.ranking import top_n
+from ledgerlens.operators.ranking import top_n, top_n_per_group
 
 UNITS_MEAN_TYPE = T.DecimalType(30, 2)
 
@@ -55,17 +54,18 @@ def top_profit_region(sales: DataFrame) -> DataFrame:
 def top_country_in_top_region(sales: DataFrame) -> DataFrame:
     """Best region by profit, then the best country inside it — one DAG.
 
-    The fact is aggregated once to (region, country); region totals, the best
-    region and the restriction to it all work on that small aggregate, so the
-    fact is scanned and shuffled a single time.  Sums stay decimal until the
-    end, so re-aggregating the partial sums is exact.
+    The fact is aggregated once to (region, country).  The region total is a
+    window sum over that small aggregate, and one ordering - region total,
+    region, country total, country - puts the answer first.  There is no
+    second pass over the fact and no semi-join for the optimizer to push back
+    into it.  Sums stay decimal until the end, so the re-aggregation is exact.
     """
     by_rc = sales.groupBy(S.REGION, S.COUNTRY).agg(F.sum(S.TOTAL_PROFIT).alias("_p"))
-    by_r = by_rc.groupBy(S.REGION).agg(F.sum("_p").alias("_rp"))
-    best_region = top_n(by_r, 1, [F.desc("_rp"), F.asc(S.REGION)])
-    in_best = restrict_to(by_rc, best_region, [S.REGION])
-    best_country = top_n(in_best, 1, [F.desc("_p"), F.asc(S.COUNTRY)])
-    return best_country.join(F.broadcast(best_region), S.REGION).select(
+    with_total = by_rc.withColumn("_rp", F.sum("_p").over(Window.partitionBy(S.REGION)))
+    best = top_n(
+        with_total, 1, [F.desc("_rp"), F.asc(S.REGION), F.desc("_p"), F.asc(S.COUNTRY)]
+    )
+    return best.select(
         S.REGION,
         F.col("_rp").cast("double").alias("region_profit"),
         S.COUNTRY,
@@ -122,6 +122,12 @@ def margin_extremes(sales: DataFrame) -> DataFrame:
     )
 
 
+def top3_orders_per_item(sales: DataFrame, n: int = 3) -> DataFrame:
+    """The ``n`` most profitable lines of every item type (ties by row key)."""
+    order = [F.desc(S.TOTAL_PROFIT)] + [F.asc(k) for k in S.row_key_of(sales.columns)]
+    return top_n_per_group(sales, [S.ITEM_TYPE], n, order)
+
+
 def weekend_units_by_item(sales: DataFrame, region: str) -> DataFrame:
     """Units sold on weekends in one region per item type, most first."""
     return (

@@ -84,7 +84,8 @@ PREVIEW_COLUMNS = [
 
 def preview_latest(sales: DataFrame, n: int = 200) -> DataFrame:
     """Latest ``n`` lines by order date (text ``yyyy-MM-dd``), ties by row key."""
-    latest = top_n(sales, n, [F.desc(S.ORDER_DATE)] + [F.asc(k) for k in S.ROW_KEY])
+    keys = S.row_key_of(sales.columns)
+    latest = top_n(sales, n, [F.desc(S.ORDER_DATE)] + [F.asc(k) for k in keys])
     out = latest.select(
         day_label(S.ORDER_DATE).alias(S.ORDER_DATE),
         S.REGION,
@@ -101,7 +102,8 @@ def preview_latest(sales: DataFrame, n: int = 200) -> DataFrame:
 
 def preview_first(sales: DataFrame, n: int = 100) -> DataFrame:
     """First ``n`` lines in a defined order (order date, then row key)."""
-    return as_output(top_n(sales, n, [F.asc(S.ORDER_DATE)] + [F.asc(k) for k in S.ROW_KEY]))
+    keys = S.row_key_of(sales.columns)
+    return as_output(top_n(sales, n, [F.asc(S.ORDER_DATE)] + [F.asc(k) for k in keys]))
 
 
 def overview(

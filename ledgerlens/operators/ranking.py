@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.session import checkpoint_root
+
 # Up to this many leading rows a slice is planned as TakeOrderedAndProject
 # (each task keeps a bounded heap, one task merges them).  Deeper slices use a
 # range-partitioned sort with per-partition offsets so no task ever holds more
@@ -76,11 +78,21 @@ def _slice_by_partition_offsets(
     The range-partitioned sort spreads rows over all tasks; the per-partition
     counts are one row per partition, so their running sum and the broadcast
     back are bounded by the partition count, not by the data.
+
+    The sorted, tagged rows are checkpointed (to the shared checkpoint folder)
+    before they are used twice: a re-planned sort may sample different range
+    bounds or be coalesced differently by AQE, and partition ids from two
+    different executions must never be combined.
     """
-    tagged = df.orderBy(*order_cols).select(
-        "*",
-        F.spark_partition_id().alias("_pid"),
-        F.monotonically_increasing_id().alias("_mid"),
+    checkpoint_root(df.sparkSession)
+    tagged = (
+        df.orderBy(*order_cols)
+        .select(
+            "*",
+            F.spark_partition_id().alias("_pid"),
+            F.monotonically_increasing_id().alias("_mid"),
+        )
+        .checkpoint(eager=True)
     )
     per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     offsets = per_part.select(

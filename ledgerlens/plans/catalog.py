@@ -17,7 +17,7 @@ from ledgerlens.operators import aggregates as A
 from ledgerlens.operators import overview as O
 from ledgerlens.operators import paging as PG
 from ledgerlens.operators.filters import optional_filter, strict_filter
-from ledgerlens.operators.ranking import top_n, top_n_per_group
+from ledgerlens.operators.ranking import top_n
 from ledgerlens.plans import params as P
 from ledgerlens.sources import cleaning as C
 from ledgerlens.sources.star import order_table, sales_fact
@@ -81,9 +81,7 @@ def q_margin_extremes(spark, sf_dir):
 
 
 def q_top3_orders_per_item(spark, sf_dir):
-    sales = _fact(spark, sf_dir)
-    order = [F.desc(S.TOTAL_PROFIT)] + [F.asc(k) for k in S.ROW_KEY]
-    return O.as_output(top_n_per_group(sales, [S.ITEM_TYPE], 3, order))
+    return O.as_output(A.top3_orders_per_item(_fact(spark, sf_dir)))
 
 
 def q_weekend_units_by_item(spark, sf_dir):

@@ -57,6 +57,13 @@ ROW_KEY = [ORDER_ID, LINE_NUMBER, PART_KEY, SUPP_KEY, EXT_PRICE]
 
 FACT_COLUMNS = SALES_COLUMNS + ROW_KEY[1:]
 
+
+def row_key_of(columns) -> list[str]:
+    """The row-key columns present in a frame (a CSV sales file has only order_id)."""
+    cols = set(columns)
+    return [k for k in ROW_KEY if k in cols]
+
+
 MONEY_COLUMNS = [TOTAL_REVENUE, TOTAL_COST, TOTAL_PROFIT]
 
 # Exact types of the money columns: sums over them are exact and do not depend
