@@ -14,6 +14,9 @@ from ledgerlens.session import checkpoint_root
 # range-partitioned sort with per-partition offsets so no task ever holds more
 # than its own partition.
 TOP_K_ROWS = 50_000
+# A deep slice of at most this many rows is broadcast when its rows are
+# fetched back from the source frame.
+SLICE_BROADCAST_ROWS = 100_000
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -51,11 +54,14 @@ def slice_rows(
     stop: int,
     pos_col: str = "pos",
     top_k_rows: int = TOP_K_ROWS,
+    prefilter: str | None = None,
 ) -> DataFrame:
     """Rows at 0-based positions ``[start, stop)`` of the total order ``order``.
 
     ``order`` must be a total order (end it with unique columns), otherwise
     neighbouring slices may overlap.  The result carries the position.
+    ``prefilter`` names a non-null sort column that comes straight from a
+    scanned table; a deep slice fetches its rows back through a semi-join on it.
     """
     start = max(0, int(start))
     stop = max(start, int(stop))
@@ -67,11 +73,16 @@ def slice_rows(
         # At most ``top_k_rows`` rows remain: numbering them in one task is bounded.
         w = Window.orderBy(*order_cols)
         return page.withColumn(pos_col, (F.row_number().over(w) - 1 + F.lit(start)).cast("bigint"))
-    return _slice_by_partition_offsets(df, order_cols, start, stop, pos_col)
+    return _slice_by_partition_offsets(df, list(order), start, stop, pos_col, prefilter)
 
 
 def _slice_by_partition_offsets(
-    df: DataFrame, order_cols: list[Column], start: int, stop: int, pos_col: str
+    df: DataFrame,
+    order: list[str | Column],
+    start: int,
+    stop: int,
+    pos_col: str,
+    prefilter: str | None,
 ) -> DataFrame:
     """Deep slice: global sort, count rows per sorted partition, add offsets.
 
@@ -85,8 +96,13 @@ def _slice_by_partition_offsets(
     different executions must never be combined.
     """
     checkpoint_root(df.sparkSession)
+    names = [c for c in order if isinstance(c, str)]
+    narrow = len(names) == len(order)
+    # With plain column names only the sort keys are sorted and checkpointed;
+    # the full rows of the (small) slice are fetched back afterwards.
+    base = df.select(*names) if narrow else df
     tagged = (
-        df.orderBy(*order_cols)
+        base.orderBy(*_cols(order))
         .select(
             "*",
             F.spark_partition_id().alias("_pid"),
@@ -100,9 +116,32 @@ def _slice_by_partition_offsets(
         "_first",
         (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_offset"),
     )
-    return (
+    sliced = (
         tagged.join(F.broadcast(offsets), "_pid")
         .withColumn(pos_col, (F.col("_offset") + F.col("_mid") - F.col("_first")).cast("bigint"))
         .where((F.col(pos_col) >= start) & (F.col(pos_col) < stop))
         .drop("_pid", "_mid", "_first", "_offset")
     )
+    if not narrow:
+        return sliced
+    small = stop - start <= SLICE_BROADCAST_ROWS
+    keys = sliced.select(*[F.col(n).alias(f"_k{i}") for i, n in enumerate(names)], pos_col)
+    # Semi-join on one plain column first (Catalyst pushes it towards the scan
+    # of that column's table), then attach positions with a null-safe match on
+    # every sort key.
+    if prefilter in names:
+        # A declared non-null table column: plain equality, which Catalyst can
+        # push below the joins that produced ``df``.
+        lead_i = names.index(prefilter)
+        lead_match = F.col(prefilter) == F.col("_lead")
+    else:
+        lead_i = 0
+        lead_match = F.col(names[0]).eqNullSafe(F.col("_lead"))
+    lead = keys.select(F.col(f"_k{lead_i}").alias("_lead")).distinct()
+    rows = df.join(F.broadcast(lead) if small else lead, lead_match, "left_semi")
+    keys = F.broadcast(keys) if small else keys
+    match = [F.col(n).eqNullSafe(F.col(f"_k{i}")) for i, n in enumerate(names)]
+    cond = match[0]
+    for m in match[1:]:
+        cond = cond & m
+    return rows.join(keys, cond).drop(*[f"_k{i}" for i in range(len(names))])

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
 from ledgerlens.functions.calendar import event_time
+from ledgerlens.functions.formatting import count_text, money_text, percent_text
 from ledgerlens.operators import aggregates as A
 from ledgerlens.operators import overview as O
 from ledgerlens.operators import paging as PG
 from ledgerlens.operators.filters import optional_filter, strict_filter
+from ledgerlens.operators.joins import restrict_to
 from ledgerlens.operators.ranking import top_n
 from ledgerlens.plans import params as P
 from ledgerlens.sources import cleaning as C
@@ -51,6 +53,13 @@ def q_top_country_in_top_region(spark, sf_dir):
     return A.top_country_in_top_region(_fact(spark, sf_dir, S.REGION, S.COUNTRY, S.TOTAL_PROFIT))
 
 
+def q_top_region_lines(spark, sf_dir):
+    """All lines of the most profitable region (the best region fed back as a
+    broadcast semi-join instead of a value passed through the driver)."""
+    sales = _fact(spark, sf_dir)
+    return O.as_output(restrict_to(sales, A.top_profit_region(sales), [S.REGION]))
+
+
 def q_orders_per_72h(spark, sf_dir):
     return A.orders_per_window(order_table(spark, sf_dir), duration="72 hours")
 
@@ -137,6 +146,17 @@ def q_empty_overview(spark, sf_dir):
     return _overview(spark, sf_dir, P.EMPTY_SELECTION)["metrics"]
 
 
+def q_kpi_cards(spark, sf_dir):
+    """The overview metrics as display text (``$1,234``, ``12.34%``, ``1,234``)."""
+    m = _overview(spark, sf_dir)["metrics"]
+    return m.select(
+        money_text(S.TOTAL_REVENUE).alias("total_revenue_text"),
+        money_text(S.TOTAL_PROFIT).alias("total_profit_text"),
+        percent_text("avg_margin").alias("avg_margin_text"),
+        count_text("order_count").alias("order_count_text"),
+    )
+
+
 def q_record_kpis(spark, sf_dir):
     cols = (S.UNIT_PRICE, S.UNIT_COST, S.TOTAL_REVENUE, S.TOTAL_PROFIT)
     return O.record_kpis(_fact(spark, sf_dir, *cols))
@@ -293,6 +313,7 @@ QUERIES: dict[str, Builder] = {
     "profit_by_region": q_profit_by_region,
     "top_profit_region": q_top_profit_region,
     "top_country_in_top_region": q_top_country_in_top_region,
+    "top_region_lines": q_top_region_lines,
     "orders_per_72h": q_orders_per_72h,
     "max_orders_72h": q_max_orders_72h,
     "sliding_72h": q_sliding_72h,
@@ -311,6 +332,7 @@ QUERIES: dict[str, Builder] = {
     "filtered_orders_strict_empty": q_filtered_orders_strict_empty,
     "overview_kpis": q_overview_kpis,
     "empty_overview": q_empty_overview,
+    "kpi_cards": q_kpi_cards,
     "record_kpis": q_record_kpis,
     "monthly_trend": q_monthly_trend,
     "top_items_by_profit": q_top_items_by_profit,

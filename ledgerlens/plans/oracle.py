@@ -160,6 +160,12 @@ GROUP BY region ORDER BY total_profit DESC, region LIMIT 1""",
     + """SELECT r.region, CAST(r.rp AS DOUBLE) AS region_profit, rc.country,
        CAST(rc.p AS DOUBLE) AS total_profit
 FROM rc JOIN r ON rc.region = r.region ORDER BY rc.p DESC, rc.country LIMIT 1""",
+    "top_region_lines": _with(
+        SALES,
+        """best AS (SELECT region FROM sales GROUP BY region
+             ORDER BY CAST(sum(total_profit) AS DOUBLE) DESC, region LIMIT 1)""",
+    )
+    + f"SELECT {FACT_OUT} FROM sales WHERE region IN (SELECT region FROM best)",
     "orders_per_72h": f"""SELECT {BUCKET_72H} AS window_start,
        {BUCKET_72H} + INTERVAL '72 hours' AS window_end,
        count(o_orderkey) AS count_order_id
@@ -230,6 +236,12 @@ WHERE value IS NOT NULL""",
     + f"SELECT {FACT_OUT} FROM sales WHERE {_strict_selection(P.STRICT_EMPTY_SELECTION)}",
     "overview_kpis": _with(SALES) + _KPIS.format(where=SEL),
     "empty_overview": _with(SALES) + _KPIS.format(where=_selection(P.EMPTY_SELECTION)),
+    "kpi_cards": _with(SALES, "k AS (" + _KPIS.format(where=SEL) + ")")
+    + """SELECT '$' || format('{:,.0f}', total_revenue) AS total_revenue_text,
+       '$' || format('{:,.0f}', total_profit) AS total_profit_text,
+       format('{:,.2f}', avg_margin) || '%' AS avg_margin_text,
+       format('{:,}', order_count) AS order_count_text
+FROM k""",
     "record_kpis": _with(SALES)
     + f"""SELECT count(*) AS rows,
        CAST(sum(total_revenue) AS DOUBLE) AS total_revenue,

@@ -306,3 +306,23 @@ def test_synthetic_demo_rows(spark):
     assert r7[S.UNIT_PRICE] == 41.0 and r7[S.UNIT_COST] == 25.42
     assert r7[S.TOTAL_REVENUE] == Decimal("2747.0000")
     assert r7[S.TOTAL_PROFIT] == r7[S.TOTAL_REVENUE] - r7[S.TOTAL_COST]
+
+
+# ---------------------------------------------------------------- sizing and sinks
+
+
+def test_cluster_conf_sizes_partitions():
+    from ledgerlens.session import cluster_conf
+
+    conf = cluster_conf(30 * 1024**4, 8000)
+    assert conf["spark.sql.shuffle.partitions"] == str(30 * 1024**4 // (256 * 1024**2))
+    assert cluster_conf(10, 16)["spark.sql.shuffle.partitions"] == "32"
+
+
+def test_write_table_partitioned(spark, tmp_path):
+    from ledgerlens.sources.sinks import write_table
+
+    df = synthetic_sales(spark, 20)
+    out = write_table(A.yearly_revenue(df), str(tmp_path / "yearly"), partition_by=["year"])
+    back = spark.read.parquet(out)
+    assert back.count() == 1 and back.columns[-1] == "year"

@@ -57,7 +57,9 @@ def test_deep_page_equals_top_k_page(spark):
     from ledgerlens.operators.ranking import slice_rows
 
     a = slice_rows(events, order, spec.window_start, spec.cursor).orderBy("pos").collect()
-    b = slice_rows(events, order, spec.window_start, spec.cursor, top_k_rows=0).orderBy("pos").collect()
+    b = slice_rows(
+        events, order, spec.window_start, spec.cursor, top_k_rows=0, prefilter=S.ORDER_ID
+    ).orderBy("pos").collect()
     assert len(a) == 1200
     assert [tuple(r) for r in a] == [tuple(r[c] for c in a[0].__fields__) for r in b]
 
