@@ -17,8 +17,12 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) ->
     the side turns out to be large; in that case the frame is returned unhinted
     and Spark plans a shuffle join.
     """
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most one more)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def restrict_to(df: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:

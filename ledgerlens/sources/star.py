@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
-from ledgerlens.operators.joins import broadcast_if_bounded
+from ledgerlens.operators.joins import fits_broadcast
 from ledgerlens.sources.tables import read_table
 
 _LINE = {
@@ -63,14 +63,24 @@ def cost_expr(units: str, unit_cost: str):
     return (F.col(units).cast(S.UNITS_TYPE) * F.col(unit_cost).cast(S.UNITS_TYPE)).cast(S.MONEY_TYPE)
 
 
+# Size checks already made in this application: (application id, folder) -> fits.
+_GEO_FITS: dict[tuple[str, str], bool] = {}
+
+
 def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation x region (25 rows by construction), broadcast after a size check."""
+    """nation x region (25 rows by construction), broadcast after a size check.
+
+    The check runs once per application and folder; later plans reuse it.
+    """
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", F.col("n_name").alias(S.COUNTRY), F.col("r_name").alias(S.REGION)
     )
-    return broadcast_if_bounded(geo)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GEO_FITS:
+        _GEO_FITS[key] = fits_broadcast(geo)
+    return F.broadcast(geo) if _GEO_FITS[key] else geo
 
 
 def customer_dimension(spark: SparkSession, sf_dir: str, with_geo: bool) -> DataFrame:
