@@ -123,9 +123,24 @@ def rejection_reason(df: DataFrame) -> Column:
     )
 
 
+def _session_tz(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC") or "UTC"
+
+
 def with_event_time(df: DataFrame) -> DataFrame:
-    """``event_ts``: the naive event time as a TIMESTAMP (watermarks need it)."""
-    return df.withColumn("event_ts", F.col("ts").cast(T.TimestampType()))
+    """``event_ts``: the naive event time as a TIMESTAMP (watermarks need it).
+
+    The instant is chosen so that its UTC wall clock equals the naive value;
+    epoch-aligned windows then fall on the naive clock's hours whatever the
+    session time zone is.
+    """
+    tz = _session_tz(df)
+    return df.withColumn("event_ts", F.to_utc_timestamp(F.col("ts").cast(T.TimestampType()), tz))
+
+
+def naive_time(c: Column, df: DataFrame) -> Column:
+    """Inverse of ``with_event_time`` for window bounds: back to TIMESTAMP_NTZ."""
+    return F.from_utc_timestamp(c, _session_tz(df)).cast(T.TimestampNTZType())
 
 
 def silver_rows(bronze: DataFrame, watermark: str = WATERMARK) -> DataFrame:
@@ -230,8 +245,8 @@ def hourly_kpis(silver: DataFrame, watermark: str = WATERMARK, duration: str = "
         F.sum(F.col("value").cast(VALUE_TYPE)).cast("double").alias("total_value"),
     )
     return agg.select(
-        F.col("w.start").cast(T.TimestampNTZType()).alias("window_start"),
-        F.col("w.end").cast(T.TimestampNTZType()).alias("window_end"),
+        naive_time(F.col("w.start"), silver).alias("window_start"),
+        naive_time(F.col("w.end"), silver).alias("window_end"),
         "events",
         "total_value",
     )
