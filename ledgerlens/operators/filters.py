@@ -16,6 +16,19 @@ def _and(preds: list[Column]) -> Column | None:
     return reduce(lambda a, b: a & b, preds) if preds else None
 
 
+# Partition column of a materialised fact (see ledgerlens.sources.materialize).
+ORDER_YEAR = "order_year"
+
+
+def _years(df: DataFrame, date_col: str, years: Sequence[int]) -> Column:
+    """Year selection as date ranges; on a frame partitioned by order year the
+    same selection is added on the partition column so folders are pruned."""
+    pred = years_predicate(df, date_col, years)
+    if ORDER_YEAR in df.columns and date_col == S.ORDER_DATE:
+        pred = pred & F.col(ORDER_YEAR).isin([int(y) for y in years])
+    return pred
+
+
 def optional_filter(
     df: DataFrame,
     years: Sequence[int] | None = None,
@@ -26,7 +39,7 @@ def optional_filter(
     """API-style selection: a missing *or empty* list means "no filter"."""
     preds = []
     if years:
-        preds.append(years_predicate(df, date_col, years))
+        preds.append(_years(df, date_col, years))
     if regions:
         preds.append(F.col(S.REGION).isin(list(regions)))
     if channels:
@@ -48,7 +61,7 @@ def strict_filter(
     """
     preds = []
     if years is not None:
-        preds.append(years_predicate(df, date_col, years))
+        preds.append(_years(df, date_col, years) if years else F.lit(False))
     if regions is not None:
         preds.append(F.col(S.REGION).isin(list(regions)) if regions else F.lit(False))
     if channels is not None:
