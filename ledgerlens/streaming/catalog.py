@@ -33,7 +33,7 @@ def q_stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = SP.new_run(spark, "silver")
-    return spark.read.schema(SP.SILVER_SCHEMA).parquet(_silver(spark, sf_dir, run))
+    return spark.read.schema(SP.SILVER_SCHEMA).parquet(_silver(spark, sf_dir, run)).drop("event_date")
 
 
 QUARANTINE_SCHEMA = T.StructType(S.EVENTS_SCHEMA.fields + [T.StructField("reason", T.StringType(), True)])
@@ -47,8 +47,9 @@ def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = SP.new_run(spark, "hourly")
-    hourly = SP.write_hourly(spark, _silver(spark, sf_dir, run), run)
-    return SP.read_hourly(spark, hourly)
+    silver = _silver(spark, sf_dir, run)
+    hourly = SP.write_hourly(spark, silver, run)
+    return SP.read_hourly(spark, hourly, silver)
 
 
 def q_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:

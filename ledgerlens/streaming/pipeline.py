@@ -4,14 +4,15 @@ quarantine (silver), windowed KPIs and a serving table.
     events source --append--> bronze (parquet, partitioned by event date)
     bronze --stream--> silver      valid rows, trimmed, deduplicated in the watermark
     bronze --stream--> quarantine  rejected rows with the first failed rule
-    silver --stream--> hourly      1-hour event-time windows, update mode
-    silver --stream--> serving     region x event type, stream-static join, update mode
+    silver --stream--> hourly      1-hour event-time windows, append mode
+    silver --stream--> serving     region x event type, stream-static join, complete mode
 
-File sinks are exactly-once through their metadata logs.  Update-mode
-aggregates go through ``foreachBatch``: each micro-batch's changed rows are
-written to the partition ``batch_id=N`` with dynamic partition overwrite, so a
-retried batch replaces its own output; readers resolve the latest value per
-key (``max_by`` over ``batch_id``).  Watermarks bound the window state.
+File sinks are exactly-once through their metadata logs.  The hourly windows
+use append mode: a window is written once, after the watermark passes it, and
+its state is dropped; readers add the still-open tail (at most the watermark
+delay of data) recomputed from silver.  The serving table has a key space
+bounded by two dimensions and uses complete mode through ``foreachBatch``,
+each batch replacing the sink.  Watermarks bound window and dedup state.
 
 Checkpoints and sinks live under the shared folder named by
 ``spark.checkpoint.dir`` (``ledgerlens.session.checkpoint_root``).
@@ -35,7 +36,7 @@ WATERMARK = "1 hour"
 VALUE_TYPE = T.DecimalType(12, 2)
 
 BRONZE_SCHEMA = T.StructType(S.EVENTS_SCHEMA.fields + [T.StructField("event_date", T.DateType(), True)])
-SILVER_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props", "k"]
+SILVER_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props", "k", "event_date"]
 
 
 @dataclass(frozen=True)
@@ -166,6 +167,7 @@ def write_silver(spark: SparkSession, bronze: str, paths: StreamPaths) -> str:
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", paths.checkpoint("silver"))
+        .partitionBy("event_date")
         .outputMode("append")
     )
     return out
@@ -184,7 +186,8 @@ def write_quarantine(spark: SparkSession, bronze: str, paths: StreamPaths) -> st
 
 
 SILVER_SCHEMA = T.StructType(
-    [f for f in S.EVENTS_SCHEMA.fields] + [T.StructField("k", T.IntegerType(), True)]
+    [f for f in S.EVENTS_SCHEMA.fields]
+    + [T.StructField("k", T.IntegerType(), True), T.StructField("event_date", T.DateType(), True)]
 )
 
 
@@ -192,40 +195,7 @@ def read_silver_stream(spark: SparkSession, silver: str) -> DataFrame:
     return spark.readStream.schema(SILVER_SCHEMA).parquet(silver)
 
 
-# ---------------------------------------------------------------- update-mode aggregates
-
-
-def _versioned_writer(path: str):
-    """``foreachBatch`` function: the batch's changed rows go to ``batch_id=N``.
-
-    Dynamic partition overwrite makes a replayed batch replace its own
-    partition; an empty batch writes nothing.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
-
-    return write
-
-
-def latest_per_key(
-    spark: SparkSession, path: str, schema: T.StructType, keys: list[str]
-) -> DataFrame:
-    """Last written value of every key across the versioned batches."""
-    full = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType(), True)])
-    changes = spark.read.schema(full).parquet(path)
-    values = [c for c in schema.names if c not in keys]
-    latest = changes.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), F.col("batch_id")).alias("_v")
-    )
-    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
-
+# ---------------------------------------------------------------- windowed KPIs
 
 HOURLY_SCHEMA = T.StructType(
     [
@@ -237,8 +207,17 @@ HOURLY_SCHEMA = T.StructType(
 )
 
 
+def _beginning() -> Column:
+    """Earliest naive timestamp: the edge of an empty finalised-window table."""
+    return F.lit("0001-01-01 00:00:00").cast(T.TimestampNTZType())
+
+
 def hourly_kpis(silver: DataFrame, watermark: str = WATERMARK, duration: str = "1 hour") -> DataFrame:
-    """Event count and exact value sum per tumbling event-time window."""
+    """Event count and exact value sum per tumbling event-time window.
+
+    On a stream the watermark bounds the window state; on a batch frame it is
+    ignored, so the same function computes the open tail (``read_hourly``).
+    """
     timed = with_event_time(silver).withWatermark("event_ts", watermark)
     agg = timed.groupBy(F.window("event_ts", duration).alias("w")).agg(
         F.count(F.lit(1)).alias("events"),
@@ -253,18 +232,33 @@ def hourly_kpis(silver: DataFrame, watermark: str = WATERMARK, duration: str = "
 
 
 def write_hourly(spark: SparkSession, silver: str, paths: StreamPaths) -> str:
+    """Append mode: a window is written once, when the watermark passes its end,
+    and its state is dropped; the file sink commits exactly once per batch."""
     out = paths.sink("hourly")
     _run(
         hourly_kpis(read_silver_stream(spark, silver))
-        .writeStream.outputMode("update")
+        .writeStream.format("parquet")
+        .option("path", out)
         .option("checkpointLocation", paths.checkpoint("hourly"))
-        .foreachBatch(_versioned_writer(out))
+        .outputMode("append")
     )
     return out
 
 
-def read_hourly(spark: SparkSession, hourly: str) -> DataFrame:
-    return latest_per_key(spark, hourly, HOURLY_SCHEMA, ["window_start", "window_end"])
+def read_hourly(spark: SparkSession, hourly: str, silver: str) -> DataFrame:
+    """Finalised windows from the sink plus the still-open tail.
+
+    The tail is recomputed in batch from silver rows at or after the end of the
+    last finalised window (a scalar subquery, also used to prune silver's date
+    folders).  Windows are aligned, so every window is either finalised or
+    lies entirely in the tail; the tail spans at most the watermark delay.
+    """
+    final = spark.read.schema(HOURLY_SCHEMA).parquet(hourly)
+    edge = final.select(F.coalesce(F.max("window_end"), _beginning())).scalar()
+    rows = spark.read.schema(SILVER_SCHEMA).parquet(silver)
+    recent = rows.where((F.col("event_date") >= F.to_date(edge)) & (F.col("ts") >= edge))
+    tail = hourly_kpis(recent.drop("event_date")).where(F.col("window_start") >= edge)
+    return final.unionByName(tail)
 
 
 SERVING_SCHEMA = T.StructType(
@@ -298,16 +292,32 @@ def serving_kpis(silver: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
+def _replace_writer(path: str):
+    """``foreachBatch`` function for complete mode: each batch carries the
+    whole (key-bounded) result and replaces the sink, so a replayed batch
+    rewrites the same rows.  Complete-mode results never lose keys, so an
+    empty later batch can only be a no-data batch and is skipped."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id > 0 and batch.isEmpty():
+            return
+        batch.write.mode("overwrite").parquet(path)
+
+    return write
+
+
 def write_serving(spark: SparkSession, silver: str, sf_dir: str, paths: StreamPaths) -> str:
+    """Complete mode: state and output are bounded by the (region, event type)
+    key space, a product of two dimensions, not by the event volume."""
     out = paths.sink("serving")
     _run(
         serving_kpis(read_silver_stream(spark, silver), user_regions(spark, sf_dir))
-        .writeStream.outputMode("update")
+        .writeStream.outputMode("complete")
         .option("checkpointLocation", paths.checkpoint("serving"))
-        .foreachBatch(_versioned_writer(out))
+        .foreachBatch(_replace_writer(out))
     )
     return out
 
 
 def read_serving(spark: SparkSession, serving: str) -> DataFrame:
-    return latest_per_key(spark, serving, SERVING_SCHEMA, ["region", "event_type"])
+    return spark.read.schema(SERVING_SCHEMA).parquet(serving)

@@ -84,17 +84,19 @@ def test_bronze_is_silver_plus_quarantine(spark, stream_run):
 
 def test_streamed_hourly_equals_batch_hourly(spark, stream_run):
     _, _, silver, _, hourly = stream_run
-    streamed = SP.read_hourly(spark, hourly)
+    streamed = SP.read_hourly(spark, hourly, silver)
     batch = SP.hourly_kpis(spark.read.schema(SP.SILVER_SCHEMA).parquet(silver))
+    finalised = spark.read.schema(SP.HOURLY_SCHEMA).parquet(hourly).count()
+    assert 0 < finalised < 720  # the watermark holds the last windows open
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     assert streamed.agg(F.sum("events")).collect()[0][0] == 10000
 
 
 def test_rerun_of_finished_stream_is_idempotent(spark, stream_run):
     run, bronze, silver, _, hourly = stream_run
-    before = SP.read_hourly(spark, hourly).collect()
+    before = SP.read_hourly(spark, hourly, silver).collect()
     SP.write_hourly(spark, silver, run)  # same checkpoint: nothing new to process
-    after = SP.read_hourly(spark, hourly).collect()
+    after = SP.read_hourly(spark, hourly, silver).collect()
     assert sorted(before) == sorted(after)
 
 
