@@ -118,9 +118,9 @@ _PAGE_CTES = (
     f"spec AS (SELECT GREATEST({P.PAGE['batch_size']}, LEAST({P.PAGE['stream_cursor']},"
     " (SELECT count(*) FROM ev))) AS cursor)",
     f"""ranked AS (SELECT *, row_number() OVER (ORDER BY event_time, {ROW_KEY}) - 1 AS pos FROM ev)""",
-    f"""page AS (SELECT ranked.*, spec.cursor FROM ranked, spec
-  WHERE pos >= GREATEST(0, spec.cursor - {P.PAGE['batch_size'] * P.PAGE['lookback_batches']})
-    AND pos < spec.cursor)""",
+    f"""page AS (SELECT ranked.*, (SELECT cursor FROM spec) AS cursor FROM ranked
+  WHERE pos >= GREATEST(0, (SELECT cursor FROM spec) - {P.PAGE['batch_size'] * P.PAGE['lookback_batches']})
+    AND pos < (SELECT cursor FROM spec))""",
 )
 
 _SYN_DAY = f"CAST(o_orderkey % {P.SYN_CALENDAR_DAYS} AS INTEGER)"
@@ -172,12 +172,14 @@ FROM rc JOIN r ON rc.region = r.region ORDER BY rc.p DESC, rc.country LIMIT 1"""
 FROM orders GROUP BY 1, 2""",
     "max_orders_72h": f"""SELECT max(c) AS max_orders FROM (
   SELECT count(o_orderkey) AS c FROM orders GROUP BY {BUCKET_72H}) t""",
-    "sliding_72h": """SELECT ws AS window_start, ws + INTERVAL '72 hours' AS window_end,
-       count(o_orderkey) AS count_order_id
-FROM (SELECT o_orderkey,
-             time_bucket(INTERVAL '1 day', o_orderdate, TIMESTAMP '1970-01-01') - to_days(CAST(k AS INTEGER)) AS ws
-      FROM orders, range(0, 3) t(k)) s
-GROUP BY ws""",
+    "sliding_72h": "SELECT ws AS window_start, ws + INTERVAL '72 hours' AS window_end,\n"
+    "       count(o_orderkey) AS count_order_id\nFROM (\n"
+    + "\n  UNION ALL\n".join(
+        f"  SELECT o_orderkey, time_bucket(INTERVAL '1 day', o_orderdate, TIMESTAMP '1970-01-01')"
+        f" - INTERVAL '{k} days' AS ws FROM orders"
+        for k in range(3)
+    )
+    + ") s\nGROUP BY ws",
     "avg_units_by_month": _with(SALES)
     + """SELECT CAST(month(order_date) AS INTEGER) AS month,
        CAST(sum(units_sold) AS DOUBLE) / count(units_sold) AS avg_units_sold
