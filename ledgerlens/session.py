@@ -83,6 +83,21 @@ def cluster_conf(
     }
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, or None (e.g. Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def application_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", "") or ""
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and intermediate tables.
 
@@ -90,20 +105,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     session.  Only a local session without that setting (tests, a laptop) gets
     a fresh folder of its own, which is then registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir", None)
         except Exception:  # not readable through the SQL conf on every version
             configured = None
-    if not configured:
+    if not configured and sc is not None:
         configured = sc.getCheckpointDir()
     if configured:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if not (sc.master or "").startswith("local"):
+    if sc is None or not (sc.master or "").startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster job needs a shared folder for "
             "checkpoints and stream state"

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
 from ledgerlens.operators.joins import fits_broadcast
+from ledgerlens.session import application_id
 from ledgerlens.sources.tables import read_table
 
 _LINE = {
@@ -77,7 +78,7 @@ def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", F.col("n_name").alias(S.COUNTRY), F.col("r_name").alias(S.REGION)
     )
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (application_id(spark), sf_dir)
     if key not in _GEO_FITS:
         _GEO_FITS[key] = fits_broadcast(geo)
     return F.broadcast(geo) if _GEO_FITS[key] else geo
