@@ -69,19 +69,6 @@ def record_kpis(sales: DataFrame) -> DataFrame:
     )
 
 
-PREVIEW_COLUMNS = [
-    S.ORDER_DATE,
-    S.REGION,
-    S.COUNTRY,
-    S.ITEM_TYPE,
-    S.SALES_CHANNEL,
-    S.UNITS_SOLD,
-    S.TOTAL_REVENUE,
-    S.TOTAL_PROFIT,
-    S.MARGIN_PCT,
-]
-
-
 def preview_latest(sales: DataFrame, n: int = 200) -> DataFrame:
     """Latest ``n`` lines by order date (text ``yyyy-MM-dd``), ties by row key."""
     keys = S.row_key_of(sales.columns)

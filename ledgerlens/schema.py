@@ -64,8 +64,6 @@ def row_key_of(columns) -> list[str]:
     return [k for k in ROW_KEY if k in cols]
 
 
-MONEY_COLUMNS = [TOTAL_REVENUE, TOTAL_COST, TOTAL_PROFIT]
-
 # Exact types of the money columns: sums over them are exact and do not depend
 # on the order in which tasks combine partial results.
 UNITS_TYPE = T.DecimalType(12, 2)

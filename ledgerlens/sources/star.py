@@ -36,17 +36,6 @@ from ledgerlens.operators.joins import fits_broadcast
 from ledgerlens.session import application_id
 from ledgerlens.sources.tables import read_table
 
-_LINE = {
-    S.ORDER_ID,
-    S.LINE_NUMBER,
-    S.PART_KEY,
-    S.SUPP_KEY,
-    S.EXT_PRICE,
-    S.SHIP_DATE,
-    S.UNITS_SOLD,
-    S.UNIT_PRICE,
-    S.TOTAL_REVENUE,
-}
 _PART = {S.ITEM_TYPE, S.UNIT_COST, S.TOTAL_COST, S.TOTAL_PROFIT}
 _ORDER = {S.ORDER_DATE, S.ORDER_PRIORITY}
 _CUSTOMER = {S.SALES_CHANNEL}
