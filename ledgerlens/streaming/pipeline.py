@@ -5,14 +5,15 @@ quarantine (silver), windowed KPIs and a serving table.
     bronze --stream--> silver      valid rows, trimmed, deduplicated in the watermark
     bronze --stream--> quarantine  rejected rows with the first failed rule
     silver --stream--> hourly      1-hour event-time windows, append mode
-    silver --stream--> serving     region x event type, stream-static join, complete mode
+    silver --stream--> serving     region x event type, per-batch merge (foreachBatch)
 
 File sinks are exactly-once through their metadata logs.  The hourly windows
 use append mode: a window is written once, after the watermark passes it, and
 its state is dropped; readers add the still-open tail (at most the watermark
-delay of data) recomputed from silver.  The serving table has a key space
-bounded by two dimensions and uses complete mode through ``foreachBatch``,
-each batch replacing the sink.  Watermarks bound window and dedup state.
+delay of data) recomputed from silver.  The serving table (key space bounded
+by two dimensions) is merged batch by batch in ``foreachBatch`` after a
+per-user partial aggregate; the merge is idempotent by batch id.  Watermarks bound window and
+dedup state.
 
 Checkpoints and sinks live under the shared folder named by
 ``spark.checkpoint.dir`` (``ledgerlens.session.checkpoint_root``).
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import schema as S
-from ledgerlens.session import scratch_path
+from ledgerlens.session import checkpoint_root, scratch_path
 from ledgerlens.sources.tables import read_table
 
 # Fixed validation rules of the silver layer.
@@ -282,42 +283,90 @@ def user_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def serving_kpis(silver: DataFrame, users: DataFrame) -> DataFrame:
-    """Events and exact value per (region, event type); users without a
-    known region keep a null region."""
-    joined = silver.join(users, "user_id", "left")
-    return joined.groupBy("region", "event_type").agg(
+def serving_kpis(events: DataFrame, users: DataFrame) -> DataFrame:
+    """Events and exact value per (region, event type); users without a known
+    region keep a null region.
+
+    Events are first summed per (user, event type): the partial aggregate runs
+    map-side, so a user holding a large share of the events reaches the join
+    as a handful of rows.  ``total_value`` stays DECIMAL so partial results
+    can be merged exactly.
+    """
+    per_user = events.groupBy("user_id", "event_type").agg(
         F.count(F.lit(1)).alias("events"),
-        F.sum(F.col("value").cast(VALUE_TYPE)).cast("double").alias("total_value"),
+        F.sum(F.col("value").cast(VALUE_TYPE)).alias("total_value"),
+    )
+    joined = per_user.join(users, "user_id", "left")
+    return joined.groupBy("region", "event_type").agg(
+        F.sum("events").alias("events"), F.sum("total_value").alias("total_value")
     )
 
 
-def _replace_writer(path: str):
-    """``foreachBatch`` function for complete mode: each batch carries the
-    whole (key-bounded) result and replaces the sink, so a replayed batch
-    rewrites the same rows.  Complete-mode results never lose keys, so an
-    empty later batch can only be a no-data batch and is skipped."""
+SERVING_STATE_SCHEMA = T.StructType(
+    [
+        T.StructField("region", T.StringType(), True),
+        T.StructField("event_type", T.StringType(), True),
+        T.StructField("events", T.LongType(), True),
+        T.StructField("total_value", T.DecimalType(38, 2), True),
+        T.StructField("applied_batch", T.LongType(), True),
+    ]
+)
+
+
+def _init_state(spark: SparkSession, path: str) -> None:
+    """Create the empty serving table unless it exists (``ignore`` mode)."""
+    spark.createDataFrame([], SERVING_STATE_SCHEMA).write.mode("ignore").parquet(path)
+
+
+def _merge_writer(spark: SparkSession, path: str, users: DataFrame):
+    """``foreachBatch`` function: merge the batch's (region, event type) delta
+    into the serving table.
+
+    The micro-batch is a plain batch frame here: the per-user partial
+    aggregate shrinks a hot user before the region join, and no streaming
+    state grows with the number of users.  The table
+    records the last applied batch id; a replayed batch is skipped, so the
+    merge is applied exactly once.  The merged rows are checkpointed to the
+    shared folder before they replace the table they were read from.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch_id > 0 and batch.isEmpty():
+        current = spark.read.schema(SERVING_STATE_SCHEMA).parquet(path)
+        last = current.agg(F.max("applied_batch")).first()[0]
+        if last is not None and batch_id <= last:
             return
-        batch.write.mode("overwrite").parquet(path)
+        merged = (
+            serving_kpis(batch, users)
+            .unionByName(current.drop("applied_batch"))
+            .groupBy("region", "event_type")
+            .agg(
+                F.sum("events").cast("long").alias("events"),
+                F.sum("total_value").cast(T.DecimalType(38, 2)).alias("total_value"),
+            )
+            .withColumn("applied_batch", F.lit(batch_id).cast("long"))
+        )
+        merged.checkpoint(eager=True).write.mode("overwrite").parquet(path)
 
     return write
 
 
 def write_serving(spark: SparkSession, silver: str, sf_dir: str, paths: StreamPaths) -> str:
-    """Complete mode: state and output are bounded by the (region, event type)
-    key space, a product of two dimensions, not by the event volume."""
+    """Serving table maintained batch by batch; its size is bounded by the
+    (region, event type) key space, not by the event volume."""
+    checkpoint_root(spark)
     out = paths.sink("serving")
+    _init_state(spark, out)
     _run(
-        serving_kpis(read_silver_stream(spark, silver), user_regions(spark, sf_dir))
-        .writeStream.outputMode("complete")
-        .option("checkpointLocation", paths.checkpoint("serving"))
-        .foreachBatch(_replace_writer(out))
+        read_silver_stream(spark, silver)
+        .select("user_id", "event_type", "value")
+        .writeStream.option("checkpointLocation", paths.checkpoint("serving"))
+        .foreachBatch(_merge_writer(spark, out, user_regions(spark, sf_dir)))
     )
     return out
 
 
 def read_serving(spark: SparkSession, serving: str) -> DataFrame:
-    return spark.read.schema(SERVING_SCHEMA).parquet(serving)
+    state = spark.read.schema(SERVING_STATE_SCHEMA).parquet(serving)
+    return state.select(
+        "region", "event_type", "events", F.col("total_value").cast("double").alias("total_value")
+    )
