@@ -16,7 +16,7 @@ One row per line item.  Business columns map onto the TPC-H-style tables:
 
 Only the joins that supply requested columns are planned (the joins are on
 foreign keys that always match, so an unused dimension can be left out without
-changing the rows).  Line-level work (part lookup, money arithmetic) happens
+changing the rows; ``foreign_keys_hold=False`` plans all of them).  Line-level work (part lookup, money arithmetic) happens
 before the order-level join so the wide order attributes are shuffled once.
 Nation x region is a fixed-size dimension and is broadcast after a row-count
 check; customer, part and orders are left to the planner, which broadcasts them
@@ -117,14 +117,24 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_fact(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    columns: Iterable[str] | None = None,
+    foreign_keys_hold: bool = True,
 ) -> DataFrame:
-    """Lazy sales fact with the requested columns (default: all + row keys)."""
+    """Lazy sales fact with the requested columns (default: all + row keys).
+
+    With ``foreign_keys_hold`` (every line's part, order, customer and nation
+    exist - true for the driver tables) joins that supply no requested column
+    are left out.  Pass ``False`` for data without that guarantee: all five
+    joins are then planned, so lines with a dangling key are dropped exactly
+    as the full star would drop them.
+    """
     wanted = list(columns) if columns is not None else list(S.FACT_COLUMNS)
     unknown = set(wanted) - set(S.FACT_COLUMNS)
     if unknown:
         raise ValueError(f"unknown sales columns: {sorted(unknown)}")
-    need = set(wanted)
+    need = set(wanted) if foreign_keys_hold else set(S.FACT_COLUMNS)
 
     fact = line_items(spark, sf_dir)
     if need & _PART:

@@ -117,3 +117,26 @@ def test_quarantine_catches_broken_rows(spark):
         4: "malformed props",
         5: "missing ts",
     }
+
+
+def test_serving_merge_is_idempotent_per_batch(spark):
+    run = SP.new_run(spark, "merge")
+    path = run.sink("serving")
+    SP._init_state(spark, path)
+    users = spark.createDataFrame([(1, "ASIA"), (2, "EUROPE")], "user_id long, region string")
+    batch = spark.createDataFrame(
+        [(1, "view", 1.25), (1, "view", 2.0), (2, "click", 0.5), (9, "view", 1.0)],
+        "user_id long, event_type string, value double",
+    )
+    write = SP._merge_writer(spark, path, users)
+
+    def state():
+        return {(r.region, r.event_type): (r.events, r.total_value) for r in SP.read_serving(spark, path).collect()}
+
+    write(batch, 0)
+    first = state()
+    assert first == {("ASIA", "view"): (2, 3.25), ("EUROPE", "click"): (1, 0.5), (None, "view"): (1, 1.0)}
+    write(batch, 0)  # replayed batch: skipped
+    assert state() == first
+    write(batch, 1)
+    assert state()[("ASIA", "view")] == (4, 6.5)
