@@ -36,6 +36,16 @@ def q_stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SP.SILVER_SCHEMA).parquet(_silver(spark, sf_dir, run)).drop("event_date")
 
 
+def q_stream_replay_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An at-least-once producer: every event arrives twice (two reads of the
+    source).  Bronze keeps both copies; silver keeps one per ``event_id``."""
+    run = SP.new_run(spark, "replay")
+    events = SP.events_source(spark, sf_dir)
+    bronze = SP.write_bronze(events.unionByName(SP.events_source(spark, sf_dir)), run)
+    silver = SP.write_silver(spark, bronze, run)
+    return spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).drop("event_date")
+
+
 QUARANTINE_SCHEMA = T.StructType(S.EVENTS_SCHEMA.fields + [T.StructField("reason", T.StringType(), True)])
 
 
@@ -62,6 +72,7 @@ def q_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
+    "stream_replay_dedup": q_stream_replay_dedup,
     "stream_quarantine": q_stream_quarantine,
     "stream_hourly": q_stream_hourly,
     "stream_serving": q_stream_serving,
@@ -81,6 +92,7 @@ _SILVER = f"""silver AS (
 STREAM_ORACLE_SQL = {
     "stream_bronze": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_silver": f"WITH {_SILVER} SELECT * FROM silver",
+    "stream_replay_dedup": f"WITH {_SILVER} SELECT * FROM silver",
     "stream_quarantine": """SELECT * FROM (
   SELECT event_id, ts, user_id, event_type, value, props,
          CASE WHEN event_id IS NULL THEN 'missing event_id'

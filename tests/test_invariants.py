@@ -140,3 +140,13 @@ def test_serving_merge_is_idempotent_per_batch(spark):
     assert state() == first
     write(batch, 1)
     assert state()[("ASIA", "view")] == (4, 6.5)
+
+
+def test_replayed_events_are_deduplicated(spark):
+    run = SP.new_run(spark, "replay-test")
+    events = SP.events_source(spark, SF001)
+    bronze = SP.write_bronze(events.unionByName(SP.events_source(spark, SF001)), run)
+    silver = SP.write_silver(spark, bronze, run)
+    assert spark.read.schema(SP.BRONZE_SCHEMA).parquet(bronze).count() == 20000
+    ids = spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).groupBy("event_id").count()
+    assert ids.count() == 10000 and ids.where("count > 1").count() == 0
