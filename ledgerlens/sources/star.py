@@ -18,10 +18,10 @@ Only the joins that supply requested columns are planned (the joins are on
 foreign keys that always match, so an unused dimension can be left out without
 changing the rows; ``foreign_keys_hold=False`` plans all of them).  Line-level work (part lookup, money arithmetic) happens
 before the order-level join so the wide order attributes are shuffled once.
-Nation x region is a fixed-size dimension and is broadcast after a row-count
-check; customer, part and orders are left to the planner, which broadcasts them
-only while they are small and otherwise plans a sort-merge join (AQE splits
-skewed partitions).
+Nation x region and part are broadcast only after a row-count check on their
+driving table proves them small; beyond the bound Spark plans a sort-merge
+join and AQE splits skewed partitions.  The order dimension (as large as the
+orders table) is always left to the planner.
 """
 
 from __future__ import annotations
@@ -53,24 +53,39 @@ def cost_expr(units: str, unit_cost: str):
     return (F.col(units).cast(S.UNITS_TYPE) * F.col(unit_cost).cast(S.UNITS_TYPE)).cast(S.MONEY_TYPE)
 
 
-# Size checks already made in this application: (application id, folder) -> fits.
-_GEO_FITS: dict[tuple[str, str], bool] = {}
+# Dimension rows up to which a whole dimension side is broadcast.  A
+# foreign-key join never has more rows than its fact-side table, so the bound
+# on the driving table (nation, part, orders) bounds the joined dimension.
+DIMENSION_BROADCAST_ROWS = 500_000
 
+# Size checks already made: (application id, folder, table) -> fits.
+_FITS: dict[tuple[str, str, str], bool] = {}
 
-def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation x region (25 rows by construction), broadcast after a size check.
 
-    The check runs once per application and folder; later plans reuse it.
+def table_fits_broadcast(spark: SparkSession, sf_dir: str, table: str) -> bool:
+    """Whether ``table`` has at most ``DIMENSION_BROADCAST_ROWS`` rows.
+
+    The check stops reading after that many rows and runs once per
+    application, folder and table.
     """
+    key = (application_id(spark), sf_dir, table)
+    if key not in _FITS:
+        _FITS[key] = fits_broadcast(read_table(spark, sf_dir, table), DIMENSION_BROADCAST_ROWS)
+    return _FITS[key]
+
+
+def _maybe_broadcast(spark: SparkSession, sf_dir: str, table: str, df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if table_fits_broadcast(spark, sf_dir, table) else df
+
+
+def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation x region (25 rows by construction), broadcast after a size check."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", F.col("n_name").alias(S.COUNTRY), F.col("r_name").alias(S.REGION)
     )
-    key = (application_id(spark), sf_dir)
-    if key not in _GEO_FITS:
-        _GEO_FITS[key] = fits_broadcast(geo)
-    return F.broadcast(geo) if _GEO_FITS[key] else geo
+    return _maybe_broadcast(spark, sf_dir, "nation", geo)
 
 
 def customer_dimension(spark: SparkSession, sf_dir: str, with_geo: bool) -> DataFrame:
@@ -141,6 +156,7 @@ def sales_fact(
         part = read_table(spark, sf_dir, "part").select(
             "p_partkey", F.col("p_type").alias(S.ITEM_TYPE), F.col("p_retailprice").alias(S.UNIT_COST)
         )
+        part = _maybe_broadcast(spark, sf_dir, "part", part)
         fact = (
             fact.join(part, F.col(S.PART_KEY) == F.col("p_partkey"))
             .drop("p_partkey")
@@ -150,6 +166,10 @@ def sales_fact(
             )
         )
     if need & (_ORDER | _CUSTOMER | _GEO):
+        # The order dimension is as large as the orders table; it is left to the
+        # planner (sort-merge join, converted to a broadcast by AQE at runtime
+        # when the shuffled side turns out small), which also spreads the
+        # line-level work over all shuffle partitions.
         orders = order_dimension(spark, sf_dir, need)
         fact = fact.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).drop("o_orderkey")
     return fact.select(*wanted)
