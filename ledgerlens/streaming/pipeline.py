@@ -262,16 +262,6 @@ def read_hourly(spark: SparkSession, hourly: str, silver: str) -> DataFrame:
     return final.unionByName(tail)
 
 
-SERVING_SCHEMA = T.StructType(
-    [
-        T.StructField("region", T.StringType(), True),
-        T.StructField("event_type", T.StringType(), True),
-        T.StructField("events", T.LongType(), True),
-        T.StructField("total_value", T.DoubleType(), True),
-    ]
-)
-
-
 def user_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Static dimension user (customer) -> region name."""
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -324,10 +314,10 @@ def _merge_writer(spark: SparkSession, path: str, users: DataFrame):
 
     The micro-batch is a plain batch frame here: the per-user partial
     aggregate shrinks a hot user before the region join, and no streaming
-    state grows with the number of users.  The table
-    records the last applied batch id; a replayed batch is skipped, so the
-    merge is applied exactly once.  The merged rows are checkpointed to the
-    shared folder before they replace the table they were read from.
+    state grows with the number of users.  The table records the last applied
+    batch id; a replayed batch is skipped, so the merge is applied exactly
+    once.  The merged rows are checkpointed to the shared folder before they
+    replace the table they were read from.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
