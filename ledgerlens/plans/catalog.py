@@ -206,19 +206,19 @@ PAGE_COLUMNS = [
 
 
 def _page(spark, sf_dir):
-    """The look-back window of the catalogue's page request, plus its spec."""
+    """Sections of the catalogue's page request, plus its spec."""
     events = _fact(spark, sf_dir, *PAGE_COLUMNS)
     events = events.withColumn(S.EVENT_TIME, event_time(S.ORDER_DATE, S.ORDER_ID))
-    # The clamp needs the row count: a metadata-only count of the line table.
+    # The clamp needs the row count: a count of the line table alone.
     total = _fact(spark, sf_dir, S.ORDER_ID).count()
-    spec = PG.clamp_page(total, **P.PAGE)
-    return PG.event_page(events, spec), spec
+    spec, sections = PG.page_sections(events, total, **P.PAGE)
+    return sections, spec
 
 
 def q_event_page(spark, sf_dir):
-    page, _ = _page(spark, sf_dir)
+    sections, _ = _page(spark, sf_dir)
     return O.as_output(
-        page.select(
+        sections["page"].select(
             "pos",
             S.EVENT_TIME,
             *S.ROW_KEY,
@@ -233,23 +233,19 @@ def q_event_page(spark, sf_dir):
 
 
 def q_batch_metrics(spark, sf_dir):
-    page, spec = _page(spark, sf_dir)
-    return PG.batch_metrics(page, spec)
+    return _page(spark, sf_dir)[0]["metrics"]
 
 
 def q_hourly_revenue(spark, sf_dir):
-    page, _ = _page(spark, sf_dir)
-    return PG.hourly_revenue(page)
+    return _page(spark, sf_dir)[0]["hourly_revenue"]
 
 
 def q_window_top_countries(spark, sf_dir):
-    page, _ = _page(spark, sf_dir)
-    return PG.window_top_countries(page, 8)
+    return _page(spark, sf_dir)[0]["by_country"]
 
 
 def q_serving_table(spark, sf_dir):
-    page, _ = _page(spark, sf_dir)
-    return PG.serving_table(page, 20)
+    return _page(spark, sf_dir)[0]["serving_table"]
 
 
 def q_strict_dates(spark, sf_dir):
