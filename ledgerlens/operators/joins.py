@@ -32,10 +32,14 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
     return len(probe.take(1)) == 0
 
 
-def restrict_to(df: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
+def restrict_to(
+    df: DataFrame, chosen: DataFrame, keys: list[str], max_rows: int = BROADCAST_ROW_LIMIT
+) -> DataFrame:
     """Keep the rows of ``df`` whose ``keys`` appear in ``chosen`` (left semi join).
 
-    ``chosen`` is a top-k result (a few rows by construction), so it is
-    broadcast and the large side is never shuffled for the restriction.
+    ``chosen`` is typically a top-k result; after a size check it is broadcast,
+    so the large side is never shuffled for the restriction.  A larger
+    ``chosen`` falls back to a shuffled semi join.
     """
-    return df.join(F.broadcast(chosen.select(*keys)), on=keys, how="left_semi")
+    keys_df = chosen.select(*keys)
+    return df.join(broadcast_if_bounded(keys_df, max_rows), on=keys, how="left_semi")
