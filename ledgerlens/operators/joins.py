@@ -33,13 +33,20 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
 
 
 def restrict_to(
-    df: DataFrame, chosen: DataFrame, keys: list[str], max_rows: int = BROADCAST_ROW_LIMIT
+    df: DataFrame,
+    chosen: DataFrame,
+    keys: list[str],
+    known_rows: int | None = None,
+    max_rows: int = BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
     """Keep the rows of ``df`` whose ``keys`` appear in ``chosen`` (left semi join).
 
-    ``chosen`` is typically a top-k result; after a size check it is broadcast,
-    so the large side is never shuffled for the restriction.  A larger
-    ``chosen`` falls back to a shuffled semi join.
+    ``chosen`` is broadcast, so the large side is never shuffled for the
+    restriction, when its size is proven: either the caller states a bound
+    (``known_rows``, e.g. the ``k`` of a top-k) or a size check confirms at
+    most ``max_rows`` rows.  Otherwise a shuffled semi join is planned.
     """
     keys_df = chosen.select(*keys)
+    if known_rows is not None and known_rows <= max_rows:
+        return df.join(F.broadcast(keys_df), on=keys, how="left_semi")
     return df.join(broadcast_if_bounded(keys_df, max_rows), on=keys, how="left_semi")
