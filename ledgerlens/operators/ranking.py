@@ -126,12 +126,12 @@ def _slice_by_partition_offsets(
         return sliced
     small = stop - start <= SLICE_BROADCAST_ROWS
     keys = sliced.select(*[F.col(n).alias(f"_k{i}") for i, n in enumerate(names)], pos_col)
-    # Semi-join on one plain column first (Catalyst pushes it towards the scan
-    # of that column's table), then attach positions with a null-safe match on
-    # every sort key.
+    # Semi-join on one plain column first (a broadcast hash semi-join that
+    # drops non-slice rows before the wider match), then attach positions with
+    # a null-safe match on every sort key.
     if prefilter in names:
-        # A declared non-null table column: plain equality, which Catalyst can
-        # push below the joins that produced ``df``.
+        # A declared non-null table column: plain equality, which the optimizer
+        # may push further down (it does not move it below a sort-merge join).
         lead_i = names.index(prefilter)
         lead_match = F.col(prefilter) == F.col("_lead")
     else:
