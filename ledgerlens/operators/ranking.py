@@ -9,11 +9,21 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import checkpoint_root
 
-# Up to this many leading rows a slice is planned as TakeOrderedAndProject
-# (each task keeps a bounded heap, one task merges them).  Deeper slices use a
-# range-partitioned sort with per-partition offsets so no task ever holds more
-# than its own partition.
+# Top-k strategies, by k:
+#   k <= SINGLE_MERGE_ROWS   orderBy().limit(): every task keeps a heap of k
+#                            rows and ONE task merges k rows per input
+#                            partition (fine for report-sized k).
+#   k <= TOP_K_ROWS and the session's windowGroupLimitThreshold
+#                            two levels: ``row_number() <= k`` per bucket of
+#                            input partitions, so Catalyst keeps k rows per
+#                            task before the shuffle (partial WindowGroupLimit)
+#                            and no merge sees more than about MERGE_ROWS rows.
+#   larger                   range-partitioned sort of the key columns with
+#                            per-partition offsets (see _slice_by_partition_offsets).
+SINGLE_MERGE_ROWS = 200
 TOP_K_ROWS = 50_000
+MERGE_ROWS = 10_000_000
+_GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 # A deep slice of at most this many rows is broadcast when its rows are
 # fetched back from the source frame.
 SLICE_BROADCAST_ROWS = 100_000
@@ -23,9 +33,40 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _group_limit_threshold(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.conf.get(_GROUP_LIMIT_CONF, "1000"))
+    except Exception:
+        return 1000
+
+
+def _two_level_ok(df: DataFrame, k: int, top_k_rows: int = TOP_K_ROWS) -> bool:
+    return k <= min(top_k_rows, _group_limit_threshold(df))
+
+
+def candidates(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
+    """Rows that can be among the first ``k`` by ``order``: the first ``k`` of
+    every bucket of input partitions.
+
+    Each task holds one bucket, so the partial ``WindowGroupLimit`` forwards at
+    most ``k`` rows per task; a bucket's reducer merges at most ``MERGE_ROWS``
+    rows and the survivors number ``k`` per bucket.
+    """
+    per_bucket = max(1, MERGE_ROWS // max(1, k))
+    bucketed = df.withColumn("_bucket", F.floor(F.spark_partition_id() / F.lit(per_bucket)))
+    w = Window.partitionBy("_bucket").orderBy(*_cols(order))
+    ranked = bucketed.withColumn("_rk", F.row_number().over(w))
+    return ranked.where(F.col("_rk") <= k).drop("_bucket", "_rk")
+
+
 def top_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     """First ``n`` rows by ``order`` (include unique columns for a total order)."""
-    return df.orderBy(*_cols(order)).limit(n)
+    cols = _cols(order)
+    if n <= SINGLE_MERGE_ROWS:
+        return df.orderBy(*cols).limit(n)
+    if _two_level_ok(df, n):
+        return candidates(df, order, n).orderBy(*cols).limit(n)
+    return slice_rows(df, order, 0, n).drop("pos")
 
 
 def top_n_per_group(
@@ -68,8 +109,9 @@ def slice_rows(
     order_cols = _cols(order)
     if stop - start == 0:
         return df.limit(0).withColumn(pos_col, F.lit(0).cast("bigint"))
-    if stop <= top_k_rows:
-        page = df.orderBy(*order_cols).offset(start).limit(stop - start)
+    if stop <= min(SINGLE_MERGE_ROWS, top_k_rows) or _two_level_ok(df, stop, top_k_rows):
+        source = df if stop <= SINGLE_MERGE_ROWS else candidates(df, order, stop)
+        page = source.orderBy(*order_cols).offset(start).limit(stop - start)
         # At most ``top_k_rows`` rows remain: numbering them in one task is bounded.
         w = Window.orderBy(*order_cols)
         return page.withColumn(pos_col, (F.row_number().over(w) - 1 + F.lit(start)).cast("bigint"))

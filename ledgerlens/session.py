@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Lets ``row_number() <= k`` keep k rows per task before the shuffle for k
+    # up to this value (Spark's default stops at 1000); see operators.ranking.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.ui.enabled": "false",
 }
 
@@ -77,6 +80,7 @@ def cluster_conf(
         "spark.sql.adaptive.autoBroadcastJoinThreshold": f"{broadcast_mib}m",
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),

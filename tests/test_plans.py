@@ -23,6 +23,11 @@ def test_top_k_per_group_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in text
 
 
+def test_deep_page_uses_per_task_limit_before_merge(spark):
+    text = formatted(Q["event_page"](spark, SF001))
+    assert "WindowGroupLimit" in text and "TakeOrderedAndProject" in text
+
+
 def test_global_top_k_is_take_ordered(spark):
     for name in ("preview_latest", "top_countries_by_profit", "serving_table"):
         assert "TakeOrderedAndProject" in formatted(Q[name](spark, SF001)), name

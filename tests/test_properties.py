@@ -47,10 +47,18 @@ def test_slice_rows_matches_pandas(spark, data, start, width):
     df = spark.createDataFrame(pdf)
     order = ["t", "v", "id"]
     want = pdf.sort_values(order).reset_index(drop=True).iloc[start : start + width]
-    for k in (10_000, 0):  # heap path and deep path
-        got = slice_rows(df, order, start, start + width, top_k_rows=k).orderBy("pos").toPandas()
-        assert list(got["id"]) == list(want["id"])
-        assert list(got["pos"]) == list(range(start, start + len(want)))
+    import ledgerlens.operators.ranking as R
+
+    single = R.SINGLE_MERGE_ROWS
+    try:
+        # single merge, two-level candidates (single merge disabled), deep path
+        for merge_rows, k in ((single, 10_000), (0, 10_000), (single, 0)):
+            R.SINGLE_MERGE_ROWS = merge_rows
+            got = slice_rows(df, order, start, start + width, top_k_rows=k).orderBy("pos").toPandas()
+            assert list(got["id"]) == list(want["id"])
+            assert list(got["pos"]) == list(range(start, start + len(want)))
+    finally:
+        R.SINGLE_MERGE_ROWS = single
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
