@@ -20,7 +20,7 @@ from ledgerlens.session import checkpoint_root
 #                            and no merge sees more than about MERGE_ROWS rows.
 #   larger                   range-partitioned sort of the key columns with
 #                            per-partition offsets (see _slice_by_partition_offsets).
-SINGLE_MERGE_ROWS = 200
+SINGLE_MERGE_ROWS = 20
 TOP_K_ROWS = 50_000
 MERGE_ROWS = 10_000_000
 _GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
