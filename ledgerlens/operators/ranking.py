@@ -9,18 +9,19 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import checkpoint_root
 
-# Top-k strategies, by k:
-#   k <= SINGLE_MERGE_ROWS   orderBy().limit(): every task keeps a heap of k
-#                            rows and ONE task merges k rows per input
-#                            partition (fine for report-sized k).
+# Top-k strategies.  A bounded top-k (``orderBy().limit()``) has every task
+# keep a heap of k rows and ONE task merge k rows per input partition, so the
+# choice depends on k times the number of input partitions P:
+#   k * P <= MERGE_ROWS       the single merge.
 #   k <= TOP_K_ROWS and the session's windowGroupLimitThreshold
-#                            two levels: ``row_number() <= k`` per bucket of
-#                            input partitions, so Catalyst keeps k rows per
-#                            task before the shuffle (partial WindowGroupLimit)
-#                            and no merge sees more than about MERGE_ROWS rows.
-#   larger                   range-partitioned sort of the key columns with
-#                            per-partition offsets (see _slice_by_partition_offsets).
-SINGLE_MERGE_ROWS = 20
+#                             two levels: ``row_number() <= k`` per bucket of
+#                             input partitions keeps k rows per task before the
+#                             shuffle (partial WindowGroupLimit); no merge sees
+#                             more than about MERGE_ROWS rows.
+#   otherwise                 range-partitioned sort of the key columns with
+#                             per-partition offsets (_slice_by_partition_offsets).
+# P is estimated without running anything: the larger of the session's shuffle
+# partition count and four splits per input file.
 TOP_K_ROWS = 50_000
 MERGE_ROWS = 10_000_000
 _GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
@@ -33,6 +34,23 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def partition_estimate(df: DataFrame) -> int:
+    """Planning-time estimate of the number of input partitions of ``df``."""
+    try:
+        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    except Exception:
+        shuffle = 200
+    try:
+        files = len(df.inputFiles())
+    except Exception:
+        files = 0
+    return max(shuffle, 4 * files, 1)
+
+
+def _single_merge_ok(df: DataFrame, k: int) -> bool:
+    return k * partition_estimate(df) <= MERGE_ROWS
+
+
 def _group_limit_threshold(df: DataFrame) -> int:
     try:
         return int(df.sparkSession.conf.get(_GROUP_LIMIT_CONF, "1000"))
@@ -62,7 +80,7 @@ def candidates(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFram
 def top_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     """First ``n`` rows by ``order`` (include unique columns for a total order)."""
     cols = _cols(order)
-    if n <= SINGLE_MERGE_ROWS:
+    if _single_merge_ok(df, n):
         return df.orderBy(*cols).limit(n)
     if _two_level_ok(df, n):
         return candidates(df, order, n).orderBy(*cols).limit(n)
@@ -109,8 +127,9 @@ def slice_rows(
     order_cols = _cols(order)
     if stop - start == 0:
         return df.limit(0).withColumn(pos_col, F.lit(0).cast("bigint"))
-    if stop <= min(SINGLE_MERGE_ROWS, top_k_rows) or _two_level_ok(df, stop, top_k_rows):
-        source = df if stop <= SINGLE_MERGE_ROWS else candidates(df, order, stop)
+    single = stop <= top_k_rows and _single_merge_ok(df, stop)
+    if single or _two_level_ok(df, stop, top_k_rows):
+        source = df if single else candidates(df, order, stop)
         page = source.orderBy(*order_cols).offset(start).limit(stop - start)
         # At most ``top_k_rows`` rows remain: numbering them in one task is bounded.
         w = Window.orderBy(*order_cols)

@@ -23,11 +23,26 @@ def test_top_k_per_group_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in text
 
 
-def test_deep_page_uses_per_task_limit_before_merge(spark):
-    text = formatted(Q["event_page"](spark, SF001))
+def test_large_top_k_uses_per_task_limit_before_merge(spark):
+    import ledgerlens.operators.ranking as R
+
+    assert "WindowGroupLimit" not in formatted(Q["event_page"](spark, SF001))  # small P
+    budget = R.MERGE_ROWS
+    R.MERGE_ROWS = 1000  # as if there were many input partitions
+    try:
+        text = formatted(Q["event_page"](spark, SF001))
+    finally:
+        R.MERGE_ROWS = budget
     assert "WindowGroupLimit" in text and "TakeOrderedAndProject" in text
 
 
+def test_partition_estimate_reads_session_and_files(spark):
+    from ledgerlens.operators.ranking import partition_estimate
+    from ledgerlens.sources.star import sales_fact
+
+    assert partition_estimate(sales_fact(spark, SF001)) >= 8
+
+
 def test_global_top_k_is_take_ordered(spark):
     for name in ("preview_latest", "top_countries_by_profit", "serving_table"):
         assert "TakeOrderedAndProject" in formatted(Q[name](spark, SF001)), name
