@@ -131,6 +131,20 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Built star plans: (application id, folder, columns, flag) -> DataFrame.  A
+# DataFrame is an immutable lazy plan; reusing it skips re-analysing the same
+# joins (about thirty JVM round trips).  Nothing is cached but the plan: every
+# execution scans and computes from the files.  ``forget_plans()`` drops them
+# (e.g. after files were added to a folder, since a plan keeps its listing).
+_PLANS: dict[tuple, DataFrame] = {}
+_PLAN_LIMIT = 256
+
+
+def forget_plans() -> None:
+    _PLANS.clear()
+    _FITS.clear()
+
+
 def sales_fact(
     spark: SparkSession,
     sf_dir: str,
@@ -146,6 +160,17 @@ def sales_fact(
     as the full star would drop them.
     """
     wanted = list(columns) if columns is not None else list(S.FACT_COLUMNS)
+    key = (application_id(spark), sf_dir, tuple(wanted), foreign_keys_hold)
+    if key not in _PLANS:
+        if len(_PLANS) >= _PLAN_LIMIT:
+            _PLANS.clear()
+        _PLANS[key] = _build_fact(spark, sf_dir, wanted, foreign_keys_hold)
+    return _PLANS[key]
+
+
+def _build_fact(
+    spark: SparkSession, sf_dir: str, wanted: list[str], foreign_keys_hold: bool
+) -> DataFrame:
     unknown = set(wanted) - set(S.FACT_COLUMNS)
     if unknown:
         raise ValueError(f"unknown sales columns: {sorted(unknown)}")
