@@ -55,6 +55,14 @@ def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(QUARANTINE_SCHEMA).parquet(out)
 
 
+def q_stream_quarantine_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text ingest: rejected records of a producer with content-dependent defects."""
+    run = SP.new_run(spark, "quarantine-text")
+    bronze = SP.write_text_bronze(SP.events_source(spark, sf_dir), run)
+    out = SP.write_text_quarantine(spark, bronze, run)
+    return spark.read.schema(SP.QUARANTINE_TEXT_SCHEMA).parquet(out)
+
+
 def q_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = SP.new_run(spark, "hourly")
     silver = _silver(spark, sf_dir, run)
@@ -74,6 +82,7 @@ STREAM_QUERIES = {
     "stream_silver": q_stream_silver,
     "stream_replay_dedup": q_stream_replay_dedup,
     "stream_quarantine": q_stream_quarantine,
+    "stream_quarantine_text": q_stream_quarantine_text,
     "stream_hourly": q_stream_hourly,
     "stream_serving": q_stream_serving,
 }
@@ -106,6 +115,29 @@ STREAM_ORACLE_SQL = {
                 THEN 'malformed props'
          END AS reason
   FROM events) t
+WHERE reason IS NOT NULL""",
+    "stream_quarantine_text": """WITH raw AS (
+  SELECT event_id, ts, user_id,
+         CASE WHEN event_type = 'signup' THEN ' SIGNUP ' ELSE event_type END AS event_type,
+         CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS value_text,
+         CASE WHEN user_id >= 140 THEN 'k=' || json_extract_string(props, '$.k') ELSE props END AS props
+  FROM events),
+typed AS (
+  SELECT *, TRY_CAST(trim(value_text) AS DOUBLE) AS v FROM raw)
+SELECT * FROM (
+  SELECT event_id, ts, user_id, event_type, value_text, props,
+         CASE WHEN event_id IS NULL THEN 'missing event_id'
+              WHEN ts IS NULL THEN 'missing ts'
+              WHEN lower(trim(event_type)) IS NULL
+                OR lower(trim(event_type)) NOT IN ('view', 'click', 'signup', 'purchase', 'error')
+                THEN 'unknown event_type'
+              WHEN v IS NULL OR isnan(v) THEN 'missing value'
+              WHEN v < 0 THEN 'negative value'
+              WHEN NOT json_valid(props)
+                OR TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NULL
+                THEN 'malformed props'
+         END AS reason
+  FROM typed) t
 WHERE reason IS NOT NULL""",
     "stream_hourly": f"""WITH {_SILVER}
 SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS window_start,

@@ -161,6 +161,117 @@ def quarantine_rows(bronze: DataFrame) -> DataFrame:
     return bronze.where(reason.isNotNull()).select(*S.EVENTS_SCHEMA.names, reason.alias("reason"))
 
 
+# ---------------------------------------------------------------- text ingest
+
+TS_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+TEXT_SCHEMA = T.StructType(
+    [T.StructField(name, T.StringType(), True) for name in S.EVENTS_SCHEMA.names]
+    + [T.StructField("event_date", T.DateType(), True)]
+)
+
+
+def events_as_text(events: DataFrame) -> DataFrame:
+    """Events as a text producer sends them, with realistic defects.
+
+    ``signup`` types arrive padded and upper-cased (silver normalises them),
+    ``error`` events carry the value ``n/a`` and users from 140 on send
+    ``k=<n>`` instead of JSON props.  The defects depend on the record content
+    only, so the rendering is deterministic.
+    """
+    return events.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.date_format("ts", TS_TEXT_FORMAT).alias("ts"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.when(F.col("event_type") == "signup", F.lit(" SIGNUP "))
+        .otherwise(F.col("event_type"))
+        .alias("event_type"),
+        F.when(F.col("event_type") == "error", F.lit("n/a"))
+        .otherwise(F.col("value").cast("string"))
+        .alias("value"),
+        F.when(F.col("user_id") >= 140, F.concat(F.lit("k="), F.get_json_object("props", "$.k")))
+        .otherwise(F.col("props"))
+        .alias("props"),
+        F.to_date("ts").alias("event_date"),
+    )
+
+
+def parse_event_text(raw: DataFrame) -> DataFrame:
+    """Typed events from text; unparsable fields become null (``try_*``)."""
+    return raw.select(
+        F.trim("event_id").try_cast("bigint").alias("event_id"),
+        F.try_to_timestamp(F.col("ts"), F.lit(TS_TEXT_FORMAT)).cast(T.TimestampNTZType()).alias("ts"),
+        F.trim("user_id").try_cast("bigint").alias("user_id"),
+        "event_type",
+        F.trim("value").try_cast("double").alias("value"),
+        "props",
+        F.col("value").alias("value_text"),
+        "event_date",
+    )
+
+
+def write_text_bronze(events: DataFrame, paths: StreamPaths) -> str:
+    """Raw append of the text records, partitioned by event date."""
+    out = paths.sink("bronze_text")
+    _run(
+        events_as_text(events)
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", paths.checkpoint("bronze_text"))
+        .partitionBy("event_date")
+        .outputMode("append")
+    )
+    return out
+
+
+def text_quarantine_rows(raw: DataFrame) -> DataFrame:
+    """Rejected text records: parsed key fields, raw value and props, reason."""
+    typed = parse_event_text(raw)
+    reason = rejection_reason(typed)
+    return typed.where(reason.isNotNull()).select(
+        "event_id", "ts", "user_id", "event_type", "value_text", "props", reason.alias("reason")
+    )
+
+
+def write_text_quarantine(spark: SparkSession, bronze_text: str, paths: StreamPaths) -> str:
+    out = paths.sink("quarantine_text")
+    _run(
+        text_quarantine_rows(spark.readStream.schema(TEXT_SCHEMA).parquet(bronze_text))
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", paths.checkpoint("quarantine_text"))
+        .outputMode("append")
+    )
+    return out
+
+
+def write_text_silver(spark: SparkSession, bronze_text: str, paths: StreamPaths) -> str:
+    """Silver from text records: parse, validate, normalise, deduplicate."""
+    out = paths.sink("silver_text")
+    typed = parse_event_text(spark.readStream.schema(TEXT_SCHEMA).parquet(bronze_text))
+    _run(
+        silver_rows(typed.drop("value_text"))
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", paths.checkpoint("silver_text"))
+        .partitionBy("event_date")
+        .outputMode("append")
+    )
+    return out
+
+
+QUARANTINE_TEXT_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType(), True),
+        T.StructField("ts", T.TimestampNTZType(), True),
+        T.StructField("user_id", T.LongType(), True),
+        T.StructField("event_type", T.StringType(), True),
+        T.StructField("value_text", T.StringType(), True),
+        T.StructField("props", T.StringType(), True),
+        T.StructField("reason", T.StringType(), True),
+    ]
+)
+
+
 def write_silver(spark: SparkSession, bronze: str, paths: StreamPaths) -> str:
     out = paths.sink("silver")
     _run(

@@ -150,3 +150,17 @@ def test_replayed_events_are_deduplicated(spark):
     assert spark.read.schema(SP.BRONZE_SCHEMA).parquet(bronze).count() == 20000
     ids = spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).groupBy("event_id").count()
     assert ids.count() == 10000 and ids.where("count > 1").count() == 0
+
+
+def test_text_ingest_splits_into_silver_and_quarantine(spark):
+    run = SP.new_run(spark, "text-test")
+    bronze = SP.write_text_bronze(SP.events_source(spark, SF001), run)
+    silver = SP.write_text_silver(spark, bronze, run)
+    quarantine = SP.write_text_quarantine(spark, bronze, run)
+    n_silver = spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).count()
+    q = spark.read.schema(SP.QUARANTINE_TEXT_SCHEMA).parquet(quarantine)
+    assert n_silver + q.count() == 10000
+    reasons = {r.reason for r in q.select("reason").distinct().collect()}
+    assert reasons == {"missing value", "malformed props"}
+    types = {r.event_type for r in spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).select("event_type").distinct().collect()}
+    assert "signup" in types and " SIGNUP " not in types
