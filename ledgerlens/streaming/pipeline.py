@@ -471,3 +471,28 @@ def read_serving(spark: SparkSession, serving: str) -> DataFrame:
     return state.select(
         "region", "event_type", "events", F.col("total_value").cast("double").alias("total_value")
     )
+
+
+def run_pipeline(
+    spark: SparkSession,
+    source_dir: str,
+    dims_dir: str | None = None,
+    paths: StreamPaths | None = None,
+    max_files_per_trigger: int | None = None,
+) -> dict[str, str]:
+    """Run every stage once (``availableNow``) and return the sink folders.
+
+    Re-running with the same ``paths`` continues from the checkpoints and only
+    processes files that arrived since.
+    """
+    paths = paths or new_run(spark, "pipeline")
+    events = events_source(spark, source_dir, max_files_per_trigger=max_files_per_trigger)
+    bronze = write_bronze(events, paths)
+    silver = write_silver(spark, bronze, paths)
+    return {
+        "bronze": bronze,
+        "silver": silver,
+        "quarantine": write_quarantine(spark, bronze, paths),
+        "hourly": write_hourly(spark, silver, paths),
+        "serving": write_serving(spark, silver, dims_dir or source_dir, paths),
+    }

@@ -164,3 +164,13 @@ def test_text_ingest_splits_into_silver_and_quarantine(spark):
     assert reasons == {"missing value", "malformed props"}
     types = {r.event_type for r in spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).select("event_type").distinct().collect()}
     assert "signup" in types and " SIGNUP " not in types
+
+
+def test_run_pipeline_twice_is_incremental(spark):
+    run = SP.new_run(spark, "pipeline-test")
+    first = SP.run_pipeline(spark, SF001, paths=run)
+    served = sorted(SP.read_serving(spark, first["serving"]).collect())
+    second = SP.run_pipeline(spark, SF001, paths=run)  # nothing new: same outputs
+    assert first == second
+    assert sorted(SP.read_serving(spark, second["serving"]).collect()) == served
+    assert SP.read_hourly(spark, second["hourly"], second["silver"]).agg(F.sum("events")).first()[0] == 10000
