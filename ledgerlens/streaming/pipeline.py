@@ -410,13 +410,23 @@ SERVING_STATE_SCHEMA = T.StructType(
         T.StructField("events", T.LongType(), True),
         T.StructField("total_value", T.DecimalType(38, 2), True),
         T.StructField("applied_batch", T.LongType(), True),
+        T.StructField("slot", T.IntegerType(), True),
     ]
 )
 
 
 def _init_state(spark: SparkSession, path: str) -> None:
     """Create the empty serving table unless it exists (``ignore`` mode)."""
-    spark.createDataFrame([], SERVING_STATE_SCHEMA).write.mode("ignore").parquet(path)
+    spark.createDataFrame([], SERVING_STATE_SCHEMA).write.mode("ignore").partitionBy(
+        "slot"
+    ).parquet(path)
+
+
+def _current_state(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the most recently committed slot (the highest applied batch)."""
+    state = spark.read.schema(SERVING_STATE_SCHEMA).parquet(path)
+    latest = state.select(F.max("applied_batch")).scalar()
+    return state.where(F.col("applied_batch") == latest)
 
 
 def _merge_writer(spark: SparkSession, path: str, users: DataFrame):
@@ -425,28 +435,40 @@ def _merge_writer(spark: SparkSession, path: str, users: DataFrame):
 
     The micro-batch is a plain batch frame here: the per-user partial
     aggregate shrinks a hot user before the region join, and no streaming
-    state grows with the number of users.  The table records the last applied
-    batch id; a replayed batch is skipped, so the merge is applied exactly
-    once.  The merged rows are checkpointed to the shared folder before they
-    replace the table they were read from.
+    state grows with the number of users.  Each row records the batch that
+    produced it; a replayed batch is skipped, so the merge is applied exactly
+    once.  The table is double-buffered: batch ``N`` replaces slot ``N % 2``
+    through dynamic partition overwrite (the old slot is swapped out only at
+    job commit) while the other slot keeps the previous complete state, so a
+    failure in the middle of a write never loses the totals.  The merged rows
+    are checkpointed to the shared folder first, because they are read from
+    the table they are written to.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        current = spark.read.schema(SERVING_STATE_SCHEMA).parquet(path)
-        last = current.agg(F.max("applied_batch")).first()[0]
+        state = spark.read.schema(SERVING_STATE_SCHEMA).parquet(path)
+        last = state.agg(F.max("applied_batch")).first()[0]
         if last is not None and batch_id <= last:
             return
+        current = state.where(F.col("applied_batch") == F.lit(last)) if last is not None else state
         merged = (
             serving_kpis(batch, users)
-            .unionByName(current.drop("applied_batch"))
+            .unionByName(current.drop("applied_batch", "slot"))
             .groupBy("region", "event_type")
             .agg(
                 F.sum("events").cast("long").alias("events"),
                 F.sum("total_value").cast(T.DecimalType(38, 2)).alias("total_value"),
             )
             .withColumn("applied_batch", F.lit(batch_id).cast("long"))
+            .withColumn("slot", F.lit(batch_id % 2).cast("int"))
+        )
+        (
+            merged.checkpoint(eager=True)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("slot")
+            .parquet(path)
         )
-        merged.checkpoint(eager=True).write.mode("overwrite").parquet(path)
 
     return write
 
@@ -467,7 +489,7 @@ def write_serving(spark: SparkSession, silver: str, sf_dir: str, paths: StreamPa
 
 
 def read_serving(spark: SparkSession, serving: str) -> DataFrame:
-    state = spark.read.schema(SERVING_STATE_SCHEMA).parquet(serving)
+    state = _current_state(spark, serving)
     return state.select(
         "region", "event_type", "events", F.col("total_value").cast("double").alias("total_value")
     )

@@ -140,6 +140,11 @@ def test_serving_merge_is_idempotent_per_batch(spark):
     assert state() == first
     write(batch, 1)
     assert state()[("ASIA", "view")] == (4, 6.5)
+    # double-buffered: the previous complete state is still in the other slot
+    slots = spark.read.schema(SP.SERVING_STATE_SCHEMA).parquet(path).groupBy("slot").agg(
+        F.max("applied_batch").alias("b")
+    )
+    assert sorted((r.slot, r.b) for r in slots.collect()) == [(0, 0), (1, 1)]
 
 
 def test_replayed_events_are_deduplicated(spark):
