@@ -23,10 +23,11 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) ->
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``offset(max_rows).take(1)`` is planned as an incremental collect-limit:
-    Spark scans partitions a few at a time and stops once ``max_rows + 1`` rows
-    are seen, so the check costs O(max_rows) even on a huge table, and a single
-    one-column row at most reaches the driver.
+    ``offset(max_rows).take(1)`` is planned as an incremental collect-limit
+    (``CollectLimit max_rows+1, max_rows``): Spark scans partitions a few at a
+    time and stops once ``max_rows + 1`` rows are seen, so the check costs
+    O(max_rows) even on a huge table.  The driver JVM gathers at most that many
+    one-column rows (a few MB) and a single row reaches Python.
     """
     probe = df.select(F.lit(1).alias("_probe")).offset(max_rows)
     return len(probe.take(1)) == 0
