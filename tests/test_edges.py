@@ -342,3 +342,29 @@ def test_star_without_foreign_key_guarantee_plans_all_joins(spark):
     for table in ("part.parquet", "orders.parquet", "customer.parquet", "nation.parquet", "region.parquet"):
         assert table in plan
     assert sales_fact(spark, SF001, [S.ORDER_ID], foreign_keys_hold=False).count() == 60000
+
+
+def test_cluster_conf_is_accepted_and_rocksdb_state_works(spark):
+    import glob
+
+    from conftest import SF0001
+    from ledgerlens.session import cluster_conf
+    from ledgerlens.streaming import pipeline as SP
+
+    conf = cluster_conf(10 * 1024**3, 8)
+    runtime = {k: v for k, v in conf.items() if k.startswith("spark.sql.")}
+    before = {k: spark.conf.get(k, None) for k in runtime}
+    try:
+        for k, v in runtime.items():
+            spark.conf.set(k, v)
+        run = SP.new_run(spark, "rocksdb")
+        silver = SP.write_silver(spark, SP.write_bronze(SP.events_source(spark, SF0001), run), run)
+        assert spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).count() == 1000
+        state = glob.glob(run.root + "/_checkpoints/silver/state/**/*.zip", recursive=True)
+        assert state, "RocksDB state store wrote no snapshot files"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
