@@ -95,3 +95,15 @@ def test_single_fact_pass_for_top_country(spark):
     scans = [b for b in text.split("\n\n") if "Scan parquet" in b and "Location:" in b]
     assert sum("lineitem.parquet" in b for b in scans) == 1
     assert "LeftSemi" not in text
+
+
+def test_open_tail_read_prunes_silver_date_folders(spark):
+    from conftest import SF0001
+    from ledgerlens.streaming import pipeline as SP
+
+    run = SP.new_run(spark, "tail-plan")
+    silver = SP.write_silver(spark, SP.write_bronze(SP.events_source(spark, SF0001), run), run)
+    hourly = SP.write_hourly(spark, silver, run)
+    text = formatted(SP.read_hourly(spark, hourly, silver))
+    assert "PartitionFilters: [isnotnull(event_date" in text and "Subquery" in text
+    assert "GreaterThanOrEqual(ts,ScalarSubquery" in text
