@@ -120,7 +120,8 @@ WHERE reason IS NOT NULL""",
   SELECT event_id, ts, user_id,
          CASE WHEN event_type = 'signup' THEN ' SIGNUP ' ELSE event_type END AS event_type,
          CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS value_text,
-         CASE WHEN user_id >= 140 THEN 'k=' || json_extract_string(props, '$.k') ELSE props END AS props
+         CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) >= 95
+              THEN 'k=' || json_extract_string(props, '$.k') ELSE props END AS props
   FROM events),
 typed AS (
   SELECT *, TRY_CAST(trim(value_text) AS DOUBLE) AS v FROM raw)

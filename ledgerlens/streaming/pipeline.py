@@ -174,9 +174,9 @@ def events_as_text(events: DataFrame) -> DataFrame:
     """Events as a text producer sends them, with realistic defects.
 
     ``signup`` types arrive padded and upper-cased (silver normalises them),
-    ``error`` events carry the value ``n/a`` and users from 140 on send
-    ``k=<n>`` instead of JSON props.  The defects depend on the record content
-    only, so the rendering is deterministic.
+    ``error`` events carry the value ``n/a`` and records whose ``k`` is 95 or
+    more are sent as ``k=<n>`` instead of JSON props.  The defects depend on
+    the record content only, so the rendering is deterministic.
     """
     return events.select(
         F.col("event_id").cast("string").alias("event_id"),
@@ -188,7 +188,10 @@ def events_as_text(events: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit("n/a"))
         .otherwise(F.col("value").cast("string"))
         .alias("value"),
-        F.when(F.col("user_id") >= 140, F.concat(F.lit("k="), F.get_json_object("props", "$.k")))
+        F.when(
+            F.get_json_object("props", "$.k").try_cast("int") >= 95,
+            F.concat(F.lit("k="), F.get_json_object("props", "$.k")),
+        )
         .otherwise(F.col("props"))
         .alias("props"),
         F.to_date("ts").alias("event_date"),
