@@ -179,3 +179,38 @@ def test_run_pipeline_twice_is_incremental(spark):
     assert first == second
     assert sorted(SP.read_serving(spark, second["serving"]).collect()) == served
     assert SP.read_hourly(spark, second["hourly"], second["silver"]).agg(F.sum("events")).first()[0] == 10000
+
+
+def test_late_rows_stay_in_bronze_and_leave_silver_and_windows(spark):
+    events = read_table(spark, SF001, "events")
+    run = SP.new_run(spark, "late")
+    src = run.sink("source")
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    # first delivery: two weeks of events; second delivery: the rest plus late
+    # copies (new ids) of events from the first days, far behind the watermark
+    late = events.where(F.col("ts") < F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")).withColumn(
+        "event_id", F.col("event_id") + F.lit(1_000_000)
+    )
+    n_late = late.count()
+    assert n_late > 0
+
+    def run_stages():
+        bronze = SP.write_bronze(SP.events_source(spark, src, file_glob="*.parquet"), run)
+        silver = SP.write_silver(spark, bronze, run)
+        return bronze, silver, SP.write_hourly(spark, silver, run)
+
+    events.where(F.col("ts") < cut).coalesce(1).write.mode("append").parquet(src)
+    run_stages()
+    events.where(F.col("ts") >= cut).unionByName(late).coalesce(1).write.mode("append").parquet(src)
+    bronze, silver, hourly = run_stages()  # same checkpoints: only the new file
+
+    # bronze keeps every raw record, late ones included
+    assert spark.read.schema(SP.BRONZE_SCHEMA).parquet(bronze).count() == 10000 + n_late
+    # silver drops rows behind the watermark; finalised windows never change
+    silver_df = spark.read.schema(SP.SILVER_SCHEMA).parquet(silver)
+    assert silver_df.count() == 10000
+    assert silver_df.where(F.col("event_id") >= 1_000_000).count() == 0
+    streamed = SP.read_hourly(spark, hourly, silver)
+    assert streamed.agg(F.sum("events")).first()[0] == 10000
+    batch = SP.hourly_kpis(silver_df)
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
