@@ -22,7 +22,7 @@ from ledgerlens.operators.joins import restrict_to
 from ledgerlens.operators.ranking import top_n
 from ledgerlens.plans import params as P
 from ledgerlens.sources import cleaning as C
-from ledgerlens.sources.star import order_table, sales_fact
+from ledgerlens.sources.star import order_grain, order_table, sales_fact
 from ledgerlens.sources.synthetic import synthetic_sales_from_index
 from ledgerlens.sources.tables import read_table
 
@@ -104,15 +104,16 @@ def q_weekend_top5(spark, sf_dir):
 
 
 def q_yoy_growth_label(spark, sf_dir):
-    return A.yoy_growth_label(_fact(spark, sf_dir, S.ORDER_DATE, S.TOTAL_REVENUE))
+    return A.yoy_growth_label(order_grain(spark, sf_dir, [S.ORDER_DATE], with_revenue=True))
 
 
 def q_yoy_growth_pct(spark, sf_dir):
-    return A.yoy_growth_pct(_fact(spark, sf_dir, S.ORDER_DATE, S.TOTAL_REVENUE))
+    return A.yoy_growth_pct(order_grain(spark, sf_dir, [S.ORDER_DATE], with_revenue=True))
 
 
 def q_filter_options(spark, sf_dir):
-    return A.filter_options(_fact(spark, sf_dir, S.ORDER_DATE, S.REGION, S.SALES_CHANNEL))
+    cols = [S.ORDER_DATE, S.REGION, S.SALES_CHANNEL]
+    return A.filter_options(order_grain(spark, sf_dir, cols, with_revenue=False))
 
 
 def _optional(spark, sf_dir, sel):

@@ -200,6 +200,36 @@ def _build_fact(
     return fact.select(*wanted)
 
 
+def order_grain(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str], with_revenue: bool
+) -> DataFrame:
+    """Order-level attributes for questions that group by them alone.
+
+    Equivalent, for sums and distinct values, to the line-level fact with the
+    same columns (plus ``total_revenue`` when ``with_revenue``).  While the
+    orders table passes the broadcast size check the line-level fact is used
+    as is (a broadcast join, no shuffle of the lines).  Beyond it the lines
+    are first reduced per order - revenue summed, or just the distinct order
+    keys - so the map-side partial aggregate shrinks the shuffle wherever the
+    line table is stored clustered by order key, and the aggregate's hash
+    partitioning on the order key then feeds the join without another
+    shuffle of that side.
+    """
+    cols = list(columns)
+    if table_fits_broadcast(spark, sf_dir, "orders"):
+        return sales_fact(spark, sf_dir, cols + ([S.TOTAL_REVENUE] if with_revenue else []))
+    li = read_table(spark, sf_dir, "lineitem")
+    if with_revenue:
+        per_order = li.groupBy(F.col("l_orderkey").alias(S.ORDER_ID)).agg(
+            F.sum(revenue_expr("l_extendedprice", "l_discount")).alias(S.TOTAL_REVENUE)
+        )
+    else:
+        per_order = li.select(F.col("l_orderkey").alias(S.ORDER_ID)).distinct()
+    orders = order_dimension(spark, sf_dir, set(cols))
+    joined = per_order.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey"))
+    return joined.select(*cols, *([S.TOTAL_REVENUE] if with_revenue else []))
+
+
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: order id, date, priority (no line detail)."""
     return read_table(spark, sf_dir, "orders").select(

@@ -107,3 +107,27 @@ def test_open_tail_read_prunes_silver_date_folders(spark):
     text = formatted(SP.read_hourly(spark, hourly, silver))
     assert "PartitionFilters: [isnotnull(event_date" in text and "Subquery" in text
     assert "GreaterThanOrEqual(ts,ScalarSubquery" in text
+
+
+def test_order_grain_pre_aggregates_beyond_the_broadcast_bound(spark):
+    from oracle_util import compare, duck
+
+    import __spark_entry__ as E
+    import ledgerlens.sources.star as star
+
+    limit, fits = star.DIMENSION_BROADCAST_ROWS, dict(star._FITS)
+    star.DIMENSION_BROADCAST_ROWS = 10  # as if orders were far too big to broadcast
+    star._FITS.clear()
+    try:
+        df = Q["yoy_growth_pct"](spark, SF001)
+        text = formatted(df)
+        got = {n: Q[n](spark, SF001).toPandas() for n in ("yoy_growth_pct", "yoy_growth_label", "filter_options")}
+    finally:
+        star.DIMENSION_BROADCAST_ROWS = limit
+        star._FITS.clear()
+        star._FITS.update(fits)
+    # revenue summed per order before the join to orders
+    assert "Keys [1]: [l_orderkey" in text and "partial_sum" in text
+    con = duck(SF001)
+    for name, pdf in got.items():
+        assert compare(pdf, con.sql(E.oracle_sql()[name]).df()) == [], name
