@@ -14,7 +14,11 @@ from pyspark.sql import types as T
 
 from ledgerlens import schema as S
 from ledgerlens.operators.ranking import top_n
+from ledgerlens.plans.oracle import EVENT_TIME as _EVENT_TIME_SQL
+from ledgerlens.plans.oracle import SALES as _SALES_SQL
+from ledgerlens.sources.star import sales_fact
 from ledgerlens.streaming import pipeline as SP
+from ledgerlens.streaming import sales as SL
 
 
 def _bronze(spark: SparkSession, sf_dir: str, run: SP.StreamPaths) -> str:
@@ -77,6 +81,26 @@ def q_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n(latest, 20, [F.desc("total_value"), F.asc("region"), F.asc("event_type")])
 
 
+def _sales_landing(spark: SparkSession, sf_dir: str, run: SP.StreamPaths) -> str:
+    """The producer side: the sales fact landed as CSV text in the run folder."""
+    return SL.write_landing(sales_fact(spark, sf_dir, S.SALES_COLUMNS), run.sink("landing"))
+
+
+def q_stream_sales_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales CSV stream: lenient parsing, event time, hourly revenue windows."""
+    run = SP.new_run(spark, "sales-hourly")
+    silver = SL.write_sales_silver(spark, _sales_landing(spark, sf_dir, run), run)
+    hourly = SL.write_sales_hourly(spark, silver, run)
+    return SL.read_sales_hourly(spark, hourly, silver)
+
+
+def q_stream_sales_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales CSV stream: rows whose order date does not parse."""
+    run = SP.new_run(spark, "sales-quarantine")
+    out = SL.write_sales_quarantine(spark, _sales_landing(spark, sf_dir, run), run)
+    return spark.read.schema(SL.QUARANTINE_SALES_SCHEMA).parquet(out)
+
+
 STREAM_QUERIES = {
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
@@ -85,6 +109,8 @@ STREAM_QUERIES = {
     "stream_quarantine_text": q_stream_quarantine_text,
     "stream_hourly": q_stream_hourly,
     "stream_serving": q_stream_serving,
+    "stream_sales_hourly": q_stream_sales_hourly,
+    "stream_sales_quarantine": q_stream_sales_quarantine,
 }
 
 _VALID = """event_id IS NOT NULL AND ts IS NOT NULL
@@ -98,6 +124,13 @@ _SILVER = f"""silver AS (
   FROM events WHERE {_VALID}
   QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1)"""
 
+# Order date as the stream parses it: low-priority orders were landed day-first,
+# which parses to the swapped date when the day is at most 12 and fails otherwise.
+_LANDED_DATE = """CASE WHEN order_priority = '5-LOW' THEN
+           CASE WHEN day(order_date) <= 12
+                THEN make_timestamp(year(order_date), day(order_date), month(order_date), 0, 0, 0) END
+         ELSE order_date END"""
+
 STREAM_ORACLE_SQL = {
     "stream_bronze": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_silver": f"WITH {_SILVER} SELECT * FROM silver",
@@ -140,6 +173,19 @@ SELECT * FROM (
          END AS reason
   FROM typed) t
 WHERE reason IS NOT NULL""",
+    "stream_sales_hourly": f"""WITH {_SALES_SQL},
+landed AS (SELECT order_id, total_revenue, units_sold, {_LANDED_DATE} AS order_date FROM sales),
+timed AS (SELECT {_EVENT_TIME_SQL} AS et, total_revenue, units_sold FROM landed WHERE order_date IS NOT NULL)
+SELECT time_bucket(INTERVAL '1 hour', et, TIMESTAMP '1970-01-01') AS window_start,
+       time_bucket(INTERVAL '1 hour', et, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' AS window_end,
+       count(*) AS lines,
+       CAST(sum(total_revenue) AS DOUBLE) AS total_revenue,
+       CAST(sum(units_sold) AS DOUBLE) AS units_sold
+FROM timed GROUP BY 1, 2""",
+    "stream_sales_quarantine": f"""WITH {_SALES_SQL}
+SELECT order_id, strftime(order_date, '%-d/%-m/%Y') AS order_date_text,
+       'unparsable order date' AS reason
+FROM sales WHERE order_priority = '5-LOW' AND day(order_date) > 12""",
     "stream_hourly": f"""WITH {_SILVER}
 SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS window_start,
        time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') + INTERVAL '1 hour' AS window_end,

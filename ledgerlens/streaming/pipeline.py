@@ -129,15 +129,17 @@ def _session_tz(df: DataFrame) -> str:
     return df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC") or "UTC"
 
 
-def with_event_time(df: DataFrame) -> DataFrame:
-    """``event_ts``: the naive event time as a TIMESTAMP (watermarks need it).
+def with_event_time(df: DataFrame, column: str = "ts") -> DataFrame:
+    """``event_ts``: a naive event time as a TIMESTAMP (watermarks need it).
 
     The instant is chosen so that its UTC wall clock equals the naive value;
     epoch-aligned windows then fall on the naive clock's hours whatever the
     session time zone is.
     """
     tz = _session_tz(df)
-    return df.withColumn("event_ts", F.to_utc_timestamp(F.col("ts").cast(T.TimestampType()), tz))
+    return df.withColumn(
+        "event_ts", F.to_utc_timestamp(F.col(column).cast(T.TimestampType()), tz)
+    )
 
 
 def naive_time(c: Column, df: DataFrame) -> Column:
