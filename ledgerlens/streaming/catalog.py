@@ -101,6 +101,13 @@ def q_stream_sales_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SL.QUARANTINE_SALES_SCHEMA).parquet(out)
 
 
+def q_stream_sales_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales CSV stream: region x item type serving table, top 20 by profit."""
+    run = SP.new_run(spark, "sales-serving")
+    silver = SL.write_sales_silver(spark, _sales_landing(spark, sf_dir, run), run)
+    return SL.read_sales_serving(spark, SL.write_sales_serving(spark, silver, run), 20)
+
+
 STREAM_QUERIES = {
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
@@ -111,6 +118,7 @@ STREAM_QUERIES = {
     "stream_serving": q_stream_serving,
     "stream_sales_hourly": q_stream_sales_hourly,
     "stream_sales_quarantine": q_stream_sales_quarantine,
+    "stream_sales_serving": q_stream_sales_serving,
 }
 
 _VALID = """event_id IS NOT NULL AND ts IS NOT NULL
@@ -182,6 +190,16 @@ SELECT time_bucket(INTERVAL '1 hour', et, TIMESTAMP '1970-01-01') AS window_star
        CAST(sum(total_revenue) AS DOUBLE) AS total_revenue,
        CAST(sum(units_sold) AS DOUBLE) AS units_sold
 FROM timed GROUP BY 1, 2""",
+    "stream_sales_serving": f"""WITH {_SALES_SQL},
+landed AS (SELECT region, item_type, total_revenue, total_profit, units_sold,
+                  {_LANDED_DATE} AS landed_date FROM sales)
+SELECT region, item_type,
+       CAST(sum(total_revenue) AS DOUBLE) AS total_revenue,
+       CAST(sum(total_profit) AS DOUBLE) AS total_profit,
+       CAST(sum(units_sold) AS DOUBLE) AS units_sold
+FROM landed WHERE landed_date IS NOT NULL
+GROUP BY region, item_type
+ORDER BY total_profit DESC, region, item_type LIMIT 20""",
     "stream_sales_quarantine": f"""WITH {_SALES_SQL}
 SELECT order_id, strftime(order_date, '%-d/%-m/%Y') AS order_date_text,
        'unparsable order date' AS reason

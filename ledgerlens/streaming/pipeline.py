@@ -21,6 +21,7 @@ Checkpoints and sinks live under the shared folder named by
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -408,62 +409,63 @@ def serving_kpis(events: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-SERVING_STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("region", T.StringType(), True),
-        T.StructField("event_type", T.StringType(), True),
-        T.StructField("events", T.LongType(), True),
-        T.StructField("total_value", T.DecimalType(38, 2), True),
-        T.StructField("applied_batch", T.LongType(), True),
-        T.StructField("slot", T.IntegerType(), True),
-    ]
-)
+def state_schema(keys: list[str], measures: dict[str, T.DataType]) -> T.StructType:
+    """Schema of a merged table: string keys, summed measures, bookkeeping."""
+    return T.StructType(
+        [T.StructField(k, T.StringType(), True) for k in keys]
+        + [T.StructField(m, dtype, True) for m, dtype in measures.items()]
+        + [
+            T.StructField("applied_batch", T.LongType(), True),
+            T.StructField("slot", T.IntegerType(), True),
+        ]
+    )
 
 
-def _init_state(spark: SparkSession, path: str) -> None:
-    """Create the empty serving table unless it exists (``ignore`` mode)."""
-    spark.createDataFrame([], SERVING_STATE_SCHEMA).write.mode("ignore").partitionBy(
-        "slot"
-    ).parquet(path)
+def init_merged_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Create the empty merged table unless it exists (``ignore`` mode)."""
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy("slot").parquet(path)
 
 
-def _current_state(spark: SparkSession, path: str) -> DataFrame:
+def read_merged_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of the most recently committed slot (the highest applied batch)."""
-    state = spark.read.schema(SERVING_STATE_SCHEMA).parquet(path)
+    state = spark.read.schema(schema).parquet(path)
     latest = state.select(F.max("applied_batch")).scalar()
-    return state.where(F.col("applied_batch") == latest)
+    return state.where(F.col("applied_batch") == latest).drop("applied_batch", "slot")
 
 
-def _merge_writer(spark: SparkSession, path: str, users: DataFrame):
-    """``foreachBatch`` function: merge the batch's (region, event type) delta
-    into the serving table.
-
-    The micro-batch is a plain batch frame here: the per-user partial
-    aggregate shrinks a hot user before the region join, and no streaming
-    state grows with the number of users.  Each row records the batch that
-    produced it; a replayed batch is skipped, so the merge is applied exactly
-    once.  The table is double-buffered: batch ``N`` replaces slot ``N % 2``
-    through dynamic partition overwrite (the old slot is swapped out only at
-    job commit) while the other slot keeps the previous complete state, so a
-    failure in the middle of a write never loses the totals.  The merged rows
-    are checkpointed to the shared folder first, because they are read from
-    the table they are written to.
+def merge_writer(
+    spark: SparkSession,
+    path: str,
+    delta: Callable[[DataFrame], DataFrame],
+    keys: list[str],
+    measures: dict[str, T.DataType],
+):
+    """``foreachBatch`` function adding each micro-batch's delta to a table of sums.
+
+    ``delta`` turns the micro-batch (a plain batch frame) into one row per key
+    with the measures; it should aggregate early so hot keys shrink map-side.
+    Each row of the table records the batch that produced it; a replayed
+    batch is skipped, so every batch is added exactly once.  The table is
+    double-buffered: batch ``N`` replaces slot ``N % 2`` through dynamic
+    partition overwrite (the old slot is swapped out only at job commit)
+    while the other slot keeps the previous complete state, so a failure in
+    the middle of a write never loses the sums.  The merged rows are
+    checkpointed to the shared folder first, because they are read from the
+    table they are written to.  The table size is bounded by the key space.
     """
+    schema = state_schema(keys, measures)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        state = spark.read.schema(SERVING_STATE_SCHEMA).parquet(path)
+        state = spark.read.schema(schema).parquet(path)
         last = state.agg(F.max("applied_batch")).first()[0]
         if last is not None and batch_id <= last:
             return
         current = state.where(F.col("applied_batch") == F.lit(last)) if last is not None else state
         merged = (
-            serving_kpis(batch, users)
+            delta(batch)
             .unionByName(current.drop("applied_batch", "slot"))
-            .groupBy("region", "event_type")
-            .agg(
-                F.sum("events").cast("long").alias("events"),
-                F.sum("total_value").cast(T.DecimalType(38, 2)).alias("total_value"),
-            )
+            .groupBy(*keys)
+            .agg(*[F.sum(m).cast(t).alias(m) for m, t in measures.items()])
             .withColumn("applied_batch", F.lit(batch_id).cast("long"))
             .withColumn("slot", F.lit(batch_id % 2).cast("int"))
         )
@@ -478,6 +480,22 @@ def _merge_writer(spark: SparkSession, path: str, users: DataFrame):
     return write
 
 
+SERVING_KEYS = ["region", "event_type"]
+SERVING_MEASURES: dict[str, T.DataType] = {"events": T.LongType(), "total_value": T.DecimalType(38, 2)}
+SERVING_STATE_SCHEMA = state_schema(SERVING_KEYS, SERVING_MEASURES)
+
+
+def _init_state(spark: SparkSession, path: str) -> None:
+    init_merged_table(spark, path, SERVING_STATE_SCHEMA)
+
+
+def _merge_writer(spark: SparkSession, path: str, users: DataFrame):
+    """The events serving merge: per-user partial aggregate, region join, sums."""
+    return merge_writer(
+        spark, path, lambda batch: serving_kpis(batch, users), SERVING_KEYS, SERVING_MEASURES
+    )
+
+
 def write_serving(spark: SparkSession, silver: str, sf_dir: str, paths: StreamPaths) -> str:
     """Serving table maintained batch by batch; its size is bounded by the
     (region, event type) key space, not by the event volume."""
@@ -494,7 +512,7 @@ def write_serving(spark: SparkSession, silver: str, sf_dir: str, paths: StreamPa
 
 
 def read_serving(spark: SparkSession, serving: str) -> DataFrame:
-    state = _current_state(spark, serving)
+    state = read_merged_table(spark, serving, SERVING_STATE_SCHEMA)
     return state.select(
         "region", "event_type", "events", F.col("total_value").cast("double").alias("total_value")
     )

@@ -1,4 +1,5 @@
-"""Sales orders as a stream: CSV landing -> typed silver / quarantine -> hourly KPIs.
+"""Sales orders as a stream: CSV landing -> typed silver / quarantine -> hourly
+KPIs and the region x item type serving table.
 
 A producer lands sales rows as CSV text (the layout of the sales CSV, header
 names included).  The stream reuses the batch operators: the same lenient
@@ -15,13 +16,18 @@ from pyspark.sql import types as T
 
 from ledgerlens import schema as S
 from ledgerlens.functions.calendar import event_time
+from ledgerlens.operators.ranking import top_n
 from ledgerlens.sources.cleaning import SALES_DATE_FORMAT, coerce_numeric, lenient_timestamp
 from ledgerlens.streaming.pipeline import (
     WATERMARK,
     StreamPaths,
     _beginning,
     _run,
+    init_merged_table,
+    merge_writer,
     naive_time,
+    read_merged_table,
+    state_schema,
     with_event_time,
 )
 
@@ -166,3 +172,51 @@ def read_sales_hourly(spark: SparkSession, hourly: str, silver: str) -> DataFram
         F.col("window_start") >= edge
     )
     return final.unionByName(tail)
+
+
+# ---------------------------------------------------------------- serving table
+
+SALES_SERVING_KEYS = [S.REGION, S.ITEM_TYPE]
+SALES_SERVING_MEASURES: dict[str, T.DataType] = {
+    S.TOTAL_REVENUE: T.DecimalType(38, 4),
+    S.TOTAL_PROFIT: T.DecimalType(38, 4),
+    S.UNITS_SOLD: T.DecimalType(38, 2),
+}
+SALES_SERVING_SCHEMA = state_schema(SALES_SERVING_KEYS, SALES_SERVING_MEASURES)
+
+
+def sales_serving_delta(batch: DataFrame) -> DataFrame:
+    """Exact sums per (region, item type) of one micro-batch (partial
+    aggregation runs map-side, so a hot key is reduced before the shuffle)."""
+    return batch.groupBy(*SALES_SERVING_KEYS).agg(
+        *[F.sum(m).alias(m) for m in SALES_SERVING_MEASURES]
+    )
+
+
+def write_sales_serving(spark: SparkSession, silver: str, paths: StreamPaths) -> str:
+    """The streamed serving table: sums per region and item type, merged batch
+    by batch (idempotent, double-buffered; see ``pipeline.merge_writer``)."""
+    out = paths.sink("sales_serving")
+    init_merged_table(spark, out, SALES_SERVING_SCHEMA)
+    columns = SALES_SERVING_KEYS + list(SALES_SERVING_MEASURES)
+    _run(
+        spark.readStream.schema(SILVER_SALES_SCHEMA)
+        .parquet(silver)
+        .select(*columns)
+        .writeStream.option("checkpointLocation", paths.checkpoint("sales_serving"))
+        .foreachBatch(
+            merge_writer(
+                spark, out, sales_serving_delta, SALES_SERVING_KEYS, SALES_SERVING_MEASURES
+            )
+        )
+    )
+    return out
+
+
+def read_sales_serving(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
+    """Top ``n`` (region, item type) rows by profit from the serving table."""
+    state = read_merged_table(spark, path, SALES_SERVING_SCHEMA)
+    out = state.select(
+        *SALES_SERVING_KEYS, *[F.col(m).cast("double").alias(m) for m in SALES_SERVING_MEASURES]
+    )
+    return top_n(out, n, [F.desc(S.TOTAL_PROFIT), F.asc(S.REGION), F.asc(S.ITEM_TYPE)])
