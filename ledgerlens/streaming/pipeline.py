@@ -524,14 +524,19 @@ def run_pipeline(
     dims_dir: str | None = None,
     paths: StreamPaths | None = None,
     max_files_per_trigger: int | None = None,
+    file_glob: str | None = "events.parquet",
 ) -> dict[str, str]:
     """Run every stage once (``availableNow``) and return the sink folders.
 
-    Re-running with the same ``paths`` continues from the checkpoints and only
-    processes files that arrived since.
+    ``file_glob`` selects the event files in ``source_dir`` (the driver layout
+    has one ``events.parquet``; a landing folder of part files uses
+    ``"*.parquet"``).  Re-running with the same ``paths`` continues from the
+    checkpoints and only processes files that arrived since.
     """
     paths = paths or new_run(spark, "pipeline")
-    events = events_source(spark, source_dir, max_files_per_trigger=max_files_per_trigger)
+    events = events_source(
+        spark, source_dir, file_glob=file_glob, max_files_per_trigger=max_files_per_trigger
+    )
     bronze = write_bronze(events, paths)
     silver = write_silver(spark, bronze, paths)
     return {
