@@ -33,9 +33,13 @@ def main(argv: list[str] | None = None) -> None:
     if args.query:
         if not args.tables:
             parser.error("--query needs --tables")
-        import __spark_entry__ as entry  # noqa: PLC0415 (repository root on the path)
+        from ledgerlens.plans.catalog import QUERIES
+        from ledgerlens.streaming.catalog import STREAM_QUERIES
 
-        results = {args.query: entry.queries()[args.query](spark, args.tables)}
+        catalogue = {**QUERIES, **STREAM_QUERIES}
+        if args.query not in catalogue:
+            parser.error(f"unknown query {args.query!r}; known: {', '.join(sorted(catalogue))}")
+        results = {args.query: catalogue[args.query](spark, args.tables)}
     else:
         from ledgerlens.plans.questions import questions
         from ledgerlens.sources.csv import read_sales_csv
