@@ -2,10 +2,17 @@
 
 Every public operator is a ``DataFrame -> DataFrame`` function (usable with
 ``df.transform``) or a builder that returns a DataFrame.  Nothing in the library
-collects rows to the driver; the only driver-side actions are tiny size checks
-before a broadcast and the start of a streaming query.
+collects rows to the driver; the driver-side actions are listed in the README.
+
+Entry points:
+
+    build_session, cluster_conf, checkpoint_root   (ledgerlens.session)
+    sales_fact                                      (ledgerlens.sources.star)
+    read_sales_csv                                  (ledgerlens.sources.csv)
+    questions                                       (ledgerlens.plans.questions)
+    run_pipeline                                    (ledgerlens.streaming.pipeline)
 """
 
-from ledgerlens.session import build_session, checkpoint_root
+from ledgerlens.session import build_session, checkpoint_root, cluster_conf
 
-__all__ = ["build_session", "checkpoint_root"]
+__all__ = ["build_session", "checkpoint_root", "cluster_conf"]

@@ -69,3 +69,45 @@ def test_top_n_per_group_matches_pandas(spark, data, n):
     got = top_n_per_group(df, ["g"], n, [F.desc("v"), F.asc("id")]).toPandas()
     want = pdf.sort_values(["g", "v", "id"], ascending=[True, False, True]).groupby("g").head(n)
     assert sorted(got["id"]) == sorted(want["id"])
+
+
+sales_like = st.lists(
+    st.tuples(
+        st.integers(1995, 2001),
+        st.sampled_from(["ASIA", "EUROPE", "AFRICA"]),
+        st.sampled_from(["BUILDING", "MACHINERY"]),
+    ),
+    min_size=1,
+    max_size=40,
+)
+choice = st.one_of(st.none(), st.lists(st.integers(1994, 2002), max_size=3))
+regions = st.one_of(st.none(), st.lists(st.sampled_from(["ASIA", "EUROPE", "AMERICA"]), max_size=2))
+channels = st.one_of(st.none(), st.lists(st.sampled_from(["BUILDING", "HOUSEHOLD"]), max_size=2))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=sales_like, years=choice, regs=regions, chans=channels)
+def test_selections_match_pandas(spark, data, years, regs, chans):
+    import datetime as dt
+
+    from ledgerlens.operators.filters import optional_filter, strict_filter
+
+    pdf = pd.DataFrame(
+        [(i, dt.datetime(y, 6, 30, 23, 30), r, c) for i, (y, r, c) in enumerate(data)],
+        columns=["order_id", "order_date", "region", "sales_channel"],
+    )
+    df = spark.createDataFrame(pdf).withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
+
+    def brute(strict):
+        keep = pd.Series(True, index=pdf.index)
+        for values, col in ((years, None), (regs, "region"), (chans, "sales_channel")):
+            if values is None or (not strict and not values):
+                continue
+            series = pdf["order_date"].dt.year if col is None else pdf[col]
+            keep &= series.isin(values)
+        return sorted(pdf[keep]["order_id"])
+
+    got_opt = sorted(r[0] for r in optional_filter(df, years, regs, chans).select("order_id").collect())
+    got_strict = sorted(r[0] for r in strict_filter(df, years, regs, chans).select("order_id").collect())
+    assert got_opt == brute(strict=False)
+    assert got_strict == brute(strict=True)
