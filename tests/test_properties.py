@@ -111,3 +111,45 @@ def test_selections_match_pandas(spark, data, years, regs, chans):
     got_strict = sorted(r[0] for r in strict_filter(df, years, regs, chans).select("order_id").collect())
     assert got_opt == brute(strict=False)
     assert got_strict == brute(strict=True)
+
+
+geo_rows = st.lists(
+    st.tuples(st.sampled_from(["R1", "R2", "R3"]), st.sampled_from(["c1", "c2", "c3", "c4"]), st.integers(-50, 50)),
+    min_size=1,
+    max_size=40,
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=geo_rows)
+def test_top_country_in_top_region_matches_pandas(spark, data):
+    from decimal import Decimal
+
+    from ledgerlens.operators.aggregates import top_country_in_top_region
+
+    pdf = pd.DataFrame(data, columns=["region", "country", "p"])
+    df = spark.createDataFrame(
+        [(r, c, Decimal(p)) for r, c, p in data], "region string, country string, total_profit decimal(18,4)"
+    )
+    by_region = pdf.groupby("region")["p"].sum().reset_index().sort_values(["p", "region"], ascending=[False, True])
+    best_region = by_region.iloc[0]["region"]
+    in_best = pdf[pdf.region == best_region].groupby("country")["p"].sum().reset_index()
+    best = in_best.sort_values(["p", "country"], ascending=[False, True]).iloc[0]
+    row = top_country_in_top_region(df).collect()[0]
+    assert (row["region"], row["country"], row["total_profit"]) == (best_region, best["country"], float(best["p"]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(0, 60 * 24 * 30), min_size=1, max_size=50))
+def test_72h_window_counts_match_pandas_floor(spark, minutes):
+    import datetime as dt
+
+    from ledgerlens.operators.aggregates import orders_per_window
+
+    base = dt.datetime(2012, 6, 1)
+    stamps = [base + dt.timedelta(minutes=m) for m in minutes]
+    pdf = pd.DataFrame({"order_date": stamps, "order_id": range(len(stamps))})
+    want = pdf.groupby(pdf["order_date"].dt.floor("72h")).size().to_dict()
+    df = spark.createDataFrame(pdf).withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
+    got = {r["window_start"]: r["count_order_id"] for r in orders_per_window(df).collect()}
+    assert {pd.Timestamp(k): v for k, v in got.items()} == {pd.Timestamp(k): v for k, v in want.items()}
