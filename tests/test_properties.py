@@ -153,3 +153,52 @@ def test_72h_window_counts_match_pandas_floor(spark, minutes):
     df = spark.createDataFrame(pdf).withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
     got = {r["window_start"]: r["count_order_id"] for r in orders_per_window(df).collect()}
     assert {pd.Timestamp(k): v for k, v in got.items()} == {pd.Timestamp(k): v for k, v in want.items()}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(2010, 2016), st.integers(1, 10_000)), min_size=1, max_size=30))
+def test_growth_label_matches_half_up_brute_force(spark, rows):
+    import datetime as dt
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from ledgerlens.operators.aggregates import yoy_growth_label
+
+    df = spark.createDataFrame(
+        [(dt.datetime(y, 3, 1), Decimal(v)) for y, v in rows],
+        "order_date timestamp_ntz, total_revenue decimal(18,4)",
+    )
+    totals = pd.DataFrame(rows, columns=["y", "v"]).groupby("y")["v"].sum().sort_index()
+    want, prev = {}, None
+    for year, total in totals.items():
+        if prev is None:
+            want[year] = None
+        else:
+            pct = (float(total) - float(prev)) / float(prev) * 100.0
+            rounded = Decimal(repr(pct)).quantize(Decimal(1), rounding=ROUND_HALF_UP)
+            want[year] = f"{int(rounded)} %"
+        prev = total
+    got = {r["year"]: r["yoy_growth"] for r in yoy_growth_label(df).collect()}
+    assert got == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 400), st.sampled_from(["A", "B"]), st.integers(1, 9)), min_size=1, max_size=40))
+def test_weekend_units_match_pandas_dayofweek(spark, rows):
+    import datetime as dt
+    from decimal import Decimal
+
+    from ledgerlens.operators.aggregates import weekend_units_by_item
+
+    base = dt.datetime(2015, 1, 1)
+    pdf = pd.DataFrame(
+        [(base + dt.timedelta(days=d), "R", item, u) for d, item, u in rows],
+        columns=["order_date", "region", "item_type", "units_sold"],
+    )
+    df = spark.createDataFrame(
+        [(r.order_date.to_pydatetime(), r.region, r.item_type, Decimal(int(r.units_sold))) for r in pdf.itertuples()],
+        "order_date timestamp_ntz, region string, item_type string, units_sold decimal(12,2)",
+    )
+    weekend = pdf[pdf["order_date"].dt.dayofweek.isin([5, 6])]
+    want = weekend.groupby("item_type")["units_sold"].sum().astype(float).to_dict()
+    got = {r["item_type"]: r["sum_units_sold"] for r in weekend_units_by_item(df, "R").collect()}
+    assert got == want
