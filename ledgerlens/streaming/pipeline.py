@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -498,16 +499,26 @@ def _merge_writer(spark: SparkSession, path: str, users: DataFrame):
 
 def write_serving(spark: SparkSession, silver: str, sf_dir: str, paths: StreamPaths) -> str:
     """Serving table maintained batch by batch; its size is bounded by the
-    (region, event type) key space, not by the event volume."""
+    (region, event type) key space, not by the event volume.
+
+    The static user -> region frame is persisted (memory and disk) while the
+    stream runs, so micro-batches reuse it instead of re-reading and re-joining
+    customer, nation and region; a lost executor's blocks are recomputed from
+    the lineage.
+    """
     checkpoint_root(spark)
     out = paths.sink("serving")
     _init_state(spark, out)
-    _run(
-        read_silver_stream(spark, silver)
-        .select("user_id", "event_type", "value")
-        .writeStream.option("checkpointLocation", paths.checkpoint("serving"))
-        .foreachBatch(_merge_writer(spark, out, user_regions(spark, sf_dir)))
-    )
+    users = user_regions(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _run(
+            read_silver_stream(spark, silver)
+            .select("user_id", "event_type", "value")
+            .writeStream.option("checkpointLocation", paths.checkpoint("serving"))
+            .foreachBatch(_merge_writer(spark, out, users))
+        )
+    finally:
+        users.unpersist()
     return out
 
 
