@@ -131,3 +131,30 @@ def test_order_grain_pre_aggregates_beyond_the_broadcast_bound(spark):
     con = duck(SF001)
     for name, pdf in got.items():
         assert compare(pdf, con.sql(E.oracle_sql()[name]).df()) == [], name
+
+
+def test_serving_join_reuses_the_cached_dimension_layout(spark):
+    from conftest import SF0001
+    from ledgerlens.sources.tables import read_table
+    from ledgerlens.streaming import pipeline as SP
+
+    confs = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in confs}
+    users = SP.co_partitioned_users(spark, SF0001)
+    try:
+        for k in confs:  # as at scale: the dimension is too big to broadcast
+            spark.conf.set(k, "-1")
+        events = read_table(spark, SF0001, "events").select("user_id", "event_type", "value")
+        text = formatted(SP.serving_kpis(events, users))
+    finally:
+        users.unpersist()
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin" in text and "InMemoryTableScan" in text
+    # the only user_id shuffle planned per batch is the small per-user side's
+    import re
+
+    assert len(re.findall(r"hashpartitioning\(user_id#\d+L?, \d+\), ENSURE_REQUIREMENTS", text)) == 1
