@@ -2,8 +2,9 @@
 
 Each builder runs the pipeline stages it needs with ``availableNow`` triggers
 (fresh sinks and checkpoints under the shared checkpoint folder) and returns a
-batch DataFrame over the resulting sink, which the oracle SQL checks against
-the same computation over the ``events`` table.
+batch DataFrame over the resulting sink.  The oracle SQL computes the same
+result from the ``events`` table (event streams) or from the star view over
+the sales tables (the sales-order CSV stream).
 """
 
 from __future__ import annotations

@@ -12,8 +12,10 @@ use append mode: a window is written once, after the watermark passes it, and
 its state is dropped; readers add the still-open tail (at most the watermark
 delay of data) recomputed from silver.  The serving table (key space bounded
 by two dimensions) is merged batch by batch in ``foreachBatch`` after a
-per-user partial aggregate; the merge is idempotent by batch id.  Watermarks bound window and
-dedup state.
+per-user partial aggregate, joined to a co-partitioned cached user dimension;
+the merge is idempotent by batch id and double-buffered.  Watermarks bound
+window and dedup state.  Sales orders as a CSV stream live in
+``ledgerlens.streaming.sales``.
 
 Checkpoints and sinks live under the shared folder named by
 ``spark.checkpoint.dir`` (``ledgerlens.session.checkpoint_root``).
