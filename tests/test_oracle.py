@@ -6,8 +6,8 @@ import __spark_entry__ as entry
 from conftest import SF001
 from oracle_util import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {k: q for k, q in entry.queries().items() if k not in entry.LLM_QUERIES}
+ORACLE = {k: sql for k, sql in entry.oracle_sql().items() if k not in entry.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")
