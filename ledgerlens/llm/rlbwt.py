@@ -25,8 +25,8 @@ like the rest and spread over all tasks.
 
 Defined cases: a null or empty text, or one shorter than ``LENGTH`` bytes, keeps
 all its bytes; repeated rows are repeats of each other; a null doc_id stays
-null; removal may split a character, whose rest ``cut`` drops from its text
-column (``bytes`` keep it); extra columns pass through ``remove``; no rows give
+null; removal may split a character, whose rest ``remove`` drops and ``cut`` keeps;
+extra columns pass through ``remove``; no rows give
 no rows.
 """
 
@@ -372,24 +372,28 @@ def _kept(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2]))
 
 
-def cut_batches(batches, length: int) -> Iterator[pa.RecordBatch]:
+def cut_batches(batches, length: int, as_text: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = utf8(batch.column("text"))
         runs = [removed_runs(s, length) for s in batch.column("spans").to_pylist()]
+        kept = [_kept(t, r) for t, r in zip(texts, runs)]
         kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row"),
                 pa.array([[{"from": a, "to": b} for a, b in r] for r in runs], kind),
                 pa.array([len(t) for t in texts], pa.int64()),
-                pa.array([_kept(t, r) for t, r in zip(texts, runs)], pa.binary()),
+                pa.array([k.decode(errors="ignore") for k in kept]) if as_text else pa.array(kept, pa.binary()),
             ],
-            ["row", "removed", "n_bytes", "bytes"],
+            ["row", "removed", "n_bytes", "kept"],
         )
 
 
-def cut(docs: DataFrame, length: int = LENGTH, **parameters) -> DataFrame:
-    """``row`` (the columns as given, but the text), ``removed`` runs, ``n_bytes`` and the kept ``bytes``."""
+def cut(docs: DataFrame, length: int = LENGTH, as_text: bool = False, **parameters) -> DataFrame:
+    """``row`` (the columns as given, but the text), ``removed`` runs, ``n_bytes`` and what is ``kept``.
+
+    ``kept`` are bytes; as text, without the rest of a character that was cut in two.
+    """
     spans = repeats(docs, length, **parameters)
     per_text = spans.groupBy("doc_id", "rk").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     others = [c for c in docs.columns if c.lower() != "text"]
@@ -401,15 +405,14 @@ def cut(docs: DataFrame, length: int = LENGTH, **parameters) -> DataFrame:
     )
     met = rows.join(per_text, same_row(rows, per_text), "left").select("row", "text", "spans")
     row_type = met.schema["row"].dataType.simpleString()
-    schema = f"row {row_type}, removed array<struct<`from`:bigint,`to`:bigint>>, n_bytes bigint, bytes binary"
-    return met.mapInArrow(map_task(cut_batches, length=length), schema)
+    schema = f"row {row_type}, removed array<struct<`from`:bigint,`to`:bigint>>, n_bytes bigint, kept {'string' if as_text else 'binary'}"
+    return met.mapInArrow(map_task(cut_batches, length=length, as_text=as_text), schema)
 
 
 def remove(docs: DataFrame, **parameters) -> DataFrame:
     """The rows with their texts cut; all columns as given.  A character cut in two goes."""
-    done = cut(docs, **parameters)
-    text = F.decode("bytes", "UTF-8")
-    columns = [text.alias(c) if c.lower() == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    done = cut(docs, as_text=True, **parameters)
+    columns = [F.col("kept").alias(c) if c.lower() == "text" else F.col("row")[c].alias(c) for c in docs.columns]
     return done.select(*columns)
 
 
@@ -420,5 +423,5 @@ def digest(done: DataFrame) -> DataFrame:
         "n_bytes",
         removed.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
-        F.sha2("bytes", 256).alias("kept_sha256"),
+        F.sha2("kept", 256).alias("kept_sha256"),
     )
