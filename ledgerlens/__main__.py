@@ -1,6 +1,7 @@
 """Command line: run the seven questions or any catalogue query and show it.
 
     python -m ledgerlens --csv sales.csv --region "Sub-Saharan Africa"
+    python -m ledgerlens --demo
     python -m ledgerlens --tables /root/testdata/sf0.01 --questions
     python -m ledgerlens --tables /root/testdata/sf0.01 --query profit_by_region
     python -m ledgerlens --tables /root/testdata/sf0.01 --query monthly_trend --out /shared/monthly
@@ -21,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     src = parser.add_mutually_exclusive_group(required=True)
     src.add_argument("--csv", help="sales CSV (header row, M/d/yyyy dates)")
     src.add_argument("--tables", help="folder with the driver parquet tables")
+    src.add_argument("--demo", action="store_true", help="the synthetic demo rows (no file needed)")
     parser.add_argument("--query", help="catalogue query name (with --tables)")
     parser.add_argument("--questions", action="store_true", help="run the seven questions")
     parser.add_argument("--region", default=None, help="region of the weekend question")
@@ -44,10 +46,14 @@ def main(argv: list[str] | None = None) -> None:
         from ledgerlens.plans.questions import questions
         from ledgerlens.sources.csv import read_sales_csv
         from ledgerlens.sources.star import sales_fact
+        from ledgerlens.sources.synthetic import synthetic_sales
 
         if args.csv:
             sales = read_sales_csv(spark, args.csv)
             region = args.region or "Sub-Saharan Africa"
+        elif args.demo:
+            sales = synthetic_sales(spark)
+            region = args.region or "Sub-Saharan Africa"
         else:
             sales = sales_fact(spark, args.tables)
             region = args.region or P.WEEKEND_REGION

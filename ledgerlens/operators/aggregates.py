@@ -80,14 +80,27 @@ def orders_per_window(
     duration: str = "72 hours",
     slide: str | None = None,
     count_alias: str = "count_order_id",
+    rows_alias: str | None = None,
 ) -> DataFrame:
     """Orders per epoch-aligned event-time window (tumbling unless ``slide``).
 
-    ``count(id)`` skips null ids, as the question counts order ids.
+    ``count(id)`` skips null ids, as the question counts order ids;
+    ``rows_alias`` adds the count of rows.  Sliding windows are summed from
+    the counts per slide, so no order is expanded into several windows.
     """
-    win = F.window(time_col, duration, slide) if slide else F.window(time_col, duration)
-    return df.groupBy(win.alias("w")).agg(F.count(id_col).alias(count_alias)).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), count_alias
+    counted = [count_alias] + ([rows_alias] if rows_alias else [])
+    win = F.window(time_col, slide or duration)
+    counts = df.groupBy(win.alias("w")).agg(
+        F.count(id_col).alias(count_alias), *([F.count(F.lit(1)).alias(rows_alias)] if rows_alias else [])
+    )
+    if slide:
+        counts = (
+            counts.select(F.col("w.start").alias("at"), *counted)
+            .groupBy(F.window("at", duration, slide).alias("w"))
+            .agg(*[F.sum(c).alias(c) for c in counted])
+        )
+    return counts.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *counted
     )
 
 
@@ -97,10 +110,18 @@ def max_orders_per_window(df: DataFrame, **kwargs) -> DataFrame:
 
 
 def avg_units_by_month(sales: DataFrame) -> DataFrame:
-    """Mean units per order line by month of year (years pooled), best first."""
+    """Mean units per order line by month of year (years pooled), best first.
+
+    A frame of orders (with ``lines``) gives the same means as its lines.
+    """
+    mean = (
+        F.try_divide(units_sum(S.UNITS_SOLD), F.sum(S.LINES))
+        if S.LINES in sales.columns
+        else exact_mean(S.UNITS_SOLD, UNITS_MEAN_TYPE)
+    )
     return (
         sales.groupBy(month_of(S.ORDER_DATE).alias(S.MONTH))
-        .agg(exact_mean(S.UNITS_SOLD, UNITS_MEAN_TYPE).alias("avg_units_sold"))
+        .agg(mean.alias("avg_units_sold"))
         .orderBy(F.desc("avg_units_sold"), S.MONTH)
     )
 

@@ -1,53 +1,17 @@
-"""Join helpers: size-checked broadcast and the one-DAG semi-join."""
+"""The one-DAG semi-join."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows; beyond it
-# the planner's own choice (sort-merge join with AQE skew splitting) applies.
-BROADCAST_ROW_LIMIT = 100_000
 
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after proving ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most about ``max_rows + 1`` rows, so it stays cheap even
-    when the side turns out to be large; in that case the frame is returned
-    unhinted and Spark plans a shuffle join.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``offset(max_rows).take(1)`` is planned as an incremental collect-limit
-    (``CollectLimit max_rows+1, max_rows``): Spark scans partitions a few at a
-    time and stops once ``max_rows + 1`` rows are seen, so the check costs
-    O(max_rows) even on a huge table.  The driver JVM gathers at most that many
-    one-column rows (a few MB) and a single row reaches Python.
-    """
-    probe = df.select(F.lit(1).alias("_probe")).offset(max_rows)
-    return len(probe.take(1)) == 0
-
-
-def restrict_to(
-    df: DataFrame,
-    chosen: DataFrame,
-    keys: list[str],
-    known_rows: int | None = None,
-    max_rows: int = BROADCAST_ROW_LIMIT,
-) -> DataFrame:
+def restrict_to(df: DataFrame, chosen: DataFrame, keys: list[str], known_rows: int | None = None) -> DataFrame:
     """Keep the rows of ``df`` whose ``keys`` appear in ``chosen`` (left semi join).
 
-    ``chosen`` is broadcast, so the large side is never shuffled for the
-    restriction, when its size is proven: either the caller states a bound
-    (``known_rows``, e.g. the ``k`` of a top-k) or a size check confirms at
-    most ``max_rows`` rows.  Otherwise a shuffled semi join is planned.
+    With ``known_rows`` (a bound the caller can prove, such as the ``k`` of a
+    top-k) ``chosen`` is broadcast and the large side is not shuffled;
+    otherwise Spark's own size check decides.
     """
     keys_df = chosen.select(*keys)
-    if known_rows is not None and known_rows <= max_rows:
-        return df.join(F.broadcast(keys_df), on=keys, how="left_semi")
-    return df.join(broadcast_if_bounded(keys_df, max_rows), on=keys, how="left_semi")
+    return df.join(F.broadcast(keys_df) if known_rows is not None else keys_df, on=keys, how="left_semi")

@@ -47,14 +47,22 @@ def with_backend_columns(sales: DataFrame) -> DataFrame:
 
 def kpis(sales: DataFrame) -> DataFrame:
     """Overview metrics in one aggregate: emptiness flag, revenue, profit,
-    mean of the per-row margins (total form) and distinct orders."""
-    margin = margin_total_pct(S.TOTAL_PROFIT, S.TOTAL_REVENUE)
+    mean of the per-row margins (total form) and distinct orders.
+
+    A frame of orders (with the margin sums) gives the same metrics as its lines.
+    """
+    if S.MARGIN_SUM in sales.columns:
+        margin = F.try_divide(F.sum(S.MARGIN_SUM).cast("double"), F.sum(S.MARGIN_LINES))
+        orders = F.count(S.ORDER_ID)
+    else:
+        margin = mean_margin(margin_total_pct(S.TOTAL_PROFIT, S.TOTAL_REVENUE))
+        orders = F.count_distinct(S.ORDER_ID)
     return sales.agg(
         (F.count(F.lit(1)) == 0).alias("empty"),
         money_sum(S.TOTAL_REVENUE).alias(S.TOTAL_REVENUE),
         money_sum(S.TOTAL_PROFIT).alias(S.TOTAL_PROFIT),
-        mean_margin(margin).alias("avg_margin"),
-        F.count_distinct(S.ORDER_ID).alias("order_count"),
+        margin.alias("avg_margin"),
+        orders.alias("order_count"),
     )
 
 
@@ -93,6 +101,21 @@ def preview_first(sales: DataFrame, n: int = 100) -> DataFrame:
     return as_output(top_n(sales, n, [F.asc(S.ORDER_DATE)] + [F.asc(k) for k in keys]))
 
 
+def overview_of_orders(
+    orders: DataFrame,
+    years: Sequence[int] | None = None,
+    regions: Sequence[str] | None = None,
+    channels: Sequence[str] | None = None,
+) -> dict[str, DataFrame]:
+    """The overview's sections that need no line detail, from one row per order."""
+    filtered = optional_filter(orders, years, regions, channels)
+    return {
+        "metrics": kpis(filtered),
+        "monthly": A.monthly_trend(filtered),
+        "by_region": A.profit_by_region(filtered),
+    }
+
+
 def overview(
     sales: DataFrame,
     years: Sequence[int] | None = None,

@@ -7,84 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.session import checkpoint_root
-
-# Top-k strategies.  A bounded top-k (``orderBy().limit()``) has every task
-# keep a heap of k rows and ONE task merge k rows per input partition, so the
-# choice depends on k times the number of input partitions P:
-#   k * P <= MERGE_ROWS       the single merge.
-#   k <= TOP_K_ROWS and the session's windowGroupLimitThreshold
-#                             two levels: ``row_number() <= k`` per bucket of
-#                             input partitions keeps k rows per task before the
-#                             shuffle (partial WindowGroupLimit); no merge sees
-#                             more than about MERGE_ROWS rows.
-#   otherwise                 range-partitioned sort of the key columns with
-#                             per-partition offsets (_slice_by_partition_offsets).
-# P is estimated without running anything: the larger of the session's shuffle
-# partition count and four splits per input file.
-TOP_K_ROWS = 50_000
-MERGE_ROWS = 10_000_000
-_GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-# A deep slice of at most this many rows is broadcast when its rows are
-# fetched back from the source frame.
-SLICE_BROADCAST_ROWS = 100_000
-
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def partition_estimate(df: DataFrame) -> int:
-    """Planning-time estimate of the number of input partitions of ``df``."""
-    try:
-        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    except Exception:
-        shuffle = 200
-    try:
-        files = len(df.inputFiles())
-    except Exception:
-        files = 0
-    return max(shuffle, 4 * files, 1)
-
-
-def _single_merge_ok(df: DataFrame, k: int) -> bool:
-    return k * partition_estimate(df) <= MERGE_ROWS
-
-
-def _group_limit_threshold(df: DataFrame) -> int:
-    try:
-        return int(df.sparkSession.conf.get(_GROUP_LIMIT_CONF, "1000"))
-    except Exception:
-        return 1000
-
-
-def _two_level_ok(df: DataFrame, k: int, top_k_rows: int = TOP_K_ROWS) -> bool:
-    return k <= min(top_k_rows, _group_limit_threshold(df))
-
-
-def candidates(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
-    """Rows that can be among the first ``k`` by ``order``: the first ``k`` of
-    every bucket of input partitions.
+def top_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
+    """First ``n`` rows by ``order`` (include unique columns for a total order).
 
-    Each task holds one bucket, so the partial ``WindowGroupLimit`` forwards at
-    most ``k`` rows per task; a bucket's reducer merges at most ``MERGE_ROWS``
-    rows and the survivors number ``k`` per bucket.
+    For report-sized ``n``: every task keeps ``n`` rows and one merges them.
     """
-    per_bucket = max(1, MERGE_ROWS // max(1, k))
-    bucketed = df.withColumn("_bucket", F.floor(F.spark_partition_id() / F.lit(per_bucket)))
-    w = Window.partitionBy("_bucket").orderBy(*_cols(order))
-    ranked = bucketed.withColumn("_rk", F.row_number().over(w))
-    return ranked.where(F.col("_rk") <= k).drop("_bucket", "_rk")
-
-
-def top_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
-    """First ``n`` rows by ``order`` (include unique columns for a total order)."""
-    cols = _cols(order)
-    if _single_merge_ok(df, n):
-        return df.orderBy(*cols).limit(n)
-    if _two_level_ok(df, n):
-        return candidates(df, order, n).orderBy(*cols).limit(n)
-    return slice_rows(df, order, 0, n).drop("pos")
+    return df.orderBy(*_cols(order)).limit(n)
 
 
 def top_n_per_group(
@@ -106,103 +39,42 @@ def top_n_per_group(
     return ranked if keep_rank else ranked.drop(rank_col)
 
 
+def position_counts(counts: DataFrame, lead: str) -> DataFrame:
+    """``lead, n, before``: rows of each value of the leading sort column, and rows before it.
+
+    ``counts`` has one row per value of ``lead``; the running sum over it is one
+    task, which suits a leading column with a bounded domain, such as a time.
+    """
+    running = F.sum("n").over(Window.orderBy(lead).rowsBetween(Window.unboundedPreceding, -1))
+    return counts.select(lead, "n", F.coalesce(running, F.lit(0)).alias("before"))
+
+
 def slice_rows(
     df: DataFrame,
-    order: Sequence[str | Column],
+    order: Sequence[str],
     start: int,
     stop: int,
     pos_col: str = "pos",
-    top_k_rows: int = TOP_K_ROWS,
-    prefilter: str | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows at 0-based positions ``[start, stop)`` of the total order ``order``.
-
-    ``order`` must be a total order (end it with unique columns), otherwise
-    neighbouring slices may overlap.  The result carries the position.
-    ``prefilter`` names a non-null sort column that comes straight from a
-    scanned table; a deep slice fetches its rows back through a semi-join on it.
+    """Rows at 0-based positions ``[start, stop)`` of the order by ``order`` (columns, ascending).
+
+    The rows are counted by the leading column; the running counts say which of
+    its values the slice covers and at which position each begins.  Only rows
+    with those values are ranked, each value on its own.  There are at most
+    ``stop - start`` such values, so they are broadcast.  Rows that tie in
+    all of ``order`` get neighbouring positions in no fixed order.
+    ``counts`` may give the counts (``lead, n``) where they are known.
     """
     start = max(0, int(start))
     stop = max(start, int(stop))
-    order_cols = _cols(order)
-    if stop - start == 0:
-        return df.limit(0).withColumn(pos_col, F.lit(0).cast("bigint"))
-    single = stop <= top_k_rows and _single_merge_ok(df, stop)
-    if single or _two_level_ok(df, stop, top_k_rows):
-        source = df if single else candidates(df, order, stop)
-        page = source.orderBy(*order_cols).offset(start).limit(stop - start)
-        # At most ``top_k_rows`` rows remain: numbering them in one task is bounded.
-        w = Window.orderBy(*order_cols)
-        return page.withColumn(pos_col, (F.row_number().over(w) - 1 + F.lit(start)).cast("bigint"))
-    return _slice_by_partition_offsets(df, list(order), start, stop, pos_col, prefilter)
-
-
-def _slice_by_partition_offsets(
-    df: DataFrame,
-    order: list[str | Column],
-    start: int,
-    stop: int,
-    pos_col: str,
-    prefilter: str | None,
-) -> DataFrame:
-    """Deep slice: global sort, count rows per sorted partition, add offsets.
-
-    The range-partitioned sort spreads rows over all tasks; the per-partition
-    counts are one row per partition, so their running sum and the broadcast
-    back are bounded by the partition count, not by the data.
-
-    The sorted, tagged rows are checkpointed (to the shared checkpoint folder)
-    before they are used twice: a re-planned sort may sample different range
-    bounds or be coalesced differently by AQE, and partition ids from two
-    different executions must never be combined.
-    """
-    checkpoint_root(df.sparkSession)
-    names = [c for c in order if isinstance(c, str)]
-    narrow = len(names) == len(order)
-    # With plain column names only the sort keys are sorted and checkpointed;
-    # the full rows of the (small) slice are fetched back afterwards.
-    base = df.select(*names) if narrow else df
-    tagged = (
-        base.orderBy(*_cols(order))
-        .select(
-            "*",
-            F.spark_partition_id().alias("_pid"),
-            F.monotonically_increasing_id().alias("_mid"),
-        )
-        .checkpoint(eager=True)
-    )
-    per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    offsets = per_part.select(
-        "_pid",
-        "_first",
-        (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_offset"),
-    )
-    sliced = (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(pos_col, (F.col("_offset") + F.col("_mid") - F.col("_first")).cast("bigint"))
-        .where((F.col(pos_col) >= start) & (F.col(pos_col) < stop))
-        .drop("_pid", "_mid", "_first", "_offset")
+    lead, rest = order[0], list(order[1:])
+    counts = df.groupBy(lead).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
+    covered = position_counts(counts, lead).where(
+        (F.col("before") < stop) & (F.col("before") + F.col("n") > start)
     )
-    if not narrow:
-        return sliced
-    small = stop - start <= SLICE_BROADCAST_ROWS
-    keys = sliced.select(*[F.col(n).alias(f"_k{i}") for i, n in enumerate(names)], pos_col)
-    # Semi-join on one plain column first (a broadcast hash semi-join that
-    # drops non-slice rows before the wider match), then attach positions with
-    # a null-safe match on every sort key.
-    if prefilter in names:
-        # A declared non-null table column: plain equality, which the optimizer
-        # may push further down (it does not move it below a sort-merge join).
-        lead_i = names.index(prefilter)
-        lead_match = F.col(prefilter) == F.col("_lead")
-    else:
-        lead_i = 0
-        lead_match = F.col(names[0]).eqNullSafe(F.col("_lead"))
-    lead = keys.select(F.col(f"_k{lead_i}").alias("_lead")).distinct()
-    rows = df.join(F.broadcast(lead) if small else lead, lead_match, "left_semi")
-    keys = F.broadcast(keys) if small else keys
-    match = [F.col(n).eqNullSafe(F.col(f"_k{i}")) for i, n in enumerate(names)]
-    cond = match[0]
-    for m in match[1:]:
-        cond = cond & m
-    return rows.join(keys, cond).drop(*[f"_k{i}" for i in range(len(names))])
+    at = covered.select(F.col(lead).alias("_lead"), F.col("before").alias("_before"))
+    rows = df.join(F.broadcast(at), F.col(lead).eqNullSafe(F.col("_lead")))
+    w = Window.partitionBy("_lead").orderBy(*(rest or [F.lit(1)]))
+    placed = rows.withColumn(pos_col, (F.col("_before") + F.row_number().over(w) - 1).cast("bigint"))
+    return placed.where((F.col(pos_col) >= start) & (F.col(pos_col) < stop)).drop("_lead", "_before")

@@ -6,10 +6,12 @@ columns it needs, applies ledgerlens operators and returns a lazy DataFrame.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens import schema as S
 from ledgerlens.functions.calendar import event_time
@@ -19,10 +21,12 @@ from ledgerlens.operators import overview as O
 from ledgerlens.operators import paging as PG
 from ledgerlens.operators.filters import optional_filter, strict_filter
 from ledgerlens.operators.joins import restrict_to
-from ledgerlens.operators.ranking import top_n
+from ledgerlens.operators.ranking import position_counts, top_n
 from ledgerlens.plans import params as P
+from ledgerlens.session import scratch_path
 from ledgerlens.sources import cleaning as C
-from ledgerlens.sources.star import order_grain, order_table, sales_fact
+from ledgerlens.sources.csv import read_sales_csv, write_sales_csv
+from ledgerlens.sources.star import order_table, order_totals, sales_fact
 from ledgerlens.sources.synthetic import synthetic_sales_from_index
 from ledgerlens.sources.tables import read_table
 
@@ -38,26 +42,26 @@ def q_sales_fact(spark, sf_dir):
 
 
 def q_row_count(spark, sf_dir):
-    return A.row_count(_fact(spark, sf_dir, S.ORDER_ID))
+    return order_totals(spark, sf_dir).agg(F.coalesce(F.sum(S.LINES), F.lit(0)).alias("rows"))
 
 
 def q_profit_by_region(spark, sf_dir):
-    return A.profit_by_region(_fact(spark, sf_dir, S.REGION, S.TOTAL_PROFIT))
+    return A.profit_by_region(order_totals(spark, sf_dir))
 
 
 def q_top_profit_region(spark, sf_dir):
-    return A.top_profit_region(_fact(spark, sf_dir, S.REGION, S.TOTAL_PROFIT))
+    return A.top_profit_region(order_totals(spark, sf_dir))
 
 
 def q_top_country_in_top_region(spark, sf_dir):
-    return A.top_country_in_top_region(_fact(spark, sf_dir, S.REGION, S.COUNTRY, S.TOTAL_PROFIT))
+    return A.top_country_in_top_region(order_totals(spark, sf_dir))
 
 
 def q_top_region_lines(spark, sf_dir):
     """All lines of the most profitable region (the best region fed back as a
     broadcast semi-join instead of a value passed through the driver)."""
     sales = _fact(spark, sf_dir)
-    best = A.top_profit_region(sales)  # one row: a top-1
+    best = A.top_profit_region(order_totals(spark, sf_dir))  # one row: a top-1
     return O.as_output(restrict_to(sales, best, [S.REGION], known_rows=1))
 
 
@@ -74,11 +78,11 @@ def q_sliding_72h(spark, sf_dir):
 
 
 def q_avg_units_by_month(spark, sf_dir):
-    return A.avg_units_by_month(_fact(spark, sf_dir, S.ORDER_DATE, S.UNITS_SOLD))
+    return A.avg_units_by_month(order_totals(spark, sf_dir))
 
 
 def q_best_month_by_units(spark, sf_dir):
-    by_month = A.avg_units_by_month(_fact(spark, sf_dir, S.ORDER_DATE, S.UNITS_SOLD))
+    by_month = A.avg_units_by_month(order_totals(spark, sf_dir))
     return top_n(by_month, 1, [F.desc("avg_units_sold"), F.asc(S.MONTH)])
 
 
@@ -104,16 +108,15 @@ def q_weekend_top5(spark, sf_dir):
 
 
 def q_yoy_growth_label(spark, sf_dir):
-    return A.yoy_growth_label(order_grain(spark, sf_dir, [S.ORDER_DATE], with_revenue=True))
+    return A.yoy_growth_label(order_totals(spark, sf_dir))
 
 
 def q_yoy_growth_pct(spark, sf_dir):
-    return A.yoy_growth_pct(order_grain(spark, sf_dir, [S.ORDER_DATE], with_revenue=True))
+    return A.yoy_growth_pct(order_totals(spark, sf_dir))
 
 
 def q_filter_options(spark, sf_dir):
-    cols = [S.ORDER_DATE, S.REGION, S.SALES_CHANNEL]
-    return A.filter_options(order_grain(spark, sf_dir, cols, with_revenue=False))
+    return A.filter_options(order_totals(spark, sf_dir))
 
 
 def _optional(spark, sf_dir, sel):
@@ -140,17 +143,22 @@ def _overview(spark, sf_dir, sel=P.SELECTION):
     return O.overview(_fact(spark, sf_dir), sel["years"], sel["regions"], sel["channels"])
 
 
+def _order_overview(spark, sf_dir, sel=P.SELECTION):
+    """The overview's sections that need no line detail, from orders summed up."""
+    return O.overview_of_orders(order_totals(spark, sf_dir), sel["years"], sel["regions"], sel["channels"])
+
+
 def q_overview_kpis(spark, sf_dir):
-    return _overview(spark, sf_dir)["metrics"]
+    return _order_overview(spark, sf_dir)["metrics"]
 
 
 def q_empty_overview(spark, sf_dir):
-    return _overview(spark, sf_dir, P.EMPTY_SELECTION)["metrics"]
+    return _order_overview(spark, sf_dir, P.EMPTY_SELECTION)["metrics"]
 
 
 def q_kpi_cards(spark, sf_dir):
     """The overview metrics as display text (``$1,234``, ``12.34%``, ``1,234``)."""
-    m = _overview(spark, sf_dir)["metrics"]
+    m = _order_overview(spark, sf_dir)["metrics"]
     return m.select(
         money_text(S.TOTAL_REVENUE).alias("total_revenue_text"),
         money_text(S.TOTAL_PROFIT).alias("total_profit_text"),
@@ -165,7 +173,7 @@ def q_record_kpis(spark, sf_dir):
 
 
 def q_monthly_trend(spark, sf_dir):
-    return _overview(spark, sf_dir)["monthly"]
+    return _order_overview(spark, sf_dir)["monthly"]
 
 
 def q_top_items_by_profit(spark, sf_dir):
@@ -173,11 +181,11 @@ def q_top_items_by_profit(spark, sf_dir):
 
 
 def q_overview_by_region(spark, sf_dir):
-    return _overview(spark, sf_dir)["by_region"]
+    return _order_overview(spark, sf_dir)["by_region"]
 
 
 def q_top_countries_by_profit(spark, sf_dir):
-    return A.top_by_profit(_fact(spark, sf_dir, S.COUNTRY, S.TOTAL_PROFIT), S.COUNTRY, 10)
+    return A.top_by_profit(order_totals(spark, sf_dir), S.COUNTRY, 10)
 
 
 def q_preview_latest(spark, sf_dir):
@@ -195,6 +203,9 @@ def q_event_time_enrich(spark, sf_dir):
     )
 
 
+EVENT_COUNTS = T.StructType(
+    [T.StructField(S.EVENT_TIME, T.TimestampNTZType(), True), T.StructField("n", T.LongType(), True)]
+)
 PAGE_COLUMNS = [
     S.REGION,
     S.COUNTRY,
@@ -207,18 +218,37 @@ PAGE_COLUMNS = [
 ]
 
 
-def _page(spark, sf_dir):
-    """Sections of the catalogue's page request, plus its spec."""
+def _page(spark, sf_dir, request=P.PAGE):
+    """Sections of a page request, plus its spec.
+
+    The lines are counted by event time from the orders summed up; that table,
+    bounded by the calendar's minutes, is written once and gives the total that
+    clamps the cursor, the times that the page covers and where each begins.
+    The days of those times reach the scan of the orders, and only their lines
+    are joined and ranked.
+    """
+    timed = order_totals(spark, sf_dir).withColumn(S.EVENT_TIME, event_time(S.ORDER_DATE, S.ORDER_ID))
+    path = scratch_path(spark, "event-counts")
+    timed.groupBy(S.EVENT_TIME).agg(F.sum(S.LINES).alias("n")).write.parquet(path)
+    counts = spark.read.schema(EVENT_COUNTS).parquet(path)
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    spec = PG.clamp_page(total, **request)
+    covered = position_counts(counts, S.EVENT_TIME).where(
+        (F.col("before") < spec.cursor) & (F.col("before") + F.col("n") > spec.window_start)
+    )
+    first, last = covered.agg(F.min(S.EVENT_TIME), F.max(S.EVENT_TIME)).first()
     events = _fact(spark, sf_dir, *PAGE_COLUMNS)
+    if first is not None:
+        # an order date is at most a day before its event time
+        days = [F.lit(t.isoformat(" ")).cast("timestamp_ntz") for t in (first - dt.timedelta(days=1), last)]
+        events = events.where(F.col(S.ORDER_DATE).between(*days))
     events = events.withColumn(S.EVENT_TIME, event_time(S.ORDER_DATE, S.ORDER_ID))
-    # The clamp needs the row count: a count of the line table alone.
-    total = _fact(spark, sf_dir, S.ORDER_ID).count()
-    spec, sections = PG.page_sections(events, total, **P.PAGE)
+    spec, sections = PG.page_sections(events, total, **request, counts=counts)
     return sections, spec
 
 
-def q_event_page(spark, sf_dir):
-    sections, _ = _page(spark, sf_dir)
+def q_event_page(spark, sf_dir, request=P.PAGE):
+    sections, _ = _page(spark, sf_dir, request)
     return O.as_output(
         sections["page"].select(
             "pos",
@@ -246,6 +276,40 @@ def q_window_top_countries(spark, sf_dir):
     return _page(spark, sf_dir)[0]["by_country"]
 
 
+def q_event_page_deep(spark, sf_dir):
+    """A page beyond any report-sized top-k: the cursor near the end of the table."""
+    return q_event_page(spark, sf_dir, P.PAGE_DEEP)
+
+
+def q_page_status(spark, sf_dir):
+    return _page(spark, sf_dir)[0]["status"]
+
+
+def q_page_status_default(spark, sf_dir):
+    return _page(spark, sf_dir, P.PAGE_DEFAULT)[0]["status"]
+
+
+def q_page_status_clamped(spark, sf_dir):
+    return _page(spark, sf_dir, P.PAGE_CLAMPED)[0]["status"]
+
+
+def q_orders_per_72h_rows(spark, sf_dir):
+    """Orders per 72-hour window, counted by id and by row."""
+    return A.orders_per_window(order_table(spark, sf_dir), duration="72 hours", rows_alias="order_rows")
+
+
+def q_margin_extremes_text(spark, sf_dir):
+    """Lowest and highest rounded margin as whole-percent text."""
+    m = q_margin_extremes(spark, sf_dir)
+    return m.select(*[F.concat(F.col(c).cast("int").cast("string"), F.lit("%")).alias(c) for c in m.columns])
+
+
+def q_csv_sales_scan(spark, sf_dir):
+    """The sales fact written as a sales CSV and read through the CSV source."""
+    path = write_sales_csv(_fact(spark, sf_dir, *S.SALES_COLUMNS), scratch_path(spark, "sales-csv"))
+    return O.as_output(read_sales_csv(spark, path))
+
+
 def q_serving_table(spark, sf_dir):
     return _page(spark, sf_dir)[0]["serving_table"]
 
@@ -255,7 +319,12 @@ def q_strict_dates(spark, sf_dir):
     text = orders.select(
         S.ORDER_ID, F.date_format(S.ORDER_DATE, C.SALES_DATE_FORMAT).alias("order_date_text")
     )
-    return text.withColumn(S.ORDER_DATE, C.strict_timestamp("order_date_text"))
+    return text.withColumns(
+        {
+            S.ORDER_DATE: C.strict_timestamp("order_date_text"),
+            "order_day": C.strict_date("order_date_text").cast("string"),
+        }
+    )
 
 
 def orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,7 +412,14 @@ QUERIES: dict[str, Builder] = {
     "batch_metrics": q_batch_metrics,
     "hourly_revenue": q_hourly_revenue,
     "window_top_countries": q_window_top_countries,
+    "event_page_deep": q_event_page_deep,
+    "page_status": q_page_status,
+    "page_status_default": q_page_status_default,
+    "page_status_clamped": q_page_status_clamped,
     "serving_table": q_serving_table,
+    "orders_per_72h_rows": q_orders_per_72h_rows,
+    "margin_extremes_text": q_margin_extremes_text,
+    "csv_sales_scan": q_csv_sales_scan,
     "strict_dates": q_strict_dates,
     "coerce_clean": q_coerce_clean,
     "synthetic_orders": q_synthetic_orders,

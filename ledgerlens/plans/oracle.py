@@ -112,18 +112,31 @@ _KPIS = f"""SELECT count(*) = 0 AS empty,
        count(DISTINCT order_id) AS order_count
 FROM (SELECT *, {MARGIN_TOTAL} AS m FROM sales WHERE {{where}}) t"""
 
-_PAGE_CTES = (
-    SALES,
-    f"ev AS (SELECT *, {EVENT_TIME} AS event_time FROM sales)",
-    f"spec AS (SELECT GREATEST({P.PAGE['batch_size']}, LEAST({P.PAGE['stream_cursor']},"
-    " (SELECT count(*) FROM ev))) AS cursor)",
-    f"""ranked AS (SELECT *, row_number() OVER (ORDER BY event_time, {ROW_KEY}) - 1 AS pos FROM ev)""",
-    f"""page AS (SELECT ranked.*, (SELECT cursor FROM spec) AS cursor FROM ranked
-  WHERE pos >= GREATEST(0, (SELECT cursor FROM spec) - {P.PAGE['batch_size'] * P.PAGE['lookback_batches']})
+def _page_ctes(request: dict) -> tuple[str, ...]:
+    batch = max(5, min(request["batch_size"], 120))
+    lookback = max(1, min(request["lookback_batches"], 10))
+    cursor = 4 * batch if request["stream_cursor"] is None else request["stream_cursor"]
+    return (
+        SALES,
+        f"ev AS (SELECT *, {EVENT_TIME} AS event_time FROM sales)",
+        f"spec AS (SELECT count(*) AS total, GREATEST({batch}, LEAST({cursor}, count(*))) AS cursor FROM ev)",
+        f"ranked AS (SELECT *, row_number() OVER (ORDER BY event_time, {ROW_KEY}) - 1 AS pos FROM ev)",
+        f"""page AS (SELECT ranked.*, (SELECT cursor FROM spec) AS cursor FROM ranked
+  WHERE pos >= GREATEST(0, (SELECT cursor FROM spec) - {batch * lookback})
     AND pos < (SELECT cursor FROM spec))""",
-)
+        f"""status AS (SELECT (SELECT count(*) FROM page) = 0 AS empty, total AS total_rows,
+  CAST({batch} AS BIGINT) AS batch_size, CAST(cursor AS BIGINT) AS stream_cursor,
+  CAST({lookback} AS BIGINT) AS lookback_batches FROM spec)""",
+    )
+
+
+_PAGE_CTES = _page_ctes(P.PAGE)
+_PAGE_ROWS = """SELECT CAST(pos AS BIGINT) AS pos, event_time, order_id, line_number, part_key, supp_key,
+       ext_price, region, country, item_type, CAST(units_sold AS DOUBLE) AS units_sold,
+       CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(total_profit AS DOUBLE) AS total_profit
+FROM page"""
 
-_SYN_DAY = f"CAST(o_orderkey % {P.SYN_CALENDAR_DAYS} AS INTEGER)"
+_SYN_DAY = "CAST(o_orderkey AS INTEGER)"
 
 
 def _pick(values, idx: str) -> str:
@@ -134,7 +147,7 @@ _SYN = f"""syn AS (
   SELECT o_orderkey AS i,
          CAST(60 + o_orderkey % 140 AS DECIMAL(12,2)) AS units,
          CAST(20 + (o_orderkey * 3) % 80 AS DECIMAL(12,2)) AS price,
-         DATE '{P.SYN_START}' + {_SYN_DAY} AS d
+         DATE '2022-01-01' + {_SYN_DAY} AS d
   FROM orders),
 syn2 AS (
   SELECT *, ROUND(price * CAST(0.62 AS DECIMAL(4,2)), 2) AS cost,
@@ -170,6 +183,14 @@ FROM rc JOIN r ON rc.region = r.region ORDER BY rc.p DESC, rc.country LIMIT 1"""
        {BUCKET_72H} + INTERVAL '72 hours' AS window_end,
        count(o_orderkey) AS count_order_id
 FROM orders GROUP BY 1, 2""",
+    "orders_per_72h_rows": f"""SELECT {BUCKET_72H} AS window_start,
+       {BUCKET_72H} + INTERVAL '72 hours' AS window_end,
+       count(o_orderkey) AS count_order_id, count(*) AS order_rows
+FROM orders GROUP BY 1, 2""",
+    "margin_extremes_text": _with(SALES)
+    + """SELECT CAST(CAST(min(p) AS INTEGER) AS VARCHAR) || '%' AS lowest_margin_pct,
+       CAST(CAST(max(p) AS INTEGER) AS VARCHAR) || '%' AS highest_margin_pct FROM (
+  SELECT ROUND((unit_price - unit_cost) / NULLIF(unit_price, 0) * 100.0) + 0.0 AS p FROM sales) t""",
     "max_orders_72h": f"""SELECT max(c) AS max_orders FROM (
   SELECT count(o_orderkey) AS c FROM orders GROUP BY {BUCKET_72H}) t""",
     "sliding_72h": "SELECT ws AS window_start, ws + INTERVAL '72 hours' AS window_end,\n"
@@ -280,11 +301,18 @@ ORDER BY sales.order_date DESC, {ROW_KEY} LIMIT 200""",
        strftime(order_date, '%Y-%m') AS month,
        {MARGIN_TOTAL} AS margin_pct
 FROM sales""",
-    "event_page": _with(*_PAGE_CTES)
-    + """SELECT CAST(pos AS BIGINT) AS pos, event_time, order_id, line_number, part_key, supp_key,
-       ext_price, region, country, item_type, CAST(units_sold AS DOUBLE) AS units_sold,
-       CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(total_profit AS DOUBLE) AS total_profit
-FROM page""",
+    "event_page": _with(*_PAGE_CTES) + _PAGE_ROWS,
+    "event_page_deep": _with(*_page_ctes(P.PAGE_DEEP)) + _PAGE_ROWS,
+    "page_status": _with(*_PAGE_CTES) + "SELECT * FROM status",
+    "page_status_default": _with(*_page_ctes(P.PAGE_DEFAULT)) + "SELECT * FROM status",
+    "page_status_clamped": _with(*_page_ctes(P.PAGE_CLAMPED)) + "SELECT * FROM status",
+    "csv_sales_scan": _with(SALES)
+    + """SELECT trim(region) AS region, trim(country) AS country, trim(item_type) AS item_type,
+       trim(sales_channel) AS sales_channel, trim(order_priority) AS order_priority,
+       order_date, order_id, ship_date, CAST(units_sold AS DOUBLE) AS units_sold, unit_price, unit_cost,
+       CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(total_cost AS DOUBLE) AS total_cost,
+       CAST(total_profit AS DOUBLE) AS total_profit
+FROM sales""",
     "batch_metrics": _with(*_PAGE_CTES)
     + f"""SELECT count(*) AS events_ingested,
        COALESCE(CAST(sum(CASE WHEN pos >= GREATEST(0, cursor - {P.PAGE['batch_size']})
@@ -307,7 +335,8 @@ FROM page GROUP BY region, item_type
 ORDER BY total_profit DESC, region, item_type LIMIT 20""",
     "strict_dates": """SELECT o_orderkey AS order_id,
        strftime(o_orderdate, '%-m/%-d/%Y') AS order_date_text,
-       strptime(strftime(o_orderdate, '%-m/%-d/%Y'), '%m/%d/%Y') AS order_date
+       strptime(strftime(o_orderdate, '%-m/%-d/%Y'), '%m/%d/%Y') AS order_date,
+       strftime(o_orderdate, '%Y-%m-%d') AS order_day
 FROM orders""",
     "coerce_clean": """WITH t AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
@@ -324,13 +353,14 @@ SELECT TRY_CAST(trim(order_id) AS BIGINT) AS order_id,
        order_priority
 FROM t WHERE try_strptime(order_date, '%m/%d/%Y') IS NOT NULL""",
     "synthetic_orders": _with(_SYN)
-    + f"""SELECT {_pick([r for r, _ in P.SYN_REGIONS], 'i')} AS region,
-       {_pick([c for _, c in P.SYN_REGIONS], 'i')} AS country,
-       {_pick(P.SYN_ITEMS, 'i')} AS item_type,
-       {_pick(P.SYN_CHANNELS, 'i')} AS sales_channel,
-       {_pick(P.SYN_PRIORITIES, 'i')} AS order_priority,
+    + f"""SELECT {_pick(['Asia', 'Europe', 'Sub-Saharan Africa', 'Middle East and North Africa',
+                   'North America', 'Central America and the Caribbean'], 'i')} AS region,
+       {_pick(['India', 'Germany', 'Nigeria', 'Egypt', 'United States', 'Mexico'], 'i')} AS country,
+       {_pick(['Office Supplies', 'Cosmetics', 'Household', 'Baby Food', 'Clothes'], 'i')} AS item_type,
+       {_pick(['Online', 'Offline'], 'i')} AS sales_channel,
+       {_pick(['L', 'M', 'H', 'C'], 'i')} AS order_priority,
        CAST(d AS TIMESTAMP) AS order_date,
-       {P.SYN_ID_BASE} + i AS order_id,
+       100000 + i AS order_id,
        CAST(d + CAST(i % 7 + 1 AS INTEGER) AS TIMESTAMP) AS ship_date,
        CAST(units AS DOUBLE) AS units_sold,
        CAST(price AS DOUBLE) AS unit_price,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from ledgerlens.sources import synthetic as _syn
-
 # Region used for the weekend question (the reference asks about one region).
 WEEKEND_REGION = "AFRICA"
 
@@ -20,12 +18,7 @@ EMPTY_SELECTION = {"years": [1990], "regions": None, "channels": None}
 
 # Event page request: batch size, cursor (rows consumed) and look-back batches.
 PAGE = {"batch_size": 30, "stream_cursor": 5000, "lookback_batches": 4}
-
-# Synthetic demo generator constants (defined in ledgerlens.sources.synthetic).
-SYN_REGIONS = _syn.DEMO_REGIONS
-SYN_ITEMS = _syn.DEMO_ITEM_TYPES
-SYN_CHANNELS = _syn.DEMO_CHANNELS
-SYN_PRIORITIES = _syn.DEMO_PRIORITIES
-SYN_START = _syn.DEMO_START
-SYN_ID_BASE = _syn.DEMO_ORDER_ID_BASE
-SYN_CALENDAR_DAYS = _syn.DEMO_CALENDAR_DAYS
+# Deep: past any report-sized head; default: no cursor; clamped: every parameter out of bounds.
+PAGE_DEEP = {"batch_size": 60, "stream_cursor": 55_000, "lookback_batches": 5}
+PAGE_DEFAULT = {"batch_size": 30, "stream_cursor": None, "lookback_batches": 4}
+PAGE_CLAMPED = {"batch_size": 500, "stream_cursor": 10**12, "lookback_batches": 0}

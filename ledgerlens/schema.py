@@ -35,6 +35,11 @@ YEAR = "year"
 MONTH = "month"
 MARGIN_PCT = "margin_pct"
 
+# Measures of one order (lines summed up, see ``sources.star.order_totals``).
+LINES = "lines"
+MARGIN_SUM = "margin_sum"
+MARGIN_LINES = "margin_lines"
+
 SALES_COLUMNS = [
     REGION,
     COUNTRY,
@@ -71,6 +76,7 @@ PRICE_TYPE = T.DecimalType(14, 2)
 RATE_TYPE = T.DecimalType(4, 2)
 MONEY_TYPE = T.DecimalType(18, 4)
 
+# The header of the sales CSV (the input contract).
 # The sales CSV as text: every column is read as a string and typed by the
 # cleaning operators, so malformed values become nulls instead of failed jobs.
 CSV_HEADER = [

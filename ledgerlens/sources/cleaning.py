@@ -39,17 +39,25 @@ def strict_timestamp(c: str | Column, fmt: str = SALES_DATE_FORMAT) -> Column:
 
 
 def lenient_timestamp(c: str | Column, fmt: str = SALES_DATE_FORMAT) -> Column:
-    """Parse text to TIMESTAMP_NTZ; malformed, empty or null text gives null.
+    """Parse text to a day as TIMESTAMP_NTZ; malformed, empty or null text gives null.
 
-    Accepts both ``5/8/2012`` and ``05/08/2012`` for ``M/d/yyyy``.
+    No time zone is involved, so a day never moves.  Accepts both ``5/8/2012`` and ``05/08/2012`` for ``M/d/yyyy``.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(col, F.lit(fmt)).cast(T.TimestampNTZType())
+    return F.try_to_date(col, fmt).cast(T.TimestampNTZType())
 
 
 def lenient_date(c: str | Column, fmt: str = SALES_DATE_FORMAT) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(col, F.lit(fmt)).cast(T.DateType())
+    return F.try_to_date(col, fmt)
+
+
+TEXT_COLUMNS = (S.REGION, S.COUNTRY, S.ITEM_TYPE, S.SALES_CHANNEL, S.ORDER_PRIORITY)
+
+
+def trim_text(df: DataFrame) -> DataFrame:
+    """Names without blanks around them: ``Mali`` and ``Mali `` are one country."""
+    return df.withColumns({c: F.trim(F.col(c)) for c in TEXT_COLUMNS if c in df.columns})
 
 
 def coerce_numeric(df: DataFrame, types: Mapping[str, T.DataType] | None = None) -> DataFrame:
@@ -67,7 +75,7 @@ def drop_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def clean_sales_text(df: DataFrame, date_format: str = SALES_DATE_FORMAT) -> DataFrame:
     """Raw sales text (all strings) -> typed sales rows.
 
-    Dates leniently parsed, seven numeric columns coerced, rows without an
+    Dates leniently parsed, names trimmed, seven numeric columns coerced, rows without an
     order date dropped; other malformed values stay as nulls.
     """
     typed = df.withColumns(
@@ -76,5 +84,5 @@ def clean_sales_text(df: DataFrame, date_format: str = SALES_DATE_FORMAT) -> Dat
             S.SHIP_DATE: lenient_timestamp(S.SHIP_DATE, date_format),
         }
     )
-    typed = coerce_numeric(typed)
+    typed = coerce_numeric(trim_text(typed))
     return drop_null(typed, [S.ORDER_DATE])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
-from ledgerlens.sources.cleaning import clean_sales_text
+from ledgerlens.sources.cleaning import SALES_DATE_FORMAT, clean_sales_text
 
 _RENAMES = dict(zip(S.CSV_HEADER, S.SALES_COLUMNS))
 
@@ -17,6 +17,18 @@ def read_sales_text(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.col(f"`{old}`").alias(new) for old, new in _RENAMES.items()])
 
 
+def write_sales_csv(sales: DataFrame, path: str) -> str:
+    """Write typed sales rows as a sales CSV (header names, ``M/d/yyyy`` dates)."""
+    names = dict(zip(S.SALES_COLUMNS, S.CSV_HEADER))
+    dates = (S.ORDER_DATE, S.SHIP_DATE)
+    text = [
+        (F.date_format(c, SALES_DATE_FORMAT) if c in dates else F.col(c).cast("string")).alias(names[c])
+        for c in S.SALES_COLUMNS
+    ]
+    sales.select(*text).write.option("header", True).csv(path)
+    return path
+
+
 def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
     """Typed sales rows from a sales CSV (lenient cleaning, see ``clean_sales_text``)."""
     return clean_sales_text(read_sales_text(spark, path))

@@ -14,14 +14,11 @@ One row per line item.  Business columns map onto the TPC-H-style tables:
     total_cost         quantity * retailprice, exact decimal
     total_profit       revenue - cost
 
-Only the joins that supply requested columns are planned (the joins are on
-foreign keys that always match, so an unused dimension can be left out without
-changing the rows; ``foreign_keys_hold=False`` plans all of them).  Line-level work (part lookup, money arithmetic) happens
-before the order-level join so the wide order attributes are shuffled once.
-Nation x region and part are broadcast only after a row-count check on their
-driving table proves them small; beyond the bound Spark plans a sort-merge
-join and AQE splits skewed partitions.  The order dimension (as large as the
-orders table) is always left to the planner.
+All joins are planned whatever columns are asked for, so a line with a dangling
+key is left out of every answer alike; Catalyst prunes each side to the join
+keys and the columns in use.  Whether a side is broadcast is left to Spark's
+own size check (file sizes when planning, shuffle sizes at run time); beyond it
+a sort-merge join is planned and AQE splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -32,15 +29,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
-from ledgerlens.operators.joins import fits_broadcast
-from ledgerlens.session import application_id
+from ledgerlens.functions.money import MARGIN_TYPE, margin_total_pct
 from ledgerlens.sources.tables import read_table
 
-_PART = {S.ITEM_TYPE, S.UNIT_COST, S.TOTAL_COST, S.TOTAL_PROFIT}
-_ORDER = {S.ORDER_DATE, S.ORDER_PRIORITY}
-_CUSTOMER = {S.SALES_CHANNEL}
-_GEO = {S.REGION, S.COUNTRY}
-
 
 def revenue_expr(ext_price: str, discount: str):
     """``extendedprice * (1 - discount)`` in exact decimal arithmetic."""
@@ -53,66 +44,36 @@ def cost_expr(units: str, unit_cost: str):
     return (F.col(units).cast(S.UNITS_TYPE) * F.col(unit_cost).cast(S.UNITS_TYPE)).cast(S.MONEY_TYPE)
 
 
-# Dimension rows up to which a whole dimension side is broadcast.  A
-# foreign-key join never has more rows than its fact-side table, so the bound
-# on the driving table (nation, part, orders) bounds the joined dimension.
-DIMENSION_BROADCAST_ROWS = 500_000
-
-# Size checks already made: (application id, folder, table) -> fits.
-_FITS: dict[tuple[str, str, str], bool] = {}
-
-
-def table_fits_broadcast(spark: SparkSession, sf_dir: str, table: str) -> bool:
-    """Whether ``table`` has at most ``DIMENSION_BROADCAST_ROWS`` rows.
-
-    The check stops reading after that many rows and runs once per
-    application, folder and table.
-    """
-    key = (application_id(spark), sf_dir, table)
-    if key not in _FITS:
-        _FITS[key] = fits_broadcast(read_table(spark, sf_dir, table), DIMENSION_BROADCAST_ROWS)
-    return _FITS[key]
-
-
-def _maybe_broadcast(spark: SparkSession, sf_dir: str, table: str, df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if table_fits_broadcast(spark, sf_dir, table) else df
-
-
 def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation x region (25 rows by construction), broadcast after a size check."""
+    """nation x region."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", F.col("n_name").alias(S.COUNTRY), F.col("r_name").alias(S.REGION)
     )
-    return _maybe_broadcast(spark, sf_dir, "nation", geo)
 
 
-def customer_dimension(spark: SparkSession, sf_dir: str, with_geo: bool) -> DataFrame:
-    """custkey -> sales channel [, country, region]."""
+def customer_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """custkey -> sales channel, country, region."""
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", F.col("c_mktsegment").alias(S.SALES_CHANNEL), "c_nationkey"
     )
-    if with_geo:
-        geo = geo_dimension(spark, sf_dir)
-        customer = customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey")).drop(
-            "n_nationkey"
-        )
-    return customer.drop("c_nationkey")
+    geo = geo_dimension(spark, sf_dir)
+    return customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey")).drop(
+        "n_nationkey", "c_nationkey"
+    )
 
 
-def order_dimension(spark: SparkSession, sf_dir: str, columns: set[str]) -> DataFrame:
-    """orderkey -> order date, priority [, customer attributes]."""
+def order_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orderkey -> order date, priority and customer attributes."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_custkey",
         F.col("o_orderdate").alias(S.ORDER_DATE),
         F.col("o_orderpriority").alias(S.ORDER_PRIORITY),
     )
-    if columns & (_CUSTOMER | _GEO):
-        customer = customer_dimension(spark, sf_dir, with_geo=bool(columns & _GEO))
-        orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
-    return orders.drop("o_custkey")
+    customer = customer_dimension(spark, sf_dir)
+    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey", "o_custkey")
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,103 +92,56 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Built star plans: (application id, folder, columns, flag) -> DataFrame.  A
-# DataFrame is an immutable lazy plan; reusing it skips re-analysing the same
-# joins (about thirty JVM round trips).  Nothing is cached but the plan: every
-# execution scans and computes from the files.  ``forget_plans()`` drops them
-# (e.g. after files were added to a folder, since a plan keeps its listing).
-_PLANS: dict[tuple, DataFrame] = {}
-_PLAN_LIMIT = 256
-
-
-def forget_plans() -> None:
-    _PLANS.clear()
-    _FITS.clear()
-
+def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the item type, unit cost, total cost and profit of their part."""
+    part = read_table(spark, sf_dir, "part").select(
+        "p_partkey", F.col("p_type").alias(S.ITEM_TYPE), F.col("p_retailprice").alias(S.UNIT_COST)
+    )
+    return (
+        line_items(spark, sf_dir)
+        .join(part, F.col(S.PART_KEY) == F.col("p_partkey"))
+        .drop("p_partkey")
+        .withColumn(S.TOTAL_COST, cost_expr(S.UNITS_SOLD, S.UNIT_COST))
+        .withColumn(S.TOTAL_PROFIT, (F.col(S.TOTAL_REVENUE) - F.col(S.TOTAL_COST)).cast(S.MONEY_TYPE))
+    )
 
-def sales_fact(
-    spark: SparkSession,
-    sf_dir: str,
-    columns: Iterable[str] | None = None,
-    foreign_keys_hold: bool = True,
-) -> DataFrame:
-    """Lazy sales fact with the requested columns (default: all + row keys).
 
-    With ``foreign_keys_hold`` (every line's part, order, customer and nation
-    exist - true for the driver tables) joins that supply no requested column
-    are left out.  Pass ``False`` for data without that guarantee: all five
-    joins are then planned, so lines with a dangling key are dropped exactly
-    as the full star would drop them.
-    """
+def sales_fact(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
+    """Lazy sales fact with the requested columns (default: all + row keys)."""
     wanted = list(columns) if columns is not None else list(S.FACT_COLUMNS)
-    key = (application_id(spark), sf_dir, tuple(wanted), foreign_keys_hold)
-    if key not in _PLANS:
-        if len(_PLANS) >= _PLAN_LIMIT:
-            _PLANS.clear()
-        _PLANS[key] = _build_fact(spark, sf_dir, wanted, foreign_keys_hold)
-    return _PLANS[key]
-
-
-def _build_fact(
-    spark: SparkSession, sf_dir: str, wanted: list[str], foreign_keys_hold: bool
-) -> DataFrame:
     unknown = set(wanted) - set(S.FACT_COLUMNS)
     if unknown:
         raise ValueError(f"unknown sales columns: {sorted(unknown)}")
-    need = set(wanted) if foreign_keys_hold else set(S.FACT_COLUMNS)
-
-    fact = line_items(spark, sf_dir)
-    if need & _PART:
-        part = read_table(spark, sf_dir, "part").select(
-            "p_partkey", F.col("p_type").alias(S.ITEM_TYPE), F.col("p_retailprice").alias(S.UNIT_COST)
-        )
-        part = _maybe_broadcast(spark, sf_dir, "part", part)
-        fact = (
-            fact.join(part, F.col(S.PART_KEY) == F.col("p_partkey"))
-            .drop("p_partkey")
-            .withColumn(S.TOTAL_COST, cost_expr(S.UNITS_SOLD, S.UNIT_COST))
-            .withColumn(
-                S.TOTAL_PROFIT, (F.col(S.TOTAL_REVENUE) - F.col(S.TOTAL_COST)).cast(S.MONEY_TYPE)
-            )
-        )
-    if need & (_ORDER | _CUSTOMER | _GEO):
-        # The order dimension is as large as the orders table; it is left to the
-        # planner (sort-merge join, converted to a broadcast by AQE at runtime
-        # when the shuffled side turns out small), which also spreads the
-        # line-level work over all shuffle partitions.
-        orders = order_dimension(spark, sf_dir, need)
-        fact = fact.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).drop("o_orderkey")
+    orders = order_dimension(spark, sf_dir)
+    fact = priced_lines(spark, sf_dir).join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey"))
     return fact.select(*wanted)
 
 
-def order_grain(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str], with_revenue: bool
-) -> DataFrame:
-    """Order-level attributes for questions that group by them alone.
-
-    Equivalent, for sums and distinct values, to the line-level fact with the
-    same columns (plus ``total_revenue`` when ``with_revenue``).  While the
-    orders table passes the broadcast size check the line-level fact is used
-    as is (a broadcast join, no shuffle of the lines).  Beyond it the lines
-    are first reduced per order - revenue summed, or just the distinct order
-    keys - so the map-side partial aggregate shrinks the shuffle wherever the
-    line table is stored clustered by order key, and the aggregate's hash
-    partitioning on the order key then feeds the join without another
-    shuffle of that side.
+def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: its attributes, and its lines summed up.
+
+    Lines are reduced per order before the order join.  The exchange on the
+    order key is needed for the join anyway; the partial sums shrink what goes
+    through it, and a distinct count of orders becomes a plain count.  The
+    measures keep the names of the line columns they sum; ``lines`` counts the
+    lines, ``margin_sum`` and ``margin_lines`` hold the row margins (total
+    form) exactly.
     """
-    cols = list(columns)
-    if table_fits_broadcast(spark, sf_dir, "orders"):
-        return sales_fact(spark, sf_dir, cols + ([S.TOTAL_REVENUE] if with_revenue else []))
-    li = read_table(spark, sf_dir, "lineitem")
-    if with_revenue:
-        per_order = li.groupBy(F.col("l_orderkey").alias(S.ORDER_ID)).agg(
-            F.sum(revenue_expr("l_extendedprice", "l_discount")).alias(S.TOTAL_REVENUE)
+    margin = margin_total_pct(S.TOTAL_PROFIT, S.TOTAL_REVENUE).cast(MARGIN_TYPE)
+    per_order = (
+        priced_lines(spark, sf_dir)
+        .groupBy(S.ORDER_ID)
+        .agg(
+            F.sum(S.TOTAL_REVENUE).alias(S.TOTAL_REVENUE),
+            F.sum(S.TOTAL_PROFIT).alias(S.TOTAL_PROFIT),
+            F.sum(S.UNITS_SOLD).alias(S.UNITS_SOLD),
+            F.count(F.lit(1)).alias(S.LINES),
+            F.sum(margin).alias(S.MARGIN_SUM),
+            F.count(margin).alias(S.MARGIN_LINES),
         )
-    else:
-        per_order = li.select(F.col("l_orderkey").alias(S.ORDER_ID)).distinct()
-    orders = order_dimension(spark, sf_dir, set(cols))
-    joined = per_order.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey"))
-    return joined.select(*cols, *([S.TOTAL_REVENUE] if with_revenue else []))
+    )
+    orders = order_dimension(spark, sf_dir)
+    return per_order.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).drop("o_orderkey")
 
 
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:

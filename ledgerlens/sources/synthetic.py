@@ -29,9 +29,6 @@ DEMO_START = "2022-01-01"
 DEMO_ROWS = 360
 DEMO_ORDER_ID_BASE = 100000
 DEMO_COST_RATIO = "0.62"
-# Order dates advance one day per row; beyond this many rows they cycle, which
-# keeps dates valid for any index range (the demo itself has 360 rows).
-DEMO_CALENDAR_DAYS = 360
 
 
 def _pick(values: list[str], i: Column) -> Column:
@@ -46,8 +43,7 @@ def synthetic_sales_from_index(df: DataFrame, index_col: str) -> DataFrame:
     cost = F.round(price * F.lit(DEMO_COST_RATIO).cast(T.DecimalType(4, 2)), 2)
     revenue = F.round(units * price, 2).cast(S.MONEY_TYPE)
     total_cost = F.round(units * cost, 2).cast(S.MONEY_TYPE)
-    day = F.pmod(i, F.lit(DEMO_CALENDAR_DAYS)).cast("int")
-    order_date = F.date_add(F.lit(DEMO_START).cast("date"), day)
+    order_date = F.date_add(F.lit(DEMO_START).cast("date"), i.cast("int"))
     ship_date = F.date_add(order_date, (F.pmod(i, F.lit(7)) + 1).cast("int"))
     return df.select(
         _pick([r for r, _ in DEMO_REGIONS], i).alias(S.REGION),

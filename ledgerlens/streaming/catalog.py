@@ -18,6 +18,7 @@ from ledgerlens.operators.ranking import top_n
 from ledgerlens.plans.oracle import EVENT_TIME as _EVENT_TIME_SQL
 from ledgerlens.plans.oracle import SALES as _SALES_SQL
 from ledgerlens.sources.star import sales_fact
+from ledgerlens.sources.tables import read_table
 from ledgerlens.streaming import pipeline as SP
 from ledgerlens.streaming import sales as SL
 
@@ -38,17 +39,67 @@ def q_stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = SP.new_run(spark, "silver")
-    return spark.read.schema(SP.SILVER_SCHEMA).parquet(_silver(spark, sf_dir, run)).drop("event_date")
+    return SP.read_silver(spark, _silver(spark, sf_dir, run)).drop("event_date")
+
+
+def _land(events: DataFrame, run: SP.StreamPaths) -> str:
+    """One delivery of an event producer: part files added to the landing folder."""
+    landing = run.sink("landing")
+    events.write.mode("append").parquet(landing)
+    return landing
+
+
+def _deliver(spark: SparkSession, run: SP.StreamPaths, *deliveries: DataFrame) -> tuple[str, str]:
+    """Land deliveries one by one, bronze and silver catching up after each."""
+    for rows in deliveries:
+        landing = _land(rows, run)
+        bronze = SP.write_bronze(SP.events_source(spark, landing, file_glob="*.parquet"), run)
+        silver = SP.write_silver(spark, bronze, run)
+    return bronze, silver
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The later half of the events' time span, then the earlier one."""
+    events = read_table(spark, sf_dir, "events")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit((low + (high - low) / 2).isoformat(" ")).cast("timestamp_ntz")
+    later = F.coalesce(F.col("ts") >= middle, F.lit(False))
+    return events.where(later), events.where(~later)
 
 
 def q_stream_replay_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An at-least-once producer: every event arrives twice (two reads of the
-    source).  Bronze keeps both copies; silver keeps one per ``event_id``."""
+    """An at-least-once producer: the same events are delivered twice.  Bronze
+    keeps both copies; silver keeps one per ``event_id``."""
     run = SP.new_run(spark, "replay")
-    events = SP.events_source(spark, sf_dir)
-    bronze = SP.write_bronze(events.unionByName(SP.events_source(spark, sf_dir)), run)
-    silver = SP.write_silver(spark, bronze, run)
-    return spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).drop("event_date")
+    events = read_table(spark, sf_dir, "events")
+    _, silver = _deliver(spark, run, events, events)
+    return SP.read_silver(spark, silver).drop("event_date")
+
+
+def q_stream_hourly_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows when the later half of the events arrives first."""
+    run = SP.new_run(spark, "hourly-late")
+    for half in _halves(spark, sf_dir):
+        _, silver = _deliver(spark, run, half)
+        hourly = SP.write_hourly(spark, silver, run)
+    return SP.read_hourly(spark, hourly)
+
+
+def q_stream_quarantine_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows of a delivery with a defect of every kind in its values."""
+    run = SP.new_run(spark, "quarantine-defects")
+    k = F.pmod(F.col("event_id"), F.lit(10))
+    defective = read_table(spark, sf_dir, "events").select(
+        "event_id",
+        "ts",
+        "user_id",
+        F.when(k == 2, F.lit("unheard of")).otherwise(F.col("event_type")).alias("event_type"),
+        F.when(k == 3, F.lit(None)).when(k == 4, -1 - F.abs("value")).otherwise(F.col("value")).alias("value"),
+        F.when(k == 5, F.lit("{")).otherwise(F.col("props")).alias("props"),
+    )
+    landing = _land(defective, run)
+    bronze = SP.write_bronze(SP.events_source(spark, landing, file_glob="*.parquet"), run)
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(SP.write_quarantine(spark, bronze, run))
 
 
 QUARANTINE_SCHEMA = T.StructType(S.EVENTS_SCHEMA.fields + [T.StructField("reason", T.StringType(), True)])
@@ -72,7 +123,7 @@ def q_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = SP.new_run(spark, "hourly")
     silver = _silver(spark, sf_dir, run)
     hourly = SP.write_hourly(spark, silver, run)
-    return SP.read_hourly(spark, hourly, silver)
+    return SP.read_hourly(spark, hourly)
 
 
 def q_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +143,19 @@ def q_stream_sales_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = SP.new_run(spark, "sales-hourly")
     silver = SL.write_sales_silver(spark, _sales_landing(spark, sf_dir, run), run)
     hourly = SL.write_sales_hourly(spark, silver, run)
-    return SL.read_sales_hourly(spark, hourly, silver)
+    return SL.read_sales_hourly(spark, hourly)
+
+
+def q_stream_sales_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly revenue of a sales stream whose later half arrives first."""
+    run = SP.new_run(spark, "sales-late")
+    sales = sales_fact(spark, sf_dir, S.SALES_COLUMNS)
+    later = F.col(S.ORDER_DATE) >= F.lit("1995-07-01").cast("timestamp_ntz")
+    for half in (sales.where(later), sales.where(~later)):
+        SL.render_sales_csv(half).write.mode("append").option("header", True).csv(run.sink("landing"))
+        silver = SL.write_sales_silver(spark, run.sink("landing"), run)
+        hourly = SL.write_sales_hourly(spark, silver, run)
+    return SL.read_sales_hourly(spark, hourly)
 
 
 def q_stream_sales_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +178,12 @@ STREAM_QUERIES = {
     "stream_replay_dedup": q_stream_replay_dedup,
     "stream_quarantine": q_stream_quarantine,
     "stream_quarantine_text": q_stream_quarantine_text,
+    "stream_quarantine_defects": q_stream_quarantine_defects,
     "stream_hourly": q_stream_hourly,
+    "stream_hourly_two_batches": q_stream_hourly_two_batches,
     "stream_serving": q_stream_serving,
     "stream_sales_hourly": q_stream_sales_hourly,
+    "stream_sales_two_batches": q_stream_sales_two_batches,
     "stream_sales_quarantine": q_stream_sales_quarantine,
     "stream_sales_serving": q_stream_sales_serving,
 }
@@ -140,6 +206,11 @@ _LANDED_DATE = """CASE WHEN order_priority = '5-LOW' THEN
                 THEN make_timestamp(year(order_date), day(order_date), month(order_date), 0, 0, 0) END
          ELSE order_date END"""
 
+_DEFECTS = """SELECT event_id, ts, user_id,
+         CASE WHEN event_id % 10 = 2 THEN 'unheard of' ELSE event_type END AS event_type,
+         CASE event_id % 10 WHEN 3 THEN NULL WHEN 4 THEN -1 - abs(value) ELSE value END AS value,
+         CASE WHEN event_id % 10 = 5 THEN '{' ELSE props END AS props FROM events"""
+
 STREAM_ORACLE_SQL = {
     "stream_bronze": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_silver": f"WITH {_SILVER} SELECT * FROM silver",
@@ -220,3 +291,11 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 GROUP BY 1, 2 ORDER BY total_value DESC, region, event_type LIMIT 20""",
 }
+
+STREAM_ORACLE_SQL["stream_hourly_two_batches"] = STREAM_ORACLE_SQL["stream_hourly"]
+STREAM_ORACLE_SQL["stream_sales_two_batches"] = STREAM_ORACLE_SQL["stream_sales_hourly"]
+STREAM_ORACLE_SQL["stream_quarantine_defects"] = (
+    STREAM_ORACLE_SQL["stream_quarantine"]
+    .replace("FROM events) t", f"FROM ({_DEFECTS}) e) t")
+    .replace("WHEN TRY_CAST(", "WHEN NOT json_valid(props) OR TRY_CAST(")
+)

@@ -2,19 +2,18 @@
 quarantine (silver), windowed KPIs and a serving table.
 
     events source --append--> bronze (parquet, partitioned by event date)
-    bronze --stream--> silver      valid rows, trimmed, deduplicated in the watermark
+    bronze --stream--> silver      valid rows, trimmed, one row per event id and day
     bronze --stream--> quarantine  rejected rows with the first failed rule
-    silver --stream--> hourly      1-hour event-time windows, append mode
-    silver --stream--> serving     region x event type, per-batch merge (foreachBatch)
-
-File sinks are exactly-once through their metadata logs.  The hourly windows
-use append mode: a window is written once, after the watermark passes it, and
-its state is dropped; readers add the still-open tail (at most the watermark
-delay of data) recomputed from silver.  The serving table (key space bounded
-by two dimensions) is merged batch by batch in ``foreachBatch`` after a
-per-user partial aggregate, joined to a co-partitioned cached user dimension;
-the merge is idempotent by batch id and double-buffered.  Watermarks bound
-window and dedup state.  Sales orders as a CSV stream live in
+    silver --stream--> hourly      1-hour event-time windows, per-batch merge
+    silver --stream--> serving     region x event type, per-batch merge
+
+No watermark: every valid row reaches silver, the windows and the serving
+table whatever the order of delivery (a backfill comes in file order, and sales
+dates span years).  State is in the sinks and bounded there: silver drops a
+repeated event by looking into the day partitions that the batch writes to;
+windows and serving rows are sums by key, merged batch by batch, one row per
+hour of the calendar or per key.  Merges are idempotent by batch id and
+double-buffered.  Sales orders as a CSV stream live in
 ``ledgerlens.streaming.sales``.
 
 Checkpoints and sinks live under the shared folder named by
@@ -37,7 +36,6 @@ from ledgerlens.sources.tables import read_table
 
 # Fixed validation rules of the silver layer.
 KNOWN_EVENT_TYPES = ["view", "click", "signup", "purchase", "error"]
-WATERMARK = "1 hour"
 VALUE_TYPE = T.DecimalType(12, 2)
 
 BRONZE_SCHEMA = T.StructType(S.EVENTS_SCHEMA.fields + [T.StructField("event_date", T.DateType(), True)])
@@ -133,33 +131,12 @@ def _session_tz(df: DataFrame) -> str:
     return df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC") or "UTC"
 
 
-def with_event_time(df: DataFrame, column: str = "ts") -> DataFrame:
-    """``event_ts``: a naive event time as a TIMESTAMP (watermarks need it).
-
-    The instant is chosen so that its UTC wall clock equals the naive value;
-    epoch-aligned windows then fall on the naive clock's hours whatever the
-    session time zone is.
-    """
-    tz = _session_tz(df)
-    return df.withColumn(
-        "event_ts", F.to_utc_timestamp(F.col(column).cast(T.TimestampType()), tz)
-    )
-
-
-def naive_time(c: Column, df: DataFrame) -> Column:
-    """Inverse of ``with_event_time`` for window bounds: back to TIMESTAMP_NTZ."""
-    return F.from_utc_timestamp(c, _session_tz(df)).cast(T.TimestampNTZType())
-
-
-def silver_rows(bronze: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Valid rows, event type normalised, ``k`` parsed, duplicates of an
-    ``event_id`` inside the watermark dropped."""
+def silver_rows(bronze: DataFrame) -> DataFrame:
+    """Valid rows, event type normalised, ``k`` parsed."""
     valid = bronze.where(rejection_reason(bronze).isNull())
-    cleaned = valid.withColumns(
+    return valid.withColumns(
         {"event_type": F.lower(F.trim(F.col("event_type"))), "k": _k(F.col("props"))}
-    )
-    timed = with_event_time(cleaned).withWatermark("event_ts", watermark)
-    return timed.dropDuplicatesWithinWatermark(["event_id"]).select(*SILVER_COLUMNS)
+    ).select(*SILVER_COLUMNS)
 
 
 def quarantine_rows(bronze: DataFrame) -> DataFrame:
@@ -255,17 +232,8 @@ def write_text_quarantine(spark: SparkSession, bronze_text: str, paths: StreamPa
 
 def write_text_silver(spark: SparkSession, bronze_text: str, paths: StreamPaths) -> str:
     """Silver from text records: parse, validate, normalise, deduplicate."""
-    out = paths.sink("silver_text")
     typed = parse_event_text(spark.readStream.schema(TEXT_SCHEMA).parquet(bronze_text))
-    _run(
-        silver_rows(typed.drop("value_text"))
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", paths.checkpoint("silver_text"))
-        .partitionBy("event_date")
-        .outputMode("append")
-    )
-    return out
+    return _write_silver(spark, silver_rows(typed.drop("value_text")), paths, "silver_text")
 
 
 QUARANTINE_TEXT_SCHEMA = T.StructType(
@@ -281,19 +249,51 @@ QUARANTINE_TEXT_SCHEMA = T.StructType(
 )
 
 
-def write_silver(spark: SparkSession, bronze: str, paths: StreamPaths) -> str:
-    out = paths.sink("silver")
+def distinct_writer(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], day: str):
+    """``foreachBatch`` function appending the rows of a batch whose keys the table doesn't hold.
+
+    The table is partitioned by batch and by ``day``.  Only the day folders
+    that the batch writes to are searched for its keys.  A replayed batch
+    replaces its own folders, so every batch counts once.
+    """
+    stored = T.StructType(schema.fields + [T.StructField("batch", T.LongType(), True)])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.dropDuplicates([*keys, day]) if keys else batch
+        if keys and batch_id > 0:
+            before = spark.read.schema(stored).parquet(path).where(F.col("batch") < batch_id)
+            days = rows.select(day).distinct()
+            known = before.join(days, day, "left_semi").select(*keys, day)
+            rows = rows.join(known, [*keys, day], "left_anti")
+        (
+            # a file or a few per day, whatever the tasks of the batch; a heavy day is split
+            rows.withColumn("batch", F.lit(batch_id).cast("long"))
+            .hint("rebalance", day)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch", day)
+            .parquet(path)
+        )
+
+    empty = spark.createDataFrame([], stored)
+    empty.write.mode("ignore").partitionBy("batch", day).parquet(path)
+    return write
+
+
+def _write_silver(spark: SparkSession, rows: DataFrame, paths: StreamPaths, name: str) -> str:
+    out = paths.sink(name)
     _run(
-        silver_rows(read_bronze_stream(spark, bronze))
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", paths.checkpoint("silver"))
-        .partitionBy("event_date")
-        .outputMode("append")
+        rows.writeStream.option("checkpointLocation", paths.checkpoint(name)).foreachBatch(
+            distinct_writer(spark, out, SILVER_SCHEMA, ["event_id"], "event_date")
+        )
     )
     return out
 
 
+def write_silver(spark: SparkSession, bronze: str, paths: StreamPaths) -> str:
+    return _write_silver(spark, silver_rows(read_bronze_stream(spark, bronze)), paths, "silver")
+
+
 def write_quarantine(spark: SparkSession, bronze: str, paths: StreamPaths) -> str:
     out = paths.sink("quarantine")
     _run(
@@ -313,73 +313,57 @@ SILVER_SCHEMA = T.StructType(
 
 
 def read_silver_stream(spark: SparkSession, silver: str) -> DataFrame:
-    return spark.readStream.schema(SILVER_SCHEMA).parquet(silver)
+    return spark.readStream.schema(SILVER_SCHEMA).parquet(silver).select(*SILVER_SCHEMA.names)
 
 
-# ---------------------------------------------------------------- windowed KPIs
-
-HOURLY_SCHEMA = T.StructType(
-    [
-        T.StructField("window_start", T.TimestampNTZType(), True),
-        T.StructField("window_end", T.TimestampNTZType(), True),
-        T.StructField("events", T.LongType(), True),
-        T.StructField("total_value", T.DoubleType(), True),
-    ]
-)
+def read_silver(spark: SparkSession, silver: str) -> DataFrame:
+    return spark.read.schema(SILVER_SCHEMA).parquet(silver).select(*SILVER_SCHEMA.names)
 
 
-def _beginning() -> Column:
-    """Earliest naive timestamp: the edge of an empty finalised-window table."""
-    return F.lit("0001-01-01 00:00:00").cast(T.TimestampNTZType())
+# ---------------------------------------------------------------- windowed KPIs
 
+WINDOW_START = T.StructField("window_start", T.TimestampNTZType(), True)
 
-def hourly_kpis(silver: DataFrame, watermark: str = WATERMARK, duration: str = "1 hour") -> DataFrame:
-    """Event count and exact value sum per tumbling event-time window.
 
-    On a stream the watermark bounds the window state; on a batch frame it is
-    ignored, so the same function computes the open tail (``read_hourly``).
-    """
-    timed = with_event_time(silver).withWatermark("event_ts", watermark)
-    agg = timed.groupBy(F.window("event_ts", duration).alias("w")).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.sum(F.col("value").cast(VALUE_TYPE)).cast("double").alias("total_value"),
+def with_window_end(hours: DataFrame) -> DataFrame:
+    """Adds the end of one-hour windows after their start."""
+    others = [c for c in hours.columns if c != "window_start"]
+    return hours.select(
+        "window_start", (F.col("window_start") + F.expr("INTERVAL 1 HOUR")).alias("window_end"), *others
     )
-    return agg.select(
-        naive_time(F.col("w.start"), silver).alias("window_start"),
-        naive_time(F.col("w.end"), silver).alias("window_end"),
-        "events",
-        "total_value",
+
+
+def hourly_sums(silver: DataFrame) -> DataFrame:
+    """Event count and exact value sum by event-time hour (its start)."""
+    sums = silver.groupBy(F.window("ts", "1 hour").alias("w")).agg(
+        F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast(VALUE_TYPE)).alias("total_value")
     )
+    return sums.select(F.col("w.start").alias("window_start"), "events", "total_value")
+
+
+def hourly_kpis(silver: DataFrame) -> DataFrame:
+    """The hourly windows of a batch frame."""
+    return with_window_end(hourly_sums(silver)).withColumn("total_value", F.col("total_value").cast("double"))
 
 
 def write_hourly(spark: SparkSession, silver: str, paths: StreamPaths) -> str:
-    """Append mode: a window is written once, when the watermark passes its end,
-    and its state is dropped; the file sink commits exactly once per batch."""
+    """Hourly windows maintained batch by batch: late rows add to their window.
+
+    The table has one row per hour of the calendar, whatever the event volume.
+    """
     out = paths.sink("hourly")
+    init_merged_table(spark, out, HOURLY_STATE_SCHEMA)
     _run(
-        hourly_kpis(read_silver_stream(spark, silver))
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", paths.checkpoint("hourly"))
-        .outputMode("append")
+        read_silver_stream(spark, silver)
+        .writeStream.option("checkpointLocation", paths.checkpoint("hourly"))
+        .foreachBatch(merge_writer(spark, out, hourly_sums, HOURLY_KEYS, HOURLY_MEASURES))
     )
     return out
 
 
-def read_hourly(spark: SparkSession, hourly: str, silver: str) -> DataFrame:
-    """Finalised windows from the sink plus the still-open tail.
-
-    The tail is recomputed in batch from silver rows at or after the end of the
-    last finalised window (a scalar subquery, also used to prune silver's date
-    folders).  Windows are aligned, so every window is either finalised or
-    lies entirely in the tail; the tail spans at most the watermark delay.
-    """
-    final = spark.read.schema(HOURLY_SCHEMA).parquet(hourly)
-    edge = final.select(F.coalesce(F.max("window_end"), _beginning())).scalar()
-    rows = spark.read.schema(SILVER_SCHEMA).parquet(silver)
-    recent = rows.where((F.col("event_date") >= F.to_date(edge)) & (F.col("ts") >= edge))
-    tail = hourly_kpis(recent.drop("event_date")).where(F.col("window_start") >= edge)
-    return final.unionByName(tail)
+def read_hourly(spark: SparkSession, hourly: str) -> DataFrame:
+    state = read_merged_table(spark, hourly, HOURLY_STATE_SCHEMA)
+    return with_window_end(state).withColumn("total_value", F.col("total_value").cast("double"))
 
 
 def user_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -432,10 +416,10 @@ def serving_kpis(events: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def state_schema(keys: list[str], measures: dict[str, T.DataType]) -> T.StructType:
-    """Schema of a merged table: string keys, summed measures, bookkeeping."""
+def state_schema(keys: list[str | T.StructField], measures: dict[str, T.DataType]) -> T.StructType:
+    """Schema of a merged table: keys (text unless a field is given), summed measures, bookkeeping."""
     return T.StructType(
-        [T.StructField(k, T.StringType(), True) for k in keys]
+        [k if isinstance(k, T.StructField) else T.StructField(k, T.StringType(), True) for k in keys]
         + [T.StructField(m, dtype, True) for m, dtype in measures.items()]
         + [
             T.StructField("applied_batch", T.LongType(), True),
@@ -460,7 +444,7 @@ def merge_writer(
     spark: SparkSession,
     path: str,
     delta: Callable[[DataFrame], DataFrame],
-    keys: list[str],
+    keys: list[str | T.StructField],
     measures: dict[str, T.DataType],
 ):
     """``foreachBatch`` function adding each micro-batch's delta to a table of sums.
@@ -477,6 +461,7 @@ def merge_writer(
     table they are written to.  The table size is bounded by the key space.
     """
     schema = state_schema(keys, measures)
+    names = schema.names[: len(keys)]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         state = spark.read.schema(schema).parquet(path)
@@ -487,7 +472,7 @@ def merge_writer(
         merged = (
             delta(batch)
             .unionByName(current.drop("applied_batch", "slot"))
-            .groupBy(*keys)
+            .groupBy(*names)
             .agg(*[F.sum(m).cast(t).alias(m) for m, t in measures.items()])
             .withColumn("applied_batch", F.lit(batch_id).cast("long"))
             .withColumn("slot", F.lit(batch_id % 2).cast("int"))
@@ -503,6 +488,10 @@ def merge_writer(
     return write
 
 
+HOURLY_KEYS = [WINDOW_START]
+HOURLY_MEASURES: dict[str, T.DataType] = {"events": T.LongType(), "total_value": T.DecimalType(38, 2)}
+HOURLY_STATE_SCHEMA = state_schema(HOURLY_KEYS, HOURLY_MEASURES)
+
 SERVING_KEYS = ["region", "event_type"]
 SERVING_MEASURES: dict[str, T.DataType] = {"events": T.LongType(), "total_value": T.DecimalType(38, 2)}
 SERVING_STATE_SCHEMA = state_schema(SERVING_KEYS, SERVING_MEASURES)

@@ -17,25 +17,25 @@ from pyspark.sql import types as T
 from ledgerlens import schema as S
 from ledgerlens.functions.calendar import event_time
 from ledgerlens.operators.ranking import top_n
-from ledgerlens.sources.cleaning import SALES_DATE_FORMAT, coerce_numeric, lenient_timestamp
+from ledgerlens.sources.cleaning import SALES_DATE_FORMAT, coerce_numeric, lenient_timestamp, trim_text
 from ledgerlens.streaming.pipeline import (
-    WATERMARK,
+    WINDOW_START,
     StreamPaths,
-    _beginning,
     _run,
+    distinct_writer,
     init_merged_table,
     merge_writer,
-    naive_time,
     read_merged_table,
     state_schema,
-    with_event_time,
+    with_window_end,
 )
 
 _TO_CSV = dict(zip(S.SALES_COLUMNS, S.CSV_HEADER))
 _FROM_CSV = dict(zip(S.CSV_HEADER, S.SALES_COLUMNS))
 
 SILVER_SALES_SCHEMA = T.StructType(
-    [f for f in S.SALES_SCHEMA.fields] + [T.StructField(S.EVENT_TIME, T.TimestampNTZType(), True)]
+    [f for f in S.SALES_SCHEMA.fields]
+    + [T.StructField(S.EVENT_TIME, T.TimestampNTZType(), True), T.StructField("event_year", T.IntegerType(), True)]
 )
 QUARANTINE_SALES_SCHEMA = T.StructType(
     [
@@ -44,17 +44,6 @@ QUARANTINE_SALES_SCHEMA = T.StructType(
         T.StructField("reason", T.StringType(), True),
     ]
 )
-SALES_HOURLY_SCHEMA = T.StructType(
-    [
-        T.StructField("window_start", T.TimestampNTZType(), True),
-        T.StructField("window_end", T.TimestampNTZType(), True),
-        T.StructField("lines", T.LongType(), True),
-        T.StructField(S.TOTAL_REVENUE, T.DoubleType(), True),
-        T.StructField(S.UNITS_SOLD, T.DoubleType(), True),
-    ]
-)
-
-
 def render_sales_csv(sales: DataFrame) -> DataFrame:
     """Sales rows as a CSV producer writes them (all text, CSV header names).
 
@@ -96,7 +85,7 @@ def _typed(raw: DataFrame) -> DataFrame:
             S.SHIP_DATE: lenient_timestamp(S.SHIP_DATE),
         }
     )
-    return coerce_numeric(typed)
+    return coerce_numeric(trim_text(typed))
 
 
 def _reason() -> Column:
@@ -108,9 +97,8 @@ def _reason() -> Column:
 def sales_silver_rows(raw: DataFrame) -> DataFrame:
     typed = _typed(raw)
     valid = typed.where(_reason().isNull())
-    return valid.withColumn(S.EVENT_TIME, event_time(S.ORDER_DATE, S.ORDER_ID)).select(
-        *SILVER_SALES_SCHEMA.names
-    )
+    timed = valid.withColumn(S.EVENT_TIME, event_time(S.ORDER_DATE, S.ORDER_ID))
+    return timed.withColumn("event_year", F.year(S.EVENT_TIME)).select(*SILVER_SALES_SCHEMA.names)
 
 
 def sales_quarantine_rows(raw: DataFrame) -> DataFrame:
@@ -131,8 +119,22 @@ def _file_sink(df: DataFrame, paths: StreamPaths, name: str) -> str:
     return out
 
 
-def write_sales_silver(spark: SparkSession, landing: str, paths: StreamPaths) -> str:
-    return _file_sink(sales_silver_rows(sales_text_stream(spark, landing)), paths, "sales_silver")
+def write_sales_silver(
+    spark: SparkSession, landing: str, paths: StreamPaths, row_key: tuple[str, ...] = ()
+) -> str:
+    """Silver, partitioned by event year (sales days are many and small).
+
+    ``row_key`` names the columns that make a sales row unique, such as the
+    order id of a one-line-per-order file: rows delivered again are then
+    dropped.  A sales file of order lines has no such key, and keeps all rows.
+    """
+    out = paths.sink("sales_silver")
+    _run(
+        sales_silver_rows(sales_text_stream(spark, landing))
+        .writeStream.option("checkpointLocation", paths.checkpoint("sales_silver"))
+        .foreachBatch(distinct_writer(spark, out, SILVER_SALES_SCHEMA, list(row_key), "event_year"))
+    )
+    return out
 
 
 def write_sales_quarantine(spark: SparkSession, landing: str, paths: StreamPaths) -> str:
@@ -141,37 +143,45 @@ def write_sales_quarantine(spark: SparkSession, landing: str, paths: StreamPaths
     )
 
 
-def sales_hourly_kpis(silver: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Lines, exact revenue and units per event-time hour."""
-    timed = with_event_time(silver, S.EVENT_TIME).withWatermark("event_ts", watermark)
-    agg = timed.groupBy(F.window("event_ts", "1 hour").alias("w")).agg(
+SALES_HOURLY_KEYS = [WINDOW_START]
+SALES_HOURLY_MEASURES: dict[str, T.DataType] = {
+    "lines": T.LongType(),
+    S.TOTAL_REVENUE: T.DecimalType(38, 4),
+    S.UNITS_SOLD: T.DecimalType(38, 2),
+}
+SALES_HOURLY_SCHEMA = state_schema(SALES_HOURLY_KEYS, SALES_HOURLY_MEASURES)
+
+
+def sales_hourly_sums(silver: DataFrame) -> DataFrame:
+    """Lines, exact revenue and units by event-time hour (its start)."""
+    sums = silver.groupBy(F.window(S.EVENT_TIME, "1 hour").alias("w")).agg(
         F.count(F.lit(1)).alias("lines"),
-        F.sum(S.TOTAL_REVENUE).cast("double").alias(S.TOTAL_REVENUE),
-        F.sum(S.UNITS_SOLD).cast("double").alias(S.UNITS_SOLD),
-    )
-    return agg.select(
-        naive_time(F.col("w.start"), silver).alias("window_start"),
-        naive_time(F.col("w.end"), silver).alias("window_end"),
-        "lines",
-        S.TOTAL_REVENUE,
-        S.UNITS_SOLD,
+        F.sum(S.TOTAL_REVENUE).alias(S.TOTAL_REVENUE),
+        F.sum(S.UNITS_SOLD).alias(S.UNITS_SOLD),
     )
+    return sums.select(F.col("w.start").alias("window_start"), *SALES_HOURLY_MEASURES)
 
 
 def write_sales_hourly(spark: SparkSession, silver: str, paths: StreamPaths) -> str:
-    stream = spark.readStream.schema(SILVER_SALES_SCHEMA).parquet(silver)
-    return _file_sink(sales_hourly_kpis(stream), paths, "sales_hourly")
+    """Hourly windows maintained batch by batch; late rows add to their window."""
+    out = paths.sink("sales_hourly")
+    init_merged_table(spark, out, SALES_HOURLY_SCHEMA)
+    _run(
+        spark.readStream.schema(SILVER_SALES_SCHEMA)
+        .parquet(silver)
+        .writeStream.option("checkpointLocation", paths.checkpoint("sales_hourly"))
+        .foreachBatch(
+            merge_writer(spark, out, sales_hourly_sums, SALES_HOURLY_KEYS, SALES_HOURLY_MEASURES)
+        )
+    )
+    return out
 
 
-def read_sales_hourly(spark: SparkSession, hourly: str, silver: str) -> DataFrame:
-    """Finalised hours plus the open tail recomputed from silver (see read_hourly)."""
-    final = spark.read.schema(SALES_HOURLY_SCHEMA).parquet(hourly)
-    edge = final.select(F.coalesce(F.max("window_end"), _beginning())).scalar()
-    rows = spark.read.schema(SILVER_SALES_SCHEMA).parquet(silver)
-    tail = sales_hourly_kpis(rows.where(F.col(S.EVENT_TIME) >= edge)).where(
-        F.col("window_start") >= edge
+def read_sales_hourly(spark: SparkSession, hourly: str) -> DataFrame:
+    state = read_merged_table(spark, hourly, SALES_HOURLY_SCHEMA)
+    return with_window_end(state).withColumns(
+        {m: F.col(m).cast("double") for m in (S.TOTAL_REVENUE, S.UNITS_SOLD)}
     )
-    return final.unionByName(tail)
 
 
 # ---------------------------------------------------------------- serving table

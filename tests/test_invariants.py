@@ -48,20 +48,16 @@ def test_hourly_revenue_of_page_sums_to_window(spark):
     assert Q["batch_metrics"](spark, SF001).collect()[0]["events_ingested"] == 120
 
 
-def test_deep_page_equals_top_k_page(spark):
+def test_deep_page_equals_sorted_rows(spark):
     events = sales_fact(spark, SF001, PAGE_COLUMNS).withColumn(
         S.EVENT_TIME, event_time(S.ORDER_DATE, S.ORDER_ID)
     )
     spec = PG.clamp_page(60000, 120, 41234, 10)
     order = PG.event_order(events.columns)
-    from ledgerlens.operators.ranking import slice_rows
-
-    a = slice_rows(events, order, spec.window_start, spec.cursor).orderBy("pos").collect()
-    b = slice_rows(
-        events, order, spec.window_start, spec.cursor, top_k_rows=0, prefilter=S.ORDER_ID
-    ).orderBy("pos").collect()
-    assert len(a) == 1200
-    assert [tuple(r) for r in a] == [tuple(r[c] for c in a[0].__fields__) for r in b]
+    page = PG.event_page(events, spec).orderBy("pos").collect()
+    want = events.orderBy(*order).offset(spec.window_start).limit(1200).collect()
+    assert len(page) == 1200
+    assert [tuple(r[c] for c in events.columns) for r in page] == [tuple(r) for r in want]
 
 
 @pytest.fixture(scope="module")
@@ -77,26 +73,24 @@ def stream_run(spark):
 def test_bronze_is_silver_plus_quarantine(spark, stream_run):
     _, bronze, silver, quarantine, _ = stream_run
     n_bronze = spark.read.schema(SP.BRONZE_SCHEMA).parquet(bronze).count()
-    n_silver = spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).count()
+    n_silver = SP.read_silver(spark, silver).count()
     n_quar = spark.read.parquet(quarantine).count() if n_bronze != n_silver else 0
     assert n_bronze == n_silver + n_quar == read_table(spark, SF001, "events").count()
 
 
 def test_streamed_hourly_equals_batch_hourly(spark, stream_run):
     _, _, silver, _, hourly = stream_run
-    streamed = SP.read_hourly(spark, hourly, silver)
-    batch = SP.hourly_kpis(spark.read.schema(SP.SILVER_SCHEMA).parquet(silver))
-    finalised = spark.read.schema(SP.HOURLY_SCHEMA).parquet(hourly).count()
-    assert 0 < finalised < 720  # the watermark holds the last windows open
+    streamed = SP.read_hourly(spark, hourly)
+    batch = SP.hourly_kpis(SP.read_silver(spark, silver))
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     assert streamed.agg(F.sum("events")).collect()[0][0] == 10000
 
 
 def test_rerun_of_finished_stream_is_idempotent(spark, stream_run):
     run, bronze, silver, _, hourly = stream_run
-    before = SP.read_hourly(spark, hourly, silver).collect()
+    before = SP.read_hourly(spark, hourly).collect()
     SP.write_hourly(spark, silver, run)  # same checkpoint: nothing new to process
-    after = SP.read_hourly(spark, hourly, silver).collect()
+    after = SP.read_hourly(spark, hourly).collect()
     assert sorted(before) == sorted(after)
 
 
@@ -153,7 +147,7 @@ def test_replayed_events_are_deduplicated(spark):
     bronze = SP.write_bronze(events.unionByName(SP.events_source(spark, SF001)), run)
     silver = SP.write_silver(spark, bronze, run)
     assert spark.read.schema(SP.BRONZE_SCHEMA).parquet(bronze).count() == 20000
-    ids = spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).groupBy("event_id").count()
+    ids = SP.read_silver(spark, silver).groupBy("event_id").count()
     assert ids.count() == 10000 and ids.where("count > 1").count() == 0
 
 
@@ -162,12 +156,12 @@ def test_text_ingest_splits_into_silver_and_quarantine(spark):
     bronze = SP.write_text_bronze(SP.events_source(spark, SF001), run)
     silver = SP.write_text_silver(spark, bronze, run)
     quarantine = SP.write_text_quarantine(spark, bronze, run)
-    n_silver = spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).count()
+    n_silver = SP.read_silver(spark, silver).count()
     q = spark.read.schema(SP.QUARANTINE_TEXT_SCHEMA).parquet(quarantine)
     assert n_silver + q.count() == 10000
     reasons = {r.reason for r in q.select("reason").distinct().collect()}
     assert reasons == {"missing value", "malformed props"}
-    types = {r.event_type for r in spark.read.schema(SP.SILVER_SCHEMA).parquet(silver).select("event_type").distinct().collect()}
+    types = {r.event_type for r in SP.read_silver(spark, silver).select("event_type").distinct().collect()}
     assert "signup" in types and " SIGNUP " not in types
 
 
@@ -178,16 +172,16 @@ def test_run_pipeline_twice_is_incremental(spark):
     second = SP.run_pipeline(spark, SF001, paths=run)  # nothing new: same outputs
     assert first == second
     assert sorted(SP.read_serving(spark, second["serving"]).collect()) == served
-    assert SP.read_hourly(spark, second["hourly"], second["silver"]).agg(F.sum("events")).first()[0] == 10000
+    assert SP.read_hourly(spark, second["hourly"]).agg(F.sum("events")).first()[0] == 10000
 
 
-def test_late_rows_stay_in_bronze_and_leave_silver_and_windows(spark):
+def test_late_rows_reach_silver_and_windows(spark):
     events = read_table(spark, SF001, "events")
     run = SP.new_run(spark, "late")
     src = run.sink("source")
     cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     # first delivery: two weeks of events; second delivery: the rest plus late
-    # copies (new ids) of events from the first days, far behind the watermark
+    # copies (new ids) of events from the first days, far behind the others, and repeats
     late = events.where(F.col("ts") < F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")).withColumn(
         "event_id", F.col("event_id") + F.lit(1_000_000)
     )
@@ -201,17 +195,18 @@ def test_late_rows_stay_in_bronze_and_leave_silver_and_windows(spark):
 
     events.where(F.col("ts") < cut).coalesce(1).write.mode("append").parquet(src)
     run_stages()
-    events.where(F.col("ts") >= cut).unionByName(late).coalesce(1).write.mode("append").parquet(src)
+    again = events.where(F.col("event_id") % 100 == 7)
+    events.where(F.col("ts") >= cut).unionByName(late).unionByName(again).coalesce(1).write.mode("append").parquet(src)
     bronze, silver, hourly = run_stages()  # same checkpoints: only the new file
 
-    # bronze keeps every raw record, late ones included
-    assert spark.read.schema(SP.BRONZE_SCHEMA).parquet(bronze).count() == 10000 + n_late
-    # silver drops rows behind the watermark; finalised windows never change
-    silver_df = spark.read.schema(SP.SILVER_SCHEMA).parquet(silver)
-    assert silver_df.count() == 10000
-    assert silver_df.where(F.col("event_id") >= 1_000_000).count() == 0
-    streamed = SP.read_hourly(spark, hourly, silver)
-    assert streamed.agg(F.sum("events")).first()[0] == 10000
+    # bronze keeps every raw record; silver every event once, late ones included
+    n_bronze = spark.read.schema(SP.BRONZE_SCHEMA).parquet(bronze).count()
+    assert n_bronze == 10000 + n_late + again.count()
+    silver_df = SP.read_silver(spark, silver)
+    assert silver_df.count() == 10000 + n_late
+    assert silver_df.where(F.col("event_id") >= 1_000_000).count() == n_late
+    streamed = SP.read_hourly(spark, hourly)
+    assert streamed.agg(F.sum("events")).first()[0] == 10000 + n_late
     batch = SP.hourly_kpis(silver_df)
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
@@ -224,7 +219,7 @@ def test_sales_stream_accounts_for_every_line(spark):
     silver = SL.write_sales_silver(spark, landing, run)
     quarantine = SL.write_sales_quarantine(spark, landing, run)
     hourly = SL.write_sales_hourly(spark, silver, run)
-    windows = SL.read_sales_hourly(spark, hourly, silver)
+    windows = SL.read_sales_hourly(spark, hourly)
     in_windows = windows.agg(F.sum("lines")).first()[0]
     rejected = spark.read.schema(SL.QUARANTINE_SALES_SCHEMA).parquet(quarantine).count()
     assert in_windows + rejected == 60000

@@ -47,18 +47,9 @@ def test_slice_rows_matches_pandas(spark, data, start, width):
     df = spark.createDataFrame(pdf)
     order = ["t", "v", "id"]
     want = pdf.sort_values(order).reset_index(drop=True).iloc[start : start + width]
-    import ledgerlens.operators.ranking as R
-
-    budget = R.MERGE_ROWS
-    try:
-        # single merge, two-level candidates (no merge budget), deep path
-        for merge_rows, k in ((budget, 10_000), (0, 10_000), (budget, 0)):
-            R.MERGE_ROWS = merge_rows
-            got = slice_rows(df, order, start, start + width, top_k_rows=k).orderBy("pos").toPandas()
-            assert list(got["id"]) == list(want["id"])
-            assert list(got["pos"]) == list(range(start, start + len(want)))
-    finally:
-        R.MERGE_ROWS = budget
+    got = slice_rows(df, order, start, start + width).orderBy("pos").toPandas()
+    assert list(got["id"]) == list(want["id"])
+    assert list(got["pos"]) == list(range(start, start + len(want)))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
