@@ -105,7 +105,7 @@ def parse(page: str) -> Node:
     while at < end:
         found = _TAG.search(page, at) if at <= last else None
         if not found:
-            text(page[at:])
+            text(page[at:].split("<!--", 1)[0])  # an open comment has no text
             break
         text(page[at : found.start()])
         at = found.end()
