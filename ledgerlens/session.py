@@ -136,5 +136,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique path under the shared checkpoint root.
+
+    Its folder is deleted when the application ends.
+    """
+    folder = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    sc = _context(spark)
+    if sc is not None:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{folder}/data"
