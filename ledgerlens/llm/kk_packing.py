@@ -43,26 +43,41 @@ PIECES = (
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
-    """Indices of ``sizes`` by window, near-equal in sum (Karmarkar-Karp, multiway)."""
-    heap = []
+    """Indices of ``sizes`` by window, near-equal in sum (Karmarkar-Karp, multiway).
+
+    A partial partition is two arrays in order of the windows' sums: the sums,
+    and what each window holds, a piece or a pair of earlier windows (-1: none).
+    """
+    if not sizes:
+        return []
+    heap, pairs, nodes = [], [], len(sizes)
     for i, size in enumerate(sizes):
-        sums = [0] * windows
-        sums[-1] = size
-        heap.append((-size, i, sums, [[] for _ in range(windows - 1)] + [[i]]))
+        sums, held = np.zeros(windows, np.int64), np.full(windows, -1)
+        sums[-1], held[-1] = size, i
+        heap.append((-size if windows > 1 else 0, i, sums, held))
     heapq.heapify(heap)
     while len(heap) > 1:
-        _, order, sums, held = heapq.heappop(heap)
         _, _, other, also = heapq.heappop(heap)
-        merged = sorted(
-            (
-                (a + b, x + y if x and y else x or y)
-                for a, b, x, y in zip(sums, reversed(other), held, reversed(also))
-            ),
-            key=lambda pair: pair[0],
-        )
-        sums = [s for s, _ in merged]
-        heapq.heappush(heap, (sums[0] - sums[-1], order, sums, [x for _, x in merged]))
-    return heap[0][3] if heap else []
+        _, order, sums, held = heap[0]
+        sums, also = sums + other[::-1], also[::-1]
+        both = np.flatnonzero((held >= 0) & (also >= 0))
+        merged = np.maximum(held, also)
+        merged[both] = np.arange(nodes, nodes + len(both))
+        pairs.append((nodes, held[both], also[both]))
+        nodes += len(both)
+        by = sums.argsort(kind="stable")
+        sums = sums[by]
+        heapq.heapreplace(heap, (int(sums[0] - sums[-1]), order, sums, merged[by]))
+    window = np.empty(nodes, np.int64)
+    held = heap[0][3]
+    window[held[held >= 0]] = np.flatnonzero(held >= 0)
+    for first, left, right in reversed(pairs):
+        own = window[first : first + len(left)]
+        window[left], window[right] = own, own
+    found: list[list[int]] = [[] for _ in range(windows)]
+    for i, w in enumerate(window[: len(sizes)].tolist()):
+        found[w].append(i)
+    return found
 
 
 def pack_pool(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
