@@ -48,7 +48,8 @@ def op5_bpe_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_unigram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unigram_trie.count_tokens(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    return unigram_trie.count_tokens(docs, scores=unigram_trie.fit(docs))
 
 
 def op7_rlbwt(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,19 +8,31 @@ The token count of the best cut is stored where a pre-token ends.  Walking the
 sorted pre-tokens visits the trie depth first; only the path to the current
 node is held.
 
-Scores: the pieces' scores of a public SentencePiece vocabulary, whose path is a
-parameter.  A character that no piece covers costs its UTF-8 bytes, one byte
-piece each.  Of equal scores the cut with fewer tokens wins, then the one with
-the longer last piece.
+Scores: ``fit`` estimates the pieces' log-probabilities from all texts by
+expectation maximisation, from equal ones on.  A pre-token's probability is the
+sum over all ways to cut it, by the same program over prefixes; a piece's new
+probability is its share of the expected uses.  The different pre-tokens and
+their numbers are summed up once, and each round is a job over them.  Expected
+uses are rounded per pre-token to whole units, so that sums, and with them all
+scores, do not depend on partitions.  The pieces are those of a public
+SentencePiece vocabulary, whose path is a parameter; its own scores are used
+only where no others are given, and are log-probabilities only in a file of the
+unigram kind.
+
+A character that no piece covers costs its UTF-8 bytes, one byte piece each; the
+256 byte pieces share their probability equally.  Of equal scores the cut with
+fewer tokens wins, then the one with the longer last piece.
 
 Defined cases: a null or empty text, or one of white space only, has no words
 and no tokens; repeated rows are counted one by one; a null doc_id stays null;
-extra columns are not read; no rows give no rows.
+extra columns are not read; no rows give no rows; without any word all pieces
+keep equal scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import public_tokenizers
@@ -29,12 +41,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import text_of
+from ledgerlens.llm.common import drop_scratch, scratch, text_of
 from ledgerlens.llm.tasks import map_task
 from ledgerlens.llm.tokens import blocks
 
 MARK = "▁"
 COUNTS = "doc_id long, n_words long, n_tokens long, score double"
+ROUNDS = 2
+#: Units of one use, to which expected uses are rounded.
+UNIT = 1 << 16
+#: Cuts of deeper prefixes are looked up again rather than held.
+HELD = 4096
 
 
 def model_path() -> str:
@@ -42,9 +59,13 @@ def model_path() -> str:
 
 
 class Pieces:
-    """Scores of a vocabulary's pieces, and of its byte pieces."""
+    """Scores of a vocabulary's pieces, and of its byte pieces.
 
-    def __init__(self, path: str):
+    ``scores`` has the pieces' scores in the order of the vocabulary, then that
+    of a byte piece; without it they are the file's own.
+    """
+
+    def __init__(self, path: str, scores: Sequence[float] | None = None):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -57,6 +78,8 @@ class Pieces:
         # byte pieces carry no score of their own: each ranks behind every other piece
         self.byte = -float(len(self.scores))
         self.longest = max(map(len, self.scores))
+        if scores is not None:
+            self.scores, self.byte = dict(zip(self.scores, scores)), scores[-1]
 
 
 def count_sorted(words: list[str], pieces: Pieces) -> tuple[list[int], list[float]]:
@@ -89,20 +112,119 @@ def count_sorted(words: list[str], pieces: Pieces) -> tuple[list[int], list[floa
     return counts, totals
 
 
-def count_batches(batches, path: str) -> Iterator[pa.RecordBatch]:
-    pieces = Pieces(path)
+def expected_uses(words: Iterable[tuple[str, int]], pieces: Pieces) -> list[int]:
+    """Units of expected uses of each piece, then of the bytes; ``words`` with their numbers.
+
+    Sorted words share the work on their prefixes.
+    """
+    coded = {piece: (i, score) for i, (piece, score) in enumerate(pieces.scores.items())}
+    lookup, longest, byte, n_pieces = coded.get, pieces.longest, pieces.byte, len(coded)
+    uses = [0] * (n_pieces + 1)
+    total = [0.0]  # the path of the trie: log of the summed probability by depth
+    shares: list = [None]  # and each last piece's part of it
+
+    def cuts(word: str, end: int) -> list[tuple[int, int, float]]:
+        found = []
+        for start in range(max(0, end - longest), end):
+            piece = lookup(word[start:end])
+            if piece is not None:
+                found.append((start, piece[0], total[start] + piece[1]))
+        return found or [(end - 1, n_pieces, total[end - 1] + len(word[end - 1].encode()) * byte)]
+
+    def parts(found: list, log: float) -> list[tuple[int, int, float]]:
+        if len(found) == 1:
+            return [(found[0][0], found[0][1], 1.0)]
+        return [(start, piece, math.exp(x - log)) for start, piece, x in found]
+
+    before = ""
+    for word, n in words:
+        shared, most = 0, min(len(before), len(word))
+        while shared < most and before[shared] == word[shared]:
+            shared += 1
+        del total[shared + 1 :], shares[shared + 1 :]
+        for end in range(shared + 1, len(word) + 1):
+            found = cuts(word, end)
+            if len(found) == 1:
+                log = found[0][2]
+            else:
+                top = max(x for _, _, x in found)
+                log = top + math.log(sum(math.exp(x - top) for _, _, x in found))
+            total.append(log)
+            shares.append(parts(found, log) if end <= HELD else None)
+        flow = [0.0] * len(word) + [float(n * UNIT)]
+        for end in range(len(word), 0, -1):
+            if not flow[end]:
+                continue
+            for start, piece, part in shares[end] or parts(cuts(word, end), total[end]):
+                part *= flow[end]
+                flow[start] += part
+                uses[piece] += round(part) * (len(word[end - 1].encode()) if piece == n_pieces else 1)
+        before = word
+    return uses
+
+
+def split_words(texts: pa.Array) -> pa.LargeListArray:
+    return pc.split_pattern_regex(texts.cast(pa.large_string()), r"[\x20\x09-\x0D]+")
+
+
+def word_batches(batches) -> Iterator[pa.RecordBatch]:
+    """The different words of each block of texts, and how often they occur."""
+    for batch in batches:
+        for a, b in blocks(batch.column("text")):
+            found = pc.value_counts(split_words(batch.column("text").slice(a, b - a)).flatten())
+            found = found.filter(pc.not_equal(found.field("values"), ""))
+            words = found.field("values").cast(pa.string())
+            yield pa.RecordBatch.from_arrays([words, found.field("counts")], ["word", "n"])
+
+
+def uses_batches(batches, path: str, scores: Sequence[float]) -> Iterator[pa.RecordBatch]:
+    words = (
+        (MARK + word, n)
+        for batch in batches
+        for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist())
+    )
+    uses = np.array(expected_uses(words, Pieces(path, scores)), np.int64)
+    used = np.flatnonzero(uses)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(uses[used])], ["piece", "units"])
+
+
+def fit(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS) -> list[float]:
+    """The pieces' log-probabilities over all texts, then that of a byte piece."""
+    path = path or model_path()
+    n_pieces = len(Pieces(path).scores)
+    scores = [-math.log(n_pieces + 256)] * (n_pieces + 1)
+    spark = docs.sparkSession
+    words = docs.select(text_of().alias("text")).mapInArrow(map_task(word_batches), "word string, n long")
+    words = words.groupBy("word").agg(F.sum("n").alias("n"))
+    # in the order of the words, for long common prefixes
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    words = scratch(words.repartitionByRange(parts, "word").sortWithinPartitions("word"), "unigram_words")
+    for _ in range(rounds):
+        uses = words.mapInArrow(map_task(uses_batches, path=path, scores=scores), "piece int, units long")
+        units = [1] * (n_pieces + 1)  # an unused piece counts as one unit, so that it keeps a score
+        units[-1] = 256
+        for piece, n in uses.groupBy("piece").agg(F.sum("units")).collect():  # one row a piece at most
+            units[piece] += n
+        whole = sum(units)
+        units[-1] /= 256
+        scores = [math.log(n / whole) for n in units]
+    drop_scratch(words)
+    return scores
+
+
+def count_batches(batches, path: str, scores: Sequence[float] | None = None) -> Iterator[pa.RecordBatch]:
+    pieces = Pieces(path, scores)
     for batch in batches:
         for a, b in blocks(batch.column("text")):
-            texts = batch.column("text").slice(a, b - a).cast(pa.large_string())
-            words = pc.split_pattern_regex(texts, r"[\x20\x09-\x0D]+")
+            words = split_words(batch.column("text").slice(a, b - a))
             offsets = words.offsets.to_numpy()
             coded = pc.dictionary_encode(words.flatten())
             index = coded.indices.to_numpy()
             names = coded.dictionary.to_numpy(zero_copy_only=False)
             order = sorted(range(len(names)), key=names.__getitem__)
-            counts, scores = count_sorted([MARK + names[i] for i in order], pieces)
+            counts, totals = count_sorted([MARK + names[i] for i in order], pieces)
             count, score = np.zeros(len(names), np.int64), np.zeros(len(names))
-            count[order], score[order] = counts, scores
+            count[order], score[order] = counts, totals
             empty = names == ""
             count[empty], score[empty] = 0, 0.0
             first = offsets[:-1] - offsets[0]
@@ -113,7 +235,7 @@ def count_batches(batches, path: str) -> Iterator[pa.RecordBatch]:
             )
 
 
-def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Words, unigram tokens and the best cuts' score sum of every text."""
+def count_tokens(docs: DataFrame, path: str | None = None, scores: Sequence[float] | None = None) -> DataFrame:
+    """Words, unigram tokens and the best cuts' score sum of every text; ``scores`` as ``fit`` gives them."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(map_task(count_batches, path=path or model_path()), COUNTS)
+    return rows.mapInArrow(map_task(count_batches, path=path or model_path(), scores=scores), COUNTS)
