@@ -6,7 +6,9 @@ three have the same tree.  Pages of a host and a shape are summed up by slot
 (the places where text stands): how many, and the least and greatest hash of
 the slot's text, an aggregate that combines on the map side.  Then the shapes
 of a host are aligned by simple tree matching, the largest ordered matching of
-equal labels, and merged into its wrapper.  A slot with the same text on every
+equal labels, and merged into its wrapper, in rounds as a tree: groups of a few
+wrappers become one each until a host has one left.  In a large wrapper, a node
+in which all slots vary already is folded into its label.  A slot with the same text on every
 page of several is template; a slot whose text varies is content.
 
 A page's text is that of its varying slots, in page order.  Elements that say
@@ -38,8 +40,11 @@ from ledgerlens.llm.url_alias import host_of as url_host
 
 #: Fewer pages with a slot say nothing about whether it is constant.
 MIN_PAGES = 8
-#: A host's shapes are aligned in so many groups first, and then the groups.
-SHAPE_GROUPS = 16
+#: A host's wrappers are dealt to groups of about so many, and each group merged into one.
+GROUP_SIZE = 32
+#: Nodes that vary as a whole are folded in wrappers of more slots.
+FOLD_SLOTS = 1000
+WRAPPERS = "host string, part long, wrapper string"
 
 # Element and class names of HTML documents.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -208,6 +213,8 @@ def place_slots(node: Node) -> tuple[str, list[list[int]], list[tuple[str, bool,
 
 # --- wrappers -----------------------------------------------------------------
 # A wrapper is [label, children]; a slot is {"n": pages, "lo": hash, "hi": hash}.
+# [label, FOLDED] stands for a node of that label whatever is in it, and all of it varies.
+FOLDED = "*"
 
 
 def _label(tree):
@@ -220,6 +227,8 @@ def match(a, b, memo: dict) -> int:
         return 0
     if _label(a) is None:
         return 1
+    if a[1] == FOLDED or b[1] == FOLDED:
+        return 1
     if (id(a), id(b)) not in memo:
         memo[id(a), id(b)] = 1 + _table(a[1], b[1], memo)[-1][-1]
     return memo[id(a), id(b)]
@@ -257,6 +266,8 @@ def merge(a, b, memo: dict | None = None):
     memo = {} if memo is None else memo
     if isinstance(a, dict):
         return {"n": a["n"] + b["n"], "lo": min(a["lo"], b["lo"]), "hi": max(a["hi"], b["hi"])}
+    if a[1] == FOLDED or b[1] == FOLDED:
+        return [a[0], FOLDED]
     children = [
         b[1][j] if i is None else a[1][i] if j is None else merge(a[1][i], b[1][j], memo)
         for i, j in pairs(a[1], b[1], memo)
@@ -274,9 +285,28 @@ def fill(shape, slots: Iterator):
 def slots_in(wrapper) -> list[dict]:
     if isinstance(wrapper, dict):
         return [wrapper]
+    if wrapper[1] == FOLDED:
+        return []
     return [slot for child in wrapper[1] for slot in slots_in(child)]
 
 
+def varies(wrapper) -> bool:
+    """Whether any slot is known to vary."""
+    if isinstance(wrapper, dict):
+        return wrapper["lo"] != wrapper["hi"]
+    return wrapper[1] == FOLDED or any(map(varies, wrapper[1]))
+
+
+def fold(wrapper):
+    """The wrapper with each node in which all slots vary as its label alone."""
+    if isinstance(wrapper, dict) or wrapper[1] == FOLDED:
+        return wrapper
+    children = [fold(child) for child in wrapper[1]]
+    known = [child for child in children if isinstance(child, dict) or child[1]]  # the others have no text
+    whole = bool(known) and all(varies(c) if isinstance(c, dict) else c[1] == FOLDED for c in known)
+    return [wrapper[0], FOLDED if whole else children]
+
+
 def template_slots(shape, wrapper) -> list[bool]:
     """For each slot of a shape, whether the wrapper shows it to be template."""
     memo: dict = {}
@@ -284,7 +314,7 @@ def template_slots(shape, wrapper) -> list[bool]:
     def walk(a, w) -> list[bool]:
         if a is None:
             return [bool(w) and w["n"] >= MIN_PAGES and w["lo"] == w["hi"]]
-        if w is None:
+        if w is None or w[1] == FOLDED:
             return [x for child in a[1] for x in walk(child, None)]
         return [
             x
@@ -296,10 +326,6 @@ def template_slots(shape, wrapper) -> list[bool]:
     return walk(shape, wrapper)
 
 
-def varies(wrapper) -> bool:
-    return any(s["lo"] != s["hi"] for s in slots_in(wrapper))
-
-
 # --- tasks --------------------------------------------------------------------
 
 
@@ -331,28 +357,35 @@ def slot_batches(batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def align_shapes(key, table: pa.Table) -> pa.Table:
-    """The shapes of a host (and group) merged into one wrapper, in a fixed order."""
-    wrapper = None
-    rows = sorted(zip(table.column("shape").to_pylist(), table.column("slots").to_pylist()))
-    for shape, slots in rows:
-        ordered = iter([{k: s[k] for k in ("n", "lo", "hi")} for s in sorted(slots, key=lambda s: s["slot"])])
-        own = fill(json.loads(shape), ordered)
-        wrapper = own if wrapper is None else merge(wrapper, own)
-    return _wrapper_row(key, wrapper)
+def fill_batches(batches) -> Iterator[pa.RecordBatch]:
+    """The wrapper of each single shape."""
+    for batch in batches:
+        wrappers = []
+        for shape, slots in zip(batch.column("shape").to_pylist(), batch.column("slots").to_pylist()):
+            ordered = iter([{k: s[k] for k in ("n", "lo", "hi")} for s in sorted(slots, key=lambda s: s["slot"])])
+            wrappers.append(_bounded(fill(json.loads(shape), ordered)))
+        columns = [batch.column("host"), batch.column("part"), pa.array(wrappers, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "part", "wrapper"])
 
 
 def align_wrappers(key, table: pa.Table) -> pa.Table:
+    """The wrappers of a host (and group) merged into one, in a fixed order."""
     rows = sorted(table.column("wrapper").to_pylist())
     wrapper = json.loads(rows[0])
     for other in rows[1:]:
         wrapper = merge(wrapper, json.loads(other))
-    return _wrapper_row(key, wrapper)
+        if len(slots_in(wrapper)) > FOLD_SLOTS:
+            wrapper = fold(wrapper)
+    columns = {"host": pa.string(), "part": pa.int64(), "wrapper": pa.string()}
+    values = [key[0].as_py(), key[1].as_py(), _bounded(wrapper)]
+    return pa.table({name: pa.array([v], kind) for (name, kind), v in zip(columns.items(), values)})
 
 
-def _wrapper_row(key, wrapper) -> pa.Table:
-    text = json.dumps(wrapper, separators=(",", ":"))
-    return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "wrapper": pa.array([text], pa.string())})
+def _bounded(wrapper) -> str:
+    """A wrapper as JSON, a large one folded."""
+    if len(slots_in(wrapper)) > FOLD_SLOTS:
+        wrapper = fold(wrapper)
+    return json.dumps(wrapper, separators=(",", ":"))
 
 
 @lru_cache(maxsize=2048)
@@ -401,22 +434,35 @@ def induce(pages: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     )
     shapes = slots.groupBy("host", "shape").agg(F.collect_list(F.struct("slot", "n", "lo", "hi")).alias("slots"))
-    kind = "host string, wrapper string"
-    partial = (
-        shapes.withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(SHAPE_GROUPS)))
-        .groupBy("host", "part")
-        .applyInArrow(group_task(align_shapes), kind)
-    )
-    return partial.groupBy("host").applyInArrow(group_task(align_wrappers), kind)
+    shapes = shapes.select("host", F.xxhash64("shape").alias("part"), "shape", "slots")
+    return align(shapes.mapInArrow(map_task(fill_batches), WRAPPERS)).select("host", "wrapper")
+
+
+def align(wrappers: DataFrame) -> DataFrame:
+    """One wrapper of each host's; every round merges groups of about ``GROUP_SIZE``."""
+    step = 0
+    while True:
+        wrappers = scratch(wrappers, "wrappers")
+        counts = wrappers.groupBy("host").agg(F.count(F.lit(1)).alias("count"))
+        if counts.where("count > 1").isEmpty():
+            return wrappers
+        groups = F.when(F.col("count") > GROUP_SIZE, F.ceil(F.col("count") / (GROUP_SIZE / 2))).otherwise(1)
+        step += 1
+        wrappers = (
+            wrappers.join(counts, "host")
+            .select("host", F.pmod(F.xxhash64("part", F.lit(step)), groups).alias("part"), "wrapper")
+            .groupBy("host", "part")
+            .applyInArrow(group_task(align_wrappers), WRAPPERS)
+        )
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page.
 
-    The wrappers are written first: Spark then knows their size, and sends them
+    The wrappers lie in the shared folder: Spark knows their size, and sends them
     to all tasks or joins by host accordingly.
     """
-    wrappers = scratch(induce(pages), "wrappers")
+    wrappers = induce(pages)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", url_host(F.col("url")).alias("host"))
     met = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper")
     return met.mapInArrow(map_task(extract_batches), "page_id long, url string, text string, n_chars long")

@@ -75,3 +75,38 @@ def test_pages_of_the_table_against_a_plain_reading_of_their_articles(spark):
         want[r["page_id"]] = "\n".join(b for b in blocks if b)
     for r in W.main_text(pages).collect():
         assert r["text"] == want[r["page_id"]] and r["n_chars"] == len(r["text"])
+
+
+def test_large_hosts_are_aligned_in_bounded_groups(spark, monkeypatch):
+    sizes = []
+    pages = [
+        (i, "http://big.example/", "<body><div>Our shop</div>" + "".join(f"<{t}>{i}{t}</{t}>" for b, t in
+         enumerate("p ul h2 pre dl address h3 table".split()) if i >> b & 1) + "<div>Rights</div></body>")
+        for i in range(256)
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    scratch = W.scratch
+
+    def looked_at(table, name):
+        out = scratch(table, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(W, "scratch", looked_at)
+    wrappers = W.induce(df).collect()
+    assert len(wrappers) == 1 and sizes[0] == 256 and sizes[-1] == 1
+    assert all(b >= a / W.GROUP_SIZE and b < a for a, b in zip(sizes, sizes[1:])) and len(sizes) > 2
+
+
+def test_large_wrappers_fold_nodes_that_vary():
+    def slot(lo, hi):
+        return {"n": 9, "lo": lo, "hi": hi}
+
+    wrapper = ["body", [slot(1, 1), ["div", [slot(1, 2), ["p", [slot(3, 4)]], ["hr", []]]], ["p", [slot(5, 5)]]]]
+    folded = W.fold(wrapper)
+    assert folded == ["body", [slot(1, 1), ["div", W.FOLDED], ["p", [slot(5, 5)]]]]
+    assert W.varies(folded) and W.fold(folded) == folded and W.slots_in(folded) == [slot(1, 1), slot(5, 5)]
+    merged = W.merge(folded, wrapper)
+    assert merged[1][1] == ["div", W.FOLDED] and merged[1][0]["n"] == 18
+    shape = ["body", [None, ["div", [None, ["p", [None]], ["hr", []]]], ["p", [None]]]]
+    assert W.template_slots(shape, merged) == W.template_slots(shape, wrapper) == [True, False, False, True]
