@@ -2,14 +2,18 @@
 
 A page becomes a tree of block elements; in it, neighbouring siblings of the
 same shape are one repeated node, so a page of a hundred paragraphs and one of
-three have the same tree.  Pages of a host and a shape are summed up by slot
-(the places where text stands): how many, and the least and greatest hash of
-the slot's text, an aggregate that combines on the map side.  Then the shapes
+three have the same tree.  Pages of a host with the same text count once.
+Pages of a host and a shape are summed up by slot (the places where text
+stands): how many, and the least and greatest hashes of the slot's text, of its
+first text and of its last (they differ where nodes are repeated), an aggregate
+that combines on the map side.  Then the shapes
 of a host are aligned by simple tree matching, the largest ordered matching of
 equal labels, and merged into its wrapper, in rounds as a tree: groups of a few
 wrappers become one each until a host has one left.  In a large wrapper, a node
-in which all slots vary already is folded into its label.  A slot with the same text on every
-page of several is template; a slot whose text varies is content.
+in which all slots vary already is folded into its label.  A slot with the same text on all
+different pages of its host, two at least, is template; one that not all pages
+have must be the same on several.  A slot whose text varies is content, without
+its first or last text where only that is template.
 
 A page's text is that of its varying slots, in page order.  Elements that say
 what they are (menus, headers, footers, asides, forms, scripts, adverts,
@@ -31,20 +35,22 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import scratch
+from ledgerlens.llm.common import drop_scratch, scratch
 from ledgerlens.llm.tasks import group_task, map_task
 from ledgerlens.llm.url_alias import host_of as url_host
 
-#: Fewer pages with a slot say nothing about whether it is constant.
+#: Fewer pages with a slot that other pages of the host lack say nothing about whether it is constant.
 MIN_PAGES = 8
 #: A host's wrappers are dealt to groups of about so many, and each group merged into one.
 GROUP_SIZE = 32
 #: Nodes that vary as a whole are folded in wrappers of more slots.
 FOLD_SLOTS = 1000
-WRAPPERS = "host string, part long, wrapper string"
+PAGES = "host string, shape_key binary, page binary, shape string, slots array<struct<whole: long, first: long, last: long>>"
+WRAPPERS = "host string, part long, pages long, wrapper string"
 
 # Element and class names of HTML documents.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -212,7 +218,8 @@ def place_slots(node: Node) -> tuple[str, list[list[int]], list[tuple[str, bool,
 
 
 # --- wrappers -----------------------------------------------------------------
-# A wrapper is [label, children]; a slot is {"n": pages, "lo": hash, "hi": hash}.
+# A wrapper is [label, children]; a slot is {"n": pages, "lo": hashes, "hi": hashes}, the
+# hashes those of the slot's whole text, of its first and of its last text.
 # [label, FOLDED] stands for a node of that label whatever is in it, and all of it varies.
 FOLDED = "*"
 
@@ -265,7 +272,7 @@ def merge(a, b, memo: dict | None = None):
     """One wrapper of two with the same root label."""
     memo = {} if memo is None else memo
     if isinstance(a, dict):
-        return {"n": a["n"] + b["n"], "lo": min(a["lo"], b["lo"]), "hi": max(a["hi"], b["hi"])}
+        return {"n": a["n"] + b["n"], "lo": list(map(min, a["lo"], b["lo"])), "hi": list(map(max, a["hi"], b["hi"]))}
     if a[1] == FOLDED or b[1] == FOLDED:
         return [a[0], FOLDED]
     children = [
@@ -293,27 +300,36 @@ def slots_in(wrapper) -> list[dict]:
 def varies(wrapper) -> bool:
     """Whether any slot is known to vary."""
     if isinstance(wrapper, dict):
-        return wrapper["lo"] != wrapper["hi"]
+        return wrapper["lo"][0] != wrapper["hi"][0]
     return wrapper[1] == FOLDED or any(map(varies, wrapper[1]))
 
 
+def constant(slot: dict) -> tuple[bool, ...]:
+    """Whether a slot's whole text, first and last text are the same on all its pages."""
+    return tuple(a == b for a, b in zip(slot["lo"], slot["hi"]))
+
+
 def fold(wrapper):
-    """The wrapper with each node in which all slots vary as its label alone."""
+    """The wrapper with each node in which all slots vary, first and last texts too, as its label alone."""
     if isinstance(wrapper, dict) or wrapper[1] == FOLDED:
         return wrapper
     children = [fold(child) for child in wrapper[1]]
     known = [child for child in children if isinstance(child, dict) or child[1]]  # the others have no text
-    whole = bool(known) and all(varies(c) if isinstance(c, dict) else c[1] == FOLDED for c in known)
+    whole = bool(known) and all(not any(constant(c)) if isinstance(c, dict) else c[1] == FOLDED for c in known)
     return [wrapper[0], FOLDED if whole else children]
 
 
-def template_slots(shape, wrapper) -> list[bool]:
-    """For each slot of a shape, whether the wrapper shows it to be template."""
+def template_slots(shape, wrapper, pages: int) -> list[tuple[bool, ...]]:
+    """For each slot of a shape, whether the wrapper of a host's ``pages`` shows it to be template.
+
+    Its whole text, its first and its last.
+    """
     memo: dict = {}
 
-    def walk(a, w) -> list[bool]:
+    def walk(a, w) -> list[tuple[bool, ...]]:
         if a is None:
-            return [bool(w) and w["n"] >= MIN_PAGES and w["lo"] == w["hi"]]
+            enough = bool(w) and (w["n"] >= MIN_PAGES or w["n"] == pages > 1)
+            return [constant(w) if enough else (False,) * 3]
         if w is None or w[1] == FOLDED:
             return [x for child in a[1] for x in walk(child, None)]
         return [
@@ -334,25 +350,29 @@ def host_of(url: str | None) -> str:
     return re.split(r"[/?#]", rest, maxsplit=1)[0].encode().lower().decode()  # A-Z only
 
 
-def slot_batches(batches) -> Iterator[pa.RecordBatch]:
-    """Pages of a batch by host, shape and slot: how many, and the least and greatest text hash."""
-    from xxhash import xxh3_64_intdigest
+def page_batches(batches) -> Iterator[pa.RecordBatch]:
+    """Each page's host, hashes of its shape and text, and slots; a batch has each shape once."""
+    from xxhash import xxh3_64_intdigest, xxh3_128_digest
+
+    def code(texts: list[str]) -> int:
+        return xxh3_64_intdigest("\n".join(texts).encode()) - (1 << 63)
 
+    names = ["host", "shape_key", "page", "shape", "slots"]
+    slot = pa.struct([(name, pa.int64()) for name in ("whole", "first", "last")])
+    kinds = (pa.string(), pa.binary(), pa.binary(), pa.string(), pa.list_(slot))
     for batch in batches:
-        found: dict[tuple[str, str], list] = {}
+        seen, rows = set(), []
         for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             shape, slots, texts = place_slots(parse(page or ""))
-            hashes = [xxh3_64_intdigest("\n".join(texts[i][0] for i in s).encode()) - (1 << 63) for s in slots]
-            own = found.setdefault((host_of(url), shape), [0, hashes, hashes])
-            own[0] += 1
-            own[1], own[2] = list(map(min, own[1], hashes)), list(map(max, own[2], hashes))
-        rows = [
-            (host, shape, i, n, a, b)
-            for (host, shape), (n, lo, hi) in found.items()
-            for i, (a, b) in enumerate(zip(lo, hi))
-        ]
-        names = ["host", "shape", "slot", "n", "lo", "hi"]
-        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            texts = [text for text, _, _ in texts]
+            host, key = host_of(url), xxh3_128_digest(shape.encode())
+            hashes = [
+                {"whole": code([texts[i] for i in s]), "first": code([texts[s[0]]]), "last": code([texts[s[-1]]])}
+                for s in slots
+            ]
+            known = (host, key) in seen
+            seen.add((host, key))
+            rows.append((host, key, xxh3_128_digest("\n".join(texts).encode()), None if known else shape, hashes))
         columns = zip(*rows) if rows else [[] for _ in names]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -360,12 +380,13 @@ def slot_batches(batches) -> Iterator[pa.RecordBatch]:
 def fill_batches(batches) -> Iterator[pa.RecordBatch]:
     """The wrapper of each single shape."""
     for batch in batches:
-        wrappers = []
+        wrappers, pages = [], []
         for shape, slots in zip(batch.column("shape").to_pylist(), batch.column("slots").to_pylist()):
+            pages.append(slots[0]["n"])
             ordered = iter([{k: s[k] for k in ("n", "lo", "hi")} for s in sorted(slots, key=lambda s: s["slot"])])
             wrappers.append(_bounded(fill(json.loads(shape), ordered)))
-        columns = [batch.column("host"), batch.column("part"), pa.array(wrappers, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "part", "wrapper"])
+        columns = [batch.column("host"), batch.column("part"), pa.array(pages, pa.int64()), pa.array(wrappers, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "part", "pages", "wrapper"])
 
 
 def align_wrappers(key, table: pa.Table) -> pa.Table:
@@ -376,8 +397,8 @@ def align_wrappers(key, table: pa.Table) -> pa.Table:
         wrapper = merge(wrapper, json.loads(other))
         if len(slots_in(wrapper)) > FOLD_SLOTS:
             wrapper = fold(wrapper)
-    columns = {"host": pa.string(), "part": pa.int64(), "wrapper": pa.string()}
-    values = [key[0].as_py(), key[1].as_py(), _bounded(wrapper)]
+    columns = {"host": pa.string(), "part": pa.int64(), "pages": pa.int64(), "wrapper": pa.string()}
+    values = [key[0].as_py(), key[1].as_py(), pc.sum(table.column("pages")).as_py(), _bounded(wrapper)]
     return pa.table({name: pa.array([v], kind) for (name, kind), v in zip(columns.items(), values)})
 
 
@@ -389,17 +410,19 @@ def _bounded(wrapper) -> str:
 
 
 @lru_cache(maxsize=2048)
-def _template(shape: str, wrapper: str) -> tuple[bool, ...]:
+def _template(shape: str, wrapper: str, pages: int) -> tuple[tuple[bool, ...], ...]:
     tree = json.loads(wrapper)
-    found = template_slots(json.loads(shape), tree)
-    return tuple(found) if varies(tree) else (False,) * len(found)
+    found = template_slots(json.loads(shape), tree, pages)
+    return tuple(found) if varies(tree) else ((False,) * 3,) * len(found)
 
 
-def extract(page: str | None, wrapper: str | None) -> str:
-    """The main text of one page under its host's wrapper."""
+def extract(page: str | None, wrapper: str | None, pages: int = 0) -> str:
+    """The main text of one page under its host's wrapper, which stands for ``pages`` different pages."""
     shape, slots, texts = place_slots(parse(page or ""))
-    template = _template(shape, wrapper) if wrapper else (False,) * len(slots)
-    gone = {i for slot, is_template in zip(slots, template) if is_template for i in slot}
+    gone: set[int] = set()
+    if wrapper:
+        for slot, (whole, first, last) in zip(slots, _template(shape, wrapper, pages)):
+            gone.update(slot if whole else slot[:1] * first + slot[-1:] * last)
     has_main = any(main and not skip for _, skip, main in texts)
     return "\n".join(
         text
@@ -410,7 +433,8 @@ def extract(page: str | None, wrapper: str | None) -> str:
 
 def extract_batches(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [extract(p, w) for p, w in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist())]
+        columns = [batch.column(name).to_pylist() for name in ("html", "wrapper", "pages")]
+        texts = [extract(page, wrapper, pages or 0) for page, wrapper, pages in zip(*columns)]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("page_id"),
@@ -426,16 +450,24 @@ def extract_batches(batches) -> Iterator[pa.RecordBatch]:
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """``host, wrapper`` (JSON) of every host."""
+    """``host, pages, wrapper`` (JSON) of every host with a text; ``pages`` of different text."""
+    rows = scratch(pages.select("url", "html").mapInArrow(map_task(page_batches), PAGES), "wrapper_pages")
+    shapes = rows.groupBy("host", "shape_key").agg(F.max("shape").alias("shape"))
+    different = rows.groupBy("host", "page").agg(F.min(F.struct("shape_key", "slots")).alias("page_slots"))
+    values = [F.col(f"s.{name}") for name in ("whole", "first", "last")]
     slots = (
-        pages.select("url", "html")
-        .mapInArrow(map_task(slot_batches), "host string, shape string, slot int, n long, lo long, hi long")
-        .groupBy("host", "shape", "slot")
-        .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        different.select("host", "page_slots.shape_key", F.posexplode("page_slots.slots").alias("slot", "s"))
+        .groupBy("host", "shape_key", "slot")
+        .agg(F.count(F.lit(1)).alias("n"), *map(F.min, values), *map(F.max, values))
+        .toDF("host", "shape_key", "slot", "n", "lo0", "lo1", "lo2", "hi0", "hi1", "hi2")
+        .select("host", "shape_key", "slot", "n", F.array("lo0", "lo1", "lo2").alias("lo"), F.array("hi0", "hi1", "hi2").alias("hi"))
+        .groupBy("host", "shape_key")
+        .agg(F.collect_list(F.struct("slot", "n", "lo", "hi")).alias("slots"))
     )
-    shapes = slots.groupBy("host", "shape").agg(F.collect_list(F.struct("slot", "n", "lo", "hi")).alias("slots"))
-    shapes = shapes.select("host", F.xxhash64("shape").alias("part"), "shape", "slots")
-    return align(shapes.mapInArrow(map_task(fill_batches), WRAPPERS)).select("host", "wrapper")
+    filled = slots.join(shapes, ["host", "shape_key"]).select("host", F.xxhash64("shape_key").alias("part"), "shape", "slots")
+    wrappers = align(filled.mapInArrow(map_task(fill_batches), WRAPPERS)).select("host", "pages", "wrapper")
+    drop_scratch(rows)
+    return wrappers
 
 
 def align(wrappers: DataFrame) -> DataFrame:
@@ -450,7 +482,7 @@ def align(wrappers: DataFrame) -> DataFrame:
         step += 1
         wrappers = (
             wrappers.join(counts, "host")
-            .select("host", F.pmod(F.xxhash64("part", F.lit(step)), groups).alias("part"), "wrapper")
+            .select("host", F.pmod(F.xxhash64("part", F.lit(step)), groups).alias("part"), "pages", "wrapper")
             .groupBy("host", "part")
             .applyInArrow(group_task(align_wrappers), WRAPPERS)
         )
@@ -464,5 +496,5 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     wrappers = induce(pages)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", url_host(F.col("url")).alias("host"))
-    met = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper")
+    met = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper", "pages")
     return met.mapInArrow(map_task(extract_batches), "page_id long, url string, text string, n_chars long")

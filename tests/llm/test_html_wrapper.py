@@ -89,7 +89,8 @@ def test_large_hosts_are_aligned_in_bounded_groups(spark, monkeypatch):
 
     def looked_at(table, name):
         out = scratch(table, name)
-        sizes.append(out.count())
+        if name == "wrappers":
+            sizes.append(out.count())
         return out
 
     monkeypatch.setattr(W, "scratch", looked_at)
@@ -100,7 +101,7 @@ def test_large_hosts_are_aligned_in_bounded_groups(spark, monkeypatch):
 
 def test_large_wrappers_fold_nodes_that_vary():
     def slot(lo, hi):
-        return {"n": 9, "lo": lo, "hi": hi}
+        return {"n": 9, "lo": [lo] * 3, "hi": [hi] * 3}
 
     wrapper = ["body", [slot(1, 1), ["div", [slot(1, 2), ["p", [slot(3, 4)]], ["hr", []]]], ["p", [slot(5, 5)]]]]
     folded = W.fold(wrapper)
@@ -109,4 +110,33 @@ def test_large_wrappers_fold_nodes_that_vary():
     merged = W.merge(folded, wrapper)
     assert merged[1][1] == ["div", W.FOLDED] and merged[1][0]["n"] == 18
     shape = ["body", [None, ["div", [None, ["p", [None]], ["hr", []]]], ["p", [None]]]]
-    assert W.template_slots(shape, merged) == W.template_slots(shape, wrapper) == [True, False, False, True]
+    want = [(known,) * 3 for known in (True, False, False, True)]
+    assert W.template_slots(shape, merged, 18) == W.template_slots(shape, wrapper, 9) == want
+
+
+def texts_of(spark, pages):
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in W.main_text(df).collect()}
+
+
+def test_copies_count_as_one_page(spark):
+    copied = "<body><div>Our shop</div><p>Copied</p><ul><li>its own list</li></ul></body>"
+    pages = [(i, f"http://c.example/{i}", copied) for i in range(10)]
+    pages += [(i, f"http://c.example/{i}", f"<body><div>Our shop</div><p>Item {i}</p></body>") for i in range(10, 13)]
+    got = texts_of(spark, pages)
+    assert got[0] == got[9] == "Copied\nits own list" and got[12] == "Item 12"
+
+
+def test_fixed_first_and_last_of_repeated_nodes_are_template(spark):
+    pages = [
+        (i, f"http://r.example/{i}", f"<body><div>menu</div><div>article {i}</div><div>copyright</div>"
+         f"<section><p>one {i}</p>{'<p>more</p>' * (i % 3)}<p>fixed notice</p></section></body>")
+        for i in range(12)
+    ]
+    got = texts_of(spark, pages)
+    assert got[3] == "article 3\none 3" and got[5] == "article 5\none 5\nmore\nmore"
+
+
+def test_small_hosts_are_compared_from_two_pages_on(spark):
+    pages = [(i, "http://two.example/", f"<body><div>Our shop</div><p>Item {i}</p></body>") for i in range(2)]
+    assert texts_of(spark, pages) == {0: "Item 0", 1: "Item 1"}
