@@ -15,10 +15,13 @@ different pages of its host, two at least, is template; one that not all pages
 have must be the same on several.  A slot whose text varies is content, without
 its first or last text where only that is template.
 
-A page's text is that of its varying slots, in page order.  Elements that say
-what they are (menus, headers, footers, asides, forms, scripts, adverts,
-comments, by tag, role or class) are no content even where they vary, and if a
-page has an article or main element, text outside it is none either.
+A page's text is that of its varying slots, in page order.  Elements whose tag
+or role says what they are (menus, headers, footers, asides, dialogs) are no
+content even where they vary.  Forms, and elements with one of a few names as a
+whole class or id (adverts, comments), are none where they hold at most half of
+the page's varying text.  If a page has an article or main element, text outside
+it is none either; and if all its article and main elements stand in elements
+that would be left out, those around them are not.
 
 Defined cases: null html gives an empty text; a page whose host shows nothing
 that varies (one page, or copies of one) keeps its constant slots; a null or
@@ -62,10 +65,10 @@ BLOCKS = set(
 )
 CLOSES_P = BLOCKS - {"button", "select", "option", "html", "body", "head"}
 NO_CONTENT = set(
-    "head script style textarea title noscript template iframe xmp nav header footer aside form button select "
+    "head script style textarea title noscript template iframe xmp nav header footer aside button select "
     "dialog menu object svg canvas audio video map".split()
 )
-NO_CONTENT_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu".split())
+NO_CONTENT_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu".split())
 NO_CONTENT_CLASSES = set(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies "
     "consent gdpr notice disclaimer popup modal overlay newsletter subscribe signup login sidebar sidebars menu menus "
@@ -73,29 +76,58 @@ NO_CONTENT_CLASSES = set(
     "related recommended comment comments reply replies disqus widget widgets".split()
 )
 KEPT_WHOLE = {"html", "body", "article", "main"}
+#: What an element says of itself: nothing, that it may be no content, that it is none, or that nobody sees it.
+NO_MARK, HINT, LEFT_OUT, HIDDEN = range(4)
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<!--|<[!?/]")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
-_NAME = re.compile(r"[^\W_]+")
 
 
 class Node:
-    __slots__ = ("tag", "label", "children", "skip", "main")
+    __slots__ = ("tag", "label", "children", "mark", "skip", "main", "hints")
 
-    def __init__(self, tag: str, label: str, skip: bool, main: bool):
-        self.tag, self.label, self.skip, self.main = tag, label, skip, main
+    def __init__(self, tag: str, label: str, mark: int, main: bool):
+        self.tag, self.label, self.mark, self.main = tag, label, mark, main
+        self.skip, self.hints = False, ()  # whether left out, and the hinting nodes around it and itself
         self.children: list = []  # nodes, and strings of text
 
 
-def _says_no(tag: str, attributes: dict[str, str]) -> bool:
-    if tag in NO_CONTENT or "hidden" in attributes:
-        return True
-    if attributes.get("role", "").lower() in NO_CONTENT_ROLES:
-        return True
+def _mark(tag: str, attributes: dict[str, str]) -> int:
+    if "hidden" in attributes:
+        return HIDDEN
+    role = attributes.get("role", "").lower()
+    if tag in NO_CONTENT or role in NO_CONTENT_ROLES:
+        return LEFT_OUT
     if tag in KEPT_WHOLE:
-        return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return not NO_CONTENT_CLASSES.isdisjoint(_NAME.findall(names))
+        return NO_MARK
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
+    return HINT if tag == "form" or role == "form" or not NO_CONTENT_CLASSES.isdisjoint(names) else NO_MARK
+
+
+def settle(root: Node) -> None:
+    """Hand marks down the tree; see the module's text for those around article and main."""
+    nodes, above = [root], {id(root): root}
+    for node in nodes:  # parents come before their children
+        for child in node.children:
+            if isinstance(child, Node):
+                nodes.append(child)
+                above[id(child)] = node
+
+    def hand_down() -> None:
+        for i, node in enumerate(nodes):
+            parent = above[id(node)]
+            node.skip = parent.skip or node.mark >= LEFT_OUT
+            node.hints = (*parent.hints, i) if node.mark == HINT else parent.hints
+
+    hand_down()
+    mains = [node for node in nodes if node.tag in ("article", "main")]
+    if all(node.skip or node.hints for node in mains):
+        for node in mains:
+            while node is not root:
+                node = above[id(node)]
+                node.mark = node.mark if node.mark == HIDDEN else NO_MARK
+        if mains:
+            hand_down()
 
 
 def parse(page: str) -> Node:
@@ -104,7 +136,7 @@ def parse(page: str) -> Node:
     An inline element that is no content is a node of its own.  Open elements
     are closed where HTML implies it, and at the page's end.
     """
-    root = Node("", "", False, False)
+    root = Node("", "", NO_MARK, False)
     stack = [root]
     at, end = 0, len(page)
     last = page.rfind(">")
@@ -149,8 +181,8 @@ def parse(page: str) -> Node:
         } if found[3] else {}
         if re.search(r"(?:^|\s)hidden(?:\s|/|$)", found[3] or ""):
             attributes["hidden"] = ""
-        skip = _says_no(tag, attributes)
-        if tag in VOID and tag != "hr" or not (tag in BLOCKS or skip):
+        mark = _mark(tag, attributes)
+        if tag in VOID and tag != "hr" or not (tag in BLOCKS or mark):
             continue
         if tag in CLOSES_P:
             for depth in range(len(stack) - 1, 0, -1):
@@ -168,10 +200,11 @@ def parse(page: str) -> Node:
                     del stack[depth:]
                     break
         names = " ".join(sorted(set(attributes.get("class", "").split())))
-        node = Node(tag, f"{tag}.{names}" if names else tag, skip or stack[-1].skip, tag in ("article", "main") or stack[-1].main)
+        node = Node(tag, f"{tag}.{names}" if names else tag, mark, tag in ("article", "main") or stack[-1].main)
         stack[-1].children.append(node)
         if tag != "hr" and not (found[3] or "").endswith("/") or tag in BLOCKS - {"hr"}:
             stack.append(node)
+    settle(root)
     return root
 
 
@@ -192,7 +225,7 @@ def blocks_of(node: Node) -> list:
     return out
 
 
-def place_slots(node: Node) -> tuple[str, list[list[int]], list[tuple[str, bool, bool]]]:
+def place_slots(node: Node) -> tuple[str, list[list[int]], list[tuple[str, bool, bool, tuple[int, ...]]]]:
     """(shape as JSON, places of each slot's texts, the texts in page order)."""
     texts: list = []
 
@@ -200,7 +233,7 @@ def place_slots(node: Node) -> tuple[str, list[list[int]], list[tuple[str, bool,
         children, slots, before = [], [], None
         for child in blocks_of(n):
             if isinstance(child, str):
-                texts.append((child, n.skip, n.main))
+                texts.append((child, n.skip, n.main, n.hints))
                 shape, own = None, [[len(texts) - 1]]
             else:
                 shape, own = walk(child)
@@ -364,7 +397,7 @@ def page_batches(batches) -> Iterator[pa.RecordBatch]:
         seen, rows = set(), []
         for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             shape, slots, texts = place_slots(parse(page or ""))
-            texts = [text for text, _, _ in texts]
+            texts = [text for text, *_ in texts]
             host, key = host_of(url), xxh3_128_digest(shape.encode())
             hashes = [
                 {"whole": code([texts[i] for i in s]), "first": code([texts[s[0]]]), "last": code([texts[s[-1]]])}
@@ -423,12 +456,21 @@ def extract(page: str | None, wrapper: str | None, pages: int = 0) -> str:
     if wrapper:
         for slot, (whole, first, last) in zip(slots, _template(shape, wrapper, pages)):
             gone.update(slot if whole else slot[:1] * first + slot[-1:] * last)
-    has_main = any(main and not skip for _, skip, main in texts)
-    return "\n".join(
-        text
-        for i, (text, skip, main) in enumerate(texts)
-        if not skip and i not in gone and (main or not has_main)
-    )
+    inside: dict[int, int] = {}  # varying characters of each hinting node
+    whole = 0
+    for i, (text, skip, _, hints) in enumerate(texts):
+        if not skip and i not in gone:
+            whole += len(text)
+            for hint in hints:
+                inside[hint] = inside.get(hint, 0) + len(text)
+    small = {hint for hint, n in inside.items() if 2 * n <= whole}
+    kept = [
+        (text, main)
+        for i, (text, skip, main, hints) in enumerate(texts)
+        if not skip and i not in gone and small.isdisjoint(hints)
+    ]
+    has_main = any(main and not skip and small.isdisjoint(hints) for _, skip, main, hints in texts)
+    return "\n".join(text for text, main in kept if main or not has_main)
 
 
 def extract_batches(batches) -> Iterator[pa.RecordBatch]:

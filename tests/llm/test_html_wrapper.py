@@ -140,3 +140,21 @@ def test_fixed_first_and_last_of_repeated_nodes_are_template(spark):
 def test_small_hosts_are_compared_from_two_pages_on(spark):
     pages = [(i, "http://two.example/", f"<body><div>Our shop</div><p>Item {i}</p></body>") for i in range(2)]
     assert texts_of(spark, pages) == {0: "Item 0", 1: "Item 1"}
+
+
+def test_names_are_whole_classes_and_hints_of_small_nodes():
+    body = "<h1>Title</h1><p>A long body of the page, much longer than what stands beside it.</p>"
+    want = "Title\nA long body of the page, much longer than what stands beside it."
+    for around in (
+        "<div class='site has-sidebar'>{}</div>",
+        "<div class='content no-comments'>{}</div>",
+        "<section id='related-work'>{}</section>",
+        "<form>{}</form>",
+        "<form><div class='widget'>{}</div><div class='sidebar'>links</div></form>",
+        "<div class='login'><article>{}</article></div>",
+        "<aside><main>{}</main></aside><p>outside</p>",
+        "<div class='related'><article>Other</article></div><aside><article>x</article></aside><article>{}</article>",
+    ):
+        assert W.extract(f"<html><body>{around.format(body)}</body></html>", None) == want, around
+    assert W.extract(f"<div>{body}</div><div class='a comments'>me too</div><form>field</form>", None) == want
+    assert W.extract(f"<div hidden><article>{body}</article></div><p>seen</p>", None) == "seen"
