@@ -159,6 +159,7 @@ class Snapshot:
     buckets: DataFrame
     filters: DataFrame
     shards: int
+    shard_keys: int = SHARD_KEYS
 
 
 @dataclass
@@ -196,16 +197,27 @@ def take_snapshot(buckets: DataFrame, shard_keys: int = SHARD_KEYS) -> Snapshot:
     filters = _sharded(buckets, shards).select("shard", "word").groupBy("shard").applyInArrow(
         group_task(build_filter), FILTERS
     )
-    return Snapshot(buckets, scratch(filters, "fuse"), shards)
+    return Snapshot(buckets, scratch(filters, "fuse"), shards, shard_keys)
+
+
+def dealt_for(batch: DataFrame, snapshot: Snapshot) -> tuple[DataFrame, int]:
+    """``sha, word, shard, salt`` of a batch, and the number of salts.
+
+    However few shards a snapshot has, a shard and salt gets about ``shard_keys`` digests.
+    """
+    salts = max(1, -(-batch.count() // (snapshot.shards * snapshot.shard_keys)))
+    dealt = _sharded(batch.select("sha"), snapshot.shards)
+    return dealt.withColumn("salt", F.pmod(F.xxhash64("word", F.lit(1)), F.lit(salts)).cast("int")), salts
 
 
 def screen(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
     """The digests of ``batch`` (column ``sha``) that the snapshot's filters let through."""
-    dealt = _sharded(batch.select("sha"), snapshot.shards)
-    schema = "sha string, word long, shard int"
+    dealt, salts = dealt_for(batch, snapshot)
+    filters = snapshot.filters.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    schema = "sha string, word long, shard int, salt int"
     return (
-        dealt.groupBy("shard")
-        .cogroup(snapshot.filters.groupBy("shard"))
+        dealt.groupBy("shard", "salt")
+        .cogroup(filters.groupBy("shard", "salt"))
         .applyInArrow(cogroup_task(probe_filter), schema)
         .select("sha")
     )

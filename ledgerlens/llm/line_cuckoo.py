@@ -164,6 +164,7 @@ class LineState:
     refs: DataFrame
     filters: DataFrame
     shards: int
+    shard_keys: int = SHARD_KEYS
 
 
 def _shard(shards: int):
@@ -179,19 +180,38 @@ def start(keys: DataFrame, shard_keys: int = SHARD_KEYS) -> LineState:
     """The state of a first batch of document keys."""
     counts = counted(keys)
     refs = scratch(counts.select("k1", "k2", F.col("delta").alias("refs")), "refs")
-    shards = max(1, -(-refs.count() // shard_keys))
+    return _state(refs, max(1, -(-refs.count() // shard_keys)), shard_keys)
+
+
+def _state(refs: DataFrame, shards: int, shard_keys: int) -> LineState:
+    """The state of exact counts (``k1, k2, refs``), all filters built from them."""
     refs = refs.withColumn("shard", _shard(shards))
     filters = refs.select("shard", "k1").groupBy("shard").applyInArrow(group_task(build_filter), FILTERS)
-    return LineState(refs, scratch(filters, "cuckoo"), shards)
+    return LineState(refs, scratch(filters, "cuckoo"), shards, shard_keys)
+
+
+def dealt_for(keys: DataFrame, state: LineState, sign: int = 1) -> tuple[DataFrame, int]:
+    """``k1, k2, delta, shard, salt`` of a batch, and the number of salts.
+
+    However few shards a state has, a shard and salt gets about ``shard_keys`` keys at most.
+    """
+    salts = max(1, -(-keys.count() // (state.shards * state.shard_keys)))
+    salt = F.pmod(F.xxhash64("k1", F.lit(1)), F.lit(salts)).cast("int")
+    return counted(keys, sign).withColumn("shard", _shard(state.shards)).withColumn("salt", salt), salts
 
 
 def apply(state: LineState, keys: DataFrame, sign: int = 1) -> LineState:
-    """The state after a batch of document keys came (``sign`` 1) or went (-1)."""
-    deltas = counted(keys, sign).withColumn("shard", _shard(state.shards))
+    """The state after a batch of document keys came (``sign`` 1) or went (-1).
+
+    When the keys have outgrown the shards, there are more shards from then on,
+    their filters built from the exact counts.
+    """
+    deltas, salts = dealt_for(keys, state, sign)
+    filters = state.filters.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     probed = scratch(
-        deltas.groupBy("shard")
-        .cogroup(state.filters.groupBy("shard"))
-        .applyInArrow(cogroup_task(probe_filter), "k1 long, k2 long, delta long, shard int, seen boolean"),
+        deltas.groupBy("shard", "salt")
+        .cogroup(filters.groupBy("shard", "salt"))
+        .applyInArrow(cogroup_task(probe_filter), "k1 long, k2 long, delta long, shard int, salt int, seen boolean"),
         "probed",
     )
     known = probed.where("seen")
@@ -210,6 +230,9 @@ def apply(state: LineState, keys: DataFrame, sign: int = 1) -> LineState:
     refs = scratch(
         same.select(*at, "refs", "shard").unionByName(touched.where("refs > 0").select(*at, "refs", "shard")), "refs"
     )
+    shards = -(-refs.count() // state.shard_keys)
+    if shards > 2 * state.shards:
+        return _state(refs.drop("shard"), shards, state.shard_keys)
     changes = touched.where("(before is null) <> (refs <= 0)").select(
         "shard", "k1", F.col("before").isNull().alias("came")
     )
@@ -221,13 +244,14 @@ def apply(state: LineState, keys: DataFrame, sign: int = 1) -> LineState:
     )
     full = updated.where("full").select("shard")
     if full.isEmpty():
-        return LineState(refs, updated, state.shards)
+        return LineState(refs, updated, state.shards, state.shard_keys)
     rebuilt = (
         refs.join(full, "shard", "left_semi").select("shard", "k1").groupBy("shard").applyInArrow(
             group_task(build_filter), FILTERS
         )
     )
-    return LineState(refs, scratch(updated.where("not full").unionByName(rebuilt), "cuckoo"), state.shards)
+    filters = scratch(updated.where("not full").unionByName(rebuilt), "cuckoo")
+    return LineState(refs, filters, state.shards, state.shard_keys)
 
 
 def _update_or_keep(key, changes: pa.Table, filters: pa.Table) -> pa.Table:

@@ -67,3 +67,15 @@ def test_a_batch_meets_every_snapshot_and_filters_screen(spark):
     assert E.screen(strangers, store.snapshots[0]).count() < 60
     own = E.digests(table(spark, batches[0]))
     assert E.screen(own, store.snapshots[0]).count() == 200
+
+
+def test_probe_groups_stay_small_behind_a_small_older_batch(spark):
+    store = E.Store()
+    E.ingest(store, E.digests(table(spark, [(0, "stray")])), shard_keys=50)
+    assert store.snapshots[0].shards == 1
+    batch = E.digests(table(spark, [(None, f"t{i}") for i in range(1000)] + [(None, "stray")]))
+    dealt, salts = E.dealt_for(batch, store.snapshots[0])
+    sizes = [r["count"] for r in dealt.groupBy("shard", "salt").count().collect()]
+    assert salts == 21 and sum(sizes) == 1001 and max(sizes) <= 100
+    got = {r["rows"] for r in E.ingest(store, batch, shard_keys=50).collect()}
+    assert got == {1, 2}

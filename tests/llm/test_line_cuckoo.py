@@ -83,3 +83,17 @@ def test_a_full_filter_is_built_again(spark):
     assert state.refs.count() == 403
     made = L._read_filter(state.filters.toArrow())
     assert made.holds(np.array([r["k1"] for r in state.refs.collect()], np.int64).view(np.uint64)).all()
+
+
+def test_shards_follow_the_keys_behind_a_small_first_batch(spark):
+    first, second = [(0, "line 1")], [(None, f"line {i}") for i in range(500)]
+    keys = [L.document_keys(table(spark, rows)) for rows in (first, second)]
+    small = L.start(keys[0], shard_keys=25)
+    dealt, salts = L.dealt_for(keys[1], small)
+    sizes = [r["count"] for r in dealt.groupBy("shard", "salt").count().collect()]
+    assert small.shards == 1 and salts == 20 and sum(sizes) == 500 and max(sizes) <= 60
+    state = L.apply(small, keys[1])
+    assert state.shards == 20 and state.filters.count() == 20
+    assert sorted(r["refs"] for r in state.refs.collect()) == [1] * 499 + [2]
+    assert max(r["count"] for r in state.refs.groupBy("shard").count().collect()) <= 60
+    assert L.apply(L.apply(state, keys[1], sign=-1), keys[0], sign=-1).refs.count() == 0
