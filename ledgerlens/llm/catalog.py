@@ -11,9 +11,11 @@ from ledgerlens.llm import (
     html_wrapper,
     kk_packing,
     line_cuckoo,
+    quality_crf,
     quality_llr,
     rlbwt,
     simhash_ring,
+    turn_repair,
     unigram_trie,
     url_alias,
 )
@@ -68,6 +70,16 @@ def op10_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kk_packing.pack(documents(spark, sf_dir))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turn_repair.audit(conversations, turn_repair.damage(conversations))
+
+
+def op13_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return quality_crf.score(docs, quality_crf.fit(docs, quality_crf.labels_of(spark, sf_dir)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +93,8 @@ QUERIES = {
         op8_fuse_exact,
         op9_line_cuckoo,
         op10_kk_packing,
+        op12_turn_repair,
+        op13_quality_crf,
     )
 }
 

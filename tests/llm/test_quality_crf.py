@@ -1,0 +1,151 @@
+"""Line field: marginals by enumeration, figures by plain Python, held-out accuracy."""
+
+import itertools
+import math
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import SF001, SF0001
+from helpers import CLASHING, LONG, ROWS, table
+from ledgerlens.llm import catalog
+from ledgerlens.llm import quality_crf as Q
+from ledgerlens.llm.common import documents
+from pyspark.sql import functions as F
+
+TEXTS = [
+    "A plain line.\n\nAND AN ODD ONE!! !!\n| a | b |",
+    "",
+    "one line",
+    "\n",
+    "Schön \U0001f642 gut.\nend end end\n#$% ###x",
+    "\n\n",
+]
+
+
+def model(seed=3):
+    rng = np.random.default_rng(seed)
+    return Q.Model(tuple(rng.normal(size=Q._FEATURES)), 0.4, (0.3, -0.8, -0.2, 0.7), 4.0, -2.0)
+
+
+def enumerated(own, figures):
+    """P(bad) of each line by summing over all labellings of one document."""
+    weight = np.array(own.weights)
+    total, bad = 0.0, [0.0] * len(figures)
+    for labels in itertools.product((0, 1), repeat=len(figures)):
+        score = own.start * labels[0] + sum(float(f @ weight) * y for f, y in zip(figures, labels))
+        score += sum(own.steps[2 * a + b] for a, b in zip(labels, labels[1:]))
+        total += math.exp(score)
+        for i, y in enumerate(labels):
+            bad[i] += math.exp(score) * y
+    return [b / total for b in bad]
+
+
+def test_marginals_are_those_of_all_labellings():
+    lines = Q.lines_of(pa.array(TEXTS))
+    bad, pairs = Q.marginals(model(), lines)
+    share = Q.good_share(lines, bad)
+    for d, text in enumerate(TEXTS):
+        at = slice(lines.first[d], lines.first[d] + lines.count[d])
+        own = enumerated(model(), lines.figures[at])
+        assert bad[at] == pytest.approx(own)
+        chars = [len(x) for x in text.split("\n")]
+        chars = chars if sum(chars) else [1] * len(chars)
+        assert share[d] == pytest.approx(sum(c * (1 - b) for c, b in zip(chars, own)) / sum(chars))
+        for i in range(lines.first[d], lines.first[d] + lines.count[d] - 1):
+            assert pairs[i].sum(0) == pytest.approx([1 - bad[i + 1], bad[i + 1]])
+            assert pairs[i].sum(1) == pytest.approx([1 - bad[i], bad[i]])
+
+
+def test_figures_of_plain_python():
+    lines = Q.lines_of(pa.array(TEXTS))
+    plain = [line for text in TEXTS for line in text.split("\n")]
+    assert lines.count.tolist() == [len(t.split("\n")) for t in TEXTS]
+    assert lines.length.tolist() == [len(x) for x in plain]
+    for got, line in zip(lines.figures[:, 1:14], plain):
+        raw, words = line.encode(), line.split(" ") if line else []
+        words = [w for w in words if w]
+        solid = max(1, len(raw.replace(b" ", b"")))
+        per = max(1, len(words))
+        letters = max(1, sum(c.isascii() and c.isalpha() for c in line))
+        want = [
+            sum(c in "#*$%&<>" for c in line) / solid,
+            line.count("|") / per,
+            sum(c.isascii() and c.isupper() for c in line) / letters,
+            sum(c in "!?" for c in line) / per,
+            sum(a == b for a, b in zip(words, words[1:])) / per,
+        ]
+        assert got[:5].tolist() == pytest.approx([min(1, w) for w in want])
+        assert got[9] == pytest.approx(sum(b > 127 for b in raw) / solid)
+        assert bool(got[11]) == line.endswith((".", "!", "?"))
+        assert bool(got[12]) == (not words)
+    head = set(lines.first.tolist())
+    for i in range(len(plain)):
+        before = lines.figures[i, 14 : 14 + Q._SHARED]
+        assert before.tolist() == ([0.0] * Q._SHARED if i in head else lines.figures[i - 1, 1 : 1 + Q._SHARED].tolist())
+
+
+def test_held_out_accuracy(spark):
+    """Fitted on four fifths of the labels of a table, judged on the rest."""
+    docs = documents(spark, SF001)
+    labels = Q.labels_of(spark, SF001)
+    scored = {r["doc_id"]: r for r in catalog.op13_quality_crf(spark, SF001).collect()}
+    assert len(scored) == docs.count()
+    held, right, caught, bad = 0, 0, 0, 0
+    for r in labels.collect():
+        s = scored[r["doc_id"]]
+        assert s["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= s["score"] <= 1 and s["predicted"] == (s["score"] >= 0.3)
+        if s["held_out"]:
+            held += 1
+            right += s["predicted"] == r["quality"]
+            bad += r["quality"] == 0
+            caught += r["quality"] == 0 and s["predicted"] == 0
+    assert right / held > 0.97
+    assert caught / bad > 0.85
+
+
+def test_held_out_labels_are_never_read(spark):
+    docs = documents(spark, SF0001)
+    labels = Q.labels_of(spark, SF0001)
+    turned = labels.withColumn(
+        "quality", F.when(Q.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality"))
+    )
+    assert Q.fit(docs, labels) == Q.fit(docs, turned)
+
+
+def test_scores_do_not_depend_on_ids_or_neighbours(spark):
+    own = model()
+    docs = documents(spark, SF0001).limit(40).select("doc_id", "text")
+    moved = docs.select((F.col("doc_id") + 1000).alias("doc_id"), "text").repartition(5)
+    first = sorted((r["score"], r["good_share"]) for r in Q.score(docs, own).collect())
+    second = sorted((r["score"], r["good_share"]) for r in Q.score(moved, own).collect())
+    assert np.allclose(first, second, rtol=1e-9)
+
+
+def test_awkward_rows(spark):
+    docs = table(spark, clash=(*CLASHING, "score", "quality", "held_out"))
+    labels = spark.createDataFrame(
+        [(1, 1), (5, 0), (5, 1), (6, 0), (None, 1), (8, 1), (77, 0), (7, None)], "doc_id long, quality int"
+    )
+    fitted = Q.fit(docs, labels)
+    out = Q.score(docs, fitted).collect()
+    assert len(out) == len(ROWS)
+    assert all(0 <= r["score"] <= 1 for r in out)
+    assert [r["held_out"] for r in out if r["doc_id"] is None] == [True]
+    same = {r["score"] for r in out if r["doc_id"] == 5}
+    assert len(same) == 1
+    assert Q.score(docs.limit(0), fitted).count() == 0
+    assert Q.fit(docs, labels.limit(0)) == Q.BLANK
+    assert Q.fit(docs.limit(0), labels) == Q.BLANK
+    assert Q.fit(docs, labels.where("quality = 1")) == Q.BLANK
+    assert {r["score"] for r in Q.score(docs, Q.BLANK).collect()} == {0.5}
+
+
+def test_lines_of_a_long_text(spark):
+    text = "\n".join([LONG[:500], "", "ALL CAPS!! HERE!!"] * 3000)
+    docs = table(spark, [(1, text), (2, "short")])
+    lines = Q.label_lines(docs, model()).collect()
+    assert sum(r["doc_id"] == 1 for r in lines) == 9000
+    assert sorted(r["line"] for r in lines if r["doc_id"] == 1) == list(range(9000))
