@@ -15,6 +15,7 @@ from ledgerlens.llm import (
     quality_llr,
     rlbwt,
     simhash_ring,
+    token_align,
     turn_repair,
     unigram_trie,
     url_alias,
@@ -70,6 +71,10 @@ def op10_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kk_packing.pack(documents(spark, sf_dir))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.aligned(documents(spark, sf_dir))
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return turn_repair.audit(conversations, turn_repair.damage(conversations))
@@ -93,6 +98,7 @@ QUERIES = {
         op8_fuse_exact,
         op9_line_cuckoo,
         op10_kk_packing,
+        op11_token_align,
         op12_turn_repair,
         op13_quality_crf,
     )
