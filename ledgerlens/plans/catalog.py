@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import schema as S
+from ledgerlens.fixtures import orders_as_text
 from ledgerlens.functions.calendar import event_time
 from ledgerlens.functions.formatting import count_text, money_text, percent_text
 from ledgerlens.operators import aggregates as A
@@ -327,31 +328,6 @@ def q_strict_dates(spark, sf_dir):
     )
 
 
-def orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The orders table rendered as raw text with realistic defects.
-
-    Final orders carry day/month swapped dates (only valid when the day is at
-    most 12), pending orders an empty date, urgent orders a currency prefix on
-    the price.  Everything else is well formed ``M/d/yyyy`` and plain numbers.
-    """
-    o = read_table(spark, sf_dir, "orders")
-    date_text = (
-        F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "d/M/yyyy"))
-        .when(F.col("o_orderstatus") == "P", F.lit(""))
-        .otherwise(F.date_format("o_orderdate", C.SALES_DATE_FORMAT))
-    )
-    price_text = F.when(
-        F.col("o_orderpriority") == "1-URGENT",
-        F.concat(F.lit("USD "), F.col("o_totalprice").cast("string")),
-    ).otherwise(F.col("o_totalprice").cast("string"))
-    return o.select(
-        F.col("o_orderkey").cast("string").alias(S.ORDER_ID),
-        date_text.alias(S.ORDER_DATE),
-        price_text.alias("total_price"),
-        F.col("o_orderpriority").alias(S.ORDER_PRIORITY),
-    )
-
-
 def q_coerce_clean(spark, sf_dir):
     raw = orders_as_text(spark, sf_dir)
     typed = raw.withColumn(S.ORDER_DATE, C.lenient_timestamp(S.ORDER_DATE))

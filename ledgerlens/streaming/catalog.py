@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import schema as S
+from ledgerlens.fixtures import events_as_text, render_sales_csv, write_landing
 from ledgerlens.operators.ranking import top_n
 from ledgerlens.plans.oracle import EVENT_TIME as _EVENT_TIME_SQL
 from ledgerlens.plans.oracle import SALES as _SALES_SQL
@@ -76,6 +77,16 @@ def q_stream_replay_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SP.read_silver(spark, silver).drop("event_date")
 
 
+def q_stream_dedup_across_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is delivered again a day later, its ``ts`` moved over midnight:
+    silver keeps the first delivery's row."""
+    run = SP.new_run(spark, "across-days")
+    events = read_table(spark, sf_dir, "events")
+    moved = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
+    _, silver = _deliver(spark, run, events, moved)
+    return SP.read_silver(spark, silver).drop("event_date")
+
+
 def q_stream_hourly_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly windows when the later half of the events arrives first."""
     run = SP.new_run(spark, "hourly-late")
@@ -114,7 +125,7 @@ def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_quarantine_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text ingest: rejected records of a producer with content-dependent defects."""
     run = SP.new_run(spark, "quarantine-text")
-    bronze = SP.write_text_bronze(SP.events_source(spark, sf_dir), run)
+    bronze = SP.write_text_bronze(events_as_text(SP.events_source(spark, sf_dir)), run)
     out = SP.write_text_quarantine(spark, bronze, run)
     return spark.read.schema(SP.QUARANTINE_TEXT_SCHEMA).parquet(out)
 
@@ -135,7 +146,7 @@ def q_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sales_landing(spark: SparkSession, sf_dir: str, run: SP.StreamPaths) -> str:
     """The producer side: the sales fact landed as CSV text in the run folder."""
-    return SL.write_landing(sales_fact(spark, sf_dir, S.SALES_COLUMNS), run.sink("landing"))
+    return write_landing(sales_fact(spark, sf_dir, S.SALES_COLUMNS), run.sink("landing"))
 
 
 def q_stream_sales_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +163,7 @@ def q_stream_sales_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = sales_fact(spark, sf_dir, S.SALES_COLUMNS)
     later = F.col(S.ORDER_DATE) >= F.lit("1995-07-01").cast("timestamp_ntz")
     for half in (sales.where(later), sales.where(~later)):
-        SL.render_sales_csv(half).write.mode("append").option("header", True).csv(run.sink("landing"))
+        render_sales_csv(half).write.mode("append").option("header", True).csv(run.sink("landing"))
         silver = SL.write_sales_silver(spark, run.sink("landing"), run)
         hourly = SL.write_sales_hourly(spark, silver, run)
     return SL.read_sales_hourly(spark, hourly)
@@ -176,6 +187,7 @@ STREAM_QUERIES = {
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
     "stream_replay_dedup": q_stream_replay_dedup,
+    "stream_dedup_across_days": q_stream_dedup_across_days,
     "stream_quarantine": q_stream_quarantine,
     "stream_quarantine_text": q_stream_quarantine_text,
     "stream_quarantine_defects": q_stream_quarantine_defects,
@@ -215,6 +227,7 @@ STREAM_ORACLE_SQL = {
     "stream_bronze": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_silver": f"WITH {_SILVER} SELECT * FROM silver",
     "stream_replay_dedup": f"WITH {_SILVER} SELECT * FROM silver",
+    "stream_dedup_across_days": f"WITH {_SILVER} SELECT * FROM silver",
     "stream_quarantine": """SELECT * FROM (
   SELECT event_id, ts, user_id, event_type, value, props,
          CASE WHEN event_id IS NULL THEN 'missing event_id'

@@ -2,18 +2,23 @@
 quarantine (silver), windowed KPIs and a serving table.
 
     events source --append--> bronze (parquet, partitioned by event date)
-    bronze --stream--> silver      valid rows, trimmed, one row per event id and day
+    bronze --stream--> silver      valid rows, trimmed, one row per event id
     bronze --stream--> quarantine  rejected rows with the first failed rule
-    silver --stream--> hourly      1-hour event-time windows, per-batch merge
-    silver --stream--> serving     region x event type, per-batch merge
+    silver --stream--> hourly      1-hour event-time windows, changed windows per batch
+    silver --stream--> serving     region x event type, changed rows per batch
 
 No watermark: every valid row reaches silver, the windows and the serving
 table whatever the order of delivery (a backfill comes in file order, and sales
-dates span years).  State is in the sinks and bounded there: silver drops a
-repeated event by looking into the day partitions that the batch writes to;
-windows and serving rows are sums by key, merged batch by batch, one row per
-hour of the calendar or per key.  Merges are idempotent by batch id and
-double-buffered.  Sales orders as a CSV stream live in
+dates span years).  State lives in Spark's state store: silver keeps the event
+ids it has seen, so a repeat counts once whatever its day; windows and serving
+rows are keyed sums, one per hour of the calendar or per key.  ``cluster_conf``
+puts the store into RocksDB, so state is bounded by disk, not by heap.
+
+Bronze, silver and quarantine are file sinks: a batch that runs again after a
+crash adds no file that a reader or a downstream stream would see.  Sums are
+written in update mode: each batch puts the rows it changed into a folder of
+its own, which a replay overwrites with the same rows, and readers take each
+key's latest batch.  Sales orders as a CSV stream live in
 ``ledgerlens.streaming.sales``.
 
 Checkpoints and sinks live under the shared folder named by
@@ -22,7 +27,6 @@ Checkpoints and sinks live under the shared folder named by
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -31,12 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import schema as S
-from ledgerlens.session import checkpoint_root, scratch_path
+from ledgerlens.session import scratch_path
 from ledgerlens.sources.tables import read_table
 
 # Fixed validation rules of the silver layer.
 KNOWN_EVENT_TYPES = ["view", "click", "signup", "purchase", "error"]
 VALUE_TYPE = T.DecimalType(12, 2)
+#: Tasks that a day's silver rows are dealt to, and copies of a user's dimension row.
+DAY_SPREAD, USER_SALTS = 4, 4
 
 BRONZE_SCHEMA = T.StructType(S.EVENTS_SCHEMA.fields + [T.StructField("event_date", T.DateType(), True)])
 SILVER_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props", "k", "event_date"]
@@ -82,6 +88,52 @@ def _run(writer) -> None:
         raise RuntimeError(str(query.exception()))
 
 
+def append_sink(rows: DataFrame, paths: StreamPaths, name: str, partition_by: str | None = None) -> str:
+    """Append a stream to a file sink until its input is drained.
+
+    The sink's log lists the files of committed batches; readers and
+    downstream streams see those only, so a batch that runs twice counts once.
+    """
+    out = paths.sink(name)
+    writer = (
+        rows.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", paths.checkpoint(name))
+        .outputMode("append")
+    )
+    _run(writer.partitionBy(partition_by) if partition_by else writer)
+    return out
+
+
+def write_changes(sums: DataFrame, paths: StreamPaths, name: str, schema: T.StructType) -> str:
+    """Keep the keyed sums of a stream (``outputMode("update")``) in a table of changes.
+
+    A batch writes the rows it changed to its own folder, as whole sums from
+    the state store.  A batch that runs again starts from the same state and
+    replaces its folder.
+    """
+    out = paths.sink(name)
+    sums.sparkSession.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/batch=-1")
+
+    def put(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    _run(
+        sums.writeStream.outputMode("update")
+        .option("checkpointLocation", paths.checkpoint(name))
+        .foreachBatch(put)
+    )
+    return out
+
+
+def read_changes(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """The latest row of each key."""
+    stored = T.StructType(schema.fields + [T.StructField("batch", T.LongType(), True)])
+    rows = spark.read.schema(stored).parquet(path)
+    sums = F.struct(*[c for c in schema.names if c not in keys])
+    return rows.groupBy(*keys).agg(F.max_by(sums, "batch").alias("_latest")).select(*keys, "_latest.*")
+
+
 # ---------------------------------------------------------------- bronze
 
 
@@ -91,16 +143,7 @@ def bronze_rows(events: DataFrame) -> DataFrame:
 
 def write_bronze(events: DataFrame, paths: StreamPaths) -> str:
     """Raw append of the event stream, partitioned by event date."""
-    out = paths.sink("bronze")
-    _run(
-        bronze_rows(events)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", paths.checkpoint("bronze"))
-        .partitionBy("event_date")
-        .outputMode("append")
-    )
-    return out
+    return append_sink(bronze_rows(events), paths, "bronze", "event_date")
 
 
 def read_bronze_stream(spark: SparkSession, bronze: str) -> DataFrame:
@@ -127,10 +170,6 @@ def rejection_reason(df: DataFrame) -> Column:
     )
 
 
-def _session_tz(df: DataFrame) -> str:
-    return df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC") or "UTC"
-
-
 def silver_rows(bronze: DataFrame) -> DataFrame:
     """Valid rows, event type normalised, ``k`` parsed."""
     valid = bronze.where(rejection_reason(bronze).isNull())
@@ -153,34 +192,6 @@ TEXT_SCHEMA = T.StructType(
 )
 
 
-def events_as_text(events: DataFrame) -> DataFrame:
-    """Events as a text producer sends them, with realistic defects.
-
-    ``signup`` types arrive padded and upper-cased (silver normalises them),
-    ``error`` events carry the value ``n/a`` and records whose ``k`` is 95 or
-    more are sent as ``k=<n>`` instead of JSON props.  The defects depend on
-    the record content only, so the rendering is deterministic.
-    """
-    return events.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.date_format("ts", TS_TEXT_FORMAT).alias("ts"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.when(F.col("event_type") == "signup", F.lit(" SIGNUP "))
-        .otherwise(F.col("event_type"))
-        .alias("event_type"),
-        F.when(F.col("event_type") == "error", F.lit("n/a"))
-        .otherwise(F.col("value").cast("string"))
-        .alias("value"),
-        F.when(
-            F.get_json_object("props", "$.k").try_cast("int") >= 95,
-            F.concat(F.lit("k="), F.get_json_object("props", "$.k")),
-        )
-        .otherwise(F.col("props"))
-        .alias("props"),
-        F.to_date("ts").alias("event_date"),
-    )
-
-
 def parse_event_text(raw: DataFrame) -> DataFrame:
     """Typed events from text; unparsable fields become null (``try_*``)."""
     return raw.select(
@@ -195,18 +206,9 @@ def parse_event_text(raw: DataFrame) -> DataFrame:
     )
 
 
-def write_text_bronze(events: DataFrame, paths: StreamPaths) -> str:
-    """Raw append of the text records, partitioned by event date."""
-    out = paths.sink("bronze_text")
-    _run(
-        events_as_text(events)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", paths.checkpoint("bronze_text"))
-        .partitionBy("event_date")
-        .outputMode("append")
-    )
-    return out
+def write_text_bronze(records: DataFrame, paths: StreamPaths) -> str:
+    """Raw append of text records (``TEXT_SCHEMA``), partitioned by event date."""
+    return append_sink(records, paths, "bronze_text", "event_date")
 
 
 def text_quarantine_rows(raw: DataFrame) -> DataFrame:
@@ -219,21 +221,14 @@ def text_quarantine_rows(raw: DataFrame) -> DataFrame:
 
 
 def write_text_quarantine(spark: SparkSession, bronze_text: str, paths: StreamPaths) -> str:
-    out = paths.sink("quarantine_text")
-    _run(
-        text_quarantine_rows(spark.readStream.schema(TEXT_SCHEMA).parquet(bronze_text))
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", paths.checkpoint("quarantine_text"))
-        .outputMode("append")
-    )
-    return out
+    raw = spark.readStream.schema(TEXT_SCHEMA).parquet(bronze_text)
+    return append_sink(text_quarantine_rows(raw), paths, "quarantine_text")
 
 
 def write_text_silver(spark: SparkSession, bronze_text: str, paths: StreamPaths) -> str:
     """Silver from text records: parse, validate, normalise, deduplicate."""
     typed = parse_event_text(spark.readStream.schema(TEXT_SCHEMA).parquet(bronze_text))
-    return _write_silver(spark, silver_rows(typed.drop("value_text")), paths, "silver_text")
+    return _write_silver(silver_rows(typed.drop("value_text")), paths, "silver_text")
 
 
 QUARANTINE_TEXT_SCHEMA = T.StructType(
@@ -249,61 +244,27 @@ QUARANTINE_TEXT_SCHEMA = T.StructType(
 )
 
 
-def distinct_writer(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], day: str):
-    """``foreachBatch`` function appending the rows of a batch whose keys the table doesn't hold.
+def first_of_each(rows: DataFrame, keys: list[str], day: str) -> DataFrame:
+    """The first row of each key, whatever its day; later ones are dropped by the state store.
 
-    The table is partitioned by batch and by ``day``.  Only the day folders
-    that the batch writes to are searched for its keys.  A replayed batch
-    replaces its own folders, so every batch counts once.
+    Rows are then dealt out by day, so a batch writes a file or a few per day;
+    a heavy day goes to ``DAY_SPREAD`` tasks.  Of repeats within one batch any
+    one stays.
     """
-    stored = T.StructType(schema.fields + [T.StructField("batch", T.LongType(), True)])
+    spread = F.pmod(F.xxhash64(*keys), F.lit(DAY_SPREAD))
+    return rows.dropDuplicates(keys).repartition(F.col(day), spread)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.dropDuplicates([*keys, day]) if keys else batch
-        if keys and batch_id > 0:
-            before = spark.read.schema(stored).parquet(path).where(F.col("batch") < batch_id)
-            days = rows.select(day).distinct()
-            known = before.join(days, day, "left_semi").select(*keys, day)
-            rows = rows.join(known, [*keys, day], "left_anti")
-        (
-            # a file or a few per day, whatever the tasks of the batch; a heavy day is split
-            rows.withColumn("batch", F.lit(batch_id).cast("long"))
-            .hint("rebalance", day)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch", day)
-            .parquet(path)
-        )
-
-    empty = spark.createDataFrame([], stored)
-    empty.write.mode("ignore").partitionBy("batch", day).parquet(path)
-    return write
-
-
-def _write_silver(spark: SparkSession, rows: DataFrame, paths: StreamPaths, name: str) -> str:
-    out = paths.sink(name)
-    _run(
-        rows.writeStream.option("checkpointLocation", paths.checkpoint(name)).foreachBatch(
-            distinct_writer(spark, out, SILVER_SCHEMA, ["event_id"], "event_date")
-        )
-    )
-    return out
+
+def _write_silver(rows: DataFrame, paths: StreamPaths, name: str) -> str:
+    return append_sink(first_of_each(rows, ["event_id"], "event_date"), paths, name, "event_date")
 
 
 def write_silver(spark: SparkSession, bronze: str, paths: StreamPaths) -> str:
-    return _write_silver(spark, silver_rows(read_bronze_stream(spark, bronze)), paths, "silver")
+    return _write_silver(silver_rows(read_bronze_stream(spark, bronze)), paths, "silver")
 
 
 def write_quarantine(spark: SparkSession, bronze: str, paths: StreamPaths) -> str:
-    out = paths.sink("quarantine")
-    _run(
-        quarantine_rows(read_bronze_stream(spark, bronze))
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", paths.checkpoint("quarantine"))
-        .outputMode("append")
-    )
-    return out
+    return append_sink(quarantine_rows(read_bronze_stream(spark, bronze)), paths, "quarantine")
 
 
 SILVER_SCHEMA = T.StructType(
@@ -333,12 +294,23 @@ def with_window_end(hours: DataFrame) -> DataFrame:
     )
 
 
+HOURLY_SCHEMA = T.StructType(
+    [
+        WINDOW_START,
+        T.StructField("events", T.LongType(), True),
+        T.StructField("total_value", T.DecimalType(38, 2), True),
+    ]
+)
+
+
 def hourly_sums(silver: DataFrame) -> DataFrame:
     """Event count and exact value sum by event-time hour (its start)."""
     sums = silver.groupBy(F.window("ts", "1 hour").alias("w")).agg(
         F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast(VALUE_TYPE)).alias("total_value")
     )
-    return sums.select(F.col("w.start").alias("window_start"), "events", "total_value")
+    return sums.select(
+        F.col("w.start").alias("window_start"), "events", F.col("total_value").cast("decimal(38,2)").alias("total_value")
+    )
 
 
 def hourly_kpis(silver: DataFrame) -> DataFrame:
@@ -347,23 +319,20 @@ def hourly_kpis(silver: DataFrame) -> DataFrame:
 
 
 def write_hourly(spark: SparkSession, silver: str, paths: StreamPaths) -> str:
-    """Hourly windows maintained batch by batch: late rows add to their window.
+    """Hourly windows kept by a stateful stream: late rows add to their window.
 
-    The table has one row per hour of the calendar, whatever the event volume.
+    The state holds one row per hour of the calendar, whatever the event
+    volume, and a batch writes the hours it changed.
     """
-    out = paths.sink("hourly")
-    init_merged_table(spark, out, HOURLY_STATE_SCHEMA)
-    _run(
-        read_silver_stream(spark, silver)
-        .writeStream.option("checkpointLocation", paths.checkpoint("hourly"))
-        .foreachBatch(merge_writer(spark, out, hourly_sums, HOURLY_KEYS, HOURLY_MEASURES))
-    )
-    return out
+    return write_changes(hourly_sums(read_silver_stream(spark, silver)), paths, "hourly", HOURLY_SCHEMA)
 
 
 def read_hourly(spark: SparkSession, hourly: str) -> DataFrame:
-    state = read_merged_table(spark, hourly, HOURLY_STATE_SCHEMA)
-    return with_window_end(state).withColumn("total_value", F.col("total_value").cast("double"))
+    latest = read_changes(spark, hourly, HOURLY_SCHEMA, ["window_start"])
+    return with_window_end(latest).withColumn("total_value", F.col("total_value").cast("double"))
+
+
+# ---------------------------------------------------------------- serving table
 
 
 def user_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,168 +347,68 @@ def user_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def co_partitioned_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user -> region dimension hash-partitioned by user id into the
-    session's shuffle partition count, sorted within partitions, persisted.
+    """The user -> region dimension, each row once per salt, hash-partitioned by
+    (user, salt) into the session's shuffle partition count, sorted and persisted.
 
     The cache is materialised at once (one count): its layout is only known to
-    the planner after that, and from then on a sort-merge join on ``user_id``
-    reuses it as it is - no exchange and no sort on this side.  The caller
-    unpersists it when done.
+    the planner after that, and from then on a sort-merge join on the two
+    columns reuses it as it is - no exchange and no sort on this side in any
+    micro-batch.  The caller unpersists it when done.
     """
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    salts = F.explode(F.array(*[F.lit(i) for i in range(USER_SALTS)]))
     users = (
         user_regions(spark, sf_dir)
-        .repartition(partitions, "user_id")
-        .sortWithinPartitions("user_id")
+        .withColumn("salt", salts)
+        .repartition(partitions, "user_id", "salt")
+        .sortWithinPartitions("user_id", "salt")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     users.count()
     return users
 
 
-def serving_kpis(events: DataFrame, users: DataFrame) -> DataFrame:
-    """Events and exact value per (region, event type); users without a known
-    region keep a null region.
-
-    Events are first summed per (user, event type): the partial aggregate runs
-    map-side, so a user holding a large share of the events reaches the join
-    as a handful of rows.  ``total_value`` stays DECIMAL so partial results
-    can be merged exactly.
-    """
-    per_user = events.groupBy("user_id", "event_type").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.sum(F.col("value").cast(VALUE_TYPE)).alias("total_value"),
-    )
-    joined = per_user.join(users, "user_id", "left")
-    return joined.groupBy("region", "event_type").agg(
-        F.sum("events").alias("events"), F.sum("total_value").alias("total_value")
-    )
-
-
-def state_schema(keys: list[str | T.StructField], measures: dict[str, T.DataType]) -> T.StructType:
-    """Schema of a merged table: keys (text unless a field is given), summed measures, bookkeeping."""
-    return T.StructType(
-        [k if isinstance(k, T.StructField) else T.StructField(k, T.StringType(), True) for k in keys]
-        + [T.StructField(m, dtype, True) for m, dtype in measures.items()]
-        + [
-            T.StructField("applied_batch", T.LongType(), True),
-            T.StructField("slot", T.IntegerType(), True),
-        ]
-    )
-
-
-def init_merged_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Create the empty merged table unless it exists (``ignore`` mode)."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy("slot").parquet(path)
-
-
-def read_merged_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of the most recently committed slot (the highest applied batch)."""
-    state = spark.read.schema(schema).parquet(path)
-    latest = state.select(F.max("applied_batch")).scalar()
-    return state.where(F.col("applied_batch") == latest).drop("applied_batch", "slot")
-
-
-def merge_writer(
-    spark: SparkSession,
-    path: str,
-    delta: Callable[[DataFrame], DataFrame],
-    keys: list[str | T.StructField],
-    measures: dict[str, T.DataType],
-):
-    """``foreachBatch`` function adding each micro-batch's delta to a table of sums.
-
-    ``delta`` turns the micro-batch (a plain batch frame) into one row per key
-    with the measures; it should aggregate early so hot keys shrink map-side.
-    Each row of the table records the batch that produced it; a replayed
-    batch is skipped, so every batch is added exactly once.  The table is
-    double-buffered: batch ``N`` replaces slot ``N % 2`` through dynamic
-    partition overwrite (the old slot is swapped out only at job commit)
-    while the other slot keeps the previous complete state, so a failure in
-    the middle of a write never loses the sums.  The merged rows are
-    checkpointed to the shared folder first, because they are read from the
-    table they are written to.  The table size is bounded by the key space.
-    """
-    schema = state_schema(keys, measures)
-    names = schema.names[: len(keys)]
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        state = spark.read.schema(schema).parquet(path)
-        last = state.agg(F.max("applied_batch")).first()[0]
-        if last is not None and batch_id <= last:
-            return
-        current = state.where(F.col("applied_batch") == F.lit(last)) if last is not None else state
-        merged = (
-            delta(batch)
-            .unionByName(current.drop("applied_batch", "slot"))
-            .groupBy(*names)
-            .agg(*[F.sum(m).cast(t).alias(m) for m, t in measures.items()])
-            .withColumn("applied_batch", F.lit(batch_id).cast("long"))
-            .withColumn("slot", F.lit(batch_id % 2).cast("int"))
-        )
-        (
-            merged.checkpoint(eager=True)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("slot")
-            .parquet(path)
-        )
-
-    return write
-
-
-HOURLY_KEYS = [WINDOW_START]
-HOURLY_MEASURES: dict[str, T.DataType] = {"events": T.LongType(), "total_value": T.DecimalType(38, 2)}
-HOURLY_STATE_SCHEMA = state_schema(HOURLY_KEYS, HOURLY_MEASURES)
-
 SERVING_KEYS = ["region", "event_type"]
-SERVING_MEASURES: dict[str, T.DataType] = {"events": T.LongType(), "total_value": T.DecimalType(38, 2)}
-SERVING_STATE_SCHEMA = state_schema(SERVING_KEYS, SERVING_MEASURES)
-
+SERVING_SCHEMA = T.StructType(
+    [T.StructField(k, T.StringType(), True) for k in SERVING_KEYS]
+    + [T.StructField("events", T.LongType(), True), T.StructField("total_value", T.DecimalType(38, 2), True)]
+)
 
-def _init_state(spark: SparkSession, path: str) -> None:
-    init_merged_table(spark, path, SERVING_STATE_SCHEMA)
 
+def serving_sums(events: DataFrame, users: DataFrame) -> DataFrame:
+    """Events and exact value per (region, event type); users without a known
+    region keep a null region.
 
-def _merge_writer(spark: SparkSession, path: str, users: DataFrame):
-    """The events serving merge: per-user partial aggregate, region join, sums."""
-    return merge_writer(
-        spark, path, lambda batch: serving_kpis(batch, users), SERVING_KEYS, SERVING_MEASURES
+    ``users`` holds each user once per salt (``co_partitioned_users``): a user
+    with a large share of the events meets ``USER_SALTS`` tasks.  The sums run
+    map-side first, so a hot region reaches the state as a few rows.
+    """
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(USER_SALTS)).cast("int")
+    rows = events.select("user_id", "event_type", "value", salt.alias("salt"))
+    joined = rows.join(users, ["user_id", "salt"], "left")
+    sums = joined.groupBy(*SERVING_KEYS).agg(
+        F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast(VALUE_TYPE)).alias("total_value")
     )
+    return sums.withColumn("total_value", F.col("total_value").cast("decimal(38,2)"))
 
 
 def write_serving(spark: SparkSession, silver: str, sf_dir: str, paths: StreamPaths) -> str:
-    """Serving table maintained batch by batch; its size is bounded by the
-    (region, event type) key space, not by the event volume.
-
-    The static user -> region frame is hash-partitioned by user id into the
-    session's shuffle partition count, sorted within partitions and persisted
-    (memory and disk) while the stream runs.  Every micro-batch's sort-merge
-    join then reuses that layout: only the batch's small per-user aggregate is
-    shuffled, the dimension is neither re-read, re-joined nor re-shuffled.  A
-    lost executor's blocks are recomputed from the lineage.
+    """Serving table kept by a stateful stream joined to the static user dimension.
+
+    The state has one row per (region, event type), and a batch writes the rows
+    it changed.  The dimension is laid out once while the stream runs; a lost
+    executor's blocks are recomputed from the lineage.
     """
-    checkpoint_root(spark)
-    out = paths.sink("serving")
-    _init_state(spark, out)
     users = co_partitioned_users(spark, sf_dir)
     try:
-        _run(
-            read_silver_stream(spark, silver)
-            .select("user_id", "event_type", "value")
-            .writeStream.option("checkpointLocation", paths.checkpoint("serving"))
-            .foreachBatch(_merge_writer(spark, out, users))
-        )
+        return write_changes(serving_sums(read_silver_stream(spark, silver), users), paths, "serving", SERVING_SCHEMA)
     finally:
         users.unpersist()
-    return out
 
 
 def read_serving(spark: SparkSession, serving: str) -> DataFrame:
-    state = read_merged_table(spark, serving, SERVING_STATE_SCHEMA)
-    return state.select(
-        "region", "event_type", "events", F.col("total_value").cast("double").alias("total_value")
-    )
+    latest = read_changes(spark, serving, SERVING_SCHEMA, SERVING_KEYS)
+    return latest.withColumn("total_value", F.col("total_value").cast("double"))
 
 
 def run_pipeline(

@@ -1,8 +1,8 @@
 """Sales orders as a stream: CSV landing -> typed silver / quarantine -> hourly
 KPIs and the region x item type serving table.
 
-A producer lands sales rows as CSV text (the layout of the sales CSV, header
-names included).  The stream reuses the batch operators: the same lenient
+Sales rows land as CSV text (the layout of the sales CSV, header names
+included).  The stream reuses the batch operators: the same lenient
 parsing and numeric coercion as ``sources.cleaning``, the same event-time
 enrichment as ``functions.calendar.event_time``.  Rows whose order date cannot
 be parsed go to the quarantine instead of being dropped silently.
@@ -17,20 +17,17 @@ from pyspark.sql import types as T
 from ledgerlens import schema as S
 from ledgerlens.functions.calendar import event_time
 from ledgerlens.operators.ranking import top_n
-from ledgerlens.sources.cleaning import SALES_DATE_FORMAT, coerce_numeric, lenient_timestamp, trim_text
+from ledgerlens.sources.cleaning import coerce_numeric, lenient_timestamp, trim_text
 from ledgerlens.streaming.pipeline import (
     WINDOW_START,
     StreamPaths,
-    _run,
-    distinct_writer,
-    init_merged_table,
-    merge_writer,
-    read_merged_table,
-    state_schema,
+    append_sink,
+    first_of_each,
+    read_changes,
     with_window_end,
+    write_changes,
 )
 
-_TO_CSV = dict(zip(S.SALES_COLUMNS, S.CSV_HEADER))
 _FROM_CSV = dict(zip(S.CSV_HEADER, S.SALES_COLUMNS))
 
 SILVER_SALES_SCHEMA = T.StructType(
@@ -44,32 +41,6 @@ QUARANTINE_SALES_SCHEMA = T.StructType(
         T.StructField("reason", T.StringType(), True),
     ]
 )
-def render_sales_csv(sales: DataFrame) -> DataFrame:
-    """Sales rows as a CSV producer writes them (all text, CSV header names).
-
-    Low-priority orders arrive with day and month swapped - a common export
-    bug: such a date parses to the wrong day when the day is at most 12 and
-    fails (quarantine) otherwise.  The defect depends on row content only.
-    """
-    date_text = F.when(
-        F.col(S.ORDER_PRIORITY) == "5-LOW", F.date_format(S.ORDER_DATE, "d/M/yyyy")
-    ).otherwise(F.date_format(S.ORDER_DATE, SALES_DATE_FORMAT))
-    cols = []
-    for name in S.SALES_COLUMNS:
-        if name == S.ORDER_DATE:
-            value = date_text
-        elif name == S.SHIP_DATE:
-            value = F.date_format(S.SHIP_DATE, SALES_DATE_FORMAT)
-        else:
-            value = F.col(name).cast("string")
-        cols.append(value.alias(_TO_CSV[name]))
-    return sales.select(*cols)
-
-
-def write_landing(sales: DataFrame, path: str) -> str:
-    """Land sales rows as CSV files (the producer side, a batch write)."""
-    render_sales_csv(sales).write.mode("overwrite").option("header", True).csv(path)
-    return path
 
 
 def sales_text_stream(spark: SparkSession, landing: str) -> DataFrame:
@@ -108,17 +79,6 @@ def sales_quarantine_rows(raw: DataFrame) -> DataFrame:
     )
 
 
-def _file_sink(df: DataFrame, paths: StreamPaths, name: str) -> str:
-    out = paths.sink(name)
-    _run(
-        df.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", paths.checkpoint(name))
-        .outputMode("append")
-    )
-    return out
-
-
 def write_sales_silver(
     spark: SparkSession, landing: str, paths: StreamPaths, row_key: tuple[str, ...] = ()
 ) -> str:
@@ -128,28 +88,30 @@ def write_sales_silver(
     order id of a one-line-per-order file: rows delivered again are then
     dropped.  A sales file of order lines has no such key, and keeps all rows.
     """
-    out = paths.sink("sales_silver")
-    _run(
-        sales_silver_rows(sales_text_stream(spark, landing))
-        .writeStream.option("checkpointLocation", paths.checkpoint("sales_silver"))
-        .foreachBatch(distinct_writer(spark, out, SILVER_SALES_SCHEMA, list(row_key), "event_year"))
-    )
-    return out
+    rows = sales_silver_rows(sales_text_stream(spark, landing))
+    if row_key:
+        rows = first_of_each(rows, list(row_key), "event_year")
+    return append_sink(rows, paths, "sales_silver", "event_year")
 
 
 def write_sales_quarantine(spark: SparkSession, landing: str, paths: StreamPaths) -> str:
-    return _file_sink(
-        sales_quarantine_rows(sales_text_stream(spark, landing)), paths, "sales_quarantine"
-    )
+    return append_sink(sales_quarantine_rows(sales_text_stream(spark, landing)), paths, "sales_quarantine")
+
+
+def _silver_stream(spark: SparkSession, silver: str) -> DataFrame:
+    return spark.readStream.schema(SILVER_SALES_SCHEMA).parquet(silver)
+
+
+def _sums_schema(keys: list[T.StructField], measures: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType(keys + [T.StructField(m, dtype, True) for m, dtype in measures.items()])
 
 
-SALES_HOURLY_KEYS = [WINDOW_START]
 SALES_HOURLY_MEASURES: dict[str, T.DataType] = {
     "lines": T.LongType(),
     S.TOTAL_REVENUE: T.DecimalType(38, 4),
     S.UNITS_SOLD: T.DecimalType(38, 2),
 }
-SALES_HOURLY_SCHEMA = state_schema(SALES_HOURLY_KEYS, SALES_HOURLY_MEASURES)
+SALES_HOURLY_SCHEMA = _sums_schema([WINDOW_START], SALES_HOURLY_MEASURES)
 
 
 def sales_hourly_sums(silver: DataFrame) -> DataFrame:
@@ -159,27 +121,18 @@ def sales_hourly_sums(silver: DataFrame) -> DataFrame:
         F.sum(S.TOTAL_REVENUE).alias(S.TOTAL_REVENUE),
         F.sum(S.UNITS_SOLD).alias(S.UNITS_SOLD),
     )
-    return sums.select(F.col("w.start").alias("window_start"), *SALES_HOURLY_MEASURES)
+    cast = [F.col(m).cast(t).alias(m) for m, t in SALES_HOURLY_MEASURES.items()]
+    return sums.select(F.col("w.start").alias("window_start"), *cast)
 
 
 def write_sales_hourly(spark: SparkSession, silver: str, paths: StreamPaths) -> str:
-    """Hourly windows maintained batch by batch; late rows add to their window."""
-    out = paths.sink("sales_hourly")
-    init_merged_table(spark, out, SALES_HOURLY_SCHEMA)
-    _run(
-        spark.readStream.schema(SILVER_SALES_SCHEMA)
-        .parquet(silver)
-        .writeStream.option("checkpointLocation", paths.checkpoint("sales_hourly"))
-        .foreachBatch(
-            merge_writer(spark, out, sales_hourly_sums, SALES_HOURLY_KEYS, SALES_HOURLY_MEASURES)
-        )
-    )
-    return out
+    """Hourly windows kept by a stateful stream; late rows add to their window."""
+    return write_changes(sales_hourly_sums(_silver_stream(spark, silver)), paths, "sales_hourly", SALES_HOURLY_SCHEMA)
 
 
 def read_sales_hourly(spark: SparkSession, hourly: str) -> DataFrame:
-    state = read_merged_table(spark, hourly, SALES_HOURLY_SCHEMA)
-    return with_window_end(state).withColumns(
+    latest = read_changes(spark, hourly, SALES_HOURLY_SCHEMA, ["window_start"])
+    return with_window_end(latest).withColumns(
         {m: F.col(m).cast("double") for m in (S.TOTAL_REVENUE, S.UNITS_SOLD)}
     )
 
@@ -192,41 +145,29 @@ SALES_SERVING_MEASURES: dict[str, T.DataType] = {
     S.TOTAL_PROFIT: T.DecimalType(38, 4),
     S.UNITS_SOLD: T.DecimalType(38, 2),
 }
-SALES_SERVING_SCHEMA = state_schema(SALES_SERVING_KEYS, SALES_SERVING_MEASURES)
+SALES_SERVING_SCHEMA = _sums_schema(
+    [T.StructField(k, T.StringType(), True) for k in SALES_SERVING_KEYS], SALES_SERVING_MEASURES
+)
 
 
-def sales_serving_delta(batch: DataFrame) -> DataFrame:
-    """Exact sums per (region, item type) of one micro-batch (partial
-    aggregation runs map-side, so a hot key is reduced before the shuffle)."""
-    return batch.groupBy(*SALES_SERVING_KEYS).agg(
-        *[F.sum(m).alias(m) for m in SALES_SERVING_MEASURES]
-    )
+def sales_serving_sums(silver: DataFrame) -> DataFrame:
+    """Exact sums per (region, item type); the partial sums run map-side, so a
+    hot key reaches the state as a few rows."""
+    sums = silver.groupBy(*SALES_SERVING_KEYS).agg(*[F.sum(m).alias(m) for m in SALES_SERVING_MEASURES])
+    return sums.select(*SALES_SERVING_KEYS, *[F.col(m).cast(t).alias(m) for m, t in SALES_SERVING_MEASURES.items()])
 
 
 def write_sales_serving(spark: SparkSession, silver: str, paths: StreamPaths) -> str:
-    """The streamed serving table: sums per region and item type, merged batch
-    by batch (idempotent, double-buffered; see ``pipeline.merge_writer``)."""
-    out = paths.sink("sales_serving")
-    init_merged_table(spark, out, SALES_SERVING_SCHEMA)
-    columns = SALES_SERVING_KEYS + list(SALES_SERVING_MEASURES)
-    _run(
-        spark.readStream.schema(SILVER_SALES_SCHEMA)
-        .parquet(silver)
-        .select(*columns)
-        .writeStream.option("checkpointLocation", paths.checkpoint("sales_serving"))
-        .foreachBatch(
-            merge_writer(
-                spark, out, sales_serving_delta, SALES_SERVING_KEYS, SALES_SERVING_MEASURES
-            )
-        )
+    """The streamed serving table: sums per region and item type (``pipeline.write_changes``)."""
+    return write_changes(
+        sales_serving_sums(_silver_stream(spark, silver)), paths, "sales_serving", SALES_SERVING_SCHEMA
     )
-    return out
 
 
 def read_sales_serving(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
     """Top ``n`` (region, item type) rows by profit from the serving table."""
-    state = read_merged_table(spark, path, SALES_SERVING_SCHEMA)
-    out = state.select(
+    latest = read_changes(spark, path, SALES_SERVING_SCHEMA, SALES_SERVING_KEYS)
+    out = latest.select(
         *SALES_SERVING_KEYS, *[F.col(m).cast("double").alias(m) for m in SALES_SERVING_MEASURES]
     )
     return top_n(out, n, [F.desc(S.TOTAL_PROFIT), F.asc(S.REGION), F.asc(S.ITEM_TYPE)])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import SF001
 from ledgerlens import schema as S
+from ledgerlens.fixtures import events_as_text, write_landing
 from ledgerlens.operators import paging as PG
 from ledgerlens.plans.catalog import PAGE_COLUMNS
 from ledgerlens.functions.calendar import event_time
@@ -113,32 +114,105 @@ def test_quarantine_catches_broken_rows(spark):
     }
 
 
-def test_serving_merge_is_idempotent_per_batch(spark):
-    run = SP.new_run(spark, "merge")
-    path = run.sink("serving")
-    SP._init_state(spark, path)
-    users = spark.createDataFrame([(1, "ASIA"), (2, "EUROPE")], "user_id long, region string")
-    batch = spark.createDataFrame(
-        [(1, "view", 1.25), (1, "view", 2.0), (2, "click", 0.5), (9, "view", 1.0)],
-        "user_id long, event_type string, value double",
+def crash_before_commit(run, name):
+    """As after a crash between a batch's output and its commit: the last batch runs again."""
+    import glob
+    import os
+
+    folder = run.checkpoint(name).removeprefix("file:") + "/commits"
+    last = max(int(f) for f in os.listdir(folder) if f.isdigit())
+    for f in glob.glob(f"{folder}/{last}") + glob.glob(f"{folder}/.{last}.crc"):
+        os.remove(f)
+    return last
+
+
+def test_serving_sums_of_a_batch_frame(spark):
+    users = spark.createDataFrame(
+        [(u, r, s) for u, r in [(1, "ASIA"), (2, "EUROPE")] for s in range(SP.USER_SALTS)],
+        "user_id long, region string, salt int",
     )
-    write = SP._merge_writer(spark, path, users)
-
-    def state():
-        return {(r.region, r.event_type): (r.events, r.total_value) for r in SP.read_serving(spark, path).collect()}
-
-    write(batch, 0)
-    first = state()
-    assert first == {("ASIA", "view"): (2, 3.25), ("EUROPE", "click"): (1, 0.5), (None, "view"): (1, 1.0)}
-    write(batch, 0)  # replayed batch: skipped
-    assert state() == first
-    write(batch, 1)
-    assert state()[("ASIA", "view")] == (4, 6.5)
-    # double-buffered: the previous complete state is still in the other slot
-    slots = spark.read.schema(SP.SERVING_STATE_SCHEMA).parquet(path).groupBy("slot").agg(
-        F.max("applied_batch").alias("b")
+    batch = spark.createDataFrame(
+        [(1, 1, "view", 1.25), (2, 1, "view", 2.0), (3, 2, "click", 0.5), (4, 9, "view", 1.0), (5, None, "view", 1.0)],
+        "event_id long, user_id long, event_type string, value double",
     )
-    assert sorted((r.slot, r.b) for r in slots.collect()) == [(0, 0), (1, 1)]
+    got = {(r.region, r.event_type): (r.events, float(r.total_value)) for r in SP.serving_sums(batch, users).collect()}
+    assert got == {("ASIA", "view"): (2, 3.25), ("EUROPE", "click"): (1, 0.5), (None, "view"): (2, 2.0)}
+
+
+def test_replayed_silver_batch_changes_nothing_downstream(spark):
+    """Write, downstream, the silver batch again, downstream again: unchanged totals."""
+    run = SP.new_run(spark, "replayed-batch")
+    bronze = SP.write_bronze(SP.events_source(spark, SF001), run)
+    silver = SP.write_silver(spark, bronze, run)
+    hourly = SP.write_hourly(spark, silver, run)
+    serving = SP.write_serving(spark, silver, SF001, run)
+    before = sorted(SP.read_hourly(spark, hourly).collect()), sorted(SP.read_serving(spark, serving).collect(), key=repr)
+    assert crash_before_commit(run, "silver") == 0
+    SP.write_silver(spark, bronze, run)
+    SP.write_hourly(spark, silver, run)
+    SP.write_serving(spark, silver, SF001, run)
+    assert SP.read_silver(spark, silver).count() == 10000
+    after = sorted(SP.read_hourly(spark, hourly).collect()), sorted(SP.read_serving(spark, serving).collect(), key=repr)
+    assert before == after
+    assert sum(r.events for r in after[0]) == 10000
+
+
+def test_streams_killed_between_two_batches(spark):
+    """Windows and serving rows after a kill and a restart in the middle equal the batch answer."""
+    events = read_table(spark, SF001, "events")
+    run = SP.new_run(spark, "killed")
+    landing = run.sink("source")
+    for part in (events.where("event_id % 3 = 0"), events.where("event_id % 3 <> 0")):
+        part.write.mode("append").parquet(landing)
+        bronze = SP.write_bronze(SP.events_source(spark, landing, file_glob="*.parquet"), run)
+        silver = SP.write_silver(spark, bronze, run)
+        hourly = SP.write_hourly(spark, silver, run)
+        serving = SP.write_serving(spark, silver, SF001, run)
+        for name in ("bronze", "silver", "hourly", "serving"):
+            crash_before_commit(run, name)
+    # the last batch of every stage runs again
+    SP.write_bronze(SP.events_source(spark, landing, file_glob="*.parquet"), run)
+    SP.write_silver(spark, bronze, run)
+    SP.write_hourly(spark, silver, run)
+    SP.write_serving(spark, silver, SF001, run)
+    silver_df = SP.read_silver(spark, silver)
+    assert silver_df.count() == 10000
+    streamed, batch = SP.read_hourly(spark, hourly), SP.hourly_kpis(silver_df)
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+    users = SP.co_partitioned_users(spark, SF001)
+    want = SP.serving_sums(silver_df, users).withColumn("total_value", F.col("total_value").cast("double"))
+    got = SP.read_serving(spark, serving)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    users.unpersist()
+
+
+def test_a_batch_writes_only_the_windows_it_changed(spark):
+    events = read_table(spark, SF001, "events")
+    run = SP.new_run(spark, "changes")
+    landing = run.sink("source")
+    edge = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    for part in (events.where(F.col("ts") >= edge), events.where(F.col("ts") < edge)):
+        part.write.mode("append").parquet(landing)
+        bronze = SP.write_bronze(SP.events_source(spark, landing, file_glob="*.parquet"), run)
+        hourly = SP.write_hourly(spark, SP.write_silver(spark, bronze, run), run)
+    second = spark.read.parquet(f"{hourly}/batch=1")
+    assert 0 < second.count() <= 24
+    assert second.where(F.col("window_start") >= edge).count() == 0
+
+
+def test_repeats_on_another_day_count_once(spark):
+    run = SP.new_run(spark, "days")
+    landing = run.sink("source")
+    events = read_table(spark, SF001, "events").limit(1000).cache()
+    for days in (0, 1, 40):
+        moved = events.withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {days} DAY"))
+        moved.write.mode("append").parquet(landing)
+        bronze = SP.write_bronze(SP.events_source(spark, landing, file_glob="*.parquet"), run)
+        silver = SP.write_silver(spark, bronze, run)
+    kept = SP.read_silver(spark, silver)
+    assert kept.count() == kept.select("event_id").distinct().count() == 1000
+    assert kept.select("event_id", "ts").exceptAll(events.select("event_id", "ts")).count() == 0
+    assert spark.read.schema(SP.BRONZE_SCHEMA).parquet(bronze).count() == 3000
 
 
 def test_replayed_events_are_deduplicated(spark):
@@ -153,7 +227,7 @@ def test_replayed_events_are_deduplicated(spark):
 
 def test_text_ingest_splits_into_silver_and_quarantine(spark):
     run = SP.new_run(spark, "text-test")
-    bronze = SP.write_text_bronze(SP.events_source(spark, SF001), run)
+    bronze = SP.write_text_bronze(events_as_text(SP.events_source(spark, SF001)), run)
     silver = SP.write_text_silver(spark, bronze, run)
     quarantine = SP.write_text_quarantine(spark, bronze, run)
     n_silver = SP.read_silver(spark, silver).count()
@@ -215,7 +289,7 @@ def test_sales_stream_accounts_for_every_line(spark):
     from ledgerlens.streaming import sales as SL
 
     run = SP.new_run(spark, "sales-test")
-    landing = SL.write_landing(sales_fact(spark, SF001, S.SALES_COLUMNS), run.sink("landing"))
+    landing = write_landing(sales_fact(spark, SF001, S.SALES_COLUMNS), run.sink("landing"))
     silver = SL.write_sales_silver(spark, landing, run)
     quarantine = SL.write_sales_quarantine(spark, landing, run)
     hourly = SL.write_sales_hourly(spark, silver, run)

@@ -91,8 +91,7 @@ def test_serving_join_reuses_the_cached_dimension_layout(spark):
     try:
         for k in confs:  # as at scale: the dimension is too big to broadcast
             spark.conf.set(k, "-1")
-        events = read_table(spark, SF0001, "events").select("user_id", "event_type", "value")
-        text = formatted(SP.serving_kpis(events, users))
+        text = formatted(SP.serving_sums(read_table(spark, SF0001, "events"), users))
     finally:
         users.unpersist()
         for k, v in before.items():
@@ -101,5 +100,5 @@ def test_serving_join_reuses_the_cached_dimension_layout(spark):
             else:
                 spark.conf.set(k, v)
     assert "SortMergeJoin" in text and "InMemoryTableScan" in text
-    # the only user_id shuffle planned per batch is the small per-user side's
-    assert len(re.findall(r"hashpartitioning\(user_id#\d+L?, \d+\), ENSURE_REQUIREMENTS", text)) == 1
+    # the only shuffle for the join is that of the events, dealt out by user and salt
+    assert len(re.findall(r"hashpartitioning\(user_id#\d+L?, salt#\d+, \d+\), ENSURE_REQUIREMENTS", text)) == 1
