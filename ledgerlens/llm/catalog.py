@@ -56,7 +56,7 @@ def op6_unigram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_rlbwt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rlbwt.digest(rlbwt.cut(documents(spark, sf_dir)))
+    return rlbwt.digest(rlbwt.cut(documents(spark, sf_dir)), with_text=True)
 
 
 def op8_fuse_exact(spark: SparkSession, sf_dir: str) -> DataFrame:

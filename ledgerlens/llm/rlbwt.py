@@ -372,10 +372,12 @@ def _kept(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2]))
 
 
-def cut_batches(batches, length: int, as_text: bool) -> Iterator[pa.RecordBatch]:
+def cut_batches(batches, length: int, as_text: bool, least_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = utf8(batch.column("text"))
         runs = [removed_runs(s, length) for s in batch.column("spans").to_pylist()]
+        if least_words:
+            runs = [[(a, b) for a, b in r if len(t[a:b].split()) >= least_words] for t, r in zip(texts, runs)]
         kept = [_kept(t, r) for t, r in zip(texts, runs)]
         kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
@@ -389,10 +391,13 @@ def cut_batches(batches, length: int, as_text: bool) -> Iterator[pa.RecordBatch]
         )
 
 
-def cut(docs: DataFrame, length: int = LENGTH, as_text: bool = False, **parameters) -> DataFrame:
+def cut(
+    docs: DataFrame, length: int = LENGTH, as_text: bool = False, least_words: int = 0, **parameters
+) -> DataFrame:
     """``row`` (the columns as given, but the text), ``removed`` runs, ``n_bytes`` and what is ``kept``.
 
     ``kept`` are bytes; as text, without the rest of a character that was cut in two.
+    Runs of fewer words than ``least_words`` (at white space) stay.
     """
     spans = repeats(docs, length, **parameters)
     per_text = spans.groupBy("doc_id", "rk").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
@@ -406,7 +411,7 @@ def cut(docs: DataFrame, length: int = LENGTH, as_text: bool = False, **paramete
     met = rows.join(per_text, same_row(rows, per_text), "left").select("row", "text", "spans")
     row_type = met.schema["row"].dataType.simpleString()
     schema = f"row {row_type}, removed array<struct<`from`:bigint,`to`:bigint>>, n_bytes bigint, kept {'string' if as_text else 'binary'}"
-    return met.mapInArrow(map_task(cut_batches, length=length, as_text=as_text), schema)
+    return met.mapInArrow(map_task(cut_batches, length=length, as_text=as_text, least_words=least_words), schema)
 
 
 def remove(docs: DataFrame, **parameters) -> DataFrame:
@@ -416,7 +421,8 @@ def remove(docs: DataFrame, **parameters) -> DataFrame:
     return done.select(*columns)
 
 
-def digest(done: DataFrame) -> DataFrame:
+def digest(done: DataFrame, with_text: bool = False) -> DataFrame:
+    """Figures of each text; on request what is kept of it (the rest of a cut character as U+FFFD)."""
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, r: acc + r["to"] - r["from"])
     return done.select(
         F.col("row.doc_id").cast("long").alias("doc_id"),
@@ -424,4 +430,5 @@ def digest(done: DataFrame) -> DataFrame:
         removed.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        *([F.make_valid_utf8(F.col("kept").cast("string")).alias("text")] if with_text else []),
     )

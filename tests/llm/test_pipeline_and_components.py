@@ -31,7 +31,7 @@ def test_components_of_chains_stars_and_loops(spark):
 
 def test_every_query_is_registered():
     names = list(entry.LLM_QUERIES)
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert [n for n, _ in P.STAGES] == ["quality", "exact_dedup", "simhash_dedup", "suffix_dedup", "packing"]
 
 
@@ -56,6 +56,33 @@ def test_stages_take_awkward_rows(spark):
             stage(spark, rows, SF0001).collect()
 
 
+def test_repeated_passages_of_over_fifty_words_go(spark):
+    """Passages of 51 to 60 words in two documents each; shorter repeats and clean documents stay."""
+    rng = random.Random(8)
+
+    def words(n):
+        return ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(n)]
+
+    rows, passages = [], []
+    for n in range(51, 61):
+        passage = " ".join(words(n))
+        passages.append(passage)
+        rows += [(len(rows) + i, " ".join([*words(70), passage, *words(70)])) for i in range(2)]
+    short = " ".join(words(45))
+    rows += [(100 + i, " ".join([*words(60), short, *words(60)])) for i in range(3)]
+    rows += [(200 + i, " ".join(words(150))) for i in range(5)]
+    rows += [(300, None), (301, "")]
+    kept = {r["doc_id"]: r["text"] for r in P.suffix_dedup(spark, table(spark, rows), SF0001).collect()}
+    assert set(kept) == {i for i, _ in rows}
+    for i, text in rows:
+        if i < 100:
+            # all but the words at the passage's ends, which may match by chance
+            left = text.replace(passages[i // 2], "")
+            assert abs(len(kept[i]) - len(left)) < 12 and passages[i // 2] not in kept[i]
+        else:
+            assert kept[i] == text or (text is None and not kept[i])
+
+
 def test_the_rest_does_without_this_package():
     code = (
         "import sys\n"
@@ -68,3 +95,5 @@ def test_the_rest_does_without_this_package():
         "assert not e.LLM_QUERIES and not [k for k in e.queries() if k.startswith('op')]\n"
     )
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
+    absent = code.replace("name == 'corpus_pipeline' or name.startswith('ledgerlens.llm')", "name == 'public_tokenizers'")
+    subprocess.run([sys.executable, "-c", absent], cwd=ROOT, check=True, timeout=120)
