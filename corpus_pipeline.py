@@ -2,6 +2,11 @@
 
 Each stage takes the rows its predecessor kept, written as Parquet and read
 again, and all but the last return the columns of ``documents``.
+
+Defined cases, for every stage: a null text counts as the empty one, which the
+base rules of the first stage reject; a null id is kept as it is; repeated rows
+are exact copies, of which one stays; an empty table gives an empty table;
+further columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,9 +33,14 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash_ring.keep_one(docs)
 
 
+#: A passage is what occurs again and holds more than 50 words; found by its
+#: bytes first, of which 50 words of three letters and a space have 200.
+PASSAGE_WORDS, PASSAGE_BYTES, PASSAGE_GRAM = 51, 200, 40
+
+
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages are cut out of the texts; every document stays."""
-    return rlbwt.remove(docs)
+    """Repeated passages are cut out of the texts, the first occurrence like the others; every document stays."""
+    return rlbwt.remove(docs, length=PASSAGE_BYTES, gram=PASSAGE_GRAM, least_words=PASSAGE_WORDS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
