@@ -32,6 +32,7 @@ import hashlib
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -47,7 +48,7 @@ from ledgerlens.llm.tokens import SPECIAL, JoinedEncoder, encode_block, load_ran
 
 PIECES = "piece_bpe_32k.model"
 #: Bytes of text aligned at a time (one whole text at least).
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 #: Blocks of one task are numbered from its partition number times this.
 BLOCKS = 1 << 33
 #: An id pair as one number: A's id times this, plus B's.
@@ -119,7 +120,9 @@ def _side(encode, single, raw: list[bytes]) -> Side:
     return Side(encode, single, raw, length, np.array([r[:1] == b" " for r in raw]))
 
 
+@lru_cache(maxsize=1)
 def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
+    """Both vocabularies; a worker keeps them from task to task."""
     ranks = load_ranks(path_a)
     raw = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
