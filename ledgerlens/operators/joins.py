@@ -1,4 +1,4 @@
-"""The one-DAG semi-join."""
+"""The one-DAG semi-join, and broadcasts behind a size check."""
 
 from __future__ import annotations
 
@@ -6,6 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows up to which a side of known size is broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def checked_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if ``rows``, a bound the caller has counted or proved, is small."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def restrict_to(df: DataFrame, chosen: DataFrame, keys: list[str], known_rows: int | None = None) -> DataFrame:
     """Keep the rows of ``df`` whose ``keys`` appear in ``chosen`` (left semi join).
 

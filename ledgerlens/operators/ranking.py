@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,14 +41,26 @@ def top_n_per_group(
     return ranked if keep_rank else ranked.drop(rank_col)
 
 
-def position_counts(counts: DataFrame, lead: str) -> DataFrame:
-    """``lead, n, before``: rows of each value of the leading sort column, and rows before it.
+def position_counts(counts: DataFrame, lead: str, block: str | None = None) -> DataFrame:
+    """``lead, [block,] n, before``: rows of each value of the leading sort columns, and rows before it.
 
-    ``counts`` has one row per value of ``lead``; the running sum over it is one
-    task, which suits a leading column with a bounded domain, such as a time.
+    ``counts`` has one row per value.  The running sum over ``lead`` is one
+    task, which suits a leading column with a bounded domain, such as a time;
+    the blocks within each of its values are summed value by value.
     """
+    totals = counts.groupBy(lead).agg(F.sum("n").alias("n")) if block else counts
     running = F.sum("n").over(Window.orderBy(lead).rowsBetween(Window.unboundedPreceding, -1))
-    return counts.select(lead, "n", F.coalesce(running, F.lit(0)).alias("before"))
+    placed = totals.select(lead, "n", F.coalesce(running, F.lit(0)).alias("before"))
+    if block is None:
+        return placed
+    inside = F.sum("n").over(
+        Window.partitionBy(lead).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    blocks = counts.select(lead, block, "n", F.coalesce(inside, F.lit(0)).alias("_inside"))
+    placed = placed.select(F.col(lead).alias("_at"), "before")
+    return blocks.join(placed, F.col(lead).eqNullSafe(F.col("_at"))).select(
+        lead, block, "n", (F.col("before") + F.col("_inside")).alias("before")
+    )
 
 
 def slice_rows(
@@ -56,25 +70,49 @@ def slice_rows(
     stop: int,
     pos_col: str = "pos",
     counts: DataFrame | None = None,
+    block: str | None = None,
 ) -> DataFrame:
     """Rows at 0-based positions ``[start, stop)`` of the order by ``order`` (columns, ascending).
 
     The rows are counted by the leading column; the running counts say which of
     its values the slice covers and at which position each begins.  Only rows
     with those values are ranked, each value on its own.  There are at most
-    ``stop - start`` such values, so they are broadcast.  Rows that tie in
-    all of ``order`` get neighbouring positions in no fixed order.
-    ``counts`` may give the counts (``lead, n``) where they are known.
+    ``stop - start`` such values, so they are broadcast.
+
+    ``order`` needs key columns after the leading one; rows that tie in all of
+    it get neighbouring positions in no fixed order.  ``block`` names a column
+    that rises with the rest of the order (such as the key divided by a range):
+    a crowded value of the leading column is then counted and ranked block by
+    block.  ``counts`` may give the counts (``lead, [block,] n``) where they are
+    known.
     """
     start = max(0, int(start))
     stop = max(start, int(stop))
     lead, rest = order[0], list(order[1:])
-    counts = df.groupBy(lead).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
-    covered = position_counts(counts, lead).where(
-        (F.col("before") < stop) & (F.col("before") + F.col("n") > start)
-    )
-    at = covered.select(F.col(lead).alias("_lead"), F.col("before").alias("_before"))
-    rows = df.join(F.broadcast(at), F.col(lead).eqNullSafe(F.col("_lead")))
-    w = Window.partitionBy("_lead").orderBy(*(rest or [F.lit(1)]))
+    if not rest:
+        raise ValueError("the order needs key columns after the leading one")
+    at = [lead] + ([block] if block else [])
+    counts = df.groupBy(*at).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
+    covered = covered_counts(position_counts(counts, lead, block), start, stop)
+    covered = covered.select(*[F.col(c).alias(f"_{c}") for c in at], F.col("before").alias("_before"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in at])
+    rows = df.join(F.broadcast(covered), same)
+    w = Window.partitionBy(*[f"_{c}" for c in at]).orderBy(*rest)
     placed = rows.withColumn(pos_col, (F.col("_before") + F.row_number().over(w) - 1).cast("bigint"))
-    return placed.where((F.col(pos_col) >= start) & (F.col(pos_col) < stop)).drop("_lead", "_before")
+    return placed.where((F.col(pos_col) >= start) & (F.col(pos_col) < stop)).drop(*[f"_{c}" for c in at], "_before")
+
+
+def covered_counts(positions: DataFrame, start: int, stop: int) -> DataFrame:
+    """The values of ``position_counts`` that hold a position of ``[start, stop)``."""
+    return positions.where((F.col("before") < stop) & (F.col("before") + F.col("n") > start))
+
+
+def first_days(per_day: DataFrame, day: str, n: int, newest: bool = False):
+    """The day up to which (from the earliest, or ``newest``) ``n`` rows are counted; None if there are fewer.
+
+    ``per_day`` has one row per day with its rows ``n``.
+    """
+    order = F.desc(day) if newest else F.asc(day)
+    running = F.sum("n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    reached = per_day.where(F.col(day).isNotNull()).select(day, running.alias("upto")).where(F.col("upto") >= n)
+    return reached.agg((F.max if newest else F.min)(day)).first()[0]

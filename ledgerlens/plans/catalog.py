@@ -11,23 +11,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlens import schema as S
 from ledgerlens.fixtures import orders_as_text
-from ledgerlens.functions.calendar import event_time
 from ledgerlens.functions.formatting import count_text, money_text, percent_text
 from ledgerlens.operators import aggregates as A
 from ledgerlens.operators import overview as O
 from ledgerlens.operators import paging as PG
 from ledgerlens.operators.filters import optional_filter, strict_filter
-from ledgerlens.operators.joins import restrict_to
-from ledgerlens.operators.ranking import position_counts, top_n
+from ledgerlens.operators.joins import checked_broadcast, restrict_to
+from ledgerlens.operators.ranking import covered_counts, first_days, position_counts, top_n
 from ledgerlens.plans import params as P
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import cleaning as C
 from ledgerlens.sources.csv import read_sales_csv, write_sales_csv
-from ledgerlens.sources.star import order_table, order_totals, sales_fact
+from ledgerlens.sources.star import (
+    line_counts,
+    order_dimension,
+    order_table,
+    order_totals,
+    sales_fact,
+    with_order_columns,
+)
 from ledgerlens.sources.synthetic import synthetic_sales_from_index
 from ledgerlens.sources.tables import read_table
 
@@ -43,7 +48,7 @@ def q_sales_fact(spark, sf_dir):
 
 
 def q_row_count(spark, sf_dir):
-    return order_totals(spark, sf_dir).agg(F.coalesce(F.sum(S.LINES), F.lit(0)).alias("rows"))
+    return A.row_count(_fact(spark, sf_dir, S.ORDER_ID))
 
 
 def q_profit_by_region(spark, sf_dir):
@@ -96,7 +101,11 @@ def q_margin_extremes(spark, sf_dir):
 
 
 def q_top3_orders_per_item(spark, sf_dir):
-    return O.as_output(A.top3_orders_per_item(_fact(spark, sf_dir)))
+    """Lines are ranked before they meet their order's columns; three an item type get them."""
+    lines = _fact(spark, sf_dir, *[c for c in S.FACT_COLUMNS if c not in S.ORDER_COLUMNS])
+    best = A.top3_orders_per_item(lines)
+    types = read_table(spark, sf_dir, "part").select("p_type").distinct().count()
+    return O.as_output(with_order_columns(checked_broadcast(best, 3 * types), spark, sf_dir, S.FACT_COLUMNS))
 
 
 def q_weekend_units_by_item(spark, sf_dir):
@@ -189,12 +198,36 @@ def q_top_countries_by_profit(spark, sf_dir):
     return A.top_by_profit(order_totals(spark, sf_dir), S.COUNTRY, 10)
 
 
+def _preview_rows(spark, sf_dir, n, sel, newest):
+    """The selected lines of the days that hold the first (or last) ``n`` of them.
+
+    Orders are counted by day, without their lines; the days that hold ``n``
+    orders reach the scan as a pushed filter.  Orders may have no line, so the
+    lines are counted up to ``n``, and more days taken if they don't suffice.
+    """
+    orders = order_dimension(spark, sf_dir)
+    orders = optional_filter(orders, sel["years"], sel["regions"], sel["channels"])
+    per_day = orders.groupBy(S.ORDER_DATE).agg(F.count(F.lit(1)).alias("n")).persist()
+    lines = optional_filter(_fact(spark, sf_dir), sel["years"], sel["regions"], sel["channels"])
+    try:
+        wanted = n
+        while (day := first_days(per_day, S.ORDER_DATE, wanted, newest)) is not None:
+            cut = F.lit(day.isoformat(" ")).cast("timestamp_ntz")
+            rows = lines.where(F.col(S.ORDER_DATE) >= cut if newest else F.col(S.ORDER_DATE) <= cut)
+            if rows.select(S.ORDER_ID).limit(n).count() == n:
+                return rows
+            wanted *= 8
+    finally:
+        per_day.unpersist()
+    return lines
+
+
 def q_preview_latest(spark, sf_dir):
-    return _overview(spark, sf_dir)["preview"]
+    return O.preview_latest(_preview_rows(spark, sf_dir, 200, P.SELECTION, newest=True), 200)
 
 
 def q_preview_first(spark, sf_dir):
-    return O.preview_first(_fact(spark, sf_dir), 100)
+    return O.preview_first(_preview_rows(spark, sf_dir, 100, P.NO_SELECTION, newest=False), 100)
 
 
 def q_event_time_enrich(spark, sf_dir):
@@ -204,9 +237,6 @@ def q_event_time_enrich(spark, sf_dir):
     )
 
 
-EVENT_COUNTS = T.StructType(
-    [T.StructField(S.EVENT_TIME, T.TimestampNTZType(), True), T.StructField("n", T.LongType(), True)]
-)
 PAGE_COLUMNS = [
     S.REGION,
     S.COUNTRY,
@@ -219,35 +249,36 @@ PAGE_COLUMNS = [
 ]
 
 
-def _page(spark, sf_dir, request=P.PAGE):
+def _page(spark, sf_dir, request=P.PAGE, index=None):
     """Sections of a page request, plus its spec.
 
-    The lines are counted by event time from the orders summed up; that table,
-    bounded by the calendar's minutes, is written once and gives the total that
-    clamps the cursor, the times that the page covers and where each begins.
-    The days of those times reach the scan of the orders, and only their lines
-    are joined and ranked.
+    ``index`` is the path of a position index that is kept (``PG.extend_index``);
+    without one it is written for this request, from keys alone.  It gives the
+    total that clamps the cursor, the event times and order ranges that the
+    page covers and where each begins.  The days of those times reach the scan
+    of the orders, and only their lines are joined and ranked.
     """
-    timed = order_totals(spark, sf_dir).withColumn(S.EVENT_TIME, event_time(S.ORDER_DATE, S.ORDER_ID))
-    path = scratch_path(spark, "event-counts")
-    timed.groupBy(S.EVENT_TIME).agg(F.sum(S.LINES).alias("n")).write.parquet(path)
-    counts = spark.read.schema(EVENT_COUNTS).parquet(path)
+    path = index or PG.extend_index(line_counts(spark, sf_dir), scratch_path(spark, "position-index"))
+    counts = PG.read_index(spark, path)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     spec = PG.clamp_page(total, **request)
-    covered = position_counts(counts, S.EVENT_TIME).where(
-        (F.col("before") < spec.cursor) & (F.col("before") + F.col("n") > spec.window_start)
-    )
+    covered = covered_counts(position_counts(counts, S.EVENT_TIME, PG.BLOCK), spec.window_start, spec.cursor)
     first, last = covered.agg(F.min(S.EVENT_TIME), F.max(S.EVENT_TIME)).first()
     events = _fact(spark, sf_dir, *PAGE_COLUMNS)
     if first is not None:
         # an order date is at most a day before its event time
         days = [F.lit(t.isoformat(" ")).cast("timestamp_ntz") for t in (first - dt.timedelta(days=1), last)]
         events = events.where(F.col(S.ORDER_DATE).between(*days))
-    events = events.withColumn(S.EVENT_TIME, event_time(S.ORDER_DATE, S.ORDER_ID))
+    events = PG.with_position_columns(events)
     spec, sections = PG.page_sections(events, total, **request, counts=counts)
     return sections, spec
 
 
+def _status(spark, sf_dir, request):
+    """The page's status needs the row count only."""
+    return PG.page_status(spark, PG.clamp_page(q_row_count(spark, sf_dir).first()["rows"], **request))
+
+
 def q_event_page(spark, sf_dir, request=P.PAGE):
     sections, _ = _page(spark, sf_dir, request)
     return O.as_output(
@@ -283,15 +314,15 @@ def q_event_page_deep(spark, sf_dir):
 
 
 def q_page_status(spark, sf_dir):
-    return _page(spark, sf_dir)[0]["status"]
+    return _status(spark, sf_dir, P.PAGE)
 
 
 def q_page_status_default(spark, sf_dir):
-    return _page(spark, sf_dir, P.PAGE_DEFAULT)[0]["status"]
+    return _status(spark, sf_dir, P.PAGE_DEFAULT)
 
 
 def q_page_status_clamped(spark, sf_dir):
-    return _page(spark, sf_dir, P.PAGE_CLAMPED)[0]["status"]
+    return _status(spark, sf_dir, P.PAGE_CLAMPED)
 
 
 def q_orders_per_72h_rows(spark, sf_dir):

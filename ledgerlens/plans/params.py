@@ -14,6 +14,7 @@ STRICT_SELECTION = {
     "channels": ["AUTOMOBILE", "BUILDING"],
 }
 STRICT_EMPTY_SELECTION = {"years": [1996, 1997], "regions": ["ASIA", "EUROPE"], "channels": []}
+NO_SELECTION = {"years": None, "regions": None, "channels": None}
 EMPTY_SELECTION = {"years": [1990], "regions": None, "channels": None}
 
 # Event page request: batch size, cursor (rows consumed) and look-back batches.

@@ -37,6 +37,7 @@ MARGIN_PCT = "margin_pct"
 
 # Measures of one order (lines summed up, see ``sources.star.order_totals``).
 LINES = "lines"
+ORDERS = "orders"
 MARGIN_SUM = "margin_sum"
 MARGIN_LINES = "margin_lines"
 
@@ -57,6 +58,10 @@ SALES_COLUMNS = [
     TOTAL_PROFIT,
 ]
 
+# Columns that need the line's part, and those that need its order (and customer).
+PART_COLUMNS = {ITEM_TYPE, UNIT_COST, TOTAL_COST, TOTAL_PROFIT}
+ORDER_COLUMNS = {REGION, COUNTRY, SALES_CHANNEL, ORDER_PRIORITY, ORDER_DATE}
+
 # Order id alone repeats per line; these columns together identify a line.
 ROW_KEY = [ORDER_ID, LINE_NUMBER, PART_KEY, SUPP_KEY, EXT_PRICE]
 

@@ -14,9 +14,10 @@ One row per line item.  Business columns map onto the TPC-H-style tables:
     total_cost         quantity * retailprice, exact decimal
     total_profit       revenue - cost
 
-All joins are planned whatever columns are asked for, so a line with a dangling
-key is left out of every answer alike; Catalyst prunes each side to the join
-keys and the columns in use.  Whether a side is broadcast is left to Spark's
+A line with a dangling key is left out of every answer alike.  A side that gives
+columns is joined; one that is asked for existence only is a semi-join on its
+keys.  Catalyst prunes each side to the join keys and the columns in use.
+Whether a side is broadcast is left to Spark's
 own size check (file sizes when planning, shuffle sizes at run time); beyond it
 a sort-merge join is planned and AQE splits skewed partitions.
 """
@@ -92,6 +93,23 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def valid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose customer, nation and region exist: ``o_orderkey, o_orderdate``."""
+    regions = read_table(spark, sf_dir, "region").select("r_regionkey")
+    nations = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    nations = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left_semi").drop("o_custkey")
+
+
+def of_known_parts(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose part exists (no column of it is needed)."""
+    parts = read_table(spark, sf_dir, "part").select("p_partkey")
+    return lines.join(parts, F.col(S.PART_KEY) == F.col("p_partkey"), "left_semi")
+
+
 def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with the item type, unit cost, total cost and profit of their part."""
     part = read_table(spark, sf_dir, "part").select(
@@ -112,9 +130,30 @@ def sales_fact(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
     unknown = set(wanted) - set(S.FACT_COLUMNS)
     if unknown:
         raise ValueError(f"unknown sales columns: {sorted(unknown)}")
+    if S.PART_COLUMNS & set(wanted):
+        lines = priced_lines(spark, sf_dir)
+    else:
+        lines = of_known_parts(line_items(spark, sf_dir), spark, sf_dir)
+    at = F.col(S.ORDER_ID) == F.col("o_orderkey")
+    if S.ORDER_COLUMNS & set(wanted):
+        return lines.join(order_dimension(spark, sf_dir), at).select(*wanted)
+    return lines.join(valid_orders(spark, sf_dir).select("o_orderkey"), at, "left_semi").select(*wanted)
+
+
+def with_order_columns(lines: DataFrame, spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
+    """``lines`` (with ``order_id``) given the columns of their order after the fact: late, for the few that stay."""
     orders = order_dimension(spark, sf_dir)
-    fact = priced_lines(spark, sf_dir).join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey"))
-    return fact.select(*wanted)
+    return lines.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).select(*columns)
+
+
+def line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_id, order_date, lines``: the fact's lines per order, from keys alone."""
+    keys = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias(S.ORDER_ID), F.col("l_partkey").alias(S.PART_KEY)
+    )
+    per_order = of_known_parts(keys, spark, sf_dir).groupBy(S.ORDER_ID).agg(F.count(F.lit(1)).alias(S.LINES))
+    orders = valid_orders(spark, sf_dir).withColumnRenamed("o_orderdate", S.ORDER_DATE)
+    return per_order.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).drop("o_orderkey")
 
 
 def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
