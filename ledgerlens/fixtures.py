@@ -73,6 +73,34 @@ def write_landing(sales: DataFrame, path: str) -> str:
     return path
 
 
+def write_defective_landing(sales: DataFrame, path: str) -> list[str]:
+    """Land sales rows as CSV folders with defects of every kind; returns the folders.
+
+    Beside the swapped dates of ``render_sales_csv``: urgent orders carry a
+    currency before the unit price and lack their order date in every seventh
+    order; every eleventh order comes with a surplus field, every thirteenth
+    without its last two.
+    """
+    text = render_sales_csv(sales)
+    urgent = F.col("Order Priority") == "1-URGENT"
+    order = F.col("Order ID").cast("long")
+    text = text.withColumns(
+        {
+            "Unit Price": F.when(urgent, F.concat(F.lit("USD "), "Unit Price")).otherwise(F.col("Unit Price")),
+            "Order Date": F.when(urgent & (order % 7 == 0), F.lit("")).otherwise(F.col("Order Date")),
+        }
+    )
+    surplus, short = order % 11 == 0, (order % 11 != 0) & (order % 13 == 0)
+    parts = {
+        "plain": text.where(~surplus & ~short),
+        "surplus": text.where(surplus).withColumn("Remark", F.lit("x")),
+        "short": text.where(short).drop(*S.CSV_HEADER[-2:]),
+    }
+    for name, rows in parts.items():
+        rows.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+    return [f"{path}/{name}" for name in parts]
+
+
 def orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders table rendered as raw text with realistic defects.
 

@@ -49,11 +49,14 @@ def kpis(sales: DataFrame) -> DataFrame:
     """Overview metrics in one aggregate: emptiness flag, revenue, profit,
     mean of the per-row margins (total form) and distinct orders.
 
-    A frame of orders (with the margin sums) gives the same metrics as its lines.
+    A frame of orders (with the margin sums) or a summary gives the same metrics
+    as its lines.
     """
     if S.MARGIN_SUM in sales.columns:
         margin = F.try_divide(F.sum(S.MARGIN_SUM).cast("double"), F.sum(S.MARGIN_LINES))
-        orders = F.count(S.ORDER_ID)
+        orders = (
+            F.coalesce(F.sum(S.ORDERS), F.lit(0)) if S.ORDERS in sales.columns else F.count(S.ORDER_ID)
+        )
     else:
         margin = mean_margin(margin_total_pct(S.TOTAL_PROFIT, S.TOTAL_REVENUE))
         orders = F.count_distinct(S.ORDER_ID)

@@ -13,18 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
-from ledgerlens.fixtures import orders_as_text
+from ledgerlens.fixtures import orders_as_text, write_defective_landing
+from ledgerlens.functions.calendar import month_label
 from ledgerlens.functions.formatting import count_text, money_text, percent_text
 from ledgerlens.operators import aggregates as A
 from ledgerlens.operators import overview as O
 from ledgerlens.operators import paging as PG
+from ledgerlens.operators.distinct import count_ids, id_bitmaps
 from ledgerlens.operators.filters import optional_filter, strict_filter
 from ledgerlens.operators.joins import checked_broadcast, restrict_to
 from ledgerlens.operators.ranking import covered_counts, first_days, position_counts, top_n
 from ledgerlens.plans import params as P
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import cleaning as C
-from ledgerlens.sources.csv import read_sales_csv, write_sales_csv
+from ledgerlens.sources.csv import csv_rejects, read_sales_csv, write_sales_csv
 from ledgerlens.sources.star import (
     line_counts,
     order_dimension,
@@ -33,6 +35,7 @@ from ledgerlens.sources.star import (
     sales_fact,
     with_order_columns,
 )
+from ledgerlens.sources.summary import sales_cube, write_summary
 from ledgerlens.sources.synthetic import synthetic_sales_from_index
 from ledgerlens.sources.tables import read_table
 
@@ -342,6 +345,54 @@ def q_csv_sales_scan(spark, sf_dir):
     return O.as_output(read_sales_csv(spark, path))
 
 
+def q_csv_rejects(spark, sf_dir):
+    """The sales fact delivered as CSV with defects: what the scan rejects, per value."""
+    sales = _fact(spark, sf_dir, *S.SALES_COLUMNS)
+    folders = write_defective_landing(sales, scratch_path(spark, "defective-csv"))
+    rejects = csv_rejects(spark, folders)
+    # The raw record of a wrong field count holds doubles as each engine prints them.
+    value = F.when(F.col("column_name").isNotNull(), F.col("value"))
+    return rejects.withColumn("value", value)
+
+
+def q_order_count_by_month_and_total(spark, sf_dir):
+    """Distinct orders by month, by region and in all, merged from one table of bitmaps."""
+    rows = _fact(spark, sf_dir, S.ORDER_ID, S.ORDER_DATE, S.REGION).select(
+        month_label(S.ORDER_DATE).alias(S.MONTH), S.REGION, S.ORDER_ID
+    )
+    path = scratch_path(spark, "order-bitmaps")
+    id_bitmaps(rows, [S.MONTH, S.REGION], S.ORDER_ID).write.parquet(path)
+    bitmaps = spark.read.parquet(path)
+    none = F.lit(None).cast("string")
+    counts = {
+        "month": count_ids(bitmaps, [S.MONTH], "order_count").withColumnRenamed(S.MONTH, "name"),
+        "region": count_ids(bitmaps, [S.REGION], "order_count").withColumnRenamed(S.REGION, "name"),
+        "all": count_ids(bitmaps, [], "order_count").withColumn("name", none),
+    }
+    parts = [c.select(F.lit(level).alias("level"), "name", "order_count") for level, c in counts.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_sales_cube(spark, sf_dir):
+    """The summary written once, then grouping sets over it (nullable whole numbers as text or double)."""
+    cube = sales_cube(write_summary(spark, sf_dir))
+    return cube.withColumns(
+        {S.YEAR: F.col(S.YEAR).cast("string"), "order_count": F.col("order_count").cast("double")}
+    )
+
+
+def q_summary_monthly_trend(spark, sf_dir):
+    """The overview's monthly trend from the summary: no star pass beside the one that wrote it."""
+    sel = P.SELECTION
+    return O.overview_of_orders(write_summary(spark, sf_dir), sel["years"], sel["regions"], sel["channels"])["monthly"]
+
+
+def q_summary_kpis(spark, sf_dir):
+    """The overview's metrics from the summary."""
+    sel = P.SELECTION
+    return O.overview_of_orders(write_summary(spark, sf_dir), sel["years"], sel["regions"], sel["channels"])["metrics"]
+
+
 def q_serving_table(spark, sf_dir):
     return _page(spark, sf_dir)[0]["serving_table"]
 
@@ -427,6 +478,11 @@ QUERIES: dict[str, Builder] = {
     "orders_per_72h_rows": q_orders_per_72h_rows,
     "margin_extremes_text": q_margin_extremes_text,
     "csv_sales_scan": q_csv_sales_scan,
+    "csv_rejects": q_csv_rejects,
+    "order_count_by_month_and_total": q_order_count_by_month_and_total,
+    "sales_cube": q_sales_cube,
+    "summary_monthly_trend": q_summary_monthly_trend,
+    "summary_kpis": q_summary_kpis,
     "strict_dates": q_strict_dates,
     "coerce_clean": q_coerce_clean,
     "synthetic_orders": q_synthetic_orders,

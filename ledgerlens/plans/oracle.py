@@ -333,6 +333,51 @@ GROUP BY country ORDER BY total_profit DESC, country LIMIT 8""",
        CAST(sum(units_sold) AS DOUBLE) AS units_sold
 FROM page GROUP BY region, item_type
 ORDER BY total_profit DESC, region, item_type LIMIT 20""",
+    "order_count_by_month_and_total": _with(SALES)
+    + """SELECT 'month' AS level, strftime(order_date, '%Y-%m') AS name, count(DISTINCT order_id) AS order_count
+FROM sales GROUP BY 2
+UNION ALL SELECT 'region', region, count(DISTINCT order_id) FROM sales GROUP BY 2
+UNION ALL SELECT 'all', CAST(NULL AS VARCHAR), count(DISTINCT order_id) FROM sales""",
+    "sales_cube": _with(
+        SALES,
+        f"""m AS (SELECT *, {MARGIN_TOTAL} AS margin, strftime(order_date, '%Y-%m') AS month,
+          CAST(CAST(year(order_date) AS INTEGER) AS VARCHAR) AS year FROM sales)""",
+    )
+    + """SELECT CASE WHEN grouping(country) = 0 THEN 'country' WHEN grouping(region) = 0 THEN 'region'
+            WHEN grouping(item_type) = 0 THEN 'item_type' WHEN grouping(month) = 0 THEN 'month'
+            WHEN grouping(year) = 0 THEN 'year' ELSE 'all' END AS level,
+       region, country, item_type, month, year,
+       CAST(sum(total_revenue) AS DOUBLE) AS total_revenue,
+       CAST(sum(total_profit) AS DOUBLE) AS total_profit,
+       CAST(sum(units_sold) AS DOUBLE) AS units_sold,
+       CAST(sum(CAST(margin AS DECIMAL(18,2))) AS DOUBLE) / NULLIF(count(margin), 0) AS avg_margin,
+       count(*) AS lines,
+       CAST(CASE WHEN grouping(item_type) = 1 THEN count(DISTINCT order_id) END AS DOUBLE) AS order_count
+FROM m
+GROUP BY GROUPING SETS ((region), (region, country), (item_type), (month), (year), ())""",
+    "summary_monthly_trend": _with(SALES)
+    + """SELECT strftime(order_date, '%Y-%m') AS month,
+       CAST(sum(total_revenue) AS DOUBLE) AS total_revenue,
+       CAST(sum(total_profit) AS DOUBLE) AS total_profit
+FROM sales WHERE year(order_date) IN (1996, 1997) AND region IN ('ASIA', 'EUROPE') GROUP BY 1""",
+    "summary_kpis": _with(SALES)
+    + _KPIS.format(where="year(order_date) IN (1996, 1997) AND region IN ('ASIA', 'EUROPE')"),
+    "csv_rejects": _with(
+        SALES,
+        """landed AS (SELECT *, order_priority = '1-URGENT' AS urgent, order_priority = '5-LOW' AS low,
+           CASE WHEN order_id % 11 = 0 OR order_id % 13 = 0 THEN 1 ELSE 0 END AS miscounted FROM sales)""",
+    )
+    + """SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(NULL AS VARCHAR) AS column_name,
+       CAST(NULL AS VARCHAR) AS value, 'wrong number of fields' AS reason FROM landed WHERE miscounted = 1
+UNION ALL
+SELECT CAST(order_id AS VARCHAR), 'order_date', CAST(NULL AS VARCHAR), 'missing order date'
+FROM landed WHERE miscounted = 0 AND urgent AND order_id % 7 = 0
+UNION ALL
+SELECT CAST(order_id AS VARCHAR), 'order_date', strftime(order_date, '%-d/%-m/%Y'), 'unparsable date'
+FROM landed WHERE miscounted = 0 AND low AND day(order_date) > 12
+UNION ALL
+SELECT CAST(order_id AS VARCHAR), 'unit_price', 'USD ' || CAST(unit_price AS VARCHAR), 'not a number'
+FROM landed WHERE miscounted = 0 AND urgent""",
     "strict_dates": """SELECT o_orderkey AS order_id,
        strftime(o_orderdate, '%-m/%-d/%Y') AS order_date_text,
        strptime(strftime(o_orderdate, '%-m/%-d/%Y'), '%m/%d/%Y') AS order_date,

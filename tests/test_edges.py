@@ -259,6 +259,119 @@ def test_slice_with_tied_and_null_keys(spark):
     assert slice_rows(df, ["t", "id"], 6, 9).count() == 0
 
 
+def test_slice_by_blocks_of_a_crowded_value(spark):
+    """One leading value holds most rows: its blocks are counted and ranked apart."""
+    rows = [(1, i) for i in range(900)] + [(0, i) for i in range(20)] + [(None, 5), (2, None), (2, 7)]
+    df = spark.createDataFrame(rows, "t int, id long").withColumn("b", F.shiftright("id", 6)).repartition(5)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0))
+    for start, stop in ((0, 30), (500, 620), (915, 2000), (7, 7)):
+        got = slice_rows(df, ["t", "id"], start, stop, block="b").orderBy("pos").collect()
+        assert [(r["t"], r["id"]) for r in got] == want[start:stop]
+        assert [r["pos"] for r in got] == list(range(start, min(stop, len(want))))
+
+
+def test_slice_needs_keys_after_the_leading_column(spark):
+    with pytest.raises(ValueError):
+        slice_rows(spark.range(3), ["id"], 0, 2)
+
+
+def test_position_index_is_extended_by_new_orders_only(spark, tmp_path):
+    from conftest import SF0001
+    from ledgerlens.plans import catalog
+    from ledgerlens.sources.star import line_counts
+
+    counts = line_counts(spark, SF0001)
+    path = str(tmp_path / "index")
+    older = counts.where(F.col(S.ORDER_ID) % 3 == 0)
+    PG.extend_index(older, path)
+    first = PG.read_index(spark, path).agg(F.sum("n")).first()[0]
+    PG.extend_index(counts.where(F.col(S.ORDER_ID) % 3 != 0), path)
+    kept = PG.read_index(spark, path)
+    whole = PG.position_index(counts)
+    assert 0 < first < kept.agg(F.sum("n")).first()[0] == 6000
+    assert kept.exceptAll(whole).count() == 0 and whole.exceptAll(kept).count() == 0
+    sections, _ = catalog._page(spark, SF0001, index=path)
+    again, _ = catalog._page(spark, SF0001)
+    assert sorted(map(str, sections["page"].collect())) == sorted(map(str, again["page"].collect()))
+
+
+def test_first_days_of_a_count(spark):
+    from ledgerlens.operators.ranking import first_days
+
+    days = [(dt.datetime(2020, 1, d), n) for d, n in [(1, 5), (2, 1), (3, 4)]] + [(None, 9)]
+    per_day = spark.createDataFrame(days, "day timestamp_ntz, n long")
+    assert first_days(per_day, "day", 6) == dt.datetime(2020, 1, 2)
+    assert first_days(per_day, "day", 4, newest=True) == dt.datetime(2020, 1, 3)
+    assert first_days(per_day, "day", 5, newest=True) == dt.datetime(2020, 1, 2)
+    assert first_days(per_day, "day", 11) is None
+
+
+def test_previews_of_orders_without_lines(spark, tmp_path):
+    """Orders of the last days have no line: more days are taken, the rows stay the same."""
+    import shutil
+
+    import __spark_entry__ as entry
+    from conftest import SF0001
+
+    folder = copied(SF0001, str(tmp_path / "tables"))
+    lines = str(tmp_path / "some")
+    orders = spark.read.parquet(f"{SF0001}/orders.parquet").where("year(o_orderdate) < 1997 or o_orderkey % 40 = 0")
+    kept = spark.read.parquet(f"{SF0001}/lineitem.parquet").join(
+        orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi"
+    )
+    kept.write.parquet(lines)
+    shutil.rmtree(f"{folder}/lineitem.parquet")
+    shutil.copytree(lines, f"{folder}/lineitem.parquet")
+    from ledgerlens.plans import params as P
+    from ledgerlens.sources.star import sales_fact
+
+    sales = sales_fact(spark, folder)
+    picked = optional_filter(sales, P.SELECTION["years"], P.SELECTION["regions"], None)
+    want = O.preview_latest(picked, 200).collect()
+    assert entry.queries()["preview_latest"](spark, folder).collect() == want
+    assert entry.queries()["preview_first"](spark, folder).collect() == O.preview_first(sales, 100).collect()
+
+
+def test_bitmaps_count_like_distinct(spark):
+    from ledgerlens.operators.distinct import count_ids, id_bitmaps
+
+    rows = [("a", 1), ("a", 1), ("b", 1), ("b", 40_000), ("a", None), (None, 7), ("c", -3), ("c", 10**12)]
+    df = spark.createDataFrame(rows, "k string, id long")
+    bitmaps = id_bitmaps(df, ["k"], "id")
+    assert {r["k"]: r["n"] for r in count_ids(bitmaps, ["k"], "n").collect()} == {"a": 1, "b": 2, None: 1, "c": 2}
+    assert count_ids(bitmaps, [], "n").first()["n"] == 5
+    assert count_ids(id_bitmaps(df.limit(0), ["k"], "id"), [], "n").first()["n"] == 0
+
+
+def test_csv_rejects_name_column_and_reason(spark, tmp_path):
+    from ledgerlens.sources.csv import csv_rejects, read_sales_csv
+
+    header = ",".join(S.CSV_HEADER)
+    good = "Asia,India,Snacks,Online,H,5/8/2012,1,5/9/2012,3,2.50,1,7.50,3,4.50"
+    lines = [
+        good,
+        good.replace("5/8/2012,1", "13/45/2010,2"),
+        good.replace("5/8/2012,1", ",3"),
+        good.replace(",1,5/9/2012,3,2.50", ",4,never,abc,"),
+        good.replace("5/8/2012,1", "5/8/2012,5") + ",surplus",
+        "Asia,India,Snacks,Online,H,5/8/2012,6",
+        good.replace("5/8/2012,1", "5/8/2012,x7"),
+    ]
+    path = tmp_path / "sales.csv"
+    path.write_text("\n".join([header, *lines]) + "\n")
+    got = {(r.order_id, r.column_name, r.value, r.reason) for r in csv_rejects(spark, str(path)).collect()}
+    assert got == {
+        ("2", "order_date", "13/45/2010", "unparsable date"),
+        ("3", "order_date", None, "missing order date"),
+        ("4", "ship_date", "never", "unparsable date"),
+        ("4", "units_sold", "abc", "not a number"),
+        ("5", None, lines[4], "wrong number of fields"),
+        ("6", None, lines[5], "wrong number of fields"),
+        ("x7", "order_id", "x7", "not a number"),
+    }
+    assert read_sales_csv(spark, str(path)).count() == 5
+
+
 def test_page_status_of_an_empty_table(spark):
     events = empty_sales(spark).withColumn(S.EVENT_TIME, event_time(S.ORDER_DATE, S.ORDER_ID))
     _, sections = PG.page_sections(events, 0)

@@ -42,6 +42,32 @@ def test_star_keeps_every_line(spark):
     assert sales_fact(spark, SF001).count() == lines  # all five joins, no loss, no fan-out
 
 
+def test_summary_answers_like_lines_and_orders(spark):
+    from ledgerlens.operators import aggregates as A
+    from ledgerlens.operators import overview as O
+    from ledgerlens.sources.star import order_totals
+    from ledgerlens.sources.summary import write_summary
+
+    summary, orders, lines = write_summary(spark, SF001), order_totals(spark, SF001), sales_fact(spark, SF001)
+    questions = [
+        A.profit_by_region,
+        A.top_country_in_top_region,
+        A.avg_units_by_month,
+        A.yoy_growth_pct,
+        A.filter_options,
+        A.monthly_trend,
+        lambda f: A.top_by_profit(f, S.COUNTRY, 10),
+        lambda f: O.overview_of_orders(f, [1996], ["ASIA"], None)["metrics"],
+        lambda f: O.overview_of_orders(f, None, ["ASIA", "AFRICA"], ["BUILDING"])["monthly"],
+        lambda f: O.overview_of_orders(f, [1990], None, None)["metrics"],
+    ]
+    for ask in questions:
+        want = sorted(map(str, ask(orders).collect()))
+        assert sorted(map(str, ask(summary).collect())) == want
+    by_item = lambda f: sorted(map(str, A.top_by_profit(f, S.ITEM_TYPE, 10).collect()))
+    assert by_item(summary) == by_item(lines)
+
+
 def test_hourly_revenue_of_page_sums_to_window(spark):
     page = Q["event_page"](spark, SF001).agg(F.sum(S.TOTAL_REVENUE)).collect()[0][0]
     hourly = sum(r[S.TOTAL_REVENUE] for r in Q["hourly_revenue"](spark, SF001).collect())

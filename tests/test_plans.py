@@ -65,6 +65,60 @@ def test_geo_dimension_is_broadcast(spark):
     assert "BroadcastExchange" in text
 
 
+def scans(text: str, table: str) -> list[str]:
+    return [b for b in text.split("\n\n") if "Scan parquet" in b and "Location:" in b and f"{table}.parquet" in b]
+
+
+def test_summary_answers_scan_no_lines(spark):
+    for name in ("sales_cube", "summary_monthly_trend", "summary_kpis"):
+        text = formatted(Q[name](spark, SF001))
+        assert "sales_summary" in text and not scans(text, "lineitem") and not scans(text, "orders"), name
+
+
+def test_order_counts_shuffle_bitmaps_not_ids(spark):
+    text = formatted(Q["order_count_by_month_and_total"](spark, SF001))
+    assert "bitmap_or_agg" in text and not scans(text, "lineitem") and "order_id#" not in text
+
+
+def test_existence_is_a_semi_join(spark):
+    for name in ("row_count", "margin_by_item", "margin_extremes", "order_margin_pct", "record_kpis"):
+        text = formatted(Q[name](spark, SF001))
+        assert "LeftSemi" in text, name
+        orders = scans(text, "orders")
+        assert len(orders) == 1 and "o_orderpriority" not in orders[0] and "o_orderdate" not in orders[0], name
+
+
+def test_top_three_meet_their_orders_after_the_ranking(spark):
+    """The order columns are joined above the group limit; below it orders count by key only."""
+    text = formatted(Q["top3_orders_per_item"](spark, SF001))
+    tree = text.split("\n\n")[0]
+    limit = tree.index("WindowGroupLimit")
+    wide = [b for b in scans(text, "orders") if "o_orderpriority" in b]
+    narrow = [b for b in scans(text, "orders") if "o_orderpriority" not in b]
+    assert len(wide) == 1 and len(narrow) == 1
+    number = re.match(r"\((\d+)\)", wide[0].strip()).group(1)
+    narrow_number = re.match(r"\((\d+)\)", narrow[0].strip()).group(1)
+    assert tree.index(f"({narrow_number})") > limit
+    depth = lambda n: next(len(line) - len(line.lstrip(" :|+-")) for line in tree.splitlines() if f"({n})" in line)
+    limit_depth = next(len(line) - len(line.lstrip(" :|+-")) for line in tree.splitlines() if "WindowGroupLimit" in line)
+    assert depth(number) < depth(narrow_number) and limit_depth < depth(narrow_number)
+
+
+def test_preview_cut_reaches_the_orders_scan(spark):
+    latest = scans(formatted(Q["preview_latest"](spark, SF001)), "orders")
+    assert len(latest) == 1 and latest[0].count("GreaterThanOrEqual(o_orderdate") >= 2
+    first = scans(formatted(Q["preview_first"](spark, SF001)), "orders")
+    assert len(first) == 1 and "LessThanOrEqual(o_orderdate" in first[0]
+
+
+def test_page_reads_the_index_and_its_days(spark):
+    text = formatted(Q["event_page"](spark, SF001))
+    assert "position-index" in text and len(scans(text, "lineitem")) == 1
+    assert "GreaterThanOrEqual(o_orderdate" in scans(text, "orders")[0]
+    status = formatted(Q["page_status"](spark, SF001))
+    assert not scans(status, "lineitem") and not scans(status, "orders")
+
+
 def test_no_python_udfs_in_batch_plans(spark):
     for name, build in Q.items():
         if name.startswith("stream_"):
