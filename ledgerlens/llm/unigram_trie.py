@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -50,7 +51,7 @@ COUNTS = "doc_id long, n_words long, n_tokens long, score double"
 ROUNDS = 2
 #: Units of one use, to which expected uses are rounded.
 UNIT = 1 << 16
-#: Cuts of deeper prefixes are looked up again rather than held.
+#: Words share the work on prefixes up to this depth.
 HELD = 4096
 
 
@@ -81,31 +82,69 @@ class Pieces:
         if scores is not None:
             self.scores, self.byte = dict(zip(self.scores, scores)), scores[-1]
 
+    @cached_property
+    def trie(self) -> dict:
+        """The pieces by character: each maps to what may follow, and a piece's (place, score) or None."""
+        root: dict[str, list] = {}
+        for place, (piece, score) in enumerate(self.scores.items()):
+            follow = root
+            for char in piece:
+                node = follow.setdefault(char, [{}, None])
+                follow = node[0]
+            node[1] = (place, score)
+        return root
+
+
+def shared_prefix(a: str, b: str) -> int:
+    """Characters that two words begin with alike, as far as depths are held."""
+    shared, most = 0, min(len(a), len(b), HELD)
+    while shared < most and a[shared] == b[shared]:
+        shared += 1
+    return shared
+
 
 def count_sorted(words: list[str], pieces: Pieces) -> tuple[list[int], list[float]]:
-    """Tokens and score of the best cut of each word; ``words`` sorted, all different."""
-    scores, longest, byte = pieces.scores.get, pieces.longest, pieces.byte
+    """Tokens and score of the best cut of each word; ``words`` sorted, all different.
+
+    With each depth go the pieces begun but not ended there, as places in the
+    pieces' own trie: one step along it replaces looking up every possible last
+    piece.
+    """
+    root, byte = pieces.trie, pieces.byte
     best, tokens = [0.0], [0]  # the path of the trie: forward score and count by depth
+    begun: list[list] = [[]]
     before, counts, totals = "", [], []
     for word in words:
-        shared, most = 0, min(len(before), len(word))
-        while shared < most and before[shared] == word[shared]:
-            shared += 1
-        del best[shared + 1 :], tokens[shared + 1 :]
-        for end in range(shared + 1, len(word) + 1):
-            top, count = None, 0
-            for start in range(max(0, end - longest), end):
-                score = scores(word[start:end])
-                if score is None:
-                    continue
-                score += best[start]
-                if top is None or score > top or score == top and tokens[start] + 1 < count:
-                    top, count = score, tokens[start] + 1
+        shared = shared_prefix(before, word)
+        del best[shared + 1 :], tokens[shared + 1 :], begun[shared + 1 :]
+        live = begun[shared]
+        for end in range(shared, len(word)):
+            char, going, top, count = word[end], [], None, 0
+            for start, follow in live:
+                node = follow.get(char)
+                if node is not None:
+                    if node[0]:
+                        going.append((start, node[0]))
+                    if node[1] is not None:
+                        score = node[1][1] + best[start]
+                        if top is None or score > top or score == top and tokens[start] + 1 < count:
+                            top, count = score, tokens[start] + 1
+            node = root.get(char)
+            if node is not None:
+                if node[0]:
+                    going.append((end, node[0]))
+                if node[1] is not None:
+                    score = node[1][1] + best[end]
+                    if top is None or score > top or score == top and tokens[end] + 1 < count:
+                        top, count = score, tokens[end] + 1
             if top is None:
-                width = len(word[end - 1].encode())
-                top, count = best[end - 1] + width * byte, tokens[end - 1] + width
+                width = len(char.encode())
+                top, count = best[end] + width * byte, tokens[end] + width
             best.append(top)
             tokens.append(count)
+            live = going
+            if end < HELD:
+                begun.append(going)
         counts.append(tokens[-1])
         totals.append(best[-1])
         before = word
@@ -117,45 +156,51 @@ def expected_uses(words: Iterable[tuple[str, int]], pieces: Pieces) -> list[int]
 
     Sorted words share the work on their prefixes.
     """
-    coded = {piece: (i, score) for i, (piece, score) in enumerate(pieces.scores.items())}
-    lookup, longest, byte, n_pieces = coded.get, pieces.longest, pieces.byte, len(coded)
+    root, byte, n_pieces = pieces.trie, pieces.byte, len(pieces.scores)
+    exp, log = math.exp, math.log
     uses = [0] * (n_pieces + 1)
-    total = [0.0]  # the path of the trie: log of the summed probability by depth
-    shares: list = [None]  # and each last piece's part of it
-
-    def cuts(word: str, end: int) -> list[tuple[int, int, float]]:
-        found = []
-        for start in range(max(0, end - longest), end):
-            piece = lookup(word[start:end])
-            if piece is not None:
-                found.append((start, piece[0], total[start] + piece[1]))
-        return found or [(end - 1, n_pieces, total[end - 1] + len(word[end - 1].encode()) * byte)]
-
-    def parts(found: list, log: float) -> list[tuple[int, int, float]]:
-        if len(found) == 1:
-            return [(found[0][0], found[0][1], 1.0)]
-        return [(start, piece, math.exp(x - log)) for start, piece, x in found]
-
+    total = [0.0]  # the path of the trie: log of the summed probability by depth,
+    shares: list = [None]  # each last piece's part of it,
+    begun: list[list] = [[]]  # and the pieces begun but not ended
     before = ""
     for word, n in words:
-        shared, most = 0, min(len(before), len(word))
-        while shared < most and before[shared] == word[shared]:
-            shared += 1
-        del total[shared + 1 :], shares[shared + 1 :]
-        for end in range(shared + 1, len(word) + 1):
-            found = cuts(word, end)
-            if len(found) == 1:
-                log = found[0][2]
+        shared = shared_prefix(before, word)
+        del total[shared + 1 :], shares[shared + 1 :], begun[shared + 1 :]
+        live = begun[shared]
+        for end in range(shared, len(word)):
+            char, going, found = word[end], [], []
+            for start, follow in live:
+                node = follow.get(char)
+                if node is not None:
+                    if node[0]:
+                        going.append((start, node[0]))
+                    if node[1] is not None:
+                        found.append((start, node[1][0], total[start] + node[1][1]))
+            node = root.get(char)
+            if node is not None:
+                if node[0]:
+                    going.append((end, node[0]))
+                if node[1] is not None:
+                    found.append((end, node[1][0], total[end] + node[1][1]))
+            if len(found) > 1:
+                top = max([x for _, _, x in found])
+                whole = top + log(sum([exp(x - top) for _, _, x in found]))
+                shares.append([(start, piece, exp(x - whole)) for start, piece, x in found])
+            elif found:
+                whole = found[0][2]
+                shares.append([(found[0][0], found[0][1], 1.0)])
             else:
-                top = max(x for _, _, x in found)
-                log = top + math.log(sum(math.exp(x - top) for _, _, x in found))
-            total.append(log)
-            shares.append(parts(found, log) if end <= HELD else None)
+                whole = total[end] + len(char.encode()) * byte
+                shares.append([(end, n_pieces, 1.0)])
+            total.append(whole)
+            live = going
+            if end < HELD:
+                begun.append(going)
         flow = [0.0] * len(word) + [float(n * UNIT)]
         for end in range(len(word), 0, -1):
             if not flow[end]:
                 continue
-            for start, piece, part in shares[end] or parts(cuts(word, end), total[end]):
+            for start, piece, part in shares[end]:
                 part *= flow[end]
                 flow[start] += part
                 uses[piece] += round(part) * (len(word[end - 1].encode()) if piece == n_pieces else 1)
