@@ -116,6 +116,28 @@ def _parts(url: str) -> dict[str, str]:
     }
 
 
+def _dotless(url: str) -> str:
+    """DuckDB: the url with the dot segments of its path resolved."""
+    path = _parts(url)["p"]
+    return rf"""CASE WHEN regexp_matches({path}, '/\.\.?(/|$)') THEN
+      regexp_extract({url}, '(?s)^(.*?://[^/?#]*)', 1)
+      || list_reduce(list_prepend('', string_split({path}, '/')[2:]), lambda done, s:
+           CASE s WHEN '.' THEN done WHEN '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || s END)
+      || CASE WHEN regexp_matches({path}, '/\.\.?$') THEN '/' ELSE '' END
+      || regexp_extract({url}, '(?s)^.*?://[^?#]*([?#].*)$', 1) ELSE {url} END"""
+
+
+def _decoded(text: str) -> str:
+    """DuckDB: text with its character references decoded, the ampersand's last."""
+    numbered = rf"""list_reduce(list_prepend({text}, list_distinct(regexp_extract_all({text},
+      '&#(?:[xX][0-9a-fA-F]{{1,6}}|[0-9]{{1,7}});'))), lambda done, r: replace(done, r, chr(
+        CASE WHEN regexp_matches(r, '[xX]') THEN CAST('0x' || regexp_extract(r, '[xX]([0-9a-fA-F]+)', 1) AS INTEGER)
+             ELSE CAST(regexp_extract(r, '([0-9]+)', 1) AS INTEGER) END)))"""
+    for name, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&amp;", "&")):
+        numbered = f"replace({numbered}, '{name}', '{plain}')"
+    return numbered
+
+
 ORACLE_SQL = {
     "op4_url_alias": rf"""
 WITH RECURSIVE rules(rule_host, rule_path, verdict) AS (VALUES
@@ -125,22 +147,29 @@ p AS (
   SELECT page_id, coalesce(url, '') AS url, row_number() OVER () AS rid,
          translate({_parts("coalesce(url, '')")["h"]}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          {_parts("coalesce(url, '')")["p"]} AS path,
-         {_NODE.format(**_parts("coalesce(url, '')"))} AS node
-  FROM pages),
+         {_NODE.format(**_parts("dotless"))} AS node
+  FROM (SELECT page_id, url, {_dotless("coalesce(url, '')")} AS dotless FROM pages) d),
 links AS (
   SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')
                   || regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>')) AS tag
   FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
-targets AS (
+raw_targets AS (
   SELECT url, coalesce(nullif(regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1), ''),
                        nullif(regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1), '')) AS link
   FROM links),
-absolute AS (
-  SELECT url, CASE WHEN contains(link, '://') THEN link
+targets AS (SELECT url, {_decoded("link")} AS link FROM raw_targets WHERE link IS NOT NULL),
+resolved AS (
+  SELECT url, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+              WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
               WHEN starts_with(link, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || link
               WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || link
-              ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)', 1) || link END AS target
-  FROM targets WHERE link IS NOT NULL),
+              WHEN starts_with(link, '?') THEN regexp_extract(url, '(?s)^(.*?://[^?#]*)', 1) || link
+              WHEN starts_with(link, '#') THEN regexp_extract(url, '(?s)^([^#]*)', 1) || link
+              ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1)
+                || coalesce(nullif(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*/)', 1), ''), '/') || link END AS target
+  FROM targets),
+absolute AS (
+  SELECT {_dotless("url")} AS url, {_dotless("target")} AS target FROM resolved WHERE target IS NOT NULL),
 ends AS (SELECT url FROM absolute UNION SELECT target FROM absolute),
 known AS (
   SELECT node, host, path FROM p
