@@ -33,7 +33,7 @@ def op1_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    judged = quality_llr.judge(docs, quality_llr.fit(docs, quality_llr.labels_of(spark, sf_dir)))
+    judged = quality_llr.fit_judge(docs, quality_llr.labels_of(spark, sf_dir))
     return judged.select("row.doc_id", *[c for c in judged.columns if c != "row"])
 
 
