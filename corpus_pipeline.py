@@ -19,8 +19,7 @@ from ledgerlens.llm.common import documents, scratch
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the likelihood ratio reject go."""
-    model = quality_llr.fit(docs, quality_llr.labels_of(spark, sf_dir))
-    return quality_llr.judge(docs, model).where("kept").select("row.*")
+    return quality_llr.fit_judge(docs, quality_llr.labels_of(spark, sf_dir)).where("kept").select("row.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
