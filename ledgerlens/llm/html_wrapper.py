@@ -23,6 +23,10 @@ the page's varying text.  If a page has an article or main element, text outside
 it is none either; and if all its article and main elements stand in elements
 that would be left out, those around them are not.
 
+Trees are at most ``DEPTH`` elements deep; what a page nests deeper stands in its
+order at that depth, all its text included, and keeps the marks of the elements
+around it.
+
 Defined cases: null html gives an empty text; a page whose host shows nothing
 that varies (one page, or copies of one) keeps its constant slots; a null or
 odd url belongs to the empty host; repeated rows are extracted one by one; a
@@ -34,9 +38,11 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -46,6 +52,8 @@ from ledgerlens.llm.common import drop_scratch, scratch
 from ledgerlens.llm.tasks import group_task, map_task
 from ledgerlens.llm.url_alias import host_of as url_host
 
+#: Elements inside each other that a tree holds at most.
+DEPTH = 100
 #: Fewer pages with a slot that other pages of the host lack say nothing about whether it is constant.
 MIN_PAGES = 8
 #: A host's wrappers are dealt to groups of about so many, and each group merged into one.
@@ -84,11 +92,19 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 
 
 class Node:
-    __slots__ = ("tag", "label", "children", "mark", "skip", "main", "hints")
+    """A block element.
+
+    ``above`` is the element around it.  Beyond ``DEPTH`` elements it may stand in
+    the tree beside that one instead of inside it.
+    """
 
-    def __init__(self, tag: str, label: str, mark: int, main: bool):
-        self.tag, self.label, self.mark, self.main = tag, label, mark, main
-        self.skip, self.hints = False, ()  # whether left out, and the hinting nodes around it and itself
+    __slots__ = ("tag", "label", "children", "mark", "skip", "main", "above", "holder", "place")
+
+    def __init__(self, tag: str, label: str, mark: int, above: Node | None):
+        self.tag, self.label, self.mark, self.above = tag, label, mark, above
+        self.main = tag in ("article", "main") or above is not None and above.main
+        self.skip, self.place = False, 0  # whether left out; the place in the list of nodes
+        self.holder = self  # the node whose children take what stands inside
         self.children: list = []  # nodes, and strings of text
 
 
@@ -104,46 +120,65 @@ def _mark(tag: str, attributes: dict[str, str]) -> int:
     return HINT if tag == "form" or role == "form" or not NO_CONTENT_CLASSES.isdisjoint(names) else NO_MARK
 
 
-def settle(root: Node) -> None:
-    """Hand marks down the tree; see the module's text for those around article and main."""
-    nodes, above = [root], {id(root): root}
-    for node in nodes:  # parents come before their children
-        for child in node.children:
-            if isinstance(child, Node):
-                nodes.append(child)
-                above[id(child)] = node
+def settle(root: Node) -> list[Node]:
+    """All nodes, parents first, with marks handed down; see the module's text for those around article and main."""
+    nodes = [root]
+    for place, node in enumerate(nodes):
+        node.place = place
+        nodes.extend(child for child in node.children if isinstance(child, Node))
 
     def hand_down() -> None:
-        for i, node in enumerate(nodes):
-            parent = above[id(node)]
-            node.skip = parent.skip or node.mark >= LEFT_OUT
-            node.hints = (*parent.hints, i) if node.mark == HINT else parent.hints
+        for node in nodes[1:]:
+            node.skip = node.above.skip or node.mark >= LEFT_OUT
 
     hand_down()
+    hinted = [False] * len(nodes)
+    for node in nodes[1:]:
+        hinted[node.place] = node.mark == HINT or hinted[node.above.place]
     mains = [node for node in nodes if node.tag in ("article", "main")]
-    if all(node.skip or node.hints for node in mains):
+    if mains and all(node.skip or hinted[node.place] for node in mains):
+        cleared = set()
         for node in mains:
-            while node is not root:
-                node = above[id(node)]
+            while node is not root and node.above.place not in cleared:
+                node = node.above
+                cleared.add(node.place)
                 node.mark = node.mark if node.mark == HIDDEN else NO_MARK
-        if mains:
-            hand_down()
+        hand_down()
+    return nodes
 
 
-def parse(page: str) -> Node:
+def parse(page: str) -> list[Node]:
     """The tree of a page's block elements; inline elements give their text to the block.
 
     An inline element that is no content is a node of its own.  Open elements
-    are closed where HTML implies it, and at the page's end.
+    are closed where HTML implies it, and at the page's end.  The tree is at most
+    ``DEPTH`` elements deep: deeper ones stand one after another at that depth,
+    a text after an inner element as one more node of its own element.
+    Returns all nodes, the root first.
     """
-    root = Node("", "", NO_MARK, False)
-    stack = [root]
+    root = Node("", "", NO_MARK, None)
+    stack, opened = [root], Counter()
     at, end = 0, len(page)
     last = page.rfind(">")
 
     def text(piece: str) -> None:
-        if piece:
-            stack[-1].children.append(entities.unescape(piece))
+        if not piece:
+            return
+        node = stack[-1]
+        if node.holder is not node:  # deeper than the tree: its own nodes hold text only
+            siblings = node.holder.children
+            if siblings[-1] is not node:
+                more = Node(node.tag, node.label, NO_MARK, node)
+                siblings.append(more)
+                more.holder = node.holder
+                stack[-1], more.above = more, node
+                node = more
+        node.children.append(entities.unescape(piece))
+
+    def close(depth: int) -> None:
+        for node in stack[depth:]:
+            opened[node.tag] -= 1
+        del stack[depth:]
 
     while at < end:
         found = _TAG.search(page, at) if at <= last else None
@@ -162,9 +197,9 @@ def parse(page: str) -> Node:
             continue
         tag = found[2].lower()
         if found[1]:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[depth].tag == tag:
-                    del stack[depth:]
+                    close(depth)
                     break
                 if tag not in BLOCKS and stack[depth].tag in BLOCKS:
                     break  # an inline end tag closes no block
@@ -173,8 +208,8 @@ def parse(page: str) -> Node:
             text(" ")
             continue
         if tag in RAW:
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+            stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            at = stop.end() if stop else end
             continue
         attributes = {
             k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(found[3])
@@ -187,25 +222,29 @@ def parse(page: str) -> Node:
         if tag in CLOSES_P:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == "p":
-                    del stack[depth:]
+                    close(depth)
                     break
                 if stack[depth].tag in BLOCKS:
                     break
         if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
             ends = {"dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
-            for depth in range(len(stack) - 1, 0, -1):
+            closes = ends.get(tag, {tag})
+            for depth in range(len(stack) - 1, 0, -1) if any(opened[c] for c in closes) else ():
                 if stack[depth].tag in ("ul", "ol", "dl", "table", "select"):
                     break
-                if stack[depth].tag in ends.get(tag, {tag}):
-                    del stack[depth:]
+                if stack[depth].tag in closes:
+                    close(depth)
                     break
         names = " ".join(sorted(set(attributes.get("class", "").split())))
-        node = Node(tag, f"{tag}.{names}" if names else tag, mark, tag in ("article", "main") or stack[-1].main)
-        stack[-1].children.append(node)
+        node = Node(tag, f"{tag}.{names}" if names else tag, mark, stack[-1])
+        holder = stack[-1].holder
+        holder.children.append(node)
+        if len(stack) > DEPTH:
+            node.holder = holder
         if tag != "hr" and not (found[3] or "").endswith("/") or tag in BLOCKS - {"hr"}:
             stack.append(node)
-    settle(root)
-    return root
+            opened[tag] += 1
+    return settle(root)
 
 
 def blocks_of(node: Node) -> list:
@@ -225,15 +264,15 @@ def blocks_of(node: Node) -> list:
     return out
 
 
-def place_slots(node: Node) -> tuple[str, list[list[int]], list[tuple[str, bool, bool, tuple[int, ...]]]]:
-    """(shape as JSON, places of each slot's texts, the texts in page order)."""
-    texts: list = []
+def place_slots(nodes: list[Node]) -> tuple[str, list[list[int]], list[tuple[str, Node]]]:
+    """(shape as JSON, places of each slot's texts, the texts in page order with their nodes)."""
+    texts: list[tuple[str, Node]] = []
 
     def walk(n: Node):
         children, slots, before = [], [], None
         for child in blocks_of(n):
             if isinstance(child, str):
-                texts.append((child, n.skip, n.main, n.hints))
+                texts.append((child, n))
                 shape, own = None, [[len(texts) - 1]]
             else:
                 shape, own = walk(child)
@@ -246,7 +285,7 @@ def place_slots(node: Node) -> tuple[str, list[list[int]], list[tuple[str, bool,
             before = shape
         return [n.label, children], slots
 
-    shape, slots = walk(node)
+    shape, slots = walk(nodes[0])
     return json.dumps(shape, separators=(",", ":")), slots, texts
 
 
@@ -261,49 +300,106 @@ def _label(tree):
     return None if isinstance(tree, dict) or tree is None else tree[0]
 
 
-def match(a, b, memo: dict) -> int:
-    """Simple tree matching: nodes in the largest ordered matching of two trees."""
-    if _label(a) != _label(b):
-        return 0
-    if _label(a) is None:
-        return 1
-    if a[1] == FOLDED or b[1] == FOLDED:
-        return 1
-    if (id(a), id(b)) not in memo:
-        memo[id(a), id(b)] = 1 + _table(a[1], b[1], memo)[-1][-1]
-    return memo[id(a), id(b)]
+class Matching:
+    """Simple tree matching of two trees' nodes, each pair of different subtrees once.
 
+    Equal subtrees get one number, so a page's many alike nodes are compared as
+    one.  Equal first or last children are matched without a table: no other
+    matching of theirs is larger.  A table's row is one running maximum.
+    """
 
-def _table(xs: list, ys: list, memo: dict) -> list[list[int]]:
-    table = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-    for i, x in enumerate(xs):
-        for j, y in enumerate(ys):
-            table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + match(x, y, memo))
-    return table
+    def __init__(self):
+        self.numbers: dict = {}  # of subtrees, by label and children's numbers
+        self.known: dict[int, tuple] = {}  # a tree's number by identity (and the tree, to keep that)
+        self.nodes: list[tuple] = []  # label and children's numbers, by number
+        self.sizes: dict[tuple[int, int], int] = {}
+
+    def number(self, tree) -> int:
+        held = self.known.get(id(tree))
+        if held is not None:
+            return held[0]
+        label = _label(tree)
+        if label is None:
+            key = (None, ())
+        elif tree[1] == FOLDED:
+            key = (label, None)
+        else:
+            key = (label, tuple(map(self.number, tree[1])))
+        found = self.numbers.setdefault(key, len(self.nodes))
+        if found == len(self.nodes):
+            self.nodes.append(key)
+        self.known[id(tree)] = (found, tree)
+        return found
+
+    def size(self, a: int, b: int) -> int:
+        """Nodes in the largest ordered matching of two subtrees with both roots in it; 0 if they differ."""
+        (label, xs), (other, ys) = self.nodes[a], self.nodes[b]
+        if label != other:
+            return 0
+        if label is None or xs is None or ys is None:
+            return 1
+        found = self.sizes.get((a, b))
+        if found is None:
+            head, tail = self._alike(xs, ys)
+            xs_, ys_ = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
+            found = 1 + sum(self.size(x, x) for x in (*xs[:head], *xs[len(xs) - tail :]))
+            if xs_ and ys_:
+                found += int(self.table(xs_, ys_)[-1][-1])
+            self.sizes[a, b] = found
+        return found
+
+    @staticmethod
+    def _alike(xs, ys) -> tuple[int, int]:
+        """Equal children at the beginning, and then at the end."""
+        most, head, tail = min(len(xs), len(ys)), 0, 0
+        while head < most and xs[head] == ys[head]:
+            head += 1
+        while tail < most - head and xs[-1 - tail] == ys[-1 - tail]:
+            tail += 1
+        return head, tail
+
+    def table(self, xs, ys) -> np.ndarray:
+        """Largest matching of the first i and the first j of two lists of subtrees."""
+        different = sorted(set(ys))
+        column = np.searchsorted(different, ys)
+        rows = {x: np.array([self.size(x, y) for y in different], np.int64)[column] for x in set(xs)}
+        table = np.zeros((len(xs) + 1, len(ys) + 1), np.int64)
+        for i, x in enumerate(xs):
+            np.maximum.accumulate(np.maximum(table[i, 1:], table[i, :-1] + rows[x]), out=table[i + 1, 1:])
+        return table
+
+
+def match(a, b, memo: Matching | None = None) -> int:
+    """Simple tree matching: nodes in the largest ordered matching of two trees."""
+    memo = memo or Matching()
+    return memo.size(memo.number(a), memo.number(b))
 
 
-def pairs(xs: list, ys: list, memo: dict) -> list[tuple]:
+def pairs(xs: list, ys: list, memo: Matching) -> list[tuple]:
     """Children in order: matched pairs, and (x, None) or (None, y) for the others."""
-    table = _table(xs, ys, memo)
-    i, j, out = len(xs), len(ys), []
-    none = object()
+    left, right = [memo.number(x) for x in xs], [memo.number(y) for y in ys]
+    head, tail = memo._alike(left, right)
+    inner_x, inner_y = left[head : len(left) - tail], right[head : len(right) - tail]
+    table = memo.table(inner_x, inner_y)
+    i, j, out = len(inner_x), len(inner_y), []
     while i or j:
-        together = match(xs[i - 1], ys[j - 1], memo) if i and j else 0
-        if together and table[i][j] == table[i - 1][j - 1] + together:
+        together = memo.size(inner_x[i - 1], inner_y[j - 1]) if i and j else 0
+        if together and table[i, j] == table[i - 1, j - 1] + together:
             i, j = i - 1, j - 1
-            out.append((i, j))
-        elif i and table[i][j] == table[i - 1][j]:
+            out.append((head + i, head + j))
+        elif i and table[i, j] == table[i - 1, j]:
             i -= 1
-            out.append((i, none))
+            out.append((head + i, None))
         else:
             j -= 1
-            out.append((none, j))
-    return [(None if a is none else a, None if b is none else b) for a, b in reversed(out)]
+            out.append((None, head + j))
+    ends = [(len(left) - k, len(right) - k) for k in range(tail, 0, -1)]
+    return [(k, k) for k in range(head)] + out[::-1] + ends
 
 
-def merge(a, b, memo: dict | None = None):
+def merge(a, b, memo: Matching | None = None):
     """One wrapper of two with the same root label."""
-    memo = {} if memo is None else memo
+    memo = memo or Matching()
     if isinstance(a, dict):
         return {"n": a["n"] + b["n"], "lo": list(map(min, a["lo"], b["lo"])), "hi": list(map(max, a["hi"], b["hi"]))}
     if a[1] == FOLDED or b[1] == FOLDED:
@@ -357,7 +453,7 @@ def template_slots(shape, wrapper, pages: int) -> list[tuple[bool, ...]]:
 
     Its whole text, its first and its last.
     """
-    memo: dict = {}
+    memo = Matching()
 
     def walk(a, w) -> list[tuple[bool, ...]]:
         if a is None:
@@ -397,7 +493,7 @@ def page_batches(batches) -> Iterator[pa.RecordBatch]:
         seen, rows = set(), []
         for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             shape, slots, texts = place_slots(parse(page or ""))
-            texts = [text for text, *_ in texts]
+            texts = [text for text, _ in texts]
             host, key = host_of(url), xxh3_128_digest(shape.encode())
             hashes = [
                 {"whole": code([texts[i] for i in s]), "first": code([texts[s[0]]]), "last": code([texts[s[-1]]])}
@@ -451,26 +547,24 @@ def _template(shape: str, wrapper: str, pages: int) -> tuple[tuple[bool, ...], .
 
 def extract(page: str | None, wrapper: str | None, pages: int = 0) -> str:
     """The main text of one page under its host's wrapper, which stands for ``pages`` different pages."""
-    shape, slots, texts = place_slots(parse(page or ""))
+    nodes = parse(page or "")
+    shape, slots, texts = place_slots(nodes)
     gone: set[int] = set()
     if wrapper:
         for slot, (whole, first, last) in zip(slots, _template(shape, wrapper, pages)):
             gone.update(slot if whole else slot[:1] * first + slot[-1:] * last)
-    inside: dict[int, int] = {}  # varying characters of each hinting node
-    whole = 0
-    for i, (text, skip, _, hints) in enumerate(texts):
-        if not skip and i not in gone:
-            whole += len(text)
-            for hint in hints:
-                inside[hint] = inside.get(hint, 0) + len(text)
-    small = {hint for hint, n in inside.items() if 2 * n <= whole}
-    kept = [
-        (text, main)
-        for i, (text, skip, main, hints) in enumerate(texts)
-        if not skip and i not in gone and small.isdisjoint(hints)
-    ]
-    has_main = any(main and not skip and small.isdisjoint(hints) for _, skip, main, hints in texts)
-    return "\n".join(text for text, main in kept if main or not has_main)
+    inside = [0] * len(nodes)  # varying characters in each node
+    for i, (text, node) in enumerate(texts):
+        if not node.skip and i not in gone:
+            inside[node.place] += len(text)
+    for node in reversed(nodes[1:]):
+        inside[node.above.place] += inside[node.place]
+    out = [False] * len(nodes)  # in a node that hints at no content and is small
+    for node in nodes[1:]:
+        out[node.place] = out[node.above.place] or node.mark == HINT and 0 < 2 * inside[node.place] <= inside[0]
+    kept = [(text, node) for i, (text, node) in enumerate(texts) if not node.skip and i not in gone and not out[node.place]]
+    has_main = any(node.main and not node.skip and not out[node.place] for _, node in texts)
+    return "\n".join(text for text, node in kept if node.main or not has_main)
 
 
 def extract_batches(batches) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,9 @@
 """Wrapper induction: parsing, tree matching, templates, awkward pages."""
 
 import html
+import random
 import re
+import time
 
 from conftest import SF0001
 from ledgerlens.llm import html_wrapper as W
@@ -35,6 +37,111 @@ def test_pages_without_markup_or_with_broken_markup():
     assert len(W.extract("<div>" * 300 + "deep" + "<p>w</p>" * 20_000, None).split("\n")) == 20_001
 
 
+def brute_matching(a, b):
+    """Largest ordered matching by trying every way to pair up the children."""
+    if (a is None) != (b is None) or (a is not None and a[0] != b[0]):
+        return 0
+    if a is None:
+        return 1
+
+    def best(xs, ys):
+        if not xs or not ys:
+            return 0
+        return max(best(xs[1:], ys), best(xs, ys[1:]), best(xs[1:], ys[1:]) + brute_matching(xs[0], ys[0]))
+
+    return 1 + best(a[1], b[1])
+
+
+def random_tree(rng, depth):
+    if depth and rng.random() < 0.3:
+        return None
+    return [rng.choice("pq"), [random_tree(rng, depth + 1) for _ in range(rng.randrange(4) if depth < 3 else 0)]]
+
+
+def test_matching_against_all_ways():
+    rng = random.Random(6)
+    for _ in range(300):
+        a, b = random_tree(rng, 0), random_tree(rng, 0)
+        assert W.match(a, b) == brute_matching(a, b)
+        if a[0] == b[0]:
+            memo, total = W.Matching(), 1
+            found = W.pairs(a[1], b[1], memo)
+            for i, j in found:
+                if i is not None and j is not None:
+                    total += W.match(a[1][i], b[1][j])
+            assert total == brute_matching(a, b)
+            assert [i for i, _ in found if i is not None] == list(range(len(a[1])))
+            assert [j for _, j in found if j is not None] == list(range(len(b[1])))
+
+
+def test_deep_nesting_keeps_text_order_and_marks():
+    for n in (50, 99, 100, 101, 2_000, 100_000):
+        page = "<div>" * n + "in<p>deep</p>after" + "".join(f"<b>{i}</b></div>" for i in range(3)) + "</div>" * (n - 3) + "<p>end</p>"
+        assert W.extract(page, None) == "in\ndeep\nafter0\n1\n2\nend", n
+    inside = "<div>" * 300 + "<nav>menu<div>of<div>it</div></nav>text<div class='ad'>buy<div>now</div></div>tail is longer"
+    assert W.extract(inside, None) == "text\ntail is longer"
+    mixed = "".join(f"<div>t{i}" for i in range(400)) + "".join(f"</div>u{i}" for i in range(400))
+    assert W.extract(mixed, None) == "\n".join([f"t{i}" for i in range(400)] + [f"u{i}" for i in range(400)])
+    unclosed = "<li><div>" * 5_000 + "x" + "</section>" * 5_000
+    assert W.extract(unclosed, None) == "x"
+
+
+def test_deep_and_wide_pages_in_a_job(spark):
+    pages = [(i, "http://deep.example/", "<div>" * 3_000 + f"<p>body {i}</p>") for i in range(3)]
+    pages += [(10 + i, "http://wide.example/", "<div>same</div>" + "".join(f"<{t}>{i} {k}</{t}>" for k, t in enumerate(["p", "h2"] * 1_500)))
+              for i in range(3)]
+    got = texts_of(spark, pages)
+    assert got[1] == "body 1" and got[11].split("\n") == [f"1 {k}" for k in range(3_000)]
+
+
+def tag_free_corpus():
+    """(id, url, html, expected text): hosts of their own layout, without a tag or class that tells content."""
+    rng = random.Random(2)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+    rows = []
+    for h in range(12):
+        top, menu, legal, box = words(3), [words(1) for _ in range(4)], words(6), words(5)
+        for k in range(2 + h % 5 * 4):
+            title, paragraphs = words(4), [words(rng.randrange(8, 30)) for _ in range(rng.randrange(1, 6))]
+            links = "".join(f"<li>{m}</li>" for m in menu)
+            body = "".join(f"<p>{p}</p>" for p in paragraphs)
+            layout = h % 4
+            if layout == 0:
+                page = f"<div>{top}</div><ul>{links}</ul><div><h2>{title}</h2>{body}</div><div>{legal}</div>"
+            elif layout == 1:
+                page = (f"<table><tr><td><p>{top}</p><p>{box}</p></td><td><h1>{title}</h1>{body}</td></tr></table>"
+                        f"<center>{legal}</center>")
+            elif layout == 2:
+                page = f"<div class=c1><div class=c2>{top}<ul>{links}</ul></div><div class=c3><div>{title}</div><div>{body}</div></div><div class=c2>{legal}</div></div>"
+            else:
+                page = f"<h3>{top}</h3><div><div><h1>{title}</h1>{body}<p>{box}</p></div></div><dl><dt>{legal}</dt></dl>"
+            url = f"http://host{h}.example/{k}"
+            rows.append((len(rows), url, f"<html><body>{page}</body></html>", "\n".join([title, *paragraphs])))
+    return rows
+
+
+def test_induction_alone_finds_the_text_of_tag_free_pages(spark):
+    rows = tag_free_corpus()
+    got = texts_of(spark, [r[:3] for r in rows])
+    assert got == {i: want for i, _, _, want in rows}
+    # without its host's wrapper every page keeps its template
+    assert all(W.extract(page, None) != want for _, _, page, want in rows)
+
+
+def test_large_trees_are_matched_quickly():
+    def wide(k, n):
+        return ["body", [["div", [["p", [None]], [("h2", "h3")[(i * k) % 7 < 3], [None]]]] for i in range(n)]]
+
+    start = time.time()
+    assert W.match(wide(3, 1_600), wide(5, 1_600)) > 3_200
+    W.merge(W.fill(wide(3, 800), iter([{"n": 1, "lo": [1] * 3, "hi": [1] * 3}] * 1_600)),
+            W.fill(wide(5, 800), iter([{"n": 1, "lo": [2] * 3, "hi": [2] * 3}] * 1_600)))
+    assert time.time() - start < 5
+
+
 def test_constant_slots_are_template_and_varying_ones_content(spark):
     pages = [
         (i, f"http://Shop.example.com/{i}", f"<body><div>Our shop</div><div><p>Item {i}</p><p>costs {i * 3}</p></div>"
