@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,3 +24,13 @@ def restrict_to(df: DataFrame, chosen: DataFrame, keys: list[str], known_rows: i
     """
     keys_df = chosen.select(*keys)
     return df.join(F.broadcast(keys_df) if known_rows is not None else keys_df, on=keys, how="left_semi")
+
+
+def best_group(totals: DataFrame, order: list, keys: list[str]) -> DataFrame:
+    """The keys of the first row by ``order`` (a few groups' totals), as a filter on its rank.
+
+    A selective filter, unlike a limit, lets Spark prune the partitions of a
+    table that is joined on the keys.
+    """
+    rank = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order))
+    return totals.withColumn("_rank", rank).where(F.col("_rank") == 1).select(*keys)

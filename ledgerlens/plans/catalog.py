@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,22 +22,25 @@ from ledgerlens.operators import overview as O
 from ledgerlens.operators import paging as PG
 from ledgerlens.operators.distinct import count_ids, id_bitmaps
 from ledgerlens.operators.filters import optional_filter, strict_filter
-from ledgerlens.operators.joins import checked_broadcast, restrict_to
+from ledgerlens.operators.joins import best_group, checked_broadcast, restrict_to
 from ledgerlens.operators.ranking import covered_counts, first_days, position_counts, top_n
 from ledgerlens.plans import params as P
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import cleaning as C
 from ledgerlens.sources.csv import csv_rejects, read_sales_csv, write_sales_csv
+from ledgerlens.sources.materialize import materialize_fact
+from ledgerlens.sources.sinks import write_table
 from ledgerlens.sources.star import (
     line_counts,
     order_dimension,
+    order_item_sums,
     order_table,
     order_totals,
     sales_fact,
     with_order_columns,
 )
 from ledgerlens.sources.summary import sales_cube, write_summary
-from ledgerlens.sources.synthetic import synthetic_sales_from_index
+from ledgerlens.sources.synthetic import sales_or_demo, synthetic_sales_from_index
 from ledgerlens.sources.tables import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +78,15 @@ def q_top_region_lines(spark, sf_dir):
     return O.as_output(restrict_to(sales, best, [S.REGION], known_rows=1))
 
 
+def q_top_region_lines_of_copy(spark, sf_dir):
+    """The same lines from a copy of the fact partitioned by region: the copy is the
+    one pass over the lines, and the chosen region prunes its folders at run time."""
+    copy = materialize_fact(spark, sf_dir, partition_by=S.REGION)
+    best = best_group(A.profit_by(copy, [S.REGION]), [F.desc(S.TOTAL_PROFIT), F.asc(S.REGION)], [S.REGION])
+    lines = copy.join(F.broadcast(best), S.REGION).select(*S.FACT_COLUMNS)  # one row: the best group
+    return O.as_output(lines)
+
+
 def q_orders_per_72h(spark, sf_dir):
     return A.orders_per_window(order_table(spark, sf_dir), duration="72 hours")
 
@@ -112,8 +125,7 @@ def q_top3_orders_per_item(spark, sf_dir):
 
 
 def q_weekend_units_by_item(spark, sf_dir):
-    sales = _fact(spark, sf_dir, S.REGION, S.ORDER_DATE, S.ITEM_TYPE, S.UNITS_SOLD)
-    return A.weekend_units_by_item(sales, P.WEEKEND_REGION)
+    return A.weekend_units_by_item(order_item_sums(spark, sf_dir, S.UNITS_SOLD), P.WEEKEND_REGION)
 
 
 def q_weekend_top5(spark, sf_dir):
@@ -149,11 +161,13 @@ def q_filtered_orders_strict(spark, sf_dir):
 
 
 def q_filtered_orders_strict_empty(spark, sf_dir):
-    return O.as_output(_strict(spark, sf_dir, P.STRICT_EMPTY_SELECTION))
-
-
-def _overview(spark, sf_dir, sel=P.SELECTION):
-    return O.overview(_fact(spark, sf_dir), sel["years"], sel["regions"], sel["channels"])
+    """Rows of the strict selection with each of its lists empty in turn, and with none empty."""
+    counts = []
+    for empty in ("years", "regions", "channels", "none"):
+        sel = {k: [] if k == empty else v for k, v in P.STRICT_SELECTION.items()}
+        rows = A.row_count(_strict(spark, sf_dir, sel))
+        counts.append(rows.select(F.lit(empty).alias("empty_list"), "rows"))
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _order_overview(spark, sf_dir, sel=P.SELECTION):
@@ -190,7 +204,10 @@ def q_monthly_trend(spark, sf_dir):
 
 
 def q_top_items_by_profit(spark, sf_dir):
-    return _overview(spark, sf_dir)["top_items"]
+    """Lines are summed per order and item type before they meet their order."""
+    sel = P.SELECTION
+    sums = order_item_sums(spark, sf_dir, S.TOTAL_PROFIT)
+    return A.top_by_profit(optional_filter(sums, sel["years"], sel["regions"], sel["channels"]), S.ITEM_TYPE, 10)
 
 
 def q_overview_by_region(spark, sf_dir):
@@ -233,6 +250,13 @@ def q_preview_first(spark, sf_dir):
     return O.preview_first(_preview_rows(spark, sf_dir, 100, P.NO_SELECTION, newest=False), 100)
 
 
+def q_preview_records(spark, sf_dir):
+    """The latest preview handed out as JSON records, and those read back."""
+    preview = q_preview_latest(spark, sf_dir)
+    path = write_table(preview, scratch_path(spark, "records"), fmt="json")
+    return spark.read.schema(preview.schema).json(path)
+
+
 def q_event_time_enrich(spark, sf_dir):
     enriched = O.with_backend_columns(_fact(spark, sf_dir))
     return enriched.select(
@@ -424,6 +448,13 @@ def q_synthetic_orders(spark, sf_dir):
     return O.as_output(synthetic_sales_from_index(keys, "o_orderkey"))
 
 
+def q_source_choice(spark, sf_dir):
+    """The tables have no sales CSV: demo rows (one per order) are chosen, and say so."""
+    keys = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    source, rows = sales_or_demo(spark, f"{sf_dir}/sales.csv", synthetic_sales_from_index(keys, "o_orderkey"))
+    return O.as_output(rows.select(F.lit(source).alias("source"), S.ORDER_ID, S.ORDER_DATE, S.TOTAL_REVENUE))
+
+
 def q_orders_by_priority(spark, sf_dir):
     return A.orders_by_priority(order_table(spark, sf_dir))
 
@@ -439,6 +470,7 @@ QUERIES: dict[str, Builder] = {
     "top_profit_region": q_top_profit_region,
     "top_country_in_top_region": q_top_country_in_top_region,
     "top_region_lines": q_top_region_lines,
+    "top_region_lines_of_copy": q_top_region_lines_of_copy,
     "orders_per_72h": q_orders_per_72h,
     "max_orders_72h": q_max_orders_72h,
     "sliding_72h": q_sliding_72h,
@@ -465,6 +497,7 @@ QUERIES: dict[str, Builder] = {
     "top_countries_by_profit": q_top_countries_by_profit,
     "preview_latest": q_preview_latest,
     "preview_first": q_preview_first,
+    "preview_records": q_preview_records,
     "event_time_enrich": q_event_time_enrich,
     "event_page": q_event_page,
     "batch_metrics": q_batch_metrics,
@@ -486,6 +519,7 @@ QUERIES: dict[str, Builder] = {
     "strict_dates": q_strict_dates,
     "coerce_clean": q_coerce_clean,
     "synthetic_orders": q_synthetic_orders,
+    "source_choice": q_source_choice,
     "orders_by_priority": q_orders_by_priority,
     "margin_by_item": q_margin_by_item,
 }

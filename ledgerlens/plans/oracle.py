@@ -13,7 +13,17 @@ shared with the Spark side:
 
 from __future__ import annotations
 
-from ledgerlens.plans import params as P
+
+
+# The requests of the queries, stated here on their own: a wrong request
+# parameter of the Spark side must not shift both sides.
+_SELECTION = {"years": [1996, 1997], "regions": ["ASIA", "EUROPE"]}
+_STRICT = {"years": [1996, 1997], "regions": ["ASIA", "EUROPE"], "channels": ["AUTOMOBILE", "BUILDING"]}
+_EMPTY = {"years": [1990]}
+_PAGE = {"batch_size": 30, "stream_cursor": 5000, "lookback_batches": 4}
+_PAGE_DEEP = {"batch_size": 60, "stream_cursor": 55_000, "lookback_batches": 5}
+_PAGE_DEFAULT = {"batch_size": 30, "stream_cursor": None, "lookback_batches": 4}
+_PAGE_CLAMPED = {"batch_size": 500, "stream_cursor": 10**12, "lookback_batches": 0}
 
 
 def _in(values) -> str:
@@ -103,7 +113,7 @@ def _strict_selection(sel: dict) -> str:
     return " AND ".join(preds) if preds else "TRUE"
 
 
-SEL = _selection(P.SELECTION)
+SEL = _selection(_SELECTION)
 
 _KPIS = f"""SELECT count(*) = 0 AS empty,
        CAST(sum(total_revenue) AS DOUBLE) AS total_revenue,
@@ -130,7 +140,7 @@ def _page_ctes(request: dict) -> tuple[str, ...]:
     )
 
 
-_PAGE_CTES = _page_ctes(P.PAGE)
+_PAGE_CTES = _page_ctes(_PAGE)
 _PAGE_ROWS = """SELECT CAST(pos AS BIGINT) AS pos, event_time, order_id, line_number, part_key, supp_key,
        ext_price, region, country, item_type, CAST(units_sold AS DOUBLE) AS units_sold,
        CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(total_profit AS DOUBLE) AS total_profit
@@ -222,11 +232,11 @@ FROM sales""",
   FROM sales) t WHERE rn <= 3""",
     "weekend_units_by_item": _with(SALES)
     + f"""SELECT item_type, CAST(sum(units_sold) AS DOUBLE) AS sum_units_sold FROM sales
-WHERE region = '{P.WEEKEND_REGION}' AND isodow(order_date) - 1 IN (5, 6)
+WHERE region = 'AFRICA' AND isodow(order_date) - 1 IN (5, 6)
 GROUP BY item_type""",
     "weekend_top5": _with(SALES)
     + f"""SELECT item_type, CAST(sum(units_sold) AS DOUBLE) AS sum_units_sold FROM sales
-WHERE region = '{P.WEEKEND_REGION}' AND isodow(order_date) - 1 IN (5, 6)
+WHERE region = 'AFRICA' AND isodow(order_date) - 1 IN (5, 6)
 GROUP BY item_type ORDER BY sum_units_sold DESC, item_type LIMIT 5""",
     "yoy_growth_label": _with(
         SALES,
@@ -254,11 +264,13 @@ FROM g""",
 WHERE value IS NOT NULL""",
     "filtered_orders": _with(SALES) + f"SELECT {FACT_OUT} FROM sales WHERE {SEL}",
     "filtered_orders_strict": _with(SALES)
-    + f"SELECT {FACT_OUT} FROM sales WHERE {_strict_selection(P.STRICT_SELECTION)}",
+    + f"SELECT {FACT_OUT} FROM sales WHERE {_strict_selection(_STRICT)}",
     "filtered_orders_strict_empty": _with(SALES)
-    + f"SELECT {FACT_OUT} FROM sales WHERE {_strict_selection(P.STRICT_EMPTY_SELECTION)}",
+    + """SELECT * FROM (VALUES ('years', 0), ('regions', 0), ('channels', 0)) v(empty_list, rows)
+UNION ALL SELECT 'none', count(*) FROM sales WHERE year(order_date) IN (1996, 1997) AND region IN ('ASIA', 'EUROPE')
+  AND sales_channel IN ('AUTOMOBILE', 'BUILDING')""",
     "overview_kpis": _with(SALES) + _KPIS.format(where=SEL),
-    "empty_overview": _with(SALES) + _KPIS.format(where=_selection(P.EMPTY_SELECTION)),
+    "empty_overview": _with(SALES) + _KPIS.format(where=_selection(_EMPTY)),
     "kpi_cards": _with(SALES, "k AS (" + _KPIS.format(where=SEL) + ")")
     + """SELECT '$' || format('{:,.0f}', total_revenue) AS total_revenue_text,
        '$' || format('{:,.0f}', total_profit) AS total_profit_text,
@@ -302,10 +314,10 @@ ORDER BY sales.order_date DESC, {ROW_KEY} LIMIT 200""",
        {MARGIN_TOTAL} AS margin_pct
 FROM sales""",
     "event_page": _with(*_PAGE_CTES) + _PAGE_ROWS,
-    "event_page_deep": _with(*_page_ctes(P.PAGE_DEEP)) + _PAGE_ROWS,
+    "event_page_deep": _with(*_page_ctes(_PAGE_DEEP)) + _PAGE_ROWS,
     "page_status": _with(*_PAGE_CTES) + "SELECT * FROM status",
-    "page_status_default": _with(*_page_ctes(P.PAGE_DEFAULT)) + "SELECT * FROM status",
-    "page_status_clamped": _with(*_page_ctes(P.PAGE_CLAMPED)) + "SELECT * FROM status",
+    "page_status_default": _with(*_page_ctes(_PAGE_DEFAULT)) + "SELECT * FROM status",
+    "page_status_clamped": _with(*_page_ctes(_PAGE_CLAMPED)) + "SELECT * FROM status",
     "csv_sales_scan": _with(SALES)
     + """SELECT trim(region) AS region, trim(country) AS country, trim(item_type) AS item_type,
        trim(sales_channel) AS sales_channel, trim(order_priority) AS order_priority,
@@ -315,9 +327,9 @@ FROM sales""",
 FROM sales""",
     "batch_metrics": _with(*_PAGE_CTES)
     + f"""SELECT count(*) AS events_ingested,
-       COALESCE(CAST(sum(CASE WHEN pos >= GREATEST(0, cursor - {P.PAGE['batch_size']})
+       COALESCE(CAST(sum(CASE WHEN pos >= GREATEST(0, cursor - 30)
                               THEN total_revenue END) AS DOUBLE), 0.0) AS batch_revenue,
-       COALESCE(CAST(sum(CASE WHEN pos >= GREATEST(0, cursor - {P.PAGE['batch_size']})
+       COALESCE(CAST(sum(CASE WHEN pos >= GREATEST(0, cursor - 30)
                               THEN total_profit END) AS DOUBLE), 0.0) AS batch_profit
 FROM page""",
     "hourly_revenue": _with(*_PAGE_CTES)
@@ -362,6 +374,19 @@ GROUP BY GROUPING SETS ((region), (region, country), (item_type), (month), (year
 FROM sales WHERE year(order_date) IN (1996, 1997) AND region IN ('ASIA', 'EUROPE') GROUP BY 1""",
     "summary_kpis": _with(SALES)
     + _KPIS.format(where="year(order_date) IN (1996, 1997) AND region IN ('ASIA', 'EUROPE')"),
+    "preview_records": _with(SALES)
+    + f"""SELECT strftime(order_date, '%Y-%m-%d') AS order_date, region, country, item_type,
+       sales_channel, CAST(units_sold AS DOUBLE) AS units_sold,
+       CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(total_profit AS DOUBLE) AS total_profit,
+       {MARGIN_TOTAL} AS margin_pct
+FROM sales WHERE {SEL}
+ORDER BY sales.order_date DESC, {ROW_KEY} LIMIT 200""",
+    "top_region_lines_of_copy": _with(
+        SALES,
+        "totals AS (SELECT region, CAST(sum(total_profit) AS DOUBLE) AS p FROM sales GROUP BY region)",
+    )
+    + f"""SELECT {FACT_OUT} FROM sales
+WHERE region = (SELECT region FROM totals ORDER BY p DESC, region LIMIT 1)""",
     "csv_rejects": _with(
         SALES,
         """landed AS (SELECT *, order_priority = '1-URGENT' AS urgent, order_priority = '5-LOW' AS low,
@@ -413,6 +438,10 @@ FROM t WHERE try_strptime(order_date, '%m/%d/%Y') IS NOT NULL""",
        CAST(revenue AS DOUBLE) AS total_revenue,
        CAST(tcost AS DOUBLE) AS total_cost,
        CAST(ROUND(revenue - tcost, 2) AS DOUBLE) AS total_profit
+FROM syn3""",
+    "source_choice": _with(_SYN)
+    + """SELECT 'demo' AS source, 100000 + i AS order_id, CAST(d AS TIMESTAMP) AS order_date,
+       CAST(revenue AS DOUBLE) AS total_revenue
 FROM syn3""",
     "orders_by_priority": """SELECT o_orderpriority AS order_priority, count(*) AS orders,
        count(*) / sum(count(*)) OVER () AS share

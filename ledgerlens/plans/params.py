@@ -1,4 +1,4 @@
-"""Fixed parameters of the catalogue queries (shared by Spark plans and oracle SQL)."""
+"""Fixed parameters of the catalogue queries (the oracle SQL states its own)."""
 
 from __future__ import annotations
 
@@ -13,7 +13,6 @@ STRICT_SELECTION = {
     "regions": ["ASIA", "EUROPE"],
     "channels": ["AUTOMOBILE", "BUILDING"],
 }
-STRICT_EMPTY_SELECTION = {"years": [1996, 1997], "regions": ["ASIA", "EUROPE"], "channels": []}
 NO_SELECTION = {"years": None, "regions": None, "channels": None}
 EMPTY_SELECTION = {"years": [1990], "regions": None, "channels": None}
 

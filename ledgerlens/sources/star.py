@@ -183,6 +183,16 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_order.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).drop("o_orderkey")
 
 
+def order_item_sums(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
+    """One row per order and item type: the measure summed, and the order's attributes.
+
+    Like ``order_totals``, lines are reduced before the order join.
+    """
+    sums = priced_lines(spark, sf_dir).groupBy(S.ORDER_ID, S.ITEM_TYPE).agg(F.sum(measure).alias(measure))
+    orders = order_dimension(spark, sf_dir)
+    return sums.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).drop("o_orderkey")
+
+
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: order id, date, priority (no line detail)."""
     return read_table(spark, sf_dir, "orders").select(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import schema as S
+from ledgerlens.sources.csv import read_sales_csv
 
 # Fixed values of the demo data set (must stay as they are for equal output).
 DEMO_REGIONS = [
@@ -71,3 +72,15 @@ def synthetic_sales(spark: SparkSession, n: int = DEMO_ROWS) -> DataFrame:
 def empty_sales(spark: SparkSession) -> DataFrame:
     """An empty sales table with the full typed schema."""
     return spark.createDataFrame([], S.SALES_SCHEMA)
+
+
+def sales_or_demo(spark: SparkSession, csv_path: str, demo: DataFrame | None = None) -> tuple[str, DataFrame]:
+    """``("csv", rows)`` of the sales CSV if there is one, else ``("demo", rows)``.
+
+    The choice is returned with the rows, so that no caller takes demo rows for
+    sales.  ``demo`` may give the rows to fall back to.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(csv_path)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return "csv", read_sales_csv(spark, csv_path)
+    return "demo", synthetic_sales(spark) if demo is None else demo

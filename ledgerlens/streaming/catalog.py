@@ -117,9 +117,13 @@ QUARANTINE_SCHEMA = T.StructType(S.EVENTS_SCHEMA.fields + [T.StructField("reason
 
 
 def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by outcome: rows of silver, and rejected rows by reason."""
     run = SP.new_run(spark, "quarantine")
-    out = SP.write_quarantine(spark, _bronze(spark, sf_dir, run), run)
-    return spark.read.schema(QUARANTINE_SCHEMA).parquet(out)
+    bronze = _bronze(spark, sf_dir, run)
+    rejected = spark.read.schema(QUARANTINE_SCHEMA).parquet(SP.write_quarantine(spark, bronze, run))
+    accepted = SP.read_silver(spark, SP.write_silver(spark, bronze, run))
+    outcomes = accepted.select(F.lit("accepted").alias("outcome")).union(rejected.select("reason"))
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("events"))
 
 
 def q_stream_quarantine_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,12 +227,7 @@ _DEFECTS = """SELECT event_id, ts, user_id,
          CASE event_id % 10 WHEN 3 THEN NULL WHEN 4 THEN -1 - abs(value) ELSE value END AS value,
          CASE WHEN event_id % 10 = 5 THEN '{' ELSE props END AS props FROM events"""
 
-STREAM_ORACLE_SQL = {
-    "stream_bronze": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
-    "stream_silver": f"WITH {_SILVER} SELECT * FROM silver",
-    "stream_replay_dedup": f"WITH {_SILVER} SELECT * FROM silver",
-    "stream_dedup_across_days": f"WITH {_SILVER} SELECT * FROM silver",
-    "stream_quarantine": """SELECT * FROM (
+_REJECTED = """SELECT * FROM (
   SELECT event_id, ts, user_id, event_type, value, props,
          CASE WHEN event_id IS NULL THEN 'missing event_id'
               WHEN ts IS NULL THEN 'missing ts'
@@ -241,7 +240,17 @@ STREAM_ORACLE_SQL = {
                 THEN 'malformed props'
          END AS reason
   FROM events) t
-WHERE reason IS NOT NULL""",
+WHERE reason IS NOT NULL"""
+
+STREAM_ORACLE_SQL = {
+    "stream_bronze": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "stream_silver": f"WITH {_SILVER} SELECT * FROM silver",
+    "stream_replay_dedup": f"WITH {_SILVER} SELECT * FROM silver",
+    "stream_dedup_across_days": f"WITH {_SILVER} SELECT * FROM silver",
+    "stream_quarantine": f"""WITH {_SILVER}, rejected AS ({_REJECTED})
+SELECT outcome, count(*) AS events FROM (
+  SELECT 'accepted' AS outcome FROM silver UNION ALL SELECT reason FROM rejected) o
+GROUP BY outcome""",
     "stream_quarantine_text": """WITH raw AS (
   SELECT event_id, ts, user_id,
          CASE WHEN event_type = 'signup' THEN ' SIGNUP ' ELSE event_type END AS event_type,
@@ -308,7 +317,7 @@ GROUP BY 1, 2 ORDER BY total_value DESC, region, event_type LIMIT 20""",
 STREAM_ORACLE_SQL["stream_hourly_two_batches"] = STREAM_ORACLE_SQL["stream_hourly"]
 STREAM_ORACLE_SQL["stream_sales_two_batches"] = STREAM_ORACLE_SQL["stream_sales_hourly"]
 STREAM_ORACLE_SQL["stream_quarantine_defects"] = (
-    STREAM_ORACLE_SQL["stream_quarantine"]
+    _REJECTED
     .replace("FROM events) t", f"FROM ({_DEFECTS}) e) t")
     .replace("WHEN TRY_CAST(", "WHEN NOT json_valid(props) OR TRY_CAST(")
 )

@@ -343,6 +343,17 @@ def test_bitmaps_count_like_distinct(spark):
     assert count_ids(id_bitmaps(df.limit(0), ["k"], "id"), [], "n").first()["n"] == 0
 
 
+def test_source_choice_says_what_it_chose(spark, tmp_path):
+    from ledgerlens.sources.csv import write_sales_csv
+    from ledgerlens.sources.synthetic import sales_or_demo
+
+    source, rows = sales_or_demo(spark, str(tmp_path / "none.csv"))
+    assert source == "demo" and rows.count() == 360
+    path = write_sales_csv(sales_rows(spark, [{S.ORDER_ID: 5}]), str(tmp_path / "sales.csv"))
+    source, rows = sales_or_demo(spark, path)
+    assert source == "csv" and [r[S.ORDER_ID] for r in rows.collect()] == [5]
+
+
 def test_csv_rejects_name_column_and_reason(spark, tmp_path):
     from ledgerlens.sources.csv import csv_rejects, read_sales_csv
 

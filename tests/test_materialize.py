@@ -37,3 +37,28 @@ def test_bucketed_fact_groups_by_order_without_shuffle(spark):
         per_order.explain("formatted")
     assert "Exchange" not in buf.getvalue()
     assert per_order.count() == sales_fact(spark, SF001, ["order_id"]).distinct().count()
+
+
+def test_rows_are_counted_from_footers(spark):
+    from ledgerlens.session import scratch_path
+    from ledgerlens.sources.materialize import count_rows
+
+    path = scratch_path(spark, "counted")
+    copy = materialize_fact(spark, SF001, path=path)
+    rows = count_rows(spark, path, copy.schema)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        rows.explain("formatted")
+    assert "PushedAggregation: [COUNT(*)]" in buf.getvalue()
+    assert rows.first()["rows"] == 60000
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+def test_chosen_region_prunes_the_copy(spark):
+    import __spark_entry__ as entry
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        entry.queries()["top_region_lines_of_copy"](spark, SF001).explain("formatted")
+    text = buf.getvalue()
+    assert "dynamicpruning" in text and "lineitem.parquet" not in text
