@@ -8,6 +8,8 @@ reason.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,22 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def hundredths(c: str | Column) -> Column:
+    """A double in whole hundredths, half away from zero: exact integers, not decimals.
+
+    The product of two is a money value in ten-thousandths.  Integer arithmetic
+    stays in generated code, where a cast to decimal goes by way of text.
+    """
+    x = _col(c) * F.lit(100.0)
+    return F.when(x < 0, -F.floor(F.lit(0.5) - x)).otherwise(F.floor(x + F.lit(0.5)))
+
+
+def exact(units: Column, digits: int, dtype: T.DecimalType) -> Column:
+    """Whole units of ``10 ** -digits`` as an exact decimal."""
+    one = F.lit(Decimal(1).scaleb(-digits)).cast(T.DecimalType(digits + 1, digits))
+    return (units.cast(T.DecimalType(18, 0)) * one).cast(dtype)
+
+
 def money_sum(c: str | Column) -> Column:
     """Exact sum of a decimal column, returned as DOUBLE (null for no rows)."""
     return F.sum(_col(c)).cast("double")
@@ -56,4 +74,5 @@ def margin_total_pct(profit: str | Column, revenue: str | Column, digits: int =
 
 def mean_margin(c: str | Column) -> Column:
     """Row average of 2-digit margins (the dashboard's "average margin")."""
-    return exact_mean(c, MARGIN_TYPE)
+    total = F.sum(hundredths(c).cast(T.DecimalType(18, 0))) * F.lit(Decimal("0.01"))
+    return F.try_divide(total.cast("double"), F.count(_col(c)))

@@ -33,7 +33,7 @@ from ledgerlens.sources.sinks import write_table
 from ledgerlens.sources.star import (
     line_counts,
     order_dimension,
-    order_item_sums,
+    order_item_totals,
     order_table,
     order_totals,
     sales_fact,
@@ -125,7 +125,7 @@ def q_top3_orders_per_item(spark, sf_dir):
 
 
 def q_weekend_units_by_item(spark, sf_dir):
-    return A.weekend_units_by_item(order_item_sums(spark, sf_dir, S.UNITS_SOLD), P.WEEKEND_REGION)
+    return A.weekend_units_by_item(order_item_totals(spark, sf_dir), P.WEEKEND_REGION)
 
 
 def q_weekend_top5(spark, sf_dir):
@@ -206,7 +206,7 @@ def q_monthly_trend(spark, sf_dir):
 def q_top_items_by_profit(spark, sf_dir):
     """Lines are summed per order and item type before they meet their order."""
     sel = P.SELECTION
-    sums = order_item_sums(spark, sf_dir, S.TOTAL_PROFIT)
+    sums = order_item_totals(spark, sf_dir)
     return A.top_by_profit(optional_filter(sums, sel["years"], sel["regions"], sel["channels"]), S.ITEM_TYPE, 10)
 
 

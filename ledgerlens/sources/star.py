@@ -26,23 +26,21 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schema as S
-from ledgerlens.functions.money import MARGIN_TYPE, margin_total_pct
+from ledgerlens.functions.money import MARGIN_TYPE, exact, hundredths, margin_total_pct
 from ledgerlens.sources.tables import read_table
 
 
-def revenue_expr(ext_price: str, discount: str):
-    """``extendedprice * (1 - discount)`` in exact decimal arithmetic."""
-    return (
-        F.col(ext_price).cast(S.PRICE_TYPE) * (F.lit(1) - F.col(discount).cast(S.RATE_TYPE))
-    ).cast(S.MONEY_TYPE)
+# Whole hundredths of a line's quantity and ten-thousandths of its revenue:
+# money is computed in integers and becomes a decimal once, or after a first sum.
+_QUANTITY, _REVENUE, _COST = "_quantity", "_revenue", "_cost"
 
 
-def cost_expr(units: str, unit_cost: str):
-    return (F.col(units).cast(S.UNITS_TYPE) * F.col(unit_cost).cast(S.UNITS_TYPE)).cast(S.MONEY_TYPE)
+def _money(units: Column) -> Column:
+    return exact(units, 4, S.MONEY_TYPE)
 
 
 def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,10 +85,11 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias(S.SUPP_KEY),
         F.col("l_extendedprice").alias(S.EXT_PRICE),
         F.col("l_shipdate").alias(S.SHIP_DATE),
-        F.col("l_quantity").cast(S.UNITS_TYPE).alias(S.UNITS_SOLD),
+        exact(hundredths("l_quantity"), 2, S.UNITS_TYPE).alias(S.UNITS_SOLD),
         F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias(S.UNIT_PRICE),
-        revenue_expr("l_extendedprice", "l_discount").alias(S.TOTAL_REVENUE),
-    )
+        hundredths("l_quantity").alias(_QUANTITY),
+        (hundredths("l_extendedprice") * (F.lit(100) - hundredths("l_discount"))).alias(_REVENUE),
+    ).withColumn(S.TOTAL_REVENUE, _money(F.col(_REVENUE)))
 
 
 def valid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,11 +118,34 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         line_items(spark, sf_dir)
         .join(part, F.col(S.PART_KEY) == F.col("p_partkey"))
         .drop("p_partkey")
-        .withColumn(S.TOTAL_COST, cost_expr(S.UNITS_SOLD, S.UNIT_COST))
-        .withColumn(S.TOTAL_PROFIT, (F.col(S.TOTAL_REVENUE) - F.col(S.TOTAL_COST)).cast(S.MONEY_TYPE))
+        .withColumn(_COST, F.col(_QUANTITY) * hundredths(S.UNIT_COST))
+        .withColumns(
+            {
+                S.TOTAL_COST: _money(F.col(_COST)),
+                S.TOTAL_PROFIT: _money(F.col(_REVENUE) - F.col(_COST)),
+            }
+        )
     )
 
 
+def line_sums() -> list[Column]:
+    """Revenue, profit, units, lines and row margins (total form) of a few lines, from ``priced_lines``.
+
+    Integer sums, made decimals after: for groups of so many lines that a long
+    holds them, such as an order's.
+    """
+    profit = F.col(_REVENUE) - F.col(_COST)
+    margin = margin_total_pct(profit / F.lit(10000.0), F.col(_REVENUE) / F.lit(10000.0))
+    return [
+        _money(F.sum(_REVENUE)).alias(S.TOTAL_REVENUE),
+        _money(F.sum(profit)).alias(S.TOTAL_PROFIT),
+        exact(F.sum(_QUANTITY), 2, S.UNITS_TYPE).alias(S.UNITS_SOLD),
+        F.count(F.lit(1)).alias(S.LINES),
+        exact(F.sum(hundredths(margin)), 2, MARGIN_TYPE).alias(S.MARGIN_SUM),
+        F.count(margin).alias(S.MARGIN_LINES),
+    ]
+
+
 def sales_fact(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Lazy sales fact with the requested columns (default: all + row keys)."""
     wanted = list(columns) if columns is not None else list(S.FACT_COLUMNS)
@@ -166,29 +188,17 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, ``margin_sum`` and ``margin_lines`` hold the row margins (total
     form) exactly.
     """
-    margin = margin_total_pct(S.TOTAL_PROFIT, S.TOTAL_REVENUE).cast(MARGIN_TYPE)
-    per_order = (
-        priced_lines(spark, sf_dir)
-        .groupBy(S.ORDER_ID)
-        .agg(
-            F.sum(S.TOTAL_REVENUE).alias(S.TOTAL_REVENUE),
-            F.sum(S.TOTAL_PROFIT).alias(S.TOTAL_PROFIT),
-            F.sum(S.UNITS_SOLD).alias(S.UNITS_SOLD),
-            F.count(F.lit(1)).alias(S.LINES),
-            F.sum(margin).alias(S.MARGIN_SUM),
-            F.count(margin).alias(S.MARGIN_LINES),
-        )
-    )
+    per_order = priced_lines(spark, sf_dir).groupBy(S.ORDER_ID).agg(*line_sums())
     orders = order_dimension(spark, sf_dir)
     return per_order.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).drop("o_orderkey")
 
 
-def order_item_sums(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
-    """One row per order and item type: the measure summed, and the order's attributes.
+def order_item_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order and item type: the lines' measures summed, and the order's attributes.
 
     Like ``order_totals``, lines are reduced before the order join.
     """
-    sums = priced_lines(spark, sf_dir).groupBy(S.ORDER_ID, S.ITEM_TYPE).agg(F.sum(measure).alias(measure))
+    sums = priced_lines(spark, sf_dir).groupBy(S.ORDER_ID, S.ITEM_TYPE).agg(*line_sums())
     orders = order_dimension(spark, sf_dir)
     return sums.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).drop("o_orderkey")
 

@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 from ledgerlens import schema as S
 from ledgerlens.functions.calendar import month_label, year_of
-from ledgerlens.functions.money import MARGIN_TYPE, margin_total_pct, money_sum, units_sum
+from ledgerlens.functions.money import money_sum, units_sum
 from ledgerlens.session import scratch_path
-from ledgerlens.sources.star import order_dimension, priced_lines
+from ledgerlens.sources.star import order_item_totals
 
 _SUM = T.DecimalType(38, 4)
 SUMMARY_SCHEMA = T.StructType(
@@ -42,20 +42,8 @@ def sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines are reduced per order and item type before the order join; the flag
     of an order's first item type is found on the join's own partitioning.
     """
-    margin = margin_total_pct(S.TOTAL_PROFIT, S.TOTAL_REVENUE).cast(MARGIN_TYPE)
-    per_item = (
-        priced_lines(spark, sf_dir)
-        .groupBy(S.ORDER_ID, S.ITEM_TYPE)
-        .agg(
-            *[F.sum(c).alias(c) for c in (S.TOTAL_REVENUE, S.TOTAL_PROFIT, S.UNITS_SOLD)],
-            F.sum(margin).alias(S.MARGIN_SUM),
-            F.count(F.lit(1)).alias(S.LINES),
-            F.count(margin).alias(S.MARGIN_LINES),
-        )
-    )
-    orders = order_dimension(spark, sf_dir)
     nth = F.row_number().over(Window.partitionBy(S.ORDER_ID).orderBy(S.ITEM_TYPE))
-    rows = per_item.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).withColumns(
+    rows = order_item_totals(spark, sf_dir).withColumns(
         {
             S.ORDERS: ((nth == 1) & F.col(S.ORDER_ID).isNotNull()).cast("long"),
             S.ORDER_DATE: F.trunc(S.ORDER_DATE, "month").cast(T.TimestampNTZType()),

@@ -332,6 +332,18 @@ def test_previews_of_orders_without_lines(spark, tmp_path):
     assert entry.queries()["preview_first"](spark, folder).collect() == O.preview_first(sales, 100).collect()
 
 
+def test_money_in_whole_hundredths(spark):
+    from ledgerlens.functions.money import exact, hundredths
+    from pyspark.sql import types as T
+
+    values = [0.0, 0.01, -0.01, 1.005, 12.345, -12.5, 99999999.99, 0.1 + 0.2, None, 33.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    rows = df.select(hundredths("v").alias("h"), exact(hundredths("v"), 2, T.DecimalType(12, 2)).alias("d")).collect()
+    want = [0, 1, -1, 100, 1235, -1250, 9999999999, 30, None, 3300]
+    assert [r["h"] for r in rows] == want
+    assert [r["d"] for r in rows] == [None if w is None else Decimal(w).scaleb(-2) for w in want]
+
+
 def test_bitmaps_count_like_distinct(spark):
     from ledgerlens.operators.distinct import count_ids, id_bitmaps
 
