@@ -99,6 +99,23 @@ def keep_rows(docs: DataFrame, keys: DataFrame, repeated: bool) -> DataFrame:
     return kept.select("row.*")
 
 
+#: A key that holds more than one row of so many is joined on its own.
+HOT_SHARE = 1000
+
+
+def join_counted(rows: DataFrame, side: DataFrame, on: list[str], n: str, total: int, how: str = "inner") -> DataFrame:
+    """Join rows to ``side``, one row per key with the number ``n`` of its rows, out of ``total``.
+
+    A key may hold a third of all rows.  Those that hold over 1 in
+    ``HOT_SHARE`` are fewer than ``HOT_SHARE``: they go to all tasks, and their
+    rows stay where they are.  All others are joined by a shuffle.
+    """
+    hot = F.broadcast(side.where(F.col(n) * HOT_SHARE > total))  # fewer than HOT_SHARE rows
+    cold = side.where(F.col(n) * HOT_SHARE <= total)
+    rest = rows.join(hot.select(*on), on, "left_anti")
+    return rows.join(hot, on, how).unionByName(rest.join(cold, on, how))
+
+
 def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column, without decoding them."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]

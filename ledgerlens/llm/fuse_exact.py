@@ -31,6 +31,7 @@ from ledgerlens.llm.common import (
     SPACE_RUN,
     id_midpoint,
     is_older,
+    join_counted,
     release_shuffles,
     scratch,
     text_of,
@@ -273,7 +274,9 @@ def buckets_of(docs: DataFrame, digest=sha256, shard_keys: int = SHARD_KEYS) ->
     release_shuffles(spark)
 
     several = buckets.where("rows > 1")
-    multiple = rows.join(several, "sha", "left_semi").select("doc_id", "sha")
+    total = several.agg(F.sum("rows")).first()[0] or 0
+    counted = several.select("sha", F.col("rows").alias("size"))
+    multiple = join_counted(rows, counted, ["sha"], "size", total, "left_semi").select("doc_id", "sha")
     checked = scratch(
         _members(docs, multiple, digest)
         .groupBy("sha")
@@ -298,7 +301,9 @@ def buckets_of(docs: DataFrame, digest=sha256, shard_keys: int = SHARD_KEYS) ->
 def _placed(docs: DataFrame, digest, shard_keys: int) -> DataFrame:
     """``doc_id, sha, rows, keep_id, size`` by id and digest (and text, where a digest has several)."""
     rows, buckets = buckets_of(docs, digest, shard_keys)
-    plain = rows.join(buckets.where("part is null"), "sha").drop("part")
+    whole = buckets.where("part is null").drop("part")
+    total = rows.agg(F.sum("rows")).first()[0] or 0
+    plain = join_counted(rows, whole, ["sha"], "size", total)
     apart = buckets.where("part is not null")
     if apart.isEmpty():
         return plain

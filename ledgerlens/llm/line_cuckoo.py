@@ -28,7 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import SPACES, id_midpoint, is_older, keyed, release_shuffles, same_row, scratch, utf8
+from ledgerlens.llm.common import (
+    SPACES,
+    id_midpoint,
+    is_older,
+    join_counted,
+    keyed,
+    release_shuffles,
+    same_row,
+    scratch,
+    utf8,
+)
 from ledgerlens.llm.tasks import cogroup_task, group_task, map_task
 
 MIN_DOCS = 10
@@ -324,8 +334,9 @@ def drop_lines(docs: DataFrame, keys: DataFrame, state: LineState, min_docs: int
     ``keys`` are the documents' own keys; a document's common ones are gathered
     for it, never those of the corpus.
     """
-    common = state.refs.where(F.col("refs") >= min_docs).select("k1", "k2")
-    own = keys.join(common, ["k1", "k2"]).groupBy("doc_id", "rk").agg(
+    common = state.refs.where(F.col("refs") >= min_docs).select("k1", "k2", "refs")
+    total = common.agg(F.sum("refs")).first()[0] or 0
+    own = join_counted(keys, common, ["k1", "k2"], "refs", total).groupBy("doc_id", "rk").agg(
         F.collect_set(F.struct("k1", "k2")).alias("common")
     )
     rows = keyed(docs)

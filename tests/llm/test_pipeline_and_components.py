@@ -29,6 +29,23 @@ def test_components_of_chains_stars_and_loops(spark):
     assert {r["node"]: r["root"] for r in text} == {"a": "a", "b": "a", "c": "a"}
 
 
+def test_hot_keys_are_joined_apart_with_the_same_result(spark, monkeypatch):
+    from ledgerlens.llm import common
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 50}") for i in range(600)], "id long, key string")
+    side = rows.groupBy("key").count().withColumnRenamed("count", "n")
+    for share in (1, 2, 1000):
+        monkeypatch.setattr(common, "HOT_SHARE", share)
+        inner = common.join_counted(rows, side, ["key"], "n", 600)
+        assert sorted(map(tuple, inner.collect())) == sorted(map(tuple, rows.join(side, "key").collect()))
+        some = side.where("key <> 'k0'")
+        semi = common.join_counted(rows, some, ["key"], "n", 600, "left_semi")
+        assert sorted(map(tuple, semi.select("id").collect())) == sorted(
+            (r["id"],) for r in rows.collect() if r["key"] != "k0"
+        )
+    assert common.join_counted(rows.limit(0), side.limit(0), ["key"], "n", 0).count() == 0
+
+
 def test_every_query_is_registered():
     names = list(entry.LLM_QUERIES)
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
