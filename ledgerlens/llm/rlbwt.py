@@ -346,9 +346,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int
     few = context.where("crowded is null")
     size = few.agg(F.sum(F.length("context"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
+    # a number of its own: blocks are small in bytes and long in work, and are not to be coalesced
+    tasks = min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     indexed = (
         few.drop("crowded")
         .withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(blocks)))
+        .repartition(tasks, "block")
         .groupBy("block")
         .applyInArrow(group_task(index_block, length=length), SPANS)
     )
