@@ -50,6 +50,7 @@ from ledgerlens.llm.tasks import group_task, map_task
 LENGTH, GRAM = 400, 160
 GROUP = 2000
 BLOCK_BYTES = 600_000
+SALTS = 16
 SEPARATOR = 0xFF  # in no UTF-8 text
 
 ITEMS = "doc_id long, rk long, first int, windows int, gram long, c1 long, c2 long"
@@ -314,7 +315,11 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("doc_id", "rk", "first", "windows")]
     )
     grams = classes.groupBy("gram").agg(F.sum("n").alias("found"), F.count("*").alias("contexts"))
-    placed = scratch(classes.join(grams.where("found > 1").select("gram", "contexts"), "gram"), "classes")
+    # few grams are found twice; each is there once per salt, so that one with very many contexts meets several tasks
+    salts = F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)]))
+    repeated = grams.where("found > 1").select("gram", "contexts", salts.alias("salt"))
+    salted = classes.withColumn("salt", F.pmod("c1", F.lit(SALTS)))
+    placed = scratch(salted.join(repeated, ["gram", "salt"]).drop("salt"), "classes")
     release_shuffles(spark)
 
     copied = placed.where("n > 1").select(*cls, "n")
