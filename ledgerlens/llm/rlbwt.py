@@ -51,6 +51,8 @@ LENGTH, GRAM = 400, 160
 GROUP = 2000
 BLOCK_BYTES = 600_000
 SALTS = 16
+#: Texts cut at a time.
+CUT_ROWS = 500
 SEPARATOR = 0xFF  # in no UTF-8 text
 
 ITEMS = "doc_id long, rk long, first int, windows int, gram long, c1 long, c2 long"
@@ -388,22 +390,24 @@ def _kept(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def cut_batches(batches, length: int, as_text: bool, least_words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = utf8(batch.column("text"))
-        runs = [removed_runs(s, length) for s in batch.column("spans").to_pylist()]
-        if least_words:
-            runs = [[(a, b) for a, b in r if len(t[a:b].split()) >= least_words] for t, r in zip(texts, runs)]
-        kept = [_kept(t, r) for t, r in zip(texts, runs)]
-        kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("row"),
-                pa.array([[{"from": a, "to": b} for a, b in r] for r in runs], kind),
-                pa.array([len(t) for t in texts], pa.int64()),
-                pa.array([k.decode(errors="ignore") for k in kept]) if as_text else pa.array(kept, pa.binary()),
-            ],
-            ["row", "removed", "n_bytes", "kept"],
-        )
+    for whole in batches:
+        for start in range(0, len(whole), CUT_ROWS):
+            batch = whole.slice(start, CUT_ROWS)
+            texts = utf8(batch.column("text"))
+            runs = [removed_runs(s, length) for s in batch.column("spans").to_pylist()]
+            if least_words:
+                runs = [[(a, b) for a, b in r if len(t[a:b].split()) >= least_words] for t, r in zip(texts, runs)]
+            kept = [_kept(t, r) for t, r in zip(texts, runs)]
+            kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row"),
+                    pa.array([[{"from": a, "to": b} for a, b in r] for r in runs], kind),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                    pa.array([k.decode(errors="ignore") for k in kept]) if as_text else pa.array(kept, pa.binary()),
+                ],
+                ["row", "removed", "n_bytes", "kept"],
+            )
 
 
 def cut(
