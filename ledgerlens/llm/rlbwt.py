@@ -56,7 +56,7 @@ CUT_ROWS = 500
 SEPARATOR = 0xFF  # in no UTF-8 text
 
 ITEMS = "doc_id long, rk long, first int, windows int, gram long, c1 long, c2 long"
-CONTEXTS = "doc_id long, rk long, first int, windows int, gram long, open boolean, context binary"
+CONTEXTS = "doc_id long, rk long, first int, windows int, gram long, open boolean, crowded boolean, context binary"
 WINDOWS = "doc_id long, rk long, first int, open boolean, h1 long, h2 long"
 SPANS = "doc_id long, rk long, first int, last int"
 
@@ -260,7 +260,7 @@ def context_batches(batches, length: int) -> Iterator[pa.RecordBatch]:
         for doc_id, rk, text, items in zip(ids, keys, utf8(batch.column("text")), wanted):
             for w in items:
                 context = text[w["first"] : w["first"] + w["windows"] + length - 1]
-                rows.append((doc_id, rk, w["first"], w["windows"], w["gram"], w["open"], context))
+                rows.append((doc_id, rk, w["first"], w["windows"], w["gram"], w["open"], w["crowded"], context))
                 size += len(context)
             if size > 8 << 20:
                 yield _contexts(rows)
@@ -269,8 +269,8 @@ def context_batches(batches, length: int) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary())
-    names = ["doc_id", "rk", "first", "windows", "gram", "open", "context"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary())
+    names = ["doc_id", "rk", "first", "windows", "gram", "open", "crowded", "context"]
     columns = zip(*rows) if rows else [[] for _ in names]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -343,14 +343,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int
         .select(rows["doc_id"], rows["rk"], "text", "wanted")
         .dropDuplicates(["doc_id", "rk"])
     )
-    context = scratch(
-        cut_out.mapInArrow(map_task(context_batches, length=length), CONTEXTS).join(
-            placed.groupBy("gram").agg((F.max("contexts") > group).alias("crowded")).where("crowded"), "gram", "left"
-        ),
-        "contexts",
-    )
+    context = scratch(cut_out.mapInArrow(map_task(context_batches, length=length), CONTEXTS), "contexts")
     release_shuffles(spark)
-    few = context.where("crowded is null")
+    few = context.where("not crowded")
     size = few.agg(F.sum(F.length("context"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     # a number of its own: blocks are small in bytes and long in work, and are not to be coalesced
