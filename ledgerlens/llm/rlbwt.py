@@ -311,17 +311,21 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int
     """``doc_id, rk, first, last``: runs of windows (by first byte) that occur elsewhere."""
     spark = docs.sparkSession
     rows = keyed(docs)
-    items = scratch(rows.mapInArrow(map_task(item_batches, length=length, gram=gram), ITEMS), "items")
+    every = scratch(rows.mapInArrow(map_task(item_batches, length=length, gram=gram), ITEMS), "items")
+    # few grams are found twice; each is there once per salt, so that one with very many items meets several tasks
+    salts = F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)]))
+    salt = F.pmod("c1", F.lit(SALTS))
+    twice = every.groupBy("gram").agg(F.count("*").alias("found")).where("found > 1")
+    items = every.withColumn("salt", salt).join(twice.select("gram", salts.alias("salt")), ["gram", "salt"], "left_semi")
+    items = scratch(items.drop("salt"), "repeated")
+    drop_scratch(every)
+    release_shuffles(spark)
     cls = ["gram", "c1", "c2"]
     classes = items.groupBy(cls).agg(
         F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("doc_id", "rk", "first", "windows")]
     )
-    grams = classes.groupBy("gram").agg(F.sum("n").alias("found"), F.count("*").alias("contexts"))
-    # few grams are found twice; each is there once per salt, so that one with very many contexts meets several tasks
-    salts = F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)]))
-    repeated = grams.where("found > 1").select("gram", "contexts", salts.alias("salt"))
-    salted = classes.withColumn("salt", F.pmod("c1", F.lit(SALTS)))
-    placed = scratch(salted.join(repeated, ["gram", "salt"]).drop("salt"), "classes")
+    grams = classes.groupBy("gram").agg(F.count("*").alias("contexts")).select("gram", "contexts", salts.alias("salt"))
+    placed = scratch(classes.withColumn("salt", salt).join(grams, ["gram", "salt"]).drop("salt"), "classes")
     release_shuffles(spark)
 
     copied = placed.where("n > 1").select(*cls, "n")
