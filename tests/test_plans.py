@@ -60,6 +60,12 @@ def test_lines_are_reduced_per_order_before_the_order_join(spark, name):
     assert re.search(r"Keys \[1\]: \[(l_orderkey|order_id)#", text), name
 
 
+@pytest.mark.parametrize("name", ["top_items_by_profit", "weekend_units_by_item"])
+def test_lines_are_reduced_per_order_and_item_before_the_order_join(spark, name):
+    text = formatted(Q[name](spark, SF001))
+    assert re.search(r"Keys \[2\]: \[(l_orderkey|order_id)#", text), name
+
+
 def test_geo_dimension_is_broadcast(spark):
     text = formatted(Q["profit_by_region"](spark, SF001))
     assert "BroadcastExchange" in text
