@@ -71,6 +71,7 @@ def slice_rows(
     pos_col: str = "pos",
     counts: DataFrame | None = None,
     block: str | None = None,
+    covered: DataFrame | None = None,
 ) -> DataFrame:
     """Rows at 0-based positions ``[start, stop)`` of the order by ``order`` (columns, ascending).
 
@@ -84,7 +85,7 @@ def slice_rows(
     that rises with the rest of the order (such as the key divided by a range):
     a crowded value of the leading column is then counted and ranked block by
     block.  ``counts`` may give the counts (``lead, [block,] n``) where they are
-    known.
+    known, ``covered`` what ``covered_counts`` gives for the slice.
     """
     start = max(0, int(start))
     stop = max(start, int(stop))
@@ -92,8 +93,9 @@ def slice_rows(
     if not rest:
         raise ValueError("the order needs key columns after the leading one")
     at = [lead] + ([block] if block else [])
-    counts = df.groupBy(*at).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
-    covered = covered_counts(position_counts(counts, lead, block), start, stop)
+    if covered is None:
+        counts = df.groupBy(*at).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
+        covered = covered_counts(position_counts(counts, lead, block), start, stop)
     covered = covered.select(*[F.col(c).alias(f"_{c}") for c in at], F.col("before").alias("_before"))
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in at])
     rows = df.join(F.broadcast(covered), same)
@@ -103,7 +105,7 @@ def slice_rows(
 
 
 def covered_counts(positions: DataFrame, start: int, stop: int) -> DataFrame:
-    """The values of ``position_counts`` that hold a position of ``[start, stop)``."""
+    """The values of ``position_counts`` that hold a position of ``[start, stop)``: ``stop - start`` at most."""
     return positions.where((F.col("before") < stop) & (F.col("before") + F.col("n") > start))
 
 

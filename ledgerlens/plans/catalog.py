@@ -23,7 +23,7 @@ from ledgerlens.operators import paging as PG
 from ledgerlens.operators.distinct import count_ids, id_bitmaps
 from ledgerlens.operators.filters import optional_filter, strict_filter
 from ledgerlens.operators.joins import best_group, checked_broadcast, restrict_to
-from ledgerlens.operators.ranking import covered_counts, first_days, position_counts, top_n
+from ledgerlens.operators.ranking import first_days, top_n
 from ledgerlens.plans import params as P
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import cleaning as C
@@ -285,11 +285,12 @@ def _page(spark, sf_dir, request=P.PAGE, index=None):
     page covers and where each begins.  The days of those times reach the scan
     of the orders, and only their lines are joined and ranked.
     """
-    path = index or PG.extend_index(line_counts(spark, sf_dir), scratch_path(spark, "position-index"))
+    path = index or scratch_path(spark, "position-index")
+    added = None if index else PG.extend_index(line_counts(spark, sf_dir), path)
     counts = PG.read_index(spark, path)
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] if added is None else added
     spec = PG.clamp_page(total, **request)
-    covered = covered_counts(position_counts(counts, S.EVENT_TIME, PG.BLOCK), spec.window_start, spec.cursor)
+    covered = PG.covered_entries(counts, spec)
     first, last = covered.agg(F.min(S.EVENT_TIME), F.max(S.EVENT_TIME)).first()
     events = _fact(spark, sf_dir, *PAGE_COLUMNS)
     if first is not None:
@@ -297,7 +298,7 @@ def _page(spark, sf_dir, request=P.PAGE, index=None):
         days = [F.lit(t.isoformat(" ")).cast("timestamp_ntz") for t in (first - dt.timedelta(days=1), last)]
         events = events.where(F.col(S.ORDER_DATE).between(*days))
     events = PG.with_position_columns(events)
-    spec, sections = PG.page_sections(events, total, **request, counts=counts)
+    spec, sections = PG.page_sections(events, total, **request, covered=covered)
     return sections, spec
 
 
