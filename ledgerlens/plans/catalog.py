@@ -287,15 +287,19 @@ def _page(spark, sf_dir, request=P.PAGE, index=None):
     """
     path = index or scratch_path(spark, "position-index")
     added = None if index else PG.extend_index(line_counts(spark, sf_dir), path)
-    counts = PG.read_index(spark, path)
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] if added is None else added
+    if added is None:
+        counts = PG.read_index(spark, path)
+        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    else:  # one addition: its entries are distinct
+        counts, total = spark.read.schema(PG.INDEX_SCHEMA).parquet(path), added
     spec = PG.clamp_page(total, **request)
-    covered = PG.covered_entries(counts, spec)
-    first, last = covered.agg(F.min(S.EVENT_TIME), F.max(S.EVENT_TIME)).first()
+    entries = PG.covered_entries(counts, spec)
+    times = [e[S.EVENT_TIME] for e in entries if e[S.EVENT_TIME] is not None]
+    covered = spark.createDataFrame(entries, PG.COVERED_SCHEMA)
     events = _fact(spark, sf_dir, *PAGE_COLUMNS)
-    if first is not None:
+    if len(times) == len(entries) > 0:
         # an order date is at most a day before its event time
-        days = [F.lit(t.isoformat(" ")).cast("timestamp_ntz") for t in (first - dt.timedelta(days=1), last)]
+        days = [F.lit(t.isoformat(" ")).cast("timestamp_ntz") for t in (min(times) - dt.timedelta(days=1), max(times))]
         events = events.where(F.col(S.ORDER_DATE).between(*days))
     events = PG.with_position_columns(events)
     spec, sections = PG.page_sections(events, total, **request, covered=covered)
