@@ -117,13 +117,12 @@ QUARANTINE_SCHEMA = T.StructType(S.EVENTS_SCHEMA.fields + [T.StructField("reason
 
 
 def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events by outcome: rows of silver, and rejected rows by reason."""
+    """The split of the events, row by row: rejected rows with their reason, silver's rows with none."""
     run = SP.new_run(spark, "quarantine")
     bronze = _bronze(spark, sf_dir, run)
     rejected = spark.read.schema(QUARANTINE_SCHEMA).parquet(SP.write_quarantine(spark, bronze, run))
     accepted = SP.read_silver(spark, SP.write_silver(spark, bronze, run))
-    outcomes = accepted.select(F.lit("accepted").alias("outcome")).union(rejected.select("reason"))
-    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("events"))
+    return rejected.union(accepted.select(*S.EVENTS_SCHEMA.names, F.lit(None).cast("string").alias("reason")))
 
 
 def q_stream_quarantine_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,9 +247,8 @@ STREAM_ORACLE_SQL = {
     "stream_replay_dedup": f"WITH {_SILVER} SELECT * FROM silver",
     "stream_dedup_across_days": f"WITH {_SILVER} SELECT * FROM silver",
     "stream_quarantine": f"""WITH {_SILVER}, rejected AS ({_REJECTED})
-SELECT outcome, count(*) AS events FROM (
-  SELECT 'accepted' AS outcome FROM silver UNION ALL SELECT reason FROM rejected) o
-GROUP BY outcome""",
+SELECT event_id, ts, user_id, event_type, value, props, reason FROM rejected
+UNION ALL SELECT event_id, ts, user_id, event_type, value, props, NULL FROM silver""",
     "stream_quarantine_text": """WITH raw AS (
   SELECT event_id, ts, user_id,
          CASE WHEN event_type = 'signup' THEN ' SIGNUP ' ELSE event_type END AS event_type,

@@ -327,3 +327,34 @@ def test_sales_stream_accounts_for_every_line(spark):
     silver_df = spark.read.schema(SL.SILVER_SALES_SCHEMA).parquet(silver)
     silver_rev = float(silver_df.agg(F.sum(S.TOTAL_REVENUE)).first()[0])
     assert close(silver_rev, windows.agg(F.sum(S.TOTAL_REVENUE)).first()[0])
+
+
+def test_quarantine_query_returns_every_row_of_the_split(spark, tmp_path):
+    from ledgerlens.streaming.catalog import STREAM_ORACLE_SQL, q_stream_quarantine
+
+    rows = [
+        (1, "2024-01-01 00:10:00", 3, "view", 1.0, '{"k": 1}'),
+        (2, "2024-01-01 00:20:00", 3, "teleport", 1.0, '{"k": 1}'),
+        (3, "2024-01-01 00:30:00", 3, " Click ", -2.0, '{"k": 1}'),
+        (4, "2024-01-01 00:40:00", None, " Click ", 2.0, '{"k": 4}'),
+        (5, None, 3, "click", 2.0, '{"k": 1}'),
+        (None, "2024-01-01 00:50:00", 3, "click", 2.0, '{"k": 1}'),
+    ]
+    df = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    (tmp_path / "events.parquet").write_bytes(next((tmp_path / "rows").glob("*.parquet")).read_bytes())
+    got = q_stream_quarantine(spark, str(tmp_path))
+    assert {(r.event_id, r.event_type, r.reason) for r in got.collect()} == {
+        (1, "view", None),
+        (2, "teleport", "unknown event_type"),
+        (3, " Click ", "negative value"),
+        (4, "click", None),
+        (5, "click", "missing ts"),
+        (None, "click", "missing event_id"),
+    }
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet')")
+    want = con.sql(STREAM_ORACLE_SQL["stream_quarantine"]).fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.collect())
