@@ -23,6 +23,7 @@ from ledgerlens.functions.money import (
     units_sum,
 )
 from ledgerlens.operators.filters import weekend_in_region
+from ledgerlens.operators.joins import checked_broadcast
 from ledgerlens.operators.ranking import top_n, top_n_per_group
 
 UNITS_MEAN_TYPE = T.DecimalType(30, 2)
@@ -149,6 +150,28 @@ def top3_orders_per_item(sales: DataFrame, n: int = 3) -> DataFrame:
     return top_n_per_group(sales, [S.ITEM_TYPE], n, order)
 
 
+#: Parts of an item type's lines whose best profits bound those of its first lines.
+PROFIT_PARTS = 1024
+
+
+def of_high_profit(sales: DataFrame, n: int, types: int) -> DataFrame:
+    """Lines that may be among the ``n`` most profitable of one of the ``types`` item types: few, and all of those.
+
+    The lines of a type are parted by their order, and its bound is the ``n``-th
+    best of the parts' best profits: at least ``n`` lines reach it.  A type
+    with fewer parts has no bound and keeps all.  A hash aggregate finds the
+    bounds, so that no sort has to hold all lines.
+    """
+    part = F.pmod(F.xxhash64(S.ORDER_ID), F.lit(PROFIT_PARTS))
+    best = sales.groupBy(S.ITEM_TYPE, part.alias("_part")).agg(F.max(S.TOTAL_PROFIT).alias("_bound"))
+    best = best.where(F.col("_bound").isNotNull())
+    rank = F.row_number().over(Window.partitionBy(S.ITEM_TYPE).orderBy(F.desc("_bound")))
+    bounds = best.withColumn("_rank", rank).where(F.col("_rank") == n)
+    bounds = checked_broadcast(bounds.select(F.col(S.ITEM_TYPE).alias("_type"), "_bound"), types)
+    met = sales.join(bounds, F.col(S.ITEM_TYPE).eqNullSafe(F.col("_type")), "left")
+    return met.where(F.col("_bound").isNull() | (F.col(S.TOTAL_PROFIT) >= F.col("_bound"))).select(*sales.columns)
+
+
 def weekend_units_by_item(sales: DataFrame, region: str) -> DataFrame:
     """Units sold on weekends in one region per item type, most first."""
     return (

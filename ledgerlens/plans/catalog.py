@@ -32,10 +32,12 @@ from ledgerlens.sources.materialize import materialize_fact
 from ledgerlens.sources.sinks import write_table
 from ledgerlens.sources.star import (
     line_counts,
+    of_valid_orders,
     order_dimension,
     order_item_totals,
     order_table,
     order_totals,
+    priced_lines,
     sales_fact,
     with_order_columns,
 )
@@ -116,11 +118,33 @@ def q_margin_extremes(spark, sf_dir):
     return A.margin_extremes(_fact(spark, sf_dir, S.ORDER_ID, S.UNIT_PRICE, S.UNIT_COST))
 
 
+#: Lines of an item type that are ranked before it is known whether their order exists.
+CANDIDATES = 24
+
+
 def q_top3_orders_per_item(spark, sf_dir):
-    """Lines are ranked before they meet their order's columns; three an item type get them."""
-    lines = _fact(spark, sf_dir, *[c for c in S.FACT_COLUMNS if c not in S.ORDER_COLUMNS])
-    best = A.top3_orders_per_item(lines)
+    """Lines are ranked before they meet their order; a few of an item type look theirs up.
+
+    The first ``CANDIDATES`` of every item type hold its first three of valid
+    orders, unless more of them dangle; then all lines meet their orders first.
+    """
+    columns = [c for c in S.FACT_COLUMNS if c not in S.ORDER_COLUMNS]
     types = read_table(spark, sf_dir, "part").select("p_type").distinct().count()
+    lines = priced_lines(spark, sf_dir, late=True).select(*columns)
+    path = write_table(
+        A.top3_orders_per_item(A.of_high_profit(lines, CANDIDATES, types), CANDIDATES),
+        scratch_path(spark, "top-lines"),
+    )
+    first = spark.read.schema(lines.schema).parquet(path)
+    keys = checked_broadcast(first.select(S.ORDER_ID), CANDIDATES * types)
+    valid = of_valid_orders(first, spark, sf_dir, among=keys)
+    counts = first.select(S.ITEM_TYPE, F.lit(0).alias("valid")).union(valid.select(S.ITEM_TYPE, F.lit(1)))
+    per_type = counts.groupBy(S.ITEM_TYPE).agg(
+        F.count_if(F.col("valid") == 0).alias("n"), F.sum("valid").alias("valid")
+    )
+    if not per_type.where((F.col("n") >= CANDIDATES) & (F.col("valid") < 3)).isEmpty():
+        valid = of_valid_orders(lines, spark, sf_dir)
+    best = A.top3_orders_per_item(valid)
     return O.as_output(with_order_columns(checked_broadcast(best, 3 * types), spark, sf_dir, S.FACT_COLUMNS))
 
 

@@ -63,61 +63,96 @@ def customer_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orderkey -> order date, priority and customer attributes."""
-    orders = read_table(spark, sf_dir, "orders").select(
+def order_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orderkey -> customer key, order date, priority."""
+    return read_table(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_custkey",
         F.col("o_orderdate").alias(S.ORDER_DATE),
         F.col("o_orderpriority").alias(S.ORDER_PRIORITY),
     )
+
+
+def order_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orderkey -> order date, priority and customer attributes."""
+    orders = order_columns(spark, sf_dir)
     customer = customer_dimension(spark, sf_dir)
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey", "o_custkey")
 
 
-def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-level sales columns straight from ``lineitem``."""
-    li = read_table(spark, sf_dir, "lineitem")
-    return li.select(
+def _lines_as_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias(S.ORDER_ID),
         F.col("l_linenumber").alias(S.LINE_NUMBER),
         F.col("l_partkey").alias(S.PART_KEY),
         F.col("l_suppkey").alias(S.SUPP_KEY),
         F.col("l_extendedprice").alias(S.EXT_PRICE),
         F.col("l_shipdate").alias(S.SHIP_DATE),
+        "l_quantity",
+        "l_discount",
+    )
+
+
+def _with_line_columns(lines: DataFrame) -> DataFrame:
+    others = [c for c in lines.columns if c not in ("l_quantity", "l_discount")]
+    return lines.select(
+        *others,
         exact(hundredths("l_quantity"), 2, S.UNITS_TYPE).alias(S.UNITS_SOLD),
-        F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias(S.UNIT_PRICE),
+        F.try_divide(F.col(S.EXT_PRICE), F.col("l_quantity")).alias(S.UNIT_PRICE),
         hundredths("l_quantity").alias(_QUANTITY),
-        (hundredths("l_extendedprice") * (F.lit(100) - hundredths("l_discount"))).alias(_REVENUE),
+        (hundredths(S.EXT_PRICE) * (F.lit(100) - hundredths("l_discount"))).alias(_REVENUE),
     ).withColumn(S.TOTAL_REVENUE, _money(F.col(_REVENUE)))
 
 
-def valid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders whose customer, nation and region exist: ``o_orderkey, o_orderdate``."""
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-level sales columns straight from ``lineitem``."""
+    return _with_line_columns(_lines_as_read(spark, sf_dir))
+
+
+def valid_orders(spark: SparkSession, sf_dir: str, among: DataFrame | None = None) -> DataFrame:
+    """Orders whose customer, nation and region exist: ``o_orderkey, o_orderdate``.
+
+    ``among``: only the orders of these few lines; the others meet no customer.
+    """
     regions = read_table(spark, sf_dir, "region").select("r_regionkey")
     nations = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     nations = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
     customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     customers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if among is not None:
+        orders = orders.join(among, F.col("o_orderkey") == F.col(S.ORDER_ID), "left_semi")
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left_semi").drop("o_custkey")
 
 
+def of_valid_orders(lines: DataFrame, spark: SparkSession, sf_dir: str, among: DataFrame | None = None) -> DataFrame:
+    """Lines whose order exists and has a known customer (no column of it is needed)."""
+    orders = valid_orders(spark, sf_dir, among).select("o_orderkey")
+    return lines.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey"), "left_semi")
+
+
 def of_known_parts(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose part exists (no column of it is needed)."""
     parts = read_table(spark, sf_dir, "part").select("p_partkey")
     return lines.join(parts, F.col(S.PART_KEY) == F.col("p_partkey"), "left_semi")
 
 
-def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with the item type, unit cost, total cost and profit of their part."""
+def priced_lines(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
+    """Lines with the item type, unit cost, total cost and profit of their part.
+
+    ``late``: a line's own columns are computed above the part join, which then
+    moves the columns as read; these are fewer if nearly all are wanted.
+    """
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_type").alias(S.ITEM_TYPE), F.col("p_retailprice").alias(S.UNIT_COST)
     )
+    at = F.col(S.PART_KEY) == F.col("p_partkey")
+    if late:
+        lines = _with_line_columns(_lines_as_read(spark, sf_dir).join(part, at))
+    else:
+        lines = line_items(spark, sf_dir).join(part, at)
     return (
-        line_items(spark, sf_dir)
-        .join(part, F.col(S.PART_KEY) == F.col("p_partkey"))
-        .drop("p_partkey")
+        lines.drop("p_partkey")
         .withColumn(_COST, F.col(_QUANTITY) * hundredths(S.UNIT_COST))
         .withColumns(
             {
@@ -156,16 +191,19 @@ def sales_fact(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
         lines = priced_lines(spark, sf_dir)
     else:
         lines = of_known_parts(line_items(spark, sf_dir), spark, sf_dir)
-    at = F.col(S.ORDER_ID) == F.col("o_orderkey")
     if S.ORDER_COLUMNS & set(wanted):
+        at = F.col(S.ORDER_ID) == F.col("o_orderkey")
         return lines.join(order_dimension(spark, sf_dir), at).select(*wanted)
-    return lines.join(valid_orders(spark, sf_dir).select("o_orderkey"), at, "left_semi").select(*wanted)
+    return of_valid_orders(lines, spark, sf_dir).select(*wanted)
 
 
 def with_order_columns(lines: DataFrame, spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
-    """``lines`` (with ``order_id``) given the columns of their order after the fact: late, for the few that stay."""
-    orders = order_dimension(spark, sf_dir)
-    return lines.join(orders, F.col(S.ORDER_ID) == F.col("o_orderkey")).select(*columns)
+    """``lines`` (with ``order_id``) given the columns of their order after the fact: late, for the few that stay.
+
+    They meet their orders first, so that no other order meets its customer.
+    """
+    orders = lines.join(order_columns(spark, sf_dir), F.col(S.ORDER_ID) == F.col("o_orderkey"))
+    return orders.join(customer_dimension(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")).select(*columns)
 
 
 def line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,3 +163,30 @@ def test_serving_join_reuses_the_cached_dimension_layout(spark):
     assert "SortMergeJoin" in text and "InMemoryTableScan" in text
     # the only shuffle for the join is that of the events, dealt out by user and salt
     assert len(re.findall(r"hashpartitioning\(user_id#\d+L?, salt#\d+, \d+\), ENSURE_REQUIREMENTS", text)) == 1
+
+
+def test_top_three_move_no_line_by_its_order(spark):
+    """All lines are ranked without their orders: the plan meets only the few that come first."""
+    text = formatted(Q["top3_orders_per_item"](spark, SF001))
+    assert "top-lines" in text and not scans(text, "lineitem")
+
+
+@pytest.mark.parametrize("dangling", [10, 40])
+def test_top_three_without_the_orders_of_the_best_lines(spark, tmp_path, dangling):
+    """Few or most of the candidates have no order."""
+    import shutil
+
+    from conftest import SF0001
+    from oracle_util import compare, duck
+
+    con = duck(SF0001)
+    for t in ("region", "nation", "customer", "part", "lineitem"):
+        shutil.copy(f"{SF0001}/{t}.parquet", tmp_path)
+    con.sql(f"""COPY (SELECT * FROM orders WHERE o_orderkey NOT IN (
+      SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey
+      QUALIFY row_number() OVER (PARTITION BY p_type
+        ORDER BY l_extendedprice * (1 - l_discount) - l_quantity * p_retailprice DESC) <= {dangling}))
+      TO '{tmp_path}/orders.parquet' (FORMAT parquet)""")
+    con.sql(f"CREATE OR REPLACE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet'")
+    got = Q["top3_orders_per_item"](spark, str(tmp_path)).toPandas()
+    assert len(got) > 0 and compare(got, con.sql(entry.oracle_sql()["top3_orders_per_item"]).df()) == []
