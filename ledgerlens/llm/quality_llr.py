@@ -1,8 +1,8 @@
 """Quality rules and a hashed n-gram log-likelihood ratio, in DataFrame functions only.
 
 Every text's words and word pairs are hashed into ``BUCKETS`` buckets.  The raw
-multinomial counts the buckets of all texts; the target one those of a bounded
-sample of trusted texts (labelled good and not toxic).  A text's score is the
+multinomial counts the buckets of all texts; the target one those of all
+trusted texts (labelled good and not toxic).  A text's score is the
 mean over its n-grams of log(target share / raw share); it is kept if it passes
 the base rules and the score reaches the threshold.  The target's shares are
 smoothed towards the raw ones with a weight of ``PRIOR_SHARE`` of its n-grams:
@@ -14,6 +14,9 @@ The threshold comes from labelled texts that the target doesn't hold (every
 former if that is less.  Without held-out texts of both classes nothing is
 rejected, and so with no trusted text.
 
+Texts meet the labels without a shuffle: the marked ids go to all tasks as bits,
+64 ids a row (``with_marks``).
+
 The log ratios are rounded to whole micro-units: sums do not depend on the
 order of rows, and neither does any decision.  The model is one integer per
 bucket, bounded whatever the corpus; it is the only thing that reaches the
@@ -35,8 +38,6 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import SPACE_RUN, text_of
 
 BUCKETS = 1 << 16
-#: At most so many trusted texts make the target; the ids with the least hashes.
-TRUSTED_DOCS = 20_000
 #: Weight of the raw shares in the target's, as a share of the target's n-grams.
 PRIOR_SHARE = 0.05
 MICRO = 1_000_000
@@ -45,6 +46,8 @@ MICRO = 1_000_000
 GOOD_LOST = 0.005
 HELD_DOCS = 4000
 FOLDS = 5
+#: Rows of 64 ids' marks up to which they go to all tasks, some 32 MB; beyond, Spark picks the join.
+MARK_ROWS = 1_000_000
 WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PCT = 10, 20
 SYMBOLS = r"[#*$%&|<>]"
@@ -86,22 +89,38 @@ def training(labels: DataFrame) -> DataFrame:
     return labels.where(~held_out())
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED_DOCS) -> DataFrame:
-    """``doc_id`` of the trusted sample: at most ``most`` rows, the same ones on any run."""
-    good = (
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """``doc_id`` of the trusted texts, each once."""
+    return (
         labels.where("doc_id is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
         .where("quality = 1 and coalesce(toxic, 0) = 0")
+        .select("doc_id")
+    )
+
+
+def with_marks(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``rows`` (with ``doc_id``, a long) given the ``mark`` of their id, 0 or 1; ``ids`` has ``doc_id, mark``, an id once.
+
+    Rows of other ids have none, or go with an inner join.
+    """
+    bit = F.expr("shiftleft(1L, cast(doc_id & 63 as int))")
+    marks = ids.groupBy(F.shiftright("doc_id", 6).alias("_ids")).agg(
+        F.bit_or(bit).alias("_marked"), F.bit_or(F.when(F.col("mark") == 1, bit).otherwise(0)).alias("_ones")
     )
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(most)
+    marks = F.broadcast(marks) if marks.count() <= MARK_ROWS else marks
+    met = rows.join(marks, F.shiftright("doc_id", 6) == F.col("_ids"), how)
+    marked = F.col("_marked").bitwiseAND(bit) != 0
+    mark = F.when(marked, (F.col("_ones").bitwiseAND(bit) != 0).cast("int"))
+    found = met.where(marked) if how == "inner" else met
+    return found.select(*rows.columns, mark.alias("mark"))
 
 
 def fit(
     docs: DataFrame,
     labels: DataFrame,
     buckets: int = BUCKETS,
-    most: int = TRUSTED_DOCS,
     prior: float | None = None,
     prior_share: float = PRIOR_SHARE,
 ) -> list[int]:
@@ -109,11 +128,10 @@ def fit(
 
     The smoothing weighs ``prior`` n-grams, or by default ``prior_share`` of the target's.
     """
-    trusted = F.broadcast(trusted_ids(labels, most).withColumn("trusted", F.lit(1)))
     rows = _with_words(docs, [F.col("doc_id").cast("long").alias("doc_id")])
     # explode_outer: explode would have Catalyst compute the array once more in a filter below
-    grams = _with_hashes(rows).join(trusted, "doc_id", "left").select(
-        F.explode_outer("grams").alias("h"), F.coalesce("trusted", F.lit(0)).alias("trusted")
+    grams = with_marks(_with_hashes(rows), trusted_ids(labels).withColumn("mark", F.lit(1)), "left").select(
+        F.explode_outer("grams").alias("h"), F.coalesce("mark", F.lit(0)).alias("trusted")
     )
     counts = grams.where("h is not null").groupBy(F.pmod("h", F.lit(buckets)).alias("bucket")).agg(
         F.count("*").alias("raw"), F.sum("trusted").alias("target")
