@@ -160,3 +160,17 @@ def test_every_trusted_text_makes_the_target(spark):
     marked = Q.with_marks(docs, Q.trusted_ids(labels).withColumn("mark", F.lit(1)), "left")
     assert marked.where("(mark = 1) != (doc_id between -12500 and 12499)").count() == 0
     assert marked.where("mark is not null").count() == 25_000
+
+
+def test_every_held_out_text_sets_the_threshold(spark):
+    """A tenth of the good texts, all past the first 4,000 by id hash, score lower: the threshold falls to them."""
+    held = spark.range(30_000).select(F.col("id").alias("doc_id")).where(Q.held_out())
+    first = held.orderBy(F.xxhash64("doc_id"), "doc_id").limit(4000).withColumn("first", F.lit(1))
+    model = [(bucket * 7919) % 1_000_003 for bucket in range(1 << 12)]
+    one = lambda text: sum(model[bucket(h, 1 << 12)] for h in grams(text)) / len(grams(text))
+    worst, low, high = sorted((" ".join(f"{w}{i}" for i in range(12)) for w in ("good", "less", "bad")), key=one)
+    docs = held.join(first, "doc_id", "left").select("doc_id", F.when(F.col("first") == 1, high).otherwise(low).alias("text"))
+    bad = spark.range(100_000, 101_000).select(F.col("id").alias("doc_id")).where(Q.held_out())
+    docs = docs.union(bad.select("doc_id", F.lit(worst).alias("text")))
+    labels = held.select("doc_id", F.lit(1).alias("quality")).union(bad.select("doc_id", F.lit(0)))
+    assert Q.calibrate(docs, labels, model) == (math.floor(one(low)) + math.floor(one(worst))) // 2
